@@ -10,8 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-__all__ = ["bidirectional_rank", "first_last", "keep_first", "share_of_total"]
+__all__ = ["bidirectional_rank", "first_last", "keep_first", "share_of_total",
+           "packed_order_key", "unpack_major"]
 
 
 def _cols(xs):
@@ -31,6 +33,31 @@ def bidirectional_rank(df: DataFrame, keys: list[str], order: str, tie: str,
               .withColumn(desc_name, F.row_number().over(w_desc)))
 
 
+_FIXED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+          T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType)
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_TWO64 = 18446744073709551616
+_TWO63 = 9223372036854775808
+
+
+def packed_order_key(major: Column | str, minor: Column | str) -> Column:
+    """One DECIMAL(38,0) that orders like the pair (major, minor) of
+    64-bit integers, with ``major`` in [0, 2^64) and any signed ``minor``.
+
+    A fixed-width ordering key lets ``min_by``/``max_by`` run in the hash
+    aggregate; a struct key forces a sort-based aggregate that sorts every
+    input row before the partial combine."""
+    d = "decimal(38,0)"
+    mj = (F.col(major) if isinstance(major, str) else major).cast(d)
+    mn = (F.col(minor) if isinstance(minor, str) else minor).cast(d)
+    return mj * F.lit(str(_TWO64)).cast(d) + (mn + F.lit(str(_TWO63)).cast(d))
+
+
+def unpack_major(key: Column | str) -> Column:
+    k = F.col(key) if isinstance(key, str) else key
+    return F.floor(k / F.lit(str(_TWO64)).cast("decimal(38,0)")).cast("long")
+
+
 def first_last(df: DataFrame, keys: list[str], order: list[str],
                first: dict[str, str] | None = None, last: dict[str, str] | None = None,
                aggs: list[Column] | None = None) -> DataFrame:
@@ -39,22 +66,32 @@ def first_last(df: DataFrame, keys: list[str], order: list[str],
     ``first``/``last`` map output name -> input column, taken at the least /
     greatest ``order`` tuple.  Extra ``aggs`` (avg, max, ...) ride along in
     the same ``groupBy`` so the whole summary is one shuffle with partial
-    aggregation."""
-    okey = F.struct(*_cols(order))
+    aggregation.  When the order is one fixed-width column or two integral
+    columns, and the values are fixed-width, each value gets its own
+    ``min_by``/``max_by`` over a fixed-width key (hash aggregate);
+    otherwise structs are used (sort aggregate, same result)."""
+    first, last = first or {}, last or {}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    fixed_vals = all(isinstance(types[c], _FIXED) for c in [*first.values(), *last.values()])
+    okey = None
+    if fixed_vals and len(order) == 1 and isinstance(types[order[0]], _FIXED):
+        okey = F.col(order[0])
+    elif fixed_vals and len(order) == 2 and all(isinstance(types[o], _INTEGRAL) for o in order):
+        okey = packed_order_key(order[0], order[1])
     out = list(aggs or [])
+    if okey is not None:
+        out += [F.min_by(c, okey).alias(n) for n, c in first.items()]
+        out += [F.max_by(c, okey).alias(n) for n, c in last.items()]
+        return df.groupBy(*keys).agg(*out)
+    skey = F.struct(*_cols(order))
     if first:
-        fs = F.min_by(F.struct(*[F.col(c).alias(n) for n, c in first.items()]), okey).alias("__first")
-        out.append(fs)
+        out.append(F.min_by(F.struct(*[F.col(c).alias(n) for n, c in first.items()]), skey).alias("__first"))
     if last:
-        ls = F.max_by(F.struct(*[F.col(c).alias(n) for n, c in last.items()]), okey).alias("__last")
-        out.append(ls)
+        out.append(F.max_by(F.struct(*[F.col(c).alias(n) for n, c in last.items()]), skey).alias("__last"))
     g = df.groupBy(*keys).agg(*out)
-    sel = [c for c in g.columns if c not in ("__first", "__last")]
-    sel = [F.col(c) for c in sel]
-    if first:
-        sel += [F.col(f"__first.{n}").alias(n) for n in first]
-    if last:
-        sel += [F.col(f"__last.{n}").alias(n) for n in last]
+    sel = [F.col(c) for c in g.columns if c not in ("__first", "__last")]
+    sel += [F.col(f"__first.{n}").alias(n) for n in first]
+    sel += [F.col(f"__last.{n}").alias(n) for n in last]
     return g.select(*sel)
 
 

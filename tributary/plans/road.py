@@ -8,7 +8,7 @@ value, centre y = props.k, zone = ``zone_{k % 3}``, uuid = event_id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions import compass_label, direction_angle, midpoint, split_part_as, time_text
@@ -76,30 +76,47 @@ def group_metrics(stg: DataFrame) -> DataFrame:
                                        F.max("speed_kmh").alias("speed_kmh"))
 
 
+def _with_ms(stg: DataFrame) -> DataFrame:
+    """Milliseconds of the day from the parsed time parts: a fixed-width
+    value that orders exactly like the fixed-width time text."""
+    ms = (F.col("hour").cast("long") * 3600000 + F.col("minute").cast("long") * 60000
+          + F.round(F.col("second") * 1000).cast("long"))
+    return stg.withColumn("__ms", ms)
+
+
+def _ms_text(ms: str) -> Column:
+    m = F.col(ms)
+    return F.format_string("%02d:%02d:%02d.%03d", (m / 3600000).cast("int"),
+                           ((m % 3600000) / 60000).cast("int"), ((m % 60000) / 1000).cast("int"),
+                           (m % 1000).cast("int"))
+
+
+def _summary(stg: DataFrame, aggs: list[Column] | None = None) -> DataFrame:
+    g = first_last(
+        _with_ms(stg), MART_KEYS, ["__ms", "uuid"],
+        first={"__first_ms": "__ms", "first_center_x": "center_pixels_x",
+               "first_center_y": "center_pixels_y"},
+        last={"last_center_x": "center_pixels_x", "last_center_y": "center_pixels_y"},
+        aggs=aggs)
+    return g.withColumn("time_utc", _ms_text("__first_ms")).drop("__first_ms")
+
+
 def first_last_points(stg: DataFrame) -> DataFrame:
     """First time and point, last point, per group; one aggregation."""
-    return first_last(
-        stg, MART_KEYS, ["time_utc", "uuid"],
-        first={"time_utc": "time_utc", "first_center_x": "center_pixels_x",
-               "first_center_y": "center_pixels_y"},
-        last={"last_center_x": "center_pixels_x", "last_center_y": "center_pixels_y"})
+    return _summary(stg)
 
 
 def traffic_objects(stg: DataFrame) -> DataFrame:
     """Movement summary per (day, object, class, zone).
 
     One ``groupBy`` with partial aggregation computes the averages, maxima
-    and both end points (``min_by``/``max_by``), where the reference ranks
-    twice and joins three relations.  Rows without a zone never reach the
-    mart (the reference's inner join drops them), so they are filtered
-    before the shuffle."""
+    and both end points (``min_by``/``max_by`` over a packed fixed-width
+    (time, uuid) key, so it stays a hash aggregate), where the reference
+    ranks twice and joins three relations.  Rows without a zone never
+    reach the mart (the reference's inner join drops them), so they are
+    filtered before the shuffle."""
     s = stg.filter(F.col("zone_name").isNotNull())
-    g = first_last(
-        s, MART_KEYS, ["time_utc", "uuid"],
-        first={"time_utc": "time_utc", "first_center_x": "center_pixels_x",
-               "first_center_y": "center_pixels_y"},
-        last={"last_center_x": "center_pixels_x", "last_center_y": "center_pixels_y"},
-        aggs=[F.avg("confidence").alias("confidence"), F.max("speed_kmh").alias("speed_kmh")])
+    g = _summary(s, aggs=[F.avg("confidence").alias("confidence"), F.max("speed_kmh").alias("speed_kmh")])
     ang = direction_angle("first_center_x", "first_center_y", "last_center_x", "last_center_y")
     return g.select("date_utc", "time_utc", "object_id", "class",
                     F.bround("confidence", 6).alias("confidence"),
