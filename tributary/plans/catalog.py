@@ -33,4 +33,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from tributary.plans import queries_ads, queries_analysis, queries_road  # noqa: F401
+    from tributary.plans import queries_ads, queries_analysis, queries_movement, queries_road  # noqa: F401
