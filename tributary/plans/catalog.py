@@ -33,5 +33,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from tributary.plans import (queries_ads, queries_analysis, queries_movement, queries_news,  # noqa: F401
+    from tributary.plans import (queries_ads, queries_analysis, queries_io, queries_movement, queries_news,  # noqa: F401
                                  queries_passport, queries_road, queries_stream)
