@@ -66,69 +66,109 @@ def points_in_zones(points: DataFrame, zones: DataFrame, x: str, y: str, locatio
                     between_lines(F.col(x), F.col(y), "z").alias("inside"))
 
 
-def _running(order_cols):
-    return lambda *part: Window.partitionBy(*part).orderBy(*order_cols)
-
-
 def zone_speed(df: DataFrame, keys: list[str], t: str, tie: str, inside: str = "inside",
                length: str = "length_m", gap: float = 10.0, min_t: float = 0.1, max_t: float = 10.0,
-               bucket_seconds: float = 300.0) -> DataFrame:
-    """Per row, the track start, entry/leave flags and speed.
+               bucket_seconds: float = 300.0, materialize: str = "checkpoint") -> DataFrame:
+    """Per row, the track start flag, entry/leave flags and speed.
 
     ``keys`` identify a sequence (object and zone), ``t`` is in seconds
-    (double), ``tie`` orders equal times."""
+    (double), ``tie`` orders equal times.
+
+    Pass 1 (one shuffle by keys + time bucket): local lag, local flags for
+    every row but the bucket's first, and local running maxima.  The
+    result is checkpointed to the shared checkpoint folder (it is read
+    twice and its lineage is cut).  A per-bucket summary (one row per
+    non-empty bucket) resolves, with windows over buckets, the first row of
+    each bucket and the carries (track start, last entry, last leave);
+    joined back on (keys, bucket), pass 2 finishes every row locally."""
     K = list(keys)
-    d = df.withColumn("__bk", F.floor(F.col(t) / F.lit(bucket_seconds)).cast("long"))
     KB = [*K, "__bk"]
-    w = Window.partitionBy(*KB).orderBy(F.col(t), F.col(tie))
+    c_t, c_in = F.col(t), F.col(inside)
+    d = df.withColumn("__bk", F.floor(c_t / F.lit(bucket_seconds)).cast("long"))
+    w = Window.partitionBy(*KB).orderBy(c_t, F.col(tie))
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = (d.withColumn("__lp_t", F.lag(t).over(w))
-           .withColumn("__lp_in", F.lag(inside).over(w))
-           .withColumn("__is_last", F.lead(t).over(w).isNull()))
-
-    # Previous row across bucket borders: last row of the previous
-    # non-empty bucket of the same sequence.
-    last = d.filter("__is_last").select(*KB, F.col(t).alias("__bl_t"), F.col(inside).alias("__bl_in"))
+    lp_t, lp_in = F.lag(t).over(w), F.lag(inside).over(w)
+    d = d.withColumn("__lp_t", lp_t).withColumn("__lp_in", lp_in) \
+         .withColumn("__is_last", F.lead(t).over(w).isNull())
+    first = F.col("__lp_t").isNull()
+    loc_new = ~first & ((c_t - F.col("__lp_t")) > gap)
+    loc_pit = ~first & ~loc_new & F.col("__lp_in")
+    d = (d.withColumn("__first", first)
+           .withColumn("__l_new", loc_new)
+           .withColumn("__l_entry", ~first & c_in & ~loc_pit)
+           .withColumn("__l_exit", ~first & ~c_in & loc_pit))
+    d = d.withColumn("__l_en_run", F.max(F.when(F.col("__l_entry"), c_t)).over(run))
+    d = d.withColumn("__l_ts_run", F.max(F.when(F.col("__l_new"), c_t)).over(run))
+    if materialize == "checkpoint":
+        from tributary.session import checkpoint_dir
+        checkpoint_dir(d.sparkSession)
+        d = d.checkpoint(eager=True)
+    elif materialize == "persist":
+        d = d.persist()
+
+    # Per-bucket summary.
+    ex_t = F.when(F.col("__l_exit"), c_t)
+    summ = d.groupBy(*KB).agg(
+        F.max(F.when(F.col("__first"), c_t)).alias("first_t"),
+        F.max(F.when(F.col("__first"), c_in.cast("int"))).alias("first_in"),
+        F.max(F.when(F.col("__is_last"), c_t)).alias("last_t"),
+        F.max(F.when(F.col("__is_last"), c_in.cast("int"))).alias("last_in"),
+        F.max(F.when(F.col("__l_new"), c_t)).alias("l_ts"),
+        F.max(F.when(F.col("__l_entry"), c_t)).alias("l_en"),
+        F.max(ex_t).alias("lx_t"),
+        F.max_by(F.col("__l_en_run"), ex_t).alias("lx_en"),
+        F.max_by(F.col("__l_ts_run"), ex_t).alias("lx_ts"),
+        F.max(F.col(length)).alias("len"))
     wk = Window.partitionBy(*K).orderBy("__bk")
-    last = last.select(*KB, F.lag("__bl_t").over(wk).alias("__pb_t"), F.lag("__bl_in").over(wk).alias("__pb_in"))
-    d = d.join(last, on=KB, how="left")
-    prev_t = F.coalesce(F.col("__lp_t"), F.col("__pb_t"))
-    prev_in = F.when(F.col("__lp_t").isNotNull(), F.col("__lp_in")).otherwise(F.col("__pb_in"))
-    new_track = prev_t.isNull() | ((F.col(t) - prev_t) > gap)
-    prev_in_track = F.when(new_track, F.lit(False)).otherwise(F.coalesce(prev_in, F.lit(False)))
-    d = (d.withColumn("new_track", new_track)
-           .withColumn("entry", F.col(inside) & ~prev_in_track)
-           .withColumn("exit", ~F.col(inside) & prev_in_track)
-           .drop("__lp_t", "__lp_in", "__is_last", "__pb_t", "__pb_in"))
-
-    # Running maxima of the track start and the last entry, carried over
-    # buckets through a per-bucket summary.
-    d = d.withColumn("__ts_v", F.when(F.col("new_track"), F.col(t))) \
-         .withColumn("__en_v", F.when(F.col("entry"), F.col(t)))
-    summ = d.groupBy(*KB).agg(F.max("__ts_v").alias("__b_ts"), F.max("__en_v").alias("__b_en"))
-    prior = wk.rowsBetween(Window.unboundedPreceding, -1)
-    summ = summ.select(*KB, F.max("__b_ts").over(prior).alias("__c_ts"), F.max("__b_en").over(prior).alias("__c_en"))
-    d = d.join(summ, on=KB, how="left")
-    d = (d.withColumn("track_start", F.greatest(F.max("__ts_v").over(run), F.col("__c_ts")))
-           .withColumn("__last_entry", F.greatest(F.max("__en_v").over(run), F.col("__c_en"))))
-    dt = F.col(t) - F.col("__last_entry")
-    exit_speed = F.when(F.col("exit"), F.when((dt > min_t) & (dt < max_t),
-                                               F.bround(F.col(length) / dt * 3.6, 1)).otherwise(F.lit(0.0)))
-    d = d.withColumn("exit_speed", exit_speed).drop("__ts_v", "__en_v", "__c_ts", "__c_en")
-
-    # Last leave (time and speed), carried the same way.
-    d = d.withColumn("__ex_t", F.when(F.col("exit"), F.col(t)))
-    summ2 = d.groupBy(*KB).agg(F.max("__ex_t").alias("__b_xt"), F.max_by("exit_speed", "__ex_t").alias("__b_xs"))
-    summ2 = summ2.select(*KB, F.max("__b_xt").over(prior).alias("__c_xt"),
-                         F.max_by("__b_xs", "__b_xt").over(prior).alias("__c_xs"))
-    d = d.join(summ2, on=KB, how="left")
-    loc_xt = F.max("__ex_t").over(run)
-    loc_xs = F.max_by("exit_speed", "__ex_t").over(run)
-    d = d.withColumn("__lx_t", loc_xt).withColumn("__lx_s", loc_xs)
-    held_t = F.coalesce(F.col("__lx_t"), F.col("__c_xt"))
-    held_s = F.when(F.col("__lx_t").isNotNull(), F.col("__lx_s")).otherwise(F.col("__c_xs"))
-    speed = (F.when(F.col(inside), F.lit(0.0))
+    before = wk.rowsBetween(Window.unboundedPreceding, -1)
+    summ = summ.withColumn("p_t", F.lag("last_t").over(wk)).withColumn("p_in", F.lag("last_in").over(wk))
+    f_new = F.col("p_t").isNull() | ((F.col("first_t") - F.col("p_t")) > gap)
+    f_pit = ~f_new & (F.col("p_in") == 1)
+    summ = (summ.withColumn("f_new", f_new)
+                .withColumn("f_entry", (F.col("first_in") == 1) & ~f_pit)
+                .withColumn("f_exit", (F.col("first_in") == 0) & f_pit))
+    b_ts = F.greatest(F.col("l_ts"), F.when(F.col("f_new"), F.col("first_t")))
+    b_en = F.greatest(F.col("l_en"), F.when(F.col("f_entry"), F.col("first_t")))
+    summ = summ.withColumn("b_ts", b_ts).withColumn("b_en", b_en)
+    summ = summ.withColumn("c_ts", F.max("b_ts").over(before)).withColumn("c_en", F.max("b_en").over(before))
+
+    def speed_of(dt):
+        return F.when((dt > min_t) & (dt < max_t), F.bround(F.col("len") / dt * 3.6, 1)).otherwise(F.lit(0.0))
+
+    # Last leave of the bucket (time, speed): a later row's leave uses the
+    # entry seen before it in the bucket, else the first row's, else the
+    # carried one; a leave on the first row uses the carried entry.
+    f_en_t = F.when(F.col("f_entry"), F.col("first_t"))
+    lx_entry = F.coalesce(F.col("lx_en"), f_en_t, F.col("c_en"))
+    bx_t = F.coalesce(F.col("lx_t"), F.when(F.col("f_exit"), F.col("first_t")))
+    bx_s = F.when(F.col("lx_t").isNotNull(), speed_of(F.col("lx_t") - lx_entry)) \
+            .when(F.col("f_exit"), speed_of(F.col("first_t") - F.col("c_en")))
+    summ = summ.withColumn("bx_t", bx_t).withColumn("bx_s", bx_s)
+    summ = summ.withColumn("c_xt", F.max("bx_t").over(before)).withColumn("c_xs", F.max_by("bx_s", "bx_t").over(before))
+    summ = summ.select(*KB, "p_t", "p_in", "c_ts", "c_en", "c_xt", "c_xs")
+
+    # Pass 2: rows of a bucket with the resolved carries.
+    j = d.join(summ, on=KB, how="left")
+    new_track = F.when(F.col("__first"), F.col("p_t").isNull() | ((c_t - F.col("p_t")) > gap)) \
+                 .otherwise(F.col("__l_new"))
+    prev_in = F.when(F.col("__first"), F.col("p_in") == 1).otherwise(F.col("__lp_in"))
+    j = j.withColumn("new_track", new_track)
+    pit = ~F.col("new_track") & F.coalesce(prev_in, F.lit(False))
+    j = j.withColumn("entry", c_in & ~pit).withColumn("exit", ~c_in & pit)
+    w2 = Window.partitionBy(*KB).orderBy(c_t, F.col(tie))
+    run2 = w2.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    j = j.withColumn("track_start", F.greatest(F.max(F.when(F.col("new_track"), c_t)).over(run2), F.col("c_ts")))
+    j = j.withColumn("__last_entry", F.greatest(F.max(F.when(F.col("entry"), c_t)).over(run2), F.col("c_en")))
+    dt = c_t - F.col("__last_entry")
+    j = j.withColumn("exit_speed", F.when(F.col("exit"), F.when((dt > min_t) & (dt < max_t),
+                                                                F.bround(F.col(length) / dt * 3.6, 1))
+                                          .otherwise(F.lit(0.0))))
+    x_t = F.when(F.col("exit"), c_t)
+    j = j.withColumn("__lx_t", F.max(x_t).over(run2)).withColumn("__lx_s", F.max_by("exit_speed", x_t).over(run2))
+    held_t = F.coalesce(F.col("__lx_t"), F.col("c_xt"))
+    held_s = F.when(F.col("__lx_t").isNotNull(), F.col("__lx_s")).otherwise(F.col("c_xs"))
+    speed = (F.when(c_in, F.lit(0.0))
               .when(held_t.isNotNull() & (held_t >= F.col("track_start")), held_s)
               .otherwise(F.lit(0.0)))
-    d = d.withColumn("speed_kmh", speed)
-    return d.drop("__bk", "__ex_t", "__c_xt", "__c_xs", "__lx_t", "__lx_s", "__last_entry")
+    j = j.withColumn("speed_kmh", speed)
+    return j.select(*df.columns, "new_track", "entry", "exit", "track_start", "exit_speed", "speed_kmh")

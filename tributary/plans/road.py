@@ -113,10 +113,11 @@ def traffic_objects(stg: DataFrame) -> DataFrame:
     and both end points (``min_by``/``max_by`` over a packed fixed-width
     (time, uuid) key, so it stays a hash aggregate), where the reference
     ranks twice and joins three relations.  Rows without a zone never
-    reach the mart (the reference's inner join drops them), so they are
-    filtered before the shuffle."""
-    s = stg.filter(F.col("zone_name").isNotNull())
-    g = _summary(s, aggs=[F.avg("confidence").alias("confidence"), F.max("speed_kmh").alias("speed_kmh")])
+    reach the mart (the reference's inner join drops them)."""
+    g = _summary(stg, aggs=[F.avg("confidence").alias("confidence"), F.max("speed_kmh").alias("speed_kmh")])
+    # Null-zone groups are dropped after the aggregation: filtering before it
+    # would make the optimizer parse the JSON twice per row.
+    g = g.filter(F.col("zone_name").isNotNull())
     ang = direction_angle("first_center_x", "first_center_y", "last_center_x", "last_center_y")
     return g.select("date_utc", "time_utc", "object_id", "class",
                     F.bround("confidence", 6).alias("confidence"),
