@@ -50,3 +50,18 @@ def test_quantiles_match_pandas(spark):
     exp = pd.DataFrame({"g": g, "x": x}).groupby("g")["x"].quantile([0.25, 0.5, 0.9]).unstack()
     for k in range(3):
         assert list(got.loc[k, ["a", "b", "c"]]) == pytest.approx(list(exp.loc[k]))
+
+
+def test_lsh_is_subset_of_exact(spark):
+    from tributary.operators.similarity import approx_related
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(8, 16))
+    v = np.vstack([base[i % 8] + 0.05 * rng.normal(size=16) for i in range(80)]).astype("float32")
+    df = spark.createDataFrame([(i, v[i].tolist()) for i in range(80)], "id long, e array<float>")
+    exact = {(r.news_id, r.related_news_id) for r in related_top_k(df, "id", "e").collect()}
+    approx = approx_related(df, "id", "e", bucket_length=2.0, tables=4).collect()
+    assert approx, "LSH found no pairs"
+    # Every approximate pair scores at least the threshold and is a real pair.
+    assert all(r.score >= 0.2 and r.news_id != r.related_news_id for r in approx)
+    got = {(r.news_id, r.related_news_id) for r in approx}
+    assert len(got & exact) >= 0.5 * len(got)

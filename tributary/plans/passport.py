@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.functions import remove_literals
 from tributary.operators.joins import map_join
 from tributary.operators.reshape import from_first_match, melt, per_file_choice, rename_by_position
 
@@ -225,10 +226,7 @@ def population_bands(spark: SparkSession, pop: DataFrame) -> DataFrame:
     one aggregation), split the time code, map the sex (unknown -> null)."""
     keep = (~F.col("sex").eqNullSafe(F.lit(GENDER_TOTAL))) & (~F.col("population").eqNullSafe(F.lit(POPULATION_TOTAL)))
     p = pop.filter(keep)
-    age = F.col("age_text")
-    for w in AGE_WORDS:
-        age = F.replace(age, F.lit(w), F.lit(""))
-    p = p.withColumn("age", F.trim(age)).filter(~F.coalesce(F.col("age").isin(EXCLUDED_AGE_GROUPS), F.lit(False)))
+    p = p.withColumn("age", remove_literals("age_text", AGE_WORDS)).filter(~F.coalesce(F.col("age").isin(EXCLUDED_AGE_GROUPS), F.lit(False)))
     p = p.join(F.broadcast(band_group_table(spark)), "age")
     g = p.groupBy("sex", "time_code", "age_group").agg(F.sum("value").alias("value"))
     g = g.select(F.substring("time_code", 1, 4).try_cast("int").alias("year"),

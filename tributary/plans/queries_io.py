@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.functions import date_text, n_days_ago, n_months_ago, n_weeks_ago, time_text, yesterday
+from tributary.functions import date_text, hour_of_text, n_days_ago, n_months_ago, n_weeks_ago, time_text, yesterday
 from tributary.operators import checks, load
 from tributary.operators.windows import keep_first
 from tributary.plans import ads, passport as P
@@ -195,11 +195,12 @@ def relative_dates(spark, sf):
 
 @query("timestamp_text", sql="""
 SELECT event_id, strftime(ts, '%Y-%m-%d') AS date_text, strftime(ts, '%H:%M:%S.%g') AS time_text,
-       strftime(ts, '%Y-%m-%d_%H:%M:%S') AS published_text FROM events""")
+       strftime(ts, '%Y-%m-%d_%H:%M:%S') AS published_text, CAST(hour(ts) AS INTEGER) AS hour FROM events""")
 def timestamp_text(spark, sf):
     e = table(spark, sf, "events")
     return e.select("event_id", date_text("ts").alias("date_text"), time_text("ts").alias("time_text"),
-                    date_text("ts", "yyyy-MM-dd_HH:mm:ss").alias("published_text"))
+                    date_text("ts", "yyyy-MM-dd_HH:mm:ss").alias("published_text"),
+                    hour_of_text(time_text("ts"), "HH:mm:ss.SSS").alias("hour"))
 
 
 @query("upsert_audit")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tributary.functions import (clean_author, concat_blank, first_present, strip_tags_preview, summary_cut,
-                                 text_after_marker, tolerant_date)
+from tributary.functions import (clean_author, concat_blank, first_image_link, first_present, strip_tags_preview,
+                                 summary_cut, text_after_marker, tolerant_date)
 from tributary.operators import html as H
-from tributary.operators.similarity import related_top_k
+from tributary.operators.similarity import approx_related, related_top_k
 from tributary.plans import news as N
 from tributary.plans.catalog import query, table
 
@@ -199,3 +199,29 @@ def extract_text(spark, sf):
     p = table(spark, sf, "pages").withColumn("source", F.lit("page"))
     c = spark.createDataFrame(CONTAINERS, "source string, tag string, attr string, value string, drop_metadata boolean")
     return H.extract_text(p, c).select("page_id", "content")
+
+
+@query("image_link", sql="""
+SELECT page_id, coalesce(CASE WHEN url LIKE '%#top' THEN url || '#thumb' END, url || '.png') AS image_url FROM pages""")
+def image_link(spark, sf):
+    """Thumbnail when present, else the first link typed ``image/``."""
+    p = table(spark, sf, "pages")
+    links = F.array(F.struct(F.lit("text/html").alias("type"), F.col("url").alias("href")),
+                    F.struct(F.lit("image/png").alias("type"), F.concat("url", F.lit(".png")).alias("href")),
+                    F.struct(F.lit("image/jpeg").alias("type"), F.concat("url", F.lit(".jpg")).alias("href")))
+    thumb = F.when(F.col("url").endswith("#top"), F.concat("url", F.lit("#thumb")))
+    return p.select("page_id", F.coalesce(thumb, first_image_link(links)).alias("image_url"))
+
+
+@query("page_images")
+def page_images(spark, sf):
+    """First article image by class/size rules (pages without images
+    give null)."""
+    return H.first_images(table(spark, sf, "pages"), min_width=100).select("page_id", "image_url")
+
+
+@query("related_top5_approx")
+def related_top5_approx(spark, sf):
+    """C6 at scale: LSH candidates scored exactly (approximate recall; the
+    exact query is ``related_top5``)."""
+    return approx_related(table(spark, sf, "embeddings"), "vec_id", "embedding")
