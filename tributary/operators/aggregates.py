@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.operators.ranking import exact_quantiles
+from tributary.operators.ranking import exact_quantiles, quantiles_from_positions, value_positions
 
 __all__ = ["drop_null_keys", "mean_std", "value_counts", "null_counts", "profile_numeric",
            "profile_text", "box_stats", "correlation_matrix", "sums_with_ratios", "pivot_mean"]
@@ -89,26 +89,25 @@ def profile_text(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 def box_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Quartiles, whiskers (furthest values within 1.5 IQR of the box)
-    and outlier count per group.  Quartiles are exact; whiskers and
-    outliers are one more aggregation after a join on the group key of a
-    table with one row per group."""
-    q = exact_quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, keys)
+    and outlier count per group.  One distinct-value position table serves
+    both the exact quartiles and, joined with the one-row-per-group
+    quartiles, the whiskers and outliers."""
+    keys = list(keys)
+    pos = value_positions(drop_null_keys(df, keys), value, keys)
+    q = quantiles_from_positions(pos, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, keys)
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo, hi = F.col("q1") - 1.5 * F.col("iqr"), F.col("q3") + 1.5 * F.col("iqr")
     v = F.col(value).cast("double")
-    # Pre-aggregate to distinct (keys, value) before the join, so a hot key
-    # meets the one-row-per-group table as few rows as it has values.
-    d = drop_null_keys(df, keys).filter(v.isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
+    d = pos.select(*keys, value, F.col("cnt").alias("__c"))
     if not keys:  # one group: join on a constant key to the one-row table
         d, q = d.withColumn("__all", F.lit(0)), q.withColumn("__all", F.lit(0))
     j = d.join(q, on=keys or ["__all"])
-    g = j.groupBy(*keys).agg(
+    return j.groupBy(*keys).agg(
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
         F.first("iqr").alias("iqr"),
         F.min(F.when(v >= lo, v)).alias("whisker_low"),
         F.max(F.when(v <= hi, v)).alias("whisker_high"),
         F.sum(F.when((v < lo) | (v > hi), F.col("__c")).otherwise(0)).cast("long").alias("outliers"))
-    return g
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:

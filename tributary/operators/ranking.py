@@ -25,7 +25,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-__all__ = ["value_positions", "average_rank", "exact_quantiles", "default_buckets"]
+__all__ = ["value_positions", "average_rank", "exact_quantiles", "quantiles_from_positions", "default_buckets"]
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -50,12 +50,20 @@ def _bucketed(d: DataFrame, value: str, buckets: int) -> DataFrame:
 
 
 def value_positions(df: DataFrame, value: str, keys: list[str] | None = None,
-                    buckets: int | None = None) -> DataFrame:
-    """(keys..., value, cnt, before, n) for every distinct non-null value."""
+                    buckets: int | None = None, materialize: bool = True) -> DataFrame:
+    """(keys..., value, cnt, before, n) for every distinct non-null value.
+
+    The distinct-value table is read three times (bucket bounds, bucket
+    totals, the join back); with ``materialize`` it is computed once and
+    checkpointed to the shared checkpoint folder."""
     keys = list(keys or [])
     buckets = buckets or default_buckets(df)
     d = (df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
            .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("cnt")))
+    if materialize:
+        from tributary.session import checkpoint_dir
+        checkpoint_dir(d.sparkSession)
+        d = d.checkpoint(eager=True)
     d = _bucketed(d, value, buckets)
     tot = d.groupBy(*keys, "__b").agg(F.sum("cnt").alias("__bt"))
     wk = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
@@ -83,7 +91,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float],
     """Exact quantiles with linear interpolation (pandas / ``percentile``),
     one column per entry of ``probs`` (name -> p), one row per group."""
     keys = list(keys or [])
-    p = value_positions(df, value, keys, buckets)
+    return quantiles_from_positions(value_positions(df, value, keys, buckets), value, probs, keys)
+
+
+def quantiles_from_positions(p: DataFrame, value: str, probs: dict[str, float],
+                             keys: list[str] | None = None) -> DataFrame:
+    """Quantiles from a ``value_positions`` table (one aggregation)."""
+    keys = list(keys or [])
     v = F.col(value).cast("double")
     aggs = [F.max("n").alias("__n")]
     for name, q in probs.items():

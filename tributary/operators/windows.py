@@ -98,10 +98,15 @@ def first_last(df: DataFrame, keys: list[str], order: list[str],
 def keep_first(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
     """Keep the first row per key in the given input order.
 
-    Expressed as ``min_by(struct(all columns), order)`` grouped by the
-    keys: a partial aggregate, so duplicates collapse map-side and a key
-    repeated a billion times costs one row per map task in the shuffle."""
+    Expressed as ``min_by`` grouped by the keys: a partial aggregate, so
+    duplicates collapse map-side and a key repeated a billion times costs
+    one row per map task in the shuffle.  With fixed-width columns and a
+    one-column (or two integral columns) order, each column gets its own
+    ``min_by`` over a fixed-width key (hash aggregate); otherwise the row
+    is carried as a struct (sort aggregate)."""
     others = [c for c in df.columns if c not in keys]
+    if all(isinstance(o, str) for o in order):
+        return first_last(df, keys, list(order), first={c: c for c in others}).select(*df.columns)
     okey = F.struct(*_cols(order))
     g = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in others]), okey).alias("__row"))
     return g.select(*[F.col(k) for k in keys], *[F.col(f"__row.{c}").alias(c) for c in others])

@@ -58,13 +58,24 @@ def platform_staging(raw: DataFrame, platform: str) -> DataFrame:
     return raw.filter(F.col("platform") == platform).drop("platform")
 
 
-def all_platforms(raw: DataFrame) -> DataFrame:
-    """G1: union of the four platform stagings, tagged with the platform
-    (the reference loses the origin)."""
-    parts = [platform_staging(raw, p).withColumn("platform", F.lit(p)) for p in PLATFORMS]
+def union_platforms(tables: dict[str, DataFrame]) -> DataFrame:
+    """G1: union of separate platform tables by column name, tagged with
+    the platform (the reference loses the origin)."""
+    parts = [t.withColumn("platform", F.lit(p)) for p, t in tables.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def all_platforms(raw: DataFrame, stacked: bool = True) -> DataFrame:
+    """G1 over the stacked raw table: the union of the four platform
+    stagings is the stacked table restricted to the platforms (one scan).
+    ``stacked=False`` builds it as the union of per-platform stagings, as
+    for separate tables."""
+    if stacked:
+        return raw.filter(F.col("platform").isin(PLATFORMS)).select(*PLATFORM_KEY, "impressions", "clicks",
+                                                                    "cost", "platform")
+    return union_platforms({p: platform_staging(raw, p) for p in PLATFORMS})
+
+
 def ga_raw(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """GA rows: lineitem measures per (day, source, medium, campaign, content)."""
     o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
