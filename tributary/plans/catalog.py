@@ -39,16 +39,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     inputs are many files and row groups and this never triggers."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     df = spark.read.parquet(path)
-    par = spark.sparkContext.defaultParallelism
     try:
+        par = spark.sparkContext.defaultParallelism
         jvm = spark._jvm
         hp = jvm.org.apache.hadoop.fs.Path(path)
         size = hp.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(hp).getLength()
-    except Exception:  # noqa: BLE001 - size unknown: leave the scan as it is
+        conf = str(spark.conf.get("spark.sql.files.maxPartitionBytes", str(128 << 20)))
+        split = int(conf) if conf.isdigit() else 128 << 20
+    except Exception:  # noqa: BLE001 - size or parallelism unknown: leave the scan as it is
         return df
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", str(128 << 20)).rstrip("bB").rstrip("m") or 0)
-    if not str(spark.conf.get("spark.sql.files.maxPartitionBytes", "")).isdigit():
-        split = 128 << 20
     splits = max(1, -(-size // split))
     if size >= SPREAD_MIN_BYTES and splits * 2 <= par:
         df = df.repartition(par)
