@@ -63,3 +63,27 @@ def test_bucketed_carry_equals_unsplit(spark):
     b = _speeds(spark, rows, bucket_seconds=1e9)
     assert {k: (v.speed_kmh, v.entry, v.exit, v.new_track) for k, v in a.items()} == \
            {k: (v.speed_kmh, v.entry, v.exit, v.new_track) for k, v in b.items()}
+
+
+def test_bucketed_lag_equals_window(spark):
+    from pyspark.sql import Window
+    from tributary.operators.windows import bucketed_lag
+    rows = [(k, i, float(i * 3 % 17 + i), float(i)) for k in (1, 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, id long, t double, v double")
+    got = {r.id * 10 + r.k: r.prev_v for r in bucketed_lag(df, ["k"], "t", "id", ["v"], bucket=4.0).collect()}
+    w = Window.partitionBy("k").orderBy("t", "id")
+    exp = {r.id * 10 + r.k: r.p for r in df.withColumn("p", F.lag("v").over(w)).collect()}
+    assert got == exp
+
+
+def test_skew_safe_row_numbers(spark):
+    from pyspark.sql import Window
+    from tributary.operators.windows import skew_safe_row_numbers
+    rows = [(g, i, (i * 7) % 5) for g in ("a", "b") for i in range(40)]
+    df = spark.createDataFrame(rows, "g string, u long, ms long")
+    got = {(r.g, r.u): (r.rn_asc, r.rn_desc) for r in skew_safe_row_numbers(df, ["g"], "ms", "u").collect()}
+    wa = Window.partitionBy("g").orderBy("ms", "u")
+    wd = Window.partitionBy("g").orderBy(F.desc("ms"), F.desc("u"))
+    exp = {(r.g, r.u): (r.a, r.d) for r in df.select("g", "u", F.row_number().over(wa).alias("a"),
+                                                        F.row_number().over(wd).alias("d")).collect()}
+    assert got == exp

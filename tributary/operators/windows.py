@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 __all__ = ["bidirectional_rank", "first_last", "keep_first", "share_of_total",
-           "packed_order_key", "unpack_major"]
+           "packed_order_key", "unpack_major", "skew_safe_row_numbers", "bucketed_lag"]
 
 
 def _cols(xs):
@@ -120,3 +120,42 @@ def share_of_total(df: DataFrame, count_col: str, name: str = "share", scale: fl
     any size."""
     tot = df.agg(F.sum(count_col)).scalar()
     return df.withColumn(name, F.try_divide(F.col(count_col) * F.lit(scale), tot))
+
+
+def skew_safe_row_numbers(df: DataFrame, keys: list[str], major: str, minor: str,
+                          asc_name: str = "rn_asc", desc_name: str = "rn_desc") -> DataFrame:
+    """E1 without a per-group window: the position of each row's order key
+    (``major``, ``minor`` integral, unique per row within a group) among
+    its group comes from ``ranking.value_positions`` (bucketed prefix
+    sums); ``rn_asc = before + 1``, ``rn_desc = n - before``.  The join
+    back is on (keys, order key), unique per row, so a hot group is spread
+    over all tasks."""
+    from tributary.operators.ranking import value_positions
+    d = df.withColumn("__ok", packed_order_key(major, minor))
+    pos = value_positions(d.select(*keys, "__ok"), "__ok", keys)
+    j = d.join(pos.select(*keys, "__ok", "before", "n"), on=[*keys, "__ok"])
+    return (j.withColumn(asc_name, F.col("before") + 1)
+             .withColumn(desc_name, F.col("n") - F.col("before"))
+             .drop("__ok", "before", "n"))
+
+
+def bucketed_lag(df: DataFrame, keys: list[str], t: str, tie: str, cols: list[str],
+                 bucket: float, prefix: str = "prev_") -> DataFrame:
+    """``lag(col)`` over (keys ordered by t, tie) without one task per key:
+    windows run per (keys, time bucket) and the first row of each bucket
+    takes the last row of the previous non-empty bucket, found in a
+    per-bucket table (one row per bucket) joined back on (keys, bucket)."""
+    KB = [*keys, "__bk"]
+    d = df.withColumn("__bk", F.floor(F.col(t) / F.lit(bucket)).cast("long"))
+    w = Window.partitionBy(*KB).orderBy(F.col(t), F.col(tie))
+    d = d.withColumn("__has_prev", F.lag(F.lit(1)).over(w).isNotNull()) \
+         .withColumn("__is_last", F.lead(F.lit(1)).over(w).isNull())
+    for c in cols:
+        d = d.withColumn(f"__l_{c}", F.lag(c).over(w))
+    last = d.filter("__is_last").select(*KB, *[F.col(c).alias(f"__b_{c}") for c in cols])
+    wk = Window.partitionBy(*keys).orderBy("__bk")
+    last = last.select(*KB, *[F.lag(f"__b_{c}").over(wk).alias(f"__p_{c}") for c in cols])
+    j = d.join(last, on=KB, how="left")
+    for c in cols:
+        j = j.withColumn(f"{prefix}{c}", F.when(F.col("__has_prev"), F.col(f"__l_{c}")).otherwise(F.col(f"__p_{c}")))
+    return j.drop("__bk", "__has_prev", "__is_last", *[f"__l_{c}" for c in cols], *[f"__p_{c}" for c in cols])

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tributary.functions import arrived, haversine_km, midpoint, plane_km, trip_fare_parts
 from tributary.plans import movement as MV
+from tributary.operators.windows import bucketed_lag
 from tributary.plans.catalog import query, table
 
 _ZONES_SQL = """
@@ -121,13 +121,17 @@ s AS (SELECT p.*, lat - lag(lat) OVER w AS slat, lon - lag(lon) OVER w AS slon F
 SELECT s.user_id, s.event_id, abs(dlat - lat) < abs(slat) AND abs(dlon - lon) < abs(slon) AS arrived
 FROM s JOIN d USING (user_id, day)""")
 def arrival(spark, sf):
+    """One trip per (user, day); the destination is the trip's last
+    position (an aggregate) and each step is the offset from the previous
+    position (a bucketed lag, so a long trip is not one task)."""
     e = table(spark, sf, "events")
     p = e.select("user_id", F.to_date("ts").alias("day"), "ts", "event_id", (F.col("value") / 10).alias("lat"),
-                 (F.from_json("props", "k INT")["k"] / 10.0).alias("lon"))
-    okey = F.struct("ts", "event_id")
+                 (F.from_json("props", "k INT")["k"] / 10.0).alias("lon"),
+                 MV.seconds_ntz("ts").alias("t"))
+    okey = F.struct("t", "event_id")
     dest = p.groupBy("user_id", "day").agg(F.max_by("lat", okey).alias("dlat"), F.max_by("lon", okey).alias("dlon"))
-    w = Window.partitionBy("user_id", "day").orderBy("ts", "event_id")
-    s = p.withColumn("slat", F.col("lat") - F.lag("lat").over(w)).withColumn("slon", F.col("lon") - F.lag("lon").over(w))
+    s = bucketed_lag(p, ["user_id", "day"], "t", "event_id", ["lat", "lon"], bucket=3600.0)
+    s = s.withColumn("slat", F.col("lat") - F.col("prev_lat")).withColumn("slon", F.col("lon") - F.col("prev_lon"))
     j = s.join(dest, ["user_id", "day"])
     return j.select("user_id", "event_id", arrived("lat", "lon", "dlat", "dlon", "slat", "slon").alias("arrived"))
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions import compass_label, direction_angle, midpoint, split_part_as, time_text
-from tributary.operators.windows import bidirectional_rank, first_last
+from tributary.operators.windows import bidirectional_rank, first_last, skew_safe_row_numbers
 
 MART_KEYS = ["date_utc", "object_id", "class", "zone_name"]
 PROPS_SCHEMA = "k INT"
@@ -65,9 +65,13 @@ def staging(det: DataFrame) -> DataFrame:
     )
 
 
-def ranked(stg: DataFrame) -> DataFrame:
-    """E1 on the staging rows (ties broken by uuid)."""
-    return bidirectional_rank(stg, MART_KEYS, "time_utc", "uuid")
+def ranked(stg: DataFrame, skew_safe: bool = True) -> DataFrame:
+    """E1 on the staging rows (ties broken by uuid).  The skew-safe form
+    ranks by (milliseconds of the day, uuid) through distributed positions;
+    the window form sorts each group in one task."""
+    if not skew_safe:
+        return bidirectional_rank(stg, MART_KEYS, "time_utc", "uuid")
+    return skew_safe_row_numbers(_with_ms(stg), MART_KEYS, "__ms", "uuid").drop("__ms")
 
 
 def group_metrics(stg: DataFrame) -> DataFrame:
