@@ -99,4 +99,32 @@ def stream_zone_speed_q(spark, sf):
     return r.select("object_id", "event_id", "zone_name", "new_track", "entry", "exit", "exit_speed", "speed_kmh")
 
 
-_ = table
+
+
+
+@query("stream_topics", sql="""
+SELECT CAST(event_id AS VARCHAR) AS gps_id, CAST(user_id AS VARCHAR) AS deviceId, value / 10 AS latitude,
+       CAST(props::JSON->>'k' AS INTEGER) / 10.0 AS longitude, value AS speed,
+       strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS timestamp
+FROM events""")
+def stream_topics(spark, sf):
+    """Two topics written as keyed JSON text (the broker stand-in),
+    read as streams, parsed by their declared schemas (watermark only where
+    the topic has ``timestamp``), sunk to parquet under one supervisor."""
+    from tributary.streaming.topics import run_topics
+    base = _scratch(spark)
+    e = table(spark, sf, "events")
+    k = F.from_json("props", "k INT")["k"]
+    gps = e.select(F.col("event_id").cast("string").alias("gps_id"), F.col("user_id").cast("string").alias("deviceId"),
+                   (F.col("value") / 10).alias("latitude"), (k / 10.0).alias("longitude"), F.col("value").alias("speed"),
+                   F.col("ts").cast("timestamp").alias("timestamp"))
+    users = e.groupBy("user_id").agg(F.min("ts").alias("created_at"), F.count(F.lit(1)).cast("int").alias("total_trips")) \
+             .select(F.col("user_id").cast("string").alias("user_id"), "total_trips",
+                     F.col("created_at").cast("timestamp").alias("created_at"))
+    for name, df in (("gps_data", gps), ("user_data", users)):
+        S.keyed_json(df, df.columns[0]).select("value").write.text(f"{base}/topics/{name}")
+    raw = {n: spark.readStream.text(f"{base}/topics/{n}") for n in ("gps_data", "user_data")}
+    run_topics(spark, raw, f"{base}/out", f"{base}/ck")
+    out = spark.read.parquet(f"{base}/out/gps_data")
+    return out.select("gps_id", "deviceId", "latitude", "longitude", "speed",
+                      F.date_format("timestamp", TS_TEXT).alias("timestamp"))
