@@ -17,6 +17,7 @@ from tributary.plans import movement as MV
 from tributary.operators.movement import points_in_zones, zone_table
 from tributary.plans.catalog import query, table
 from tributary.plans.queries_movement import _VISITS_SQL
+from tributary.plans.queries_road import _MART_SQL
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -128,3 +129,19 @@ def stream_topics(spark, sf):
     out = spark.read.parquet(f"{base}/out/gps_data")
     return out.select("gps_id", "deviceId", "latitude", "longitude", "speed",
                       F.date_format("timestamp", TS_TEXT).alias("timestamp"))
+
+
+@query("road_stream_mart", sql=_MART_SQL)
+def road_stream_mart(spark, sf):
+    """Road lifecycle end to end: detections as keyed JSON on a
+    topic stand-in -> stream parsed by the declared schema -> micro-batch
+    upsert by uuid into the raw table -> staging -> movement mart."""
+    from tributary.plans import road
+    from tributary.schemas import DETECTIONS
+    base = _scratch(spark)
+    det = road.detections_from_events(table(spark, sf, "events")).withColumn("uuid", F.col("uuid").cast("string"))
+    S.keyed_json(det, "uuid").select("value").write.text(f"{base}/topic")
+    parsed = S.parse_json_values(spark.readStream.text(f"{base}/topic"), DETECTIONS)
+    S.upsert_sink(parsed, f"{base}/raw", ["uuid"], f"{base}/ck").awaitTermination()
+    raw = spark.read.parquet(f"{base}/raw").withColumn("uuid", F.col("uuid").try_cast("long"))
+    return road.traffic_objects(road.staging(raw))
