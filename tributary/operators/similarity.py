@@ -1,7 +1,9 @@
 """All-pairs cosine similarity, top k per row.
 
 Exact form.  Vectors are hashed into ``B`` blocks of about
-``block_size`` rows (``B`` from a count).  Every (query block, candidate
+``block_size`` rows (``B`` from a count); a larger block means fewer
+replicas (less shuffle) and more work per group, whose scores are
+computed in query chunks so memory stays chunk x block.  Every (query block, candidate
 block) pair is one group of ``applyInPandas``: the query block's rows are
 replicated to each candidate block and vice versa, so a group holds at
 most about ``2 x block_size`` vectors whatever the data size or skew.
@@ -29,39 +31,47 @@ __all__ = ["related_top_k", "approx_related"]
 OUT_SCHEMA = "news_id long, related_news_id long, score double"
 
 
-def _block_topk(k: int, min_score: float):
+def _block_topk(k: int, min_score: float, chunk: int = 1024):
+    """Per (query block, candidate block) group: scores in query chunks of
+    ``chunk`` rows, so memory is chunk x candidates, never block x block."""
+    empty = pd.DataFrame({"news_id": pd.Series([], dtype="int64"),
+                          "related_news_id": pd.Series([], dtype="int64"),
+                          "score": pd.Series([], dtype="float64")})
+
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         q = pdf[pdf["__role"] == 0]
         c = pdf[pdf["__role"] == 1]
         if q.empty or c.empty:
-            return pd.DataFrame({"news_id": pd.Series([], dtype="int64"),
-                                 "related_news_id": pd.Series([], dtype="int64"),
-                                 "score": pd.Series([], dtype="float64")})
-        qv = np.vstack(q["__vec"].to_numpy()).astype(np.float64)
+            return empty
         cv = np.vstack(c["__vec"].to_numpy()).astype(np.float64)
-        qn = np.linalg.norm(qv, axis=1, keepdims=True)
-        cn = np.linalg.norm(cv, axis=1, keepdims=True)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            s = (qv @ cv.T) / (qn * cn.T)
-        qid = q["__id"].to_numpy()
+        cn = np.linalg.norm(cv, axis=1)
         cid = c["__id"].to_numpy()
-        s[qid[:, None] == cid[None, :]] = -np.inf  # drop self by id
-        s[~(s >= min_score)] = -np.inf  # below the threshold, or undefined
-        kk = min(k, s.shape[1])
-        # Best kk per row: score descending, candidate id ascending.
-        order = np.lexsort((np.broadcast_to(cid, s.shape), -s), axis=1)[:, :kk]
-        rows = np.repeat(np.arange(s.shape[0]), kk)
-        cols = order.reshape(-1)
-        sc = s[rows, cols]
-        keep = np.isfinite(sc)
-        return pd.DataFrame({"news_id": qid[rows][keep].astype("int64"),
-                             "related_news_id": cid[cols][keep].astype("int64"),
-                             "score": sc[keep]})
+        kk = min(k, len(cid))
+        parts = []
+        for lo in range(0, len(q), chunk):
+            qq = q.iloc[lo:lo + chunk]
+            qv = np.vstack(qq["__vec"].to_numpy()).astype(np.float64)
+            qn = np.linalg.norm(qv, axis=1)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                s = (qv @ cv.T) / np.outer(qn, cn)
+            qid = qq["__id"].to_numpy()
+            s[qid[:, None] == cid[None, :]] = -np.inf  # drop self by id
+            s[~(s >= min_score)] = -np.inf  # below the threshold, or undefined
+            # Best kk per row: score descending, candidate id ascending.
+            order = np.lexsort((np.broadcast_to(cid, s.shape), -s), axis=1)[:, :kk]
+            rows = np.repeat(np.arange(s.shape[0]), kk)
+            cols = order.reshape(-1)
+            sc = s[rows, cols]
+            keep = np.isfinite(sc)
+            parts.append(pd.DataFrame({"news_id": qid[rows][keep].astype("int64"),
+                                       "related_news_id": cid[cols][keep].astype("int64"),
+                                       "score": sc[keep]}))
+        return pd.concat(parts, ignore_index=True) if parts else empty
     return fn
 
 
 def related_top_k(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFrame | None = None,
-                  k: int = 5, min_score: float = 0.2, digits: int = 4, block_size: int = 2048) -> DataFrame:
+                  k: int = 5, min_score: float = 0.2, digits: int = 4, block_size: int = 8192) -> DataFrame:
     """For each query row (all rows by default, or the ids in ``queries``,
     e.g. the unprocessed ones from an anti join), the ``k`` most similar
     other rows with cosine >= ``min_score``; score rounded to ``digits``."""
