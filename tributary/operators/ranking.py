@@ -55,15 +55,14 @@ def value_positions(df: DataFrame, value: str, keys: list[str] | None = None,
 
     The distinct-value table is read three times (bucket bounds, bucket
     totals, the join back); with ``materialize`` it is computed once and
-    checkpointed to the shared checkpoint folder."""
+    written as a table in the shared checkpoint folder."""
     keys = list(keys or [])
     buckets = buckets or default_buckets(df)
     d = (df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
            .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("cnt")))
     if materialize:
-        from tributary.session import checkpoint_dir
-        checkpoint_dir(d.sparkSession)
-        d = d.checkpoint(eager=True)
+        from tributary.session import cut_lineage
+        d = cut_lineage(d, "table")
     d = _bucketed(d, value, buckets)
     tot = d.groupBy(*keys, "__b").agg(F.sum("cnt").alias("__bt"))
     wk = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))

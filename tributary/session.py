@@ -65,3 +65,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="tributary-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def cut_lineage(df, how: str = "table"):
+    """Materialise ``df`` in the shared checkpoint folder and return a frame
+    reading it back.  ``table`` writes parquet (columnar, fast; the read
+    back has no partitioning), ``checkpoint`` uses a reliable RDD checkpoint
+    (keeps the partitioning, so a following join on the same keys does not
+    shuffle again)."""
+    import uuid as _uuid
+    spark = df.sparkSession
+    base = checkpoint_dir(spark)
+    if how == "checkpoint":
+        return df.checkpoint(eager=True)
+    path = f"{base.rstrip('/')}/tables/{_uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
