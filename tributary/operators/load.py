@@ -39,12 +39,16 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str],
     """K2/K3: insert new keys; for existing keys set ``update_cols`` (all
     non-key columns by default) to the incoming values, keep the others.
 
-    ``updates`` is first reduced to one row per key (first in ``order``),
-    as the reference's loader does before its INSERT ... ON CONFLICT."""
+    ``updates`` is first reduced to one row per key (first in ``order``;
+    any one row when no order is given), as the reference's loader does
+    before its INSERT ... ON CONFLICT - a key twice in one load would
+    otherwise update a row twice."""
     non_keys = [c for c in target.columns if c not in keys]
     update_cols = non_keys if update_cols is None else list(update_cols)
     if order:
         updates = keep_first(updates, keys, order)
+    else:
+        updates = updates.dropDuplicates(keys)
     new = updates.select(*keys, *[c for c in updates.columns if c in non_keys]) \
         .withColumn("__new", F.lit(True))
     old = target.withColumn("__old", F.lit(True))

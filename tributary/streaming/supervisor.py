@@ -14,7 +14,10 @@ def supervise(spark: SparkSession, queries: list[StreamingQuery], timeout_s: flo
     live = list(queries)
     try:
         while live:
-            sm.awaitAnyTermination(timeout_s) if timeout_s else sm.awaitAnyTermination()
+            try:
+                sm.awaitAnyTermination(timeout_s) if timeout_s else sm.awaitAnyTermination()
+            except Exception as e:  # noqa: BLE001 - a query ended with an error
+                raise RuntimeError(f"streaming query failed: {e}") from e
             sm.resetTerminated()
             done = [q for q in live if not q.isActive]
             if not done and timeout_s:
