@@ -36,3 +36,8 @@ def test_search_escapes_wildcards(spark):
     df = spark.createDataFrame([("100% sure",), ("100 sure",), ("a_b",), ("axb",)], "t string")
     assert [r.t for r in df.filter(contains_ci("t", "0%")).collect()] == ["100% sure"]
     assert [r.t for r in df.filter(contains_ci("t", "A_B")).collect()] == ["a_b"]
+
+
+def test_void_elements_and_entities_round_trip():
+    out = clean_html('<p>a &amp; b<br>c &copy; <img src="x.png"></p><meta charset="utf-8">')
+    assert out == '<p>a &amp; b<br/>c © </p><meta charset="utf-8"/>'

@@ -123,9 +123,10 @@ def _render(n, out: list) -> None:
             _render(c, out)
         return
     attrs = "".join(f' {k}="{escape(v or "", quote=True)}"' if v is not None else f" {k}" for k, v in n.attrs)
-    out.append(f"<{n.tag}{attrs}>")
-    if n.tag in VOID:
+    if n.tag in VOID:  # void elements render self-closed
+        out.append(f"<{n.tag}{attrs}/>")
         return
+    out.append(f"<{n.tag}{attrs}>")
     for c in n.children:
         _render(c, out)
     out.append(f"</{n.tag}>")
