@@ -45,11 +45,14 @@ def kruskal_wallis(df: DataFrame, group: str, value: str) -> DataFrame:
                        F.col("cnt").alias("t"), F.col("n").alias("N"))
     per = d.groupBy(group, value).agg(F.count(F.lit(1)).alias("c"))
     j = per.join(ranks, on=value)
-    g = j.groupBy(group).agg(F.sum(F.col("c") * F.col("r")).alias("R"), F.sum("c").alias("ni"))
-    ties = ranks.agg(F.sum(F.pow(F.col("t").cast("double"), 3) - F.col("t")).alias("T"),
-                     F.max("N").cast("double").alias("N"))
-    h = g.agg(F.count(F.lit(1)).alias("k"), F.sum(F.col("R") * F.col("R") / F.col("ni")).alias("RR")) \
-        .withColumn("__all", F.lit(0)).join(ties.withColumn("__all", F.lit(0)), "__all")
+    # Tie term: each distinct value's t^3 - t, spread over its per-group rows
+    # in proportion c / t, is the sum of c * (t^2 - 1) - so every number
+    # comes out of one aggregation chain, with no join of one-row tables.
+    t = F.col("t").cast("double")
+    g = j.groupBy(group).agg(F.sum(F.col("c") * F.col("r")).alias("R"), F.sum("c").alias("ni"),
+                             F.sum(F.col("c") * (t * t - 1.0)).alias("Tg"))
+    h = g.agg(F.count(F.lit(1)).alias("k"), F.sum(F.col("R") * F.col("R") / F.col("ni")).alias("RR"),
+              F.sum("ni").cast("double").alias("N"), F.sum("Tg").alias("T"))
     n = F.col("N")
     h_raw = 12.0 / (n * (n + 1)) * F.col("RR") - 3.0 * (n + 1)
     hc = F.try_divide(h_raw, F.lit(1.0) - F.col("T") / (n * n * n - n))
