@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tributary.operators.ranking import exact_quantiles, quantiles_from_positions, value_positions
 
-__all__ = ["drop_null_keys", "mean_std", "value_counts", "null_counts", "profile_numeric",
+__all__ = ["drop_null_keys", "table_shape", "mean_std", "value_counts", "null_counts", "profile_numeric",
            "profile_text", "box_stats", "correlation_matrix", "sums_with_ratios", "pivot_mean"]
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -53,6 +53,12 @@ def null_counts(df: DataFrame) -> DataFrame:
                     .alias("r")).select("r.*")
 
 
+def table_shape(df: DataFrame, name: str) -> DataFrame:
+    """Rows (one counting pass) and columns (metadata) of a table."""
+    return df.agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(name).alias("table_name"), "rows", F.lit(len(df.columns)).cast("long").alias("columns"))
+
+
 def profile_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Pandas ``describe`` for numbers, one row per column:
     count, mean, std, min, 25%, 50%, 75%, max (exact quantiles)."""

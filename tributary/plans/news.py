@@ -75,6 +75,12 @@ def work_queue(df: DataFrame) -> DataFrame:
     return df.filter(F.col("title_zh").isNull() | F.col("content_zh").isNull())
 
 
+def status_queue(df: DataFrame, status_col: str) -> DataFrame:
+    """Translated rows whose editing status (content or title) is
+    still null - the editing work queue."""
+    return df.filter((F.col("translation_status") == TRANSLATED) & F.col(status_col).isNull())
+
+
 def search(df: DataFrame, q: str, limit: int = 10) -> DataFrame:
     """Translated rows whose title or content contains ``q``
     (case-insensitive, literal), newest first.  One scan with OR replaces

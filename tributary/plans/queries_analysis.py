@@ -322,3 +322,18 @@ def share_and_rating(spark, sf):
     tot = g.agg(F.sum("n")).scalar()
     g = g.select("event_type", (F.col("n") * 100.0 / tot).alias("percentage"), "avg_value", "std_value")
     return _r(g, {"percentage", "avg_value", "std_value"})
+
+
+_SHAPES = {"orders": 6, "lineitem": 11, "customer": 5, "events": 6}
+
+
+@query("table_shape", sql="\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS rows, CAST({c} AS BIGINT) AS columns FROM {t}"
+    for t, c in _SHAPES.items()))
+def table_shape(spark, sf):
+    """Shape of the analysed tables."""
+    parts = [A.table_shape(table(spark, sf, t), t) for t in _SHAPES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

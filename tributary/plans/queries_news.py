@@ -225,3 +225,13 @@ def related_top5_approx(spark, sf):
     """C6 at scale: LSH candidates scored exactly (approximate recall; the
     exact query is ``related_top5``)."""
     return approx_related(table(spark, sf, "embeddings"), "vec_id", "embedding")
+
+
+@query("edit_queue", sql=f"""WITH {_ART},
+e AS (SELECT *, CASE WHEN lang IN ('de', 'fr') THEN 'edited' END AS content_status FROM st)
+SELECT id, translation_status FROM e WHERE translation_status = 'translated' AND content_status IS NULL""")
+def edit_queue(spark, sf):
+    """The content-editing queue (rows already edited carry a status)."""
+    s = _st(spark, sf).withColumn("content_status",
+                                  F.when(F.col("lang").isin("de", "fr"), F.lit(N.EDITED)))
+    return N.status_queue(s, "content_status").select("id", "translation_status")
