@@ -12,7 +12,6 @@ from __future__ import annotations
 from html import escape
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -275,5 +274,3 @@ def first_images(pages: DataFrame, html_col: str = "html", out_col: str = "image
 
     return pages.mapInPandas(run, schema)
 
-
-_ = pd  # pandas frames flow through mapInPandas

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 __all__ = ["export_sorted_csv", "export_json"]
 
@@ -28,5 +27,3 @@ def export_json(df: DataFrame, path: str) -> None:
     """JSON lines, UTF-8 text kept as is."""
     df.write.mode("overwrite").option("encoding", "UTF-8").json(path)
 
-
-_ = F
