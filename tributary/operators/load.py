@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tributary.operators.windows import keep_first
 
 __all__ = ["rows_above_watermark", "append_above_watermark", "upsert", "delete_insert",
-           "materialize", "create_if_missing", "load_summary"]
+           "replace_partitions", "materialize", "create_if_missing", "load_summary"]
 
 
 def rows_above_watermark(target: DataFrame, new: DataFrame, col: str) -> DataFrame:
@@ -74,6 +74,40 @@ def delete_insert(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFra
     return kept.unionByName(new.select(*target.columns))
 
 
+def replace_partitions(spark: SparkSession, new: DataFrame, path: str, keys: list[str],
+                       partition_col: str) -> list[str]:
+    """K4 for a table partitioned by ``partition_col`` (date-led keys):
+    only the partitions that ``new`` touches are read (partition pruning
+    through a semi join), rebuilt as ``target minus new keys, plus new``,
+    written to a staging folder and swapped in partition by partition.
+    Untouched partitions are neither read nor rewritten.  Returns the
+    replaced partition folder names."""
+    jvm = spark._jvm
+    touched = new.select(partition_col).distinct()
+    cur = spark.read.parquet(path)
+    old = cur.join(touched, on=partition_col, how="left_semi")
+    content = delete_insert(old, new.select(*cur.columns), keys)
+    stage = f"{path.rstrip('/')}.__stage_{_uuid.uuid4().hex}"
+    content.write.partitionBy(partition_col).parquet(stage)
+    fs, root = _fs(spark, path)
+    _, sroot = _fs(spark, stage)
+    done = []
+    for st in fs.listStatus(sroot):
+        name = st.getPath().getName()
+        if not st.isDirectory() or not name.startswith(f"{partition_col}="):
+            continue
+        target = jvm.org.apache.hadoop.fs.Path(root, name)
+        trash = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old_{_uuid.uuid4().hex}_{name}")
+        if fs.exists(target):
+            fs.rename(target, trash)
+        fs.rename(st.getPath(), target)
+        if fs.exists(trash):
+            fs.delete(trash, True)
+        done.append(name)
+    fs.delete(sroot, True)
+    return done
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -211,3 +211,26 @@ def upsert_audit(spark, sf):
     target = c.withColumn("created_at", now).withColumn("updated_at", now)
     upd = c.filter(F.col("c_acctbal") < 0).withColumn("c_acctbal", F.lit(0.0)).withColumn("updated_at", now)
     return load.upsert(target, upd, ["c_custkey"], update_cols=["c_acctbal", "updated_at"])
+
+
+@query("load_partition_replace", sql="""
+WITH new AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 2 AS o_totalprice, o_orderdate,
+                    CAST(year(o_orderdate) AS INTEGER) AS year
+             FROM orders WHERE o_orderstatus = 'O' AND year(o_orderdate) = 1996),
+t AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, CAST(year(o_orderdate) AS INTEGER) AS year
+      FROM orders)
+SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.o_custkey = t.o_custkey AND n.o_orderdate = t.o_orderdate)
+UNION ALL SELECT * FROM new""")
+def load_partition_replace(spark, sf):
+    """K4 with date-led keys on a year-partitioned table: only the touched
+    partition is read, rebuilt and swapped."""
+    base = _scratch(spark)
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                                          F.year("o_orderdate").alias("year"))
+    o.write.partitionBy("year").parquet(base)
+    new = o.filter((F.col("o_orderstatus") == "O") & (F.col("year") == 1996)) \
+           .withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    replaced = load.replace_partitions(spark, new, base, ["o_custkey", "o_orderdate"], "year")
+    assert replaced == ["year=1996"], replaced
+    return spark.read.parquet(base).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                           "o_orderdate", F.col("year").cast("int").alias("year"))
