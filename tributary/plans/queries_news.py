@@ -235,3 +235,18 @@ def edit_queue(spark, sf):
     s = _st(spark, sf).withColumn("content_status",
                                   F.when(F.col("lang").isin("de", "fr"), F.lit(N.EDITED)))
     return N.status_queue(s, "content_status").select("id", "translation_status")
+
+
+@query("page_seek", sql=f"""WITH {_ART}
+SELECT id, title, published_at FROM st WHERE translation_status = 'translated'
+ORDER BY published_at DESC, id DESC LIMIT 20 OFFSET 40""")
+def page_seek(spark, sf):
+    """F3 by key: page 3 reached from page 2's last key (a one-row lookup),
+    equal to the offset form."""
+    s = _st(spark, sf)
+    key = None
+    for _ in range(2):
+        rows = N.page_after(s, key[0] if key else None, key[1] if key else None, 20) \
+            .select("published_at", "id").tail(1)
+        key = (rows[0]["published_at"], rows[0]["id"])
+    return N.page_after(s, key[0], key[1], 20).select("id", "title", "published_at")
