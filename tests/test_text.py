@@ -41,3 +41,9 @@ def test_search_escapes_wildcards(spark):
 def test_void_elements_and_entities_round_trip():
     out = clean_html('<p>a &amp; b<br>c &copy; <img src="x.png"></p><meta charset="utf-8">')
     assert out == '<p>a &amp; b<br/>c © </p><meta charset="utf-8"/>'
+
+
+def test_metadata_rule_uses_own_paragraph_text():
+    # Unclosed paragraphs nest; a dropped one keeps its nested paragraphs.
+    h = "<article><p>Dates: 1-3 May<p>kept one</p><p><b>x</b><b>y</b><b>z</b><p>kept two</p></p></article>"
+    assert extract_container(h, None, None, "article", True) == "<p>kept one</p><p>kept two</p>"

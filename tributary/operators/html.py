@@ -171,6 +171,42 @@ def _find_all(n: _Node, pred, outermost: bool = True):
             yield from _find_all(c, pred, outermost)
 
 
+def _own(n: _Node):
+    """Text and bold count of a paragraph without its nested paragraphs
+    (unclosed ``<p>`` tags nest under html.parser)."""
+    text, bolds = [], 0
+    for c in n.children:
+        if isinstance(c, _Node):
+            if c.tag == "p":
+                continue
+            if c.tag == "b":
+                bolds += 1
+            t, b = _own(c)
+            text.append(t)
+            bolds += b
+        elif not isinstance(c, _Raw):
+            text.append(c)
+    return "".join(text), bolds
+
+
+def _drop_metadata(nodes: list) -> list:
+    """Drop paragraphs whose own text starts with a metadata prefix or
+    that hold more than two bold parts; paragraphs nested in a dropped one
+    are kept (and tested in turn)."""
+    out = []
+    for c in nodes:
+        if isinstance(c, _Node):
+            if c.tag == "p":
+                txt, bolds = _own(c)
+                t = txt.strip().lower()
+                if any(t.startswith(p) for p in METADATA_PREFIXES) or bolds > 2:
+                    out.extend(_drop_metadata(list(_find_all(c, lambda x: x.tag == "p"))))
+                    continue
+            c.children = _drop_metadata(c.children)
+        out.append(c)
+    return out
+
+
 def extract_container(html: str | None, attr: str | None, value: str | None, tag: str | None = None,
                       drop_metadata: bool = False) -> str | None:
     """The inner markup of the outermost elements matching the
@@ -191,17 +227,7 @@ def extract_container(html: str | None, attr: str | None, value: str | None, tag
 
     parts = []
     for cont in _find_all(root, match):
-        kids = cont.children
-        if drop_metadata:
-            keep = []
-            for c in kids:
-                if isinstance(c, _Node) and c.tag == "p":
-                    txt = _text(c).strip().lower()
-                    bolds = sum(1 for _ in _find_all(c, lambda x: x.tag == "b", outermost=False))
-                    if any(txt.startswith(p) for p in METADATA_PREFIXES) or bolds > 2:
-                        continue
-                keep.append(c)
-            kids = keep
+        kids = _drop_metadata(cont.children) if drop_metadata else cont.children
         out: list = []
         for c in kids:
             _render(c, out)
