@@ -61,20 +61,27 @@ def table_shape(df: DataFrame, name: str) -> DataFrame:
 
 def profile_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Pandas ``describe`` for numbers, one row per column:
-    count, mean, std, min, 25%, 50%, 75%, max (exact quantiles)."""
+    count, mean, std, min, 25%, 50%, 75%, max.  Counts, moments and
+    extremes of all columns come from one aggregation pass; the exact
+    quartiles from one distinct-value position table per column."""
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = cols or [c for c in df.columns if isinstance(types[c], NUMERIC)]
-    out = None
+    stats = ["count", "mean", "std", "min", "max"]
+    base = df.agg(*[x for c in cols for x in (
+        F.count(c).cast("long").alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"),
+        F.stddev_samp(c).alias(f"{c}__std"), F.min(c).cast("double").alias(f"{c}__min"),
+        F.max(c).cast("double").alias(f"{c}__max"))])
+    base = base.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{k}").alias(k) for k in stats]) for c in cols]))
+        .alias("r")).select("r.*")
+    qs = None
     for c in cols:
-        base = df.agg(F.count(c).cast("long").alias("count"), F.avg(c).alias("mean"),
-                      F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
-                      F.max(c).cast("double").alias("max"))
-        q = exact_quantiles(df.select(c), c, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-        # A column that is all null has no quantile row: keep the counts.
-        row = base.withColumn("__all", F.lit(0)).join(q.withColumn("__all", F.lit(0)), "__all", "left").select(F.lit(c).alias("column_name"), "count", "mean", "std", "min",
-                                              "q25", "q50", "q75", "max")
-        out = row if out is None else out.unionByName(row)
-    return out
+        q = exact_quantiles(df.select(c), c, {"q25": 0.25, "q50": 0.5, "q75": 0.75}) \
+            .withColumn("column_name", F.lit(c))
+        qs = q if qs is None else qs.unionByName(q)
+    # A column that is all null has no quantile row: keep its counts.
+    return base.join(qs, "column_name", "left").select("column_name", "count", "mean", "std", "min",
+                                                       "q25", "q50", "q75", "max")
 
 
 def profile_text(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

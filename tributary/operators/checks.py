@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-__all__ = ["not_null_report", "unique_report", "duplicate_rows", "not_empty_report",
+__all__ = ["not_null_report", "unique_report", "table_report", "duplicate_rows", "not_empty_report",
            "column_count_report", "check_report"]
 
 REPORT_SCHEMA = "check string, table_name string, column_name string, failing_rows bigint"
@@ -66,5 +66,19 @@ def column_count_report(spark, df: DataFrame, table: str, expected: int) -> Data
     return spark.createDataFrame([("column_count", table, str(len(df.columns)), bad)], REPORT_SCHEMA)
 
 
+def table_report(df: DataFrame, table: str, not_null_cols: list[str], unique_keys: list[str]) -> DataFrame:
+    """J1 + J6 in one scan (null counts and the row count), J2/J3 in one
+    partial aggregation: the checks of one table as report rows."""
+    a = df.agg(F.count(F.lit(1)).alias("__rows"),
+               *[F.count_if(F.col(c).isNull()).alias(c) for c in not_null_cols])
+    rows = [F.struct(F.lit("not_null").alias("check"), F.lit(c).alias("column_name"),
+                     F.col(c).cast("long").alias("failing_rows")) for c in not_null_cols]
+    rows.append(F.struct(F.lit("not_empty").alias("check"), F.lit("*").alias("column_name"),
+                         F.when(F.col("__rows") == 0, 1).otherwise(0).cast("long").alias("failing_rows")))
+    first = a.select(F.explode(F.array(*rows)).alias("r")).select(
+        "r.check", F.lit(table).alias("table_name"), "r.column_name", "r.failing_rows")
+    return first.unionByName(unique_report(df, table, unique_keys))
+
+
 def check_report(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)

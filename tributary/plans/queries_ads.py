@@ -167,8 +167,7 @@ def checks_report(spark, sf):
     parts = []
     for t, keys in TABLE_KEYS.items():
         df = table(spark, sf, t)
-        parts += [checks.not_null_report(df, t, keys), checks.unique_report(df, t, keys),
-                  checks.not_empty_report(df, t)]
+        parts.append(checks.table_report(df, t, keys, keys))
     return checks.check_report(parts)
 
 
