@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions import arrived, haversine_km, midpoint, plane_km, trip_fare_parts
 from tributary.plans import movement as MV
-from tributary.operators.windows import bucketed_lag
+from tributary.operators.windows import bucketed_lag, first_last
 from tributary.plans.catalog import query, table
 
 _ZONES_SQL = """
@@ -128,8 +128,9 @@ def arrival(spark, sf):
     p = e.select("user_id", F.to_date("ts").alias("day"), "ts", "event_id", (F.col("value") / 10).alias("lat"),
                  (F.from_json("props", "k INT")["k"] / 10.0).alias("lon"),
                  MV.seconds_ntz("ts").alias("t"))
-    okey = F.struct("t", "event_id")
-    dest = p.groupBy("user_id", "day").agg(F.max_by("lat", okey).alias("dlat"), F.max_by("lon", okey).alias("dlon"))
+    p = p.withColumn("__us", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"))
+    dest = first_last(p, ["user_id", "day"], ["__us", "event_id"], last={"dlat": "lat", "dlon": "lon"})
+    p = p.drop("__us")
     s = bucketed_lag(p, ["user_id", "day"], "t", "event_id", ["lat", "lon"], bucket=3600.0)
     s = s.withColumn("slat", F.col("lat") - F.col("prev_lat")).withColumn("slon", F.col("lon") - F.col("prev_lon"))
     j = s.join(dest, ["user_id", "day"])
