@@ -124,3 +124,23 @@ def platforms_with_ga(platforms: DataFrame, ga_stg: DataFrame, match_platform: b
     j = platforms.join(g, on=on, how="left")
     return j.select(*[platforms[c] for c in ["platform", *PLATFORM_KEY, "impressions", "clicks", "cost"]],
                     *[g[c] for c in GA_MEASURES])
+
+
+def refresh_marts(spark, raw: DataFrame, ga_stg: DataFrame, mart_base: str) -> dict[str, str]:
+    """SURVEY 3.2 after the load: each platform mart grows by the rows above
+    its own ``max(day)`` (K1; an empty mart takes everything), then the
+    combined mart with GA is rebuilt in full (K5, staged and swapped).
+    Returns the written paths."""
+    from tributary.operators.load import create_if_missing, materialize, rows_above_watermark
+    paths = {}
+    for p in PLATFORMS:
+        path = f"{mart_base.rstrip('/')}/fct_{p}"
+        stg = platform_staging(raw, p)
+        cur = create_if_missing(spark, path, stg.schema)
+        materialize(spark, rows_above_watermark(cur, stg, "day"), path, mode="append")
+        paths[p] = path
+    marts = union_platforms({p: spark.read.parquet(paths[p]) for p in PLATFORMS})
+    combined = f"{mart_base.rstrip('/')}/fct_all_platform_with_ga"
+    materialize(spark, platforms_with_ga(marts, ga_stg), combined)
+    paths["all"] = combined
+    return paths

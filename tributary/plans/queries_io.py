@@ -234,3 +234,17 @@ def load_partition_replace(spark, sf):
     assert replaced == ["year=1996"], replaced
     return spark.read.parquet(base).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                                            "o_orderdate", F.col("year").cast("int").alias("year"))
+
+
+@query("ads_marts_incremental", sql=f"""WITH {_AD_SQL}
+SELECT platform, day, campaign, adgroup, impressions, clicks, cost FROM raw""")
+def ads_marts_incremental(spark, sf):
+    """K1/K5 in the ad lifecycle: two loads (days up to 1997, then all);
+    the platform marts append only days above their maximum, the combined
+    mart is rebuilt; the result is the combined mart's platform columns."""
+    base = _scratch(spark)
+    raw = ads.platform_raw(table(spark, sf, "orders"))
+    ga = ads.ga_staging(ads.ga_raw(table(spark, sf, "lineitem"), table(spark, sf, "orders")))
+    ads.refresh_marts(spark, raw.filter(F.col("day") <= F.lit("1997-12-31").cast("date")), ga, base)
+    paths = ads.refresh_marts(spark, raw, ga, base)
+    return spark.read.parquet(paths["all"]).select("platform", *ads.PLATFORM_KEY, "impressions", "clicks", "cost")
