@@ -98,16 +98,19 @@ def page(df: DataFrame, page_no: int, size: int = 20) -> DataFrame:
              .offset((page_no - 1) * size).limit(size)
 
 
-def page_after(df: DataFrame, after_published, after_id: int | None, size: int = 20) -> DataFrame:
+PUBLISHED_US = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', published_at)"
+
+
+def page_after(df: DataFrame, after_us: int | None, after_id: int | None, size: int = 20) -> DataFrame:
     """F3 for deep pages: the ``size`` translated rows after the key
-    (published_at, id) of the previous page's last row, newest first.  A
-    filter on the key plus a top-k: the work does not grow with the page
-    number, unlike an offset."""
+    (published_at as epoch microseconds - zone independent - and id) of
+    the previous page's last row, newest first.  A filter on the key plus a
+    top-k: the work does not grow with the page number, unlike an offset."""
     size = min(size, 100)
-    d = df.filter(F.col("translation_status") == TRANSLATED)
-    if after_published is not None:
-        p, i = F.lit(after_published).cast("timestamp_ntz"), F.lit(after_id)
-        d = d.filter((F.col("published_at") < p) | ((F.col("published_at") == p) & (F.col("id") < i)))
+    d = df.filter(F.col("translation_status") == TRANSLATED).withColumn("page_key_us", F.expr(PUBLISHED_US))
+    if after_us is not None:
+        k, i = F.col("page_key_us"), F.lit(after_id)
+        d = d.filter((k < F.lit(after_us)) | ((k == F.lit(after_us)) & (F.col("id") < i)))
     return d.orderBy(F.col("published_at").desc(), F.col("id").desc()).limit(size)
 
 

@@ -247,6 +247,6 @@ def page_seek(spark, sf):
     key = None
     for _ in range(2):
         rows = N.page_after(s, key[0] if key else None, key[1] if key else None, 20) \
-            .select("published_at", "id").tail(1)
-        key = (rows[0]["published_at"], rows[0]["id"])
+            .select("page_key_us", "id").tail(1)
+        key = (rows[0]["page_key_us"], rows[0]["id"])
     return N.page_after(s, key[0], key[1], 20).select("id", "title", "published_at")
