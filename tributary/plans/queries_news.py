@@ -217,7 +217,7 @@ def image_link(spark, sf):
 def page_images(spark, sf):
     """First article image by class/size rules (pages without images
     give null)."""
-    return H.first_images(table(spark, sf, "pages"), min_width=100).select("page_id", "image_url")
+    return H.first_images(table(spark, sf, "pages")).select("page_id", "image_url")
 
 
 @query("related_top5_approx")
