@@ -59,3 +59,15 @@ def test_first_image_rules():
     assert first_image(featured) == "/hero.jpg"
     assert first_image('<article><img src="/a.jpg" width="wide" height="9"></article>') is None
     assert first_image("<p>no images</p>") is None
+
+
+def test_source_containers(spark):
+    from tributary.operators.html import extract_text
+    from tributary.plans import news as N
+    pages = spark.createDataFrame([
+        (1, "BBC", '<div data-component="text-block"><p>Venue: X</p><p>race report</p></div>'),
+        (2, "F1 Technical News", '<div class="content article"><p>tech</p></div><div class="content"><p>no</p></div>'),
+        (3, "RaceFans", '<div class="entry-content extra"><p>fans</p></div>')], "id long, source string, html string")
+    c = spark.createDataFrame(N.SOURCE_CONTAINERS, N.CONTAINER_SCHEMA)
+    got = {r.id: r.content for r in extract_text(pages, c).collect()}
+    assert got == {1: "<p>race report</p>", 2: "<p>tech</p>", 3: "<p>fans</p>"}

@@ -14,6 +14,20 @@ from pyspark.sql import functions as F
 
 from tributary.functions import contains_ci
 
+# Article container per news source (tag, attribute, value,
+# metadata-paragraph removal), as configured for the crawler; the
+# metadata rule is meant for the BBC layout only.
+SOURCE_CONTAINERS = [
+    ("Autosport", None, "class", "ms-article-content", False),
+    ("BBC", None, "data-component", "text-block", True),
+    ("Motorsport", None, "class", "ms-article-content", False),
+    ("RaceFans", None, "class", "entry-content", False),
+    ("Pitpass", None, "class", "KonaBody", False),
+    ("F1 Technical News", None, "class", "content article", False),
+    ("F1 Technical Articles", None, "class", "content article", False),
+]
+CONTAINER_SCHEMA = "source string, tag string, attr string, value string, drop_metadata boolean"
+
 # Queue status words.
 TRANSLATED, TITLE_FAILED, CONTENT_FAILED, ALL_FAILED = "translated", "title failed", "content failed", "All failed"
 EDITED, SKILLED, DID_NOTHING = "edited", "skilled", "didNothing"

@@ -189,15 +189,15 @@ def clean_pages(spark, sf):
     return H.clean_pages(table(spark, sf, "pages")).select("page_id", "url", "content", "translation_status")
 
 
-# Container rule per source (the article element for every
-# page source here; other sources name a class or id attribute).
-CONTAINERS = [("page", "article", None, None, True)]
+# The driver's pages stand for one more source whose container is the
+# ``article`` element (metadata rule on, to exercise it).
+PAGE_CONTAINER = [("page", "article", None, None, True)]
 
 
 @query("extract_text")
 def extract_text(spark, sf):
     p = table(spark, sf, "pages").withColumn("source", F.lit("page"))
-    c = spark.createDataFrame(CONTAINERS, "source string, tag string, attr string, value string, drop_metadata boolean")
+    c = spark.createDataFrame(N.SOURCE_CONTAINERS + PAGE_CONTAINER, N.CONTAINER_SCHEMA)
     return H.extract_text(p, c).select("page_id", "content")
 
 
