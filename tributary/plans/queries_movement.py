@@ -20,7 +20,7 @@ zs AS (SELECT *, sign((a2x - a1x) * ((b1y + b2y) / 2 - a1y) - (a2y - a1y) * ((b1
 zones AS (SELECT *, CASE WHEN sa0 = 0 OR sb0 = 0 THEN 0 ELSE sa0 END AS sa,
                     CASE WHEN sa0 = 0 OR sb0 = 0 THEN 0 ELSE sb0 END AS sb FROM zs),
 pts AS (SELECT user_id AS object_id, event_id, ts, epoch(ts) / 3600.0 AS t, value AS x,
-               CAST(props::JSON->>'k' AS INTEGER) * 2.0 AS y, 'road' AS location FROM events),
+               CAST(CAST(props::JSON->>'k' AS INTEGER) * 2.0 AS DOUBLE) AS y, 'road' AS location FROM events),
 pz AS (
   SELECT p.*, z.zone_name, z.length_m,
          (z.sa <> 0 AND z.sb <> 0
@@ -99,7 +99,7 @@ def plane_distance(spark, sf):
 
 @query("trip_fare", sql="""
 WITH f AS (SELECT l_orderkey, l_linenumber, l_quantity / 3.0 AS km, l_discount * 600 AS minutes FROM lineitem)
-SELECT l_orderkey, l_linenumber, 70.0 AS base_fare, round_even(km * 25, 2) AS distance_fare,
+SELECT l_orderkey, l_linenumber, CAST(70.0 AS DOUBLE) AS base_fare, round_even(km * 25, 2) AS distance_fare,
        round_even(minutes * 2, 2) AS time_fare, round_even(70 + km * 25 + minutes * 2, 2) AS amount,
        abs(round_even(70 + km * 25 + minutes * 2, 2) - (70 + round_even(km * 25, 2) + round_even(minutes * 2, 2))) <= 0.011
          AS parts_match
