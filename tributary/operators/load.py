@@ -99,8 +99,8 @@ def replace_partitions(spark: SparkSession, new: DataFrame, path: str, keys: lis
         target = jvm.org.apache.hadoop.fs.Path(root, name)
         trash = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old_{_uuid.uuid4().hex}_{name}")
         if fs.exists(target):
-            fs.rename(target, trash)
-        fs.rename(st.getPath(), target)
+            _rename(fs, target, trash)
+        _rename(fs, st.getPath(), target)
         if fs.exists(trash):
             fs.delete(trash, True)
         done.append(name)
@@ -108,6 +108,11 @@ def replace_partitions(spark: SparkSession, new: DataFrame, path: str, keys: lis
     return done
 
 
+def _rename(fs, src, dst) -> None:
+    if not fs.rename(src, dst):
+        raise OSError(f"rename failed: {src} -> {dst}")
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -137,8 +142,8 @@ def materialize(spark: SparkSession, df: DataFrame, path: str, mode: str = "over
     old = None
     if fs.exists(p):
         old = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old_{_uuid.uuid4().hex}")
-        fs.rename(p, old)
-    fs.rename(s, p)
+        _rename(fs, p, old)
+    _rename(fs, s, p)
     if old is not None:
         fs.delete(old, True)
     return path
