@@ -183,6 +183,45 @@ def clean_city(spark: SparkSession, sheet: DataFrame) -> DataFrame:
     return long.select("year", "month", F.col("city_name").alias("city"), "application")
 
 
+def age_city_sheet(spark: SparkSession, lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """city x age-group sheet per year (lines per customer prefecture and
+    quantity band), with a total column, a trailing share column and the
+    subtotal/total rows of the city sheet."""
+    names = spark.createDataFrame([(i, c) for i, (c, _) in enumerate(CITY_MAP)], "k int, city string")
+    li = lineitem.select("l_orderkey", _age_group_of(F.col("l_quantity")).alias("g"))
+    o = orders.select("o_orderkey", "o_custkey", F.year("o_orderdate").cast("string").alias("year"))
+    c = customer.select("c_custkey", "c_nationkey")
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey) \
+          .join(F.broadcast(names), F.col("c_nationkey") == F.col("k"), "left")
+    j = j.withColumn("city", F.when(F.col("c_nationkey") == 24, F.lit("不明県")).otherwise(F.col("city")))
+    g = j.groupBy("year", "city").pivot("g", AGE_GROUPS).agg(F.count(F.lit(1)))
+    tot = reduce(lambda a, b: a + b, [F.coalesce(F.col(x), F.lit(0)) for x in AGE_GROUPS])
+    g = g.withColumn("total", tot).withColumn("share", F.lit(None).cast("double"))
+    sub = g.filter(F.col("city").isin([c for c, _ in CITY_MAP[:7]])).groupBy("year").agg(
+        *[F.sum(x).alias(x) for x in [*AGE_GROUPS, "total"]]).withColumn("city", F.lit("東北" + SUBTOTAL_WORD)) \
+        .withColumn("share", F.lit(None).cast("double"))
+    grand = g.groupBy("year").agg(*[F.sum(x).alias(x) for x in [*AGE_GROUPS, "total"]]) \
+             .withColumn("city", F.lit(GRAND_TOTAL)).withColumn("share", F.lit(None).cast("double"))
+    return g.unionByName(sub).unionByName(grand).select("year", "city", *AGE_GROUPS, "total", "share")
+
+
+def clean_age_city(spark: SparkSession, sheet: DataFrame) -> DataFrame:
+    """Age x city flow: drop the last column, then the total column;
+    positional rename; melt; drop total/subtotal rows (null-safe) and
+    missing values; romanise (unknown kept); numeric application."""
+    s = sheet.drop(sheet.columns[-1])
+    if "total" in s.columns:
+        s = s.drop("total")
+    s = rename_by_position(s, ["year", "city", *AGE_GROUPS])
+    long = melt(s, ["year", "city"], AGE_GROUPS, "age_group", "application", "long")
+    long = long.filter(~F.coalesce(F.col("city").isin(TOTAL_LABELS), F.lit(False))) \
+               .dropna(subset=["city", "age_group", "application"])
+    long = map_join(long, city_table(spark), "city", "city_en", "city_name", keep_unknown=True)
+    long = long.filter(~F.coalesce(F.col("city_name").contains(SUBTOTAL_WORD), F.lit(False)))
+    return long.select("year", F.col("city_name").alias("city"), "age_group",
+                       F.col("application").try_cast("double").alias("application")).dropna(subset=["application"])
+
+
 def valid_sheet(orders: DataFrame, nation: DataFrame, customer: DataFrame) -> DataFrame:
     """Valid passports per city with a grand-total row, per year."""
     o = orders.select("o_custkey", "o_orderpriority", F.year("o_orderdate").cast("string").alias("year"))

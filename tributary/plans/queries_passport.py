@@ -61,6 +61,23 @@ def melt_city(spark, sf):
     return P.clean_city(spark, P.city_sheet(spark, table(spark, sf, "orders"), table(spark, sf, "customer")))
 
 
+@query("melt_age_city", sql=f"""
+WITH cm AS (SELECT * FROM (VALUES {_CITY_VALUES}) AS t(k, city, city_en)),
+j AS (SELECT CAST(year(o_orderdate) AS VARCHAR) AS year,
+             CASE WHEN c_nationkey = 24 THEN '不明県' ELSE coalesce(cm.city_en, cm.city) END AS city,
+             CASE WHEN l_quantity < 20 THEN 'under_19' WHEN l_quantity < 30 THEN '20-29'
+                  WHEN l_quantity < 40 THEN '30-39' WHEN l_quantity < 50 THEN '40-49'
+                  WHEN l_quantity < 60 THEN '50-59' WHEN l_quantity < 70 THEN '60-69'
+                  WHEN l_quantity < 80 THEN '70-79' ELSE 'over_80' END AS age_group
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+           LEFT JOIN cm ON c_nationkey = cm.k)
+SELECT year, city, age_group, CAST(count(*) AS DOUBLE) AS application FROM j GROUP BY 1, 2, 3""")
+def melt_age_city(spark, sf):
+    sheet = P.age_city_sheet(spark, table(spark, sf, "lineitem"), table(spark, sf, "orders"),
+                             table(spark, sf, "customer"))
+    return P.clean_age_city(spark, sheet)
+
+
 @query("total_row", sql="""
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(count(*) AS BIGINT) AS total
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""")
