@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tributary.operators.load import materialize, upsert
+from tributary.operators.load import _fs, materialize, upsert
 
 __all__ = ["file_stream", "kafka_stream", "parse_json_values", "keyed_json", "with_event_watermark",
            "parquet_sink", "upsert_sink", "kafka_sink", "jdbc_append_sink", "dedup_within_watermark"]
@@ -85,15 +85,12 @@ def upsert_sink(df: DataFrame, path: str, keys: list[str], checkpoint: str, orde
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        b = batch
-        try:
-            cur = spark.read.schema(b.schema).parquet(path)
-            new = upsert(cur, b, keys, order=order)
-        except Exception as e:  # noqa: BLE001 - first batch: no table yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
+        fs, p = _fs(spark, path)
+        if fs.exists(p):
+            new = upsert(spark.read.schema(batch.schema).parquet(path), batch, keys, order=order)
+        else:  # first batch: no table yet
             from tributary.operators.windows import keep_first
-            new = keep_first(b, keys, order) if order else b.dropDuplicates(keys)
+            new = keep_first(batch, keys, order) if order else batch.dropDuplicates(keys)
         materialize(spark, new, path)
 
     w = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
