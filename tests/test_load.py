@@ -55,3 +55,14 @@ def test_materialize_overwrite_reads_own_path(spark, tmp_path):
     cur = spark.read.parquet(p)
     materialize(spark, upsert(cur, spark.createDataFrame([(2, "b", 2.0)], S), ["k"]), p)
     assert spark.read.parquet(p).count() == 2
+
+
+def test_audit_stamps_created_on_insert_only(spark):
+    t = spark.createDataFrame([(1, 5.0, "2024-01-01 00:00:00", "2024-01-01 00:00:00")],
+                              "k long, v double, created_at string, updated_at string")
+    u = spark.createDataFrame([(1, 7.0, "2024-02-01 00:00:00", "2024-02-01 00:00:00"),
+                               (2, 1.0, "2024-02-01 00:00:00", "2024-02-01 00:00:00")],
+                              "k long, v double, created_at string, updated_at string")
+    r = {x.k: x for x in upsert(t, u, ["k"], update_cols=["v", "updated_at"]).collect()}
+    assert (r[1].v, r[1].created_at, r[1].updated_at) == (7.0, "2024-01-01 00:00:00", "2024-02-01 00:00:00")
+    assert r[2].created_at == "2024-02-01 00:00:00"

@@ -71,3 +71,13 @@ def test_source_containers(spark):
     c = spark.createDataFrame(N.SOURCE_CONTAINERS, N.CONTAINER_SCHEMA)
     got = {r.id: r.content for r in extract_text(pages, c).collect()}
     assert got == {1: "<p>race report</p>", 2: "<p>tech</p>", 3: "<p>fans</p>"}
+
+
+def test_clean_pages_on_driver_pages(spark):
+    import __spark_entry__ as E
+    rows = E.queries()["clean_pages"](spark, "/root/testdata/sf0.001").collect()
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").count()
+    assert len(rows) == pages
+    for r in rows:
+        assert "<script" not in r.content and "<a " not in r.content and "</a>" not in r.content
+        assert r.translation_status == "pending"
