@@ -41,8 +41,8 @@ def value_counts(df: DataFrame, col: str, normalize: bool = False, scale: float
     g = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
     if not normalize:
         return g
-    tot = g.agg(F.sum("count")).scalar()
-    return g.select(col, (F.col("count") * F.lit(scale) / tot).alias(name or "proportion"))
+    from tributary.operators.windows import share_of_total
+    return share_of_total(g, "count", name or "proportion", scale).select(col, name or "proportion")
 
 
 def null_counts(df: DataFrame) -> DataFrame:

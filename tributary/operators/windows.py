@@ -115,11 +115,14 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str | Column]) -> Dat
 def share_of_total(df: DataFrame, count_col: str, name: str = "share", scale: float = 1.0) -> DataFrame:
     """Each row's share of the column total.
 
-    The total is a scalar subquery (one value, computed once and shipped
-    with the plan), not an unpartitioned window, so the input may be of
-    any size."""
-    tot = df.agg(F.sum(count_col)).scalar()
-    return df.withColumn(name, F.try_divide(F.col(count_col) * F.lit(scale), tot))
+    ``df`` is an aggregated table (one row per label).  It is written once
+    as a table in the shared checkpoint folder; the total is a scalar
+    subquery over that table, so neither the aggregation nor its input is
+    computed twice, and no unpartitioned window gathers the rows."""
+    from tributary.session import cut_lineage
+    g = cut_lineage(df, "table")
+    tot = g.agg(F.sum(count_col)).scalar()
+    return g.withColumn(name, F.try_divide(F.col(count_col) * F.lit(scale), tot))
 
 
 def skew_safe_row_numbers(df: DataFrame, keys: list[str], major: str, minor: str,

@@ -84,8 +84,8 @@ def top_share_by(df: DataFrame, value: str, label: str, threshold: float = 0.8)
     r = average_rank(df, value).filter(F.col("pct_rank") >= threshold).select(value)
     top = df.join(r, on=value, how="left_semi")
     g = top.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    tot = g.agg(F.sum("n")).scalar()
-    return g.select(label, (F.col("n") / tot).alias("proportion"))
+    from tributary.operators.windows import share_of_total
+    return share_of_total(g, "n", "proportion").select(label, "proportion")
 
 
 def deliveries(events: DataFrame) -> DataFrame:

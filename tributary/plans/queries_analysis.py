@@ -319,8 +319,8 @@ def share_and_rating(spark, sf):
     f = A.drop_null_keys(X.late_low_rows(X.deliveries(table(spark, sf, "events"))), ["event_type"])
     g = f.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("avg_value"),
                                     F.stddev_samp("value").alias("std_value"))
-    tot = g.agg(F.sum("n")).scalar()
-    g = g.select("event_type", (F.col("n") * 100.0 / tot).alias("percentage"), "avg_value", "std_value")
+    from tributary.operators.windows import share_of_total
+    g = share_of_total(g, "n", "percentage", 100.0).select("event_type", "percentage", "avg_value", "std_value")
     return _r(g, {"percentage", "avg_value", "std_value"})
 
 
