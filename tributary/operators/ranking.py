@@ -28,6 +28,10 @@ from pyspark.sql import functions as F
 __all__ = ["value_positions", "average_rank", "exact_quantiles", "quantiles_from_positions", "default_buckets"]
 
 
+MIN_BUCKETS = 16
+ROWS_PER_BUCKET = 50_000
+
+
 def default_buckets(df: DataFrame) -> int:
     try:
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -57,12 +61,15 @@ def value_positions(df: DataFrame, value: str, keys: list[str] | None = None,
     totals, the join back); with ``materialize`` it is computed once and
     written as a table in the shared checkpoint folder."""
     keys = list(keys or [])
-    buckets = buckets or default_buckets(df)
     d = (df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
            .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("cnt")))
     if materialize:
         from tributary.session import cut_lineage
         d = cut_lineage(d, "table")
+    if buckets is None:
+        buckets = default_buckets(df)
+        if materialize:  # size from the written table: a bucket holds about ROWS_PER_BUCKET values
+            buckets = max(MIN_BUCKETS, min(buckets, -(-d.count() // ROWS_PER_BUCKET)))
     d = _bucketed(d, value, buckets)
     tot = d.groupBy(*keys, "__b").agg(F.sum("cnt").alias("__bt"))
     wk = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
