@@ -52,3 +52,29 @@ def test_supervisor_raises_and_stops_others(spark):
     with pytest.raises(RuntimeError, match="boom"):
         supervise(spark, [ok, bad])
     assert not ok.isActive
+
+
+def test_zone_state_across_micro_batches(spark):
+    """State carried between micro-batches gives the batch result."""
+    from tributary.operators.movement import points_in_zones, zone_table
+    from tributary.plans import movement as MV
+    from tributary.streaming.ingest import parquet_sink, with_event_watermark
+    from tributary.streaming.zone_state import stream_zone_speed
+
+    base = f"{checkpoint_dir(spark)}/zs_{uuid.uuid4().hex}"
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    q = ev.select(F.percentile_approx("event_id", [0.25, 0.5, 0.75]).alias("q")).first().q
+    bounds = [-1, *q, 1 << 62]
+    for i in range(4):  # event ids grow with time: four time-ordered files
+        ev.filter((F.col("event_id") > bounds[i]) & (F.col("event_id") <= bounds[i + 1])) \
+          .coalesce(1).write.parquet(f"{base}/in/part{i}")
+    files = spark.read.parquet(f"{base}/in/part*")
+    stream = spark.readStream.schema(files.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/part*")
+    z = points_in_zones(MV.sightings(stream), zone_table(spark, location=MV.ROAD), "x", "y")
+    out = stream_zone_speed(with_event_watermark(z, "ts", "10 hours"), timeout_ms=int(10.0 / MV.TIME_SCALE * 1000))
+    parquet_sink(out, f"{base}/out", f"{base}/ck").awaitTermination()
+    got = {(r.event_id, r.zone_name): (r.speed_kmh, r.entry, r.exit, r.new_track)
+           for r in spark.read.parquet(f"{base}/out").collect()}
+    exp = {(r.event_id, r.zone_name): (r.speed_kmh, r.entry, r.exit, r.new_track)
+           for r in MV.speeds(spark, ev).collect()}
+    assert got == exp

@@ -23,44 +23,56 @@ STATE_SCHEMA = "last_t double, in_zone boolean, entry_t double, speed double"
 def _py_round(x: float, nd: int) -> float:
     # Half to even on the decimal text, as Spark's bround does.
     from decimal import ROUND_HALF_EVEN, Decimal
-    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-nd), rounding=ROUND_HALF_EVEN))
+    return float(Decimal(repr(float(x))).quantize(Decimal(1).scaleb(-nd), rounding=ROUND_HALF_EVEN))
 
 
 def _step_fn(gap: float, min_t: float, max_t: float, timeout_ms: int):
+    """Vectorised per group: the first row's "previous row" comes from the
+    state; running maxima give the track start and the last entry; the held
+    speed is the speed of the last leave unless a new track began since."""
+    import numpy as np
+
     def fn(key, batches, state):
         if state.hasTimedOut:
             state.remove()
             return
-        last_t, in_zone, entry_t, speed = (state.get if state.exists else (None, False, None, 0.0))
-        frames = [b for b in batches]
+        s_last_t, s_in, s_entry, s_speed = (state.get if state.exists else (None, False, None, 0.0))
+        frames = list(batches)
         if not frames:
             return
-        pdf = pd.concat(frames).sort_values(["t", "event_id"], kind="mergesort")
-        out = []
-        for r in pdf.itertuples(index=False):
-            new_track = last_t is None or (r.t - last_t) > gap
-            if new_track:
-                in_zone, entry_t, speed = False, None, 0.0
-            entry = bool(r.inside) and not in_zone
-            leave = (not r.inside) and in_zone
-            xs = None
-            if entry:
-                entry_t, speed = r.t, 0.0
-            elif leave:
-                dt = r.t - entry_t if entry_t is not None else math.nan
-                xs = _py_round(r.length_m / dt * 3.6, 1) if (min_t < dt < max_t) else 0.0
-                speed = xs
-                entry_t = None
-            in_zone = bool(r.inside)
-            if in_zone and entry_t is not None and r.t - entry_t > max_t:
-                entry_t = None
-            out.append((r.object_id, r.zone_name, r.event_id, r.ts, new_track, entry, leave, xs,
-                        0.0 if in_zone else speed))
-            last_t = r.t
-        state.update((last_t, in_zone, entry_t, speed))
+        pdf = pd.concat(frames).sort_values(["t", "event_id"], kind="mergesort").reset_index(drop=True)
+        t = pdf["t"].to_numpy(dtype="float64")
+        inside = pdf["inside"].to_numpy(dtype=bool)
+        length = pdf["length_m"].to_numpy(dtype="float64")
+        n = len(t)
+        prev_t = np.concatenate([[np.nan if s_last_t is None else s_last_t], t[:-1]])
+        prev_in = np.concatenate([[bool(s_in)], inside[:-1]])
+        new_track = np.isnan(prev_t) | ((t - prev_t) > gap)
+        pit = ~new_track & prev_in
+        entry = inside & ~pit
+        leave = ~inside & pit
+        seed = -np.inf if s_entry is None else s_entry
+        last_entry = np.maximum.accumulate(np.where(entry, t, -np.inf))
+        last_entry = np.maximum(last_entry, np.where(np.maximum.accumulate(new_track), -np.inf, seed))
+        dt = t - last_entry
+        ok = leave & (dt > min_t) & (dt < max_t)
+        exit_speed = np.where(leave, 0.0, np.nan)
+        for i in np.flatnonzero(ok):  # rounding on the decimal text, leave rows only
+            exit_speed[i] = _py_round(length[i] / dt[i] * 3.6, 1)
+        idx = np.arange(n)
+        ex_pos = np.maximum.accumulate(np.where(leave, idx, -1))
+        nt_pos = np.maximum.accumulate(np.where(new_track, idx, -1))
+        held = np.where(ex_pos > nt_pos, exit_speed[np.maximum(ex_pos, 0)],
+                        np.where((ex_pos < 0) & (nt_pos < 0), s_speed, 0.0))
+        speed = np.where(inside, 0.0, held)
+        end_entry = last_entry[-1] if inside[-1] and np.isfinite(last_entry[-1]) and t[-1] - last_entry[-1] <= max_t \
+            else None
+        state.update((float(t[-1]), bool(inside[-1]), None if end_entry is None else float(end_entry),
+                      float(speed[-1])))
         state.setTimeoutTimestamp(int(pdf["ts"].max().timestamp() * 1000) + timeout_ms)
-        yield pd.DataFrame(out, columns=["object_id", "zone_name", "event_id", "ts", "new_track", "entry", "exit",
-                                         "exit_speed", "speed_kmh"])
+        yield pd.DataFrame({"object_id": pdf["object_id"], "zone_name": pdf["zone_name"], "event_id": pdf["event_id"],
+                            "ts": pdf["ts"], "new_track": new_track, "entry": entry, "exit": leave,
+                            "exit_speed": np.where(leave, exit_speed, np.nan), "speed_kmh": speed})
     return fn
 
 
