@@ -69,7 +69,7 @@ def month_text(d: Column | str) -> Column:
 def tolerant_date(t: Column | str, fmt: str | None = None) -> Column:
     """H7: bad value to null (ANSI mode stays on)."""
     t = as_col(t)
-    return F.try_to_date(t, F.lit(fmt)) if fmt else F.try_to_date(t)
+    return F.try_to_date(t, fmt) if fmt else F.try_to_date(t)
 
 
 def tolerant_timestamp(t: Column | str, fmt: str | None = None) -> Column:
