@@ -52,3 +52,15 @@ def test_angle_wraps_and_arrival(spark):
                               arrived(F.lit(1.0), F.lit(1.0), F.lit(1.2), F.lit(1.0), F.lit(0.1), F.lit(0.1)).alias("b")
                               ).first()
     assert (r.e, r.n, r.a, r.b) == (0.0, 270.0, True, False)
+
+
+def test_remaining_helpers(spark):
+    from tributary.functions import audit_stamp, safe_ratio, tolerant_timestamp
+    from tributary.operators.windows import packed_order_key, unpack_major
+    r = spark.range(1).select(
+        tolerant_timestamp(F.lit("2024/01/02 03:04"), "yyyy/MM/dd HH:mm").alias("a"),
+        tolerant_timestamp(F.lit("bad"), "yyyy/MM/dd HH:mm").alias("b"),
+        safe_ratio(F.lit(1.0), F.lit(0.0)).alias("c"),
+        unpack_major(packed_order_key(F.lit(12345), F.lit(-7))).alias("d"),
+        audit_stamp().isNotNull().alias("e")).first()
+    assert str(r.a).startswith("2024-01-02 03:04") and r.b is None and r.c is None and r.d == 12345 and r.e
