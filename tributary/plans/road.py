@@ -134,3 +134,17 @@ def traffic_objects(stg: DataFrame) -> DataFrame:
 def traffic_objects_sorted(stg: DataFrame) -> DataFrame:
     """the mart in its published order (a range-partitioned sort)."""
     return traffic_objects(stg).orderBy("date_utc", "time_utc", "object_id", "class", "zone_name")
+
+
+def refresh_marts(spark, stg: DataFrame, base: str) -> dict[str, str]:
+    """K4 for both road marts: the traffic mart keyed by uuid and the
+    objects mart keyed by (day, object, class, zone) take the new rows by
+    delete-and-insert on their keys (staged write and swap), so a repeated
+    load leaves them unchanged."""
+    from tributary.operators.load import create_if_missing, delete_insert, materialize
+    paths = {"traffic": f"{base.rstrip('/')}/fct_highway_traffic", "objects": f"{base.rstrip('/')}/fct_traffic_objects"}
+    new_objects = traffic_objects(stg)
+    for name, new, keys in (("traffic", stg, ["uuid"]), ("objects", new_objects, MART_KEYS)):
+        cur = create_if_missing(spark, paths[name], new.schema)
+        materialize(spark, delete_insert(cur, new, keys), paths[name])
+    return paths
