@@ -15,3 +15,22 @@ def test_contract_shapes():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 50
+
+
+# Query names of the blueprint's catalogue.
+CATALOGUE = """road_staging road_bidirectional_rank road_group_metrics road_first_last road_direction road_objects
+ads_union ads_ga_staging ads_with_ga ads_first_wins load_append_above_max load_upsert load_delete_insert
+checks_report group_mean_std group_mean_sorted group_size_vs_count account_roi quarter_currency month_rates
+lucky_cohort value_counts value_shares null_counts profile box_stats date_pivot correlations pct_rank_top20
+anova kruskal day_period weekend late_hours share_and_rating sentinel_null dropna melt_category melt_age
+melt_gender melt_city melt_age_city total_row population_bands population_yoy text_numbers fuzzy_columns
+sphere_distance plane_distance trip_fare arrival zone_inside zone_visits zone_speed link_dedup clean_pages
+extract_text preview summary_cut author_clean result_text first_source publish_window work_queue queue_status
+status_tally search page page_count unprocessed detail_related related_top5 key_value_json stream_parquet
+stream_upsert stream_zone_speed stream_dedup export_csv export_json create_missing load_summary file_year
+typed_csv""".split()
+
+
+def test_catalogue_is_registered():
+    q = E.queries()
+    assert [n for n in CATALOGUE if n not in q] == []
