@@ -66,3 +66,14 @@ def test_audit_stamps_created_on_insert_only(spark):
     r = {x.k: x for x in upsert(t, u, ["k"], update_cols=["v", "updated_at"]).collect()}
     assert (r[1].v, r[1].created_at, r[1].updated_at) == (7.0, "2024-01-01 00:00:00", "2024-02-01 00:00:00")
     assert r[2].created_at == "2024-02-01 00:00:00"
+
+
+def test_road_marts_repeat_safe(spark, tmp_path):
+    from tributary.plans import road
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    stg = road.staging(road.detections_from_events(ev))
+    for _ in range(2):
+        paths = road.refresh_marts(spark, stg, str(tmp_path / "marts"))
+    traffic = spark.read.parquet(paths["traffic"])
+    assert traffic.count() == stg.count() == traffic.select("uuid").distinct().count()
+    assert spark.read.parquet(paths["objects"]).count() == road.traffic_objects(stg).count()
