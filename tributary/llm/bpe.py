@@ -24,13 +24,11 @@ import struct
 
 import numpy as np
 import pyarrow as pa
-import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Matches kept by a worker between batches.
-CACHE_ENTRIES = 400_000
+from tributary.llm.pretokens import Memory
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -70,16 +68,17 @@ def _field(number: int, value: int | float | bytes) -> bytes:
 
 
 def piece_model(tokens: list[bytes]) -> bytes:
-    """A serialised sentencepiece BPE model: piece 0 is the unknown piece,
-    piece ``r + 1`` the token of rank ``r``."""
+    """A serialised sentencepiece BPE model: piece ``r`` is the token of rank
+    ``r``, and the unknown piece is the last."""
     # Field numbers and enum values of the public model format.
     unknown_type, bpe_type = 2, 2
     chars = byte_characters()
-    out = [_field(1, _field(1, b"<unk>") + _field(2, 0.0) + _field(3, unknown_type))]
+    out = []
     for rank, token in enumerate(tokens):
         piece = "".join(chars[b] for b in token).encode()
         out.append(_field(1, _field(1, piece) + _field(2, float(-rank))))
-    trainer = _field(3, bpe_type) + _field(4, len(tokens) + 1) + _field(40, 0) + b"".join(_field(i, -1) for i in (41, 42, 43))
+    out.append(_field(1, _field(1, b"<unk>") + _field(2, 0.0) + _field(3, unknown_type)))
+    trainer = _field(3, bpe_type) + _field(4, len(tokens) + 1) + _field(40, len(tokens)) + b"".join(_field(i, -1) for i in (41, 42, 43))
     normalizer = _field(1, b"identity") + b"".join(_field(i, 0) for i in (3, 4, 5))
     return b"".join(out) + _field(2, trainer) + _field(3, normalizer)
 
@@ -90,33 +89,16 @@ class Codec:
     def __init__(self, model: bytes, pattern: str):
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         chars = byte_characters()
-        self.to_chars = {b: chars[b] for b in range(256)}
+        self.to_chars = dict(enumerate(chars))
         back = {c: b for b, c in enumerate(chars)}
-        n = self.processor.get_piece_size()
-        self.token = [bytes(back[c] for c in self.processor.id_to_piece(i)) for i in range(1, n)]
+        self.token = [bytes(back[c] for c in self.processor.id_to_piece(i)) for i in range(self.processor.get_piece_size() - 1)]
         self.rank = {t: i for i, t in enumerate(self.token)}
-        self.find = regex.compile(pattern).findall
-        self.cache: dict[str, bytes] = {}
-
-    def _learn(self, matches: set[str]) -> None:
-        rest, mapped = [], []
-        for m in matches:
-            raw = m.encode()
-            if (r := self.rank.get(raw)) is not None:
-                self.cache[m] = struct.pack("<I", r)
-            else:
-                rest.append(m)
-                mapped.append(raw.decode("latin-1").translate(self.to_chars))
-        for m, ids in zip(rest, self.processor.encode(mapped, out_type=int, num_threads=1) if rest else [], strict=True):
-            self.cache[m] = (np.array(ids, "<u4") - np.uint32(1)).astype("<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        matches = self.find(text)
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache.clear()
-        if missing := {m for m in matches if m not in self.cache}:
-            self._learn(missing)
-        return b"".join(map(self.cache.__getitem__, matches))
+        self.encode = Memory(self._ids, pattern)
+
+    def _ids(self, matches: list[str]) -> list[list[int]]:
+        raw = [m.encode() for m in matches]
+        ids = self.processor.encode([r.decode("latin-1").translate(self.to_chars) for r in raw], out_type=int, num_threads=1)
+        return [[r] if (r := self.rank.get(b)) is not None else i for b, i in zip(raw, ids, strict=True)]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))

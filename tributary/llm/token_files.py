@@ -30,21 +30,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-import regex
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from tributary.llm.common import text_partitions
+from tributary.llm.pretokens import Memory
 from tributary.session import checkpoint_dir
 
 # Magic numbers of the public zstandard seekable format.
 SKIPPABLE, SEEK_FRAME, SEEK_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 
-CACHE_ENTRIES = 400_000
 FILE_TEXT_BYTES = 64 << 20
 MANIFEST = "file string, first_doc long, docs long, tokens long"
 READ_BYTES = 8 << 20
@@ -55,35 +55,24 @@ def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
-class TextEncoder:
+def text_encoder(definition: str, pattern: str) -> Memory:
     """Ids of whole texts by the tokenizers library.  The tokenizer's own
     pattern cuts a text into matches that are encoded independently of each
     other, so each different match is encoded once and remembered."""
+    tokenizer = Tokenizer.from_str(definition)
+    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    tokenizer.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)  # matches come cut
+    return Memory(lambda matches: [c.ids for c in tokenizer.encode_batch_fast(matches, add_special_tokens=False)], pattern)
 
-    def __init__(self, definition: str, pattern: str):
-        self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.find = regex.compile(pattern).findall
-        self.cache: dict[str, bytes] = {}
 
-    def __call__(self, text: str) -> bytes:
-        matches = self.find(text)
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache.clear()
-        if missing := list({m for m in matches if m not in self.cache}):
-            coded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-            self.cache.update((m, np.array(c.ids, "<u4").tobytes()) for m, c in zip(missing, coded, strict=True))
-        return b"".join(map(self.cache.__getitem__, matches))
+_ENCODERS: dict[int, Memory] = {}
 
 
-_ENCODERS: dict[int, TextEncoder] = {}
-
-
-def _encoder(shared, pattern: str) -> TextEncoder:
+def _encoder(shared, pattern: str) -> Memory:
     key = hash((shared.value, pattern))
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = TextEncoder(shared.value, pattern)
+        _ENCODERS[key] = text_encoder(shared.value, pattern)
     return _ENCODERS[key]
 
 
