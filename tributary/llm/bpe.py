@@ -28,6 +28,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.common import slices
 from tributary.llm.pretokens import Memory
 
 
@@ -93,7 +94,7 @@ class Codec:
         back = {c: b for b, c in enumerate(chars)}
         self.token = [bytes(back[c] for c in self.processor.id_to_piece(i)) for i in range(self.processor.get_piece_size() - 1)]
         self.rank = {t: i for i, t in enumerate(self.token)}
-        self.encode = Memory(self._ids, pattern)
+        self.memory = Memory(self._ids, pattern)
 
     def _ids(self, matches: list[str]) -> list[list[int]]:
         raw = [m.encode() for m in matches]
@@ -125,8 +126,11 @@ def encode(df: DataFrame, model, pattern: str, text: str = "text", out: str = "t
     """``df`` with the token ids of ``text`` (binary, 4 bytes an id)."""
     @F.arrow_udf("binary")
     def ids(texts: pa.Array) -> pa.Array:
-        codec = _codec(model, pattern)
-        return pa.array([codec.encode(t.as_py()) for t in texts], pa.binary())
+        codec, out = _codec(model, pattern), []
+        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+        for part in slices(iter([batch]), "text"):
+            out += codec.memory.many(part.column("text").to_pylist())
+        return pa.array(out, pa.binary())
 
     return df.withColumn(out, ids(F.coalesce(F.col(text), F.lit(""))))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Callable
+from itertools import chain
 
 import regex
 
@@ -39,17 +40,15 @@ class Memory:
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def __call__(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers."""
-        matches = self.find(text)
-        packed = [*map(self.new.get, matches)]
-        if None in packed:
-            if len(self.new) > GENERATION:
-                self.new, self.old = {}, self.new
-            missing = {m for m in matches if m not in self.new}
-            for m in missing & self.old.keys():
-                self.new[m] = self.old[m]
-            if rest := [m for m in missing if m not in self.new]:
-                self.new.update(zip(rest, (array("I", ids).tobytes() for ids in self.encode(rest)), strict=True))
-            packed = map(self.new.__getitem__, matches)
-        return b"".join(packed)
+    def many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        if len(self.new) > GENERATION:
+            self.new, self.old = {}, self.new
+        matches = [*map(self.find, texts)]
+        missing = set(chain.from_iterable(matches)) - self.new.keys()
+        for m in missing & self.old.keys():
+            self.new[m] = self.old[m]
+        if rest := [*(missing - self.new.keys())]:
+            self.new.update(zip(rest, (array("I", ids).tobytes() for ids in self.encode(rest)), strict=True))
+        get = self.new.__getitem__
+        return [b"".join(map(get, found)) for found in matches]

@@ -36,9 +36,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
-from tokenizers.pre_tokenizers import ByteLevel
 
-from tributary.llm.common import text_partitions
+from tributary.llm.bpe import byte_characters
+from tributary.llm.common import slices, text_partitions
 from tributary.llm.pretokens import Memory
 from tributary.session import checkpoint_dir
 
@@ -57,12 +57,14 @@ def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
 
 def text_encoder(definition: str, pattern: str) -> Memory:
     """Ids of whole texts by the tokenizers library.  The tokenizer's own
-    pattern cuts a text into matches that are encoded independently of each
-    other, so each different match is encoded once and remembered."""
-    tokenizer = Tokenizer.from_str(definition)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    tokenizer.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)  # matches come cut
-    return Memory(lambda matches: [c.ids for c in tokenizer.encode_batch_fast(matches, add_special_tokens=False)], pattern)
+    pattern cuts a text into matches that its model encodes independently of
+    each other, so each different match is encoded once and remembered."""
+    model, chars = Tokenizer.from_str(definition).model, dict(enumerate(byte_characters()))
+
+    def ids(matches: list[str]) -> list[list[int]]:
+        return [[t.id for t in model.tokenize(m.encode().decode("latin-1").translate(chars))] for m in matches]
+
+    return Memory(ids, pattern)
 
 
 _ENCODERS: dict[int, Memory] = {}
@@ -136,16 +138,16 @@ def write(df: DataFrame, folder: str, tokenizer_path: str, pattern: str, end_id:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, writer, stream, first = _encoder(shared, pattern), None, None, None
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                doc_id = doc_id.as_py()
+        for batch in slices(batches, "text"):
+            coded = encode.many([t or "" for t in batch.column("text").to_pylist()])
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), coded, strict=True):
                 if writer is None:
                     fs, base = open_folder(folder)
                     fs.create_dir(base, recursive=True)
                     name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.zst"
                     stream, first = fs.open_output_stream(f"{base}/{name}", compression=None), doc_id
                     writer = FrameWriter(stream)
-                writer.add(doc_id, encode(text.as_py() or "") + end)
+                writer.add(doc_id, ids + end)
         if writer is not None:
             writer.finish()
             stream.close()
