@@ -10,7 +10,7 @@ from itertools import chain
 import regex
 
 # Matches in each of the two generations that a worker keeps.
-GENERATION = 500_000
+GENERATION = 400_000
 
 # The public byte-level pattern, and the same for characters below
 # U+0250 in the syntax of the faster standard module.  There its classes differ
