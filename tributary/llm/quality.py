@@ -4,13 +4,13 @@ A document's features are its words, its pairs of neighbouring words (a word
 that follows itself is one feature of its own, whatever the word) and its
 character n-grams, all hashed to rows of one embedding table.  Their vectors
 are averaged and a softmax layer gives the two classes.  Table and layer are
-trained by stochastic gradient descent in numpy, on a bounded sample of
-labelled rows on the driver.  To score, the table is multiplied by the layer
+trained by stochastic gradient descent in numpy, in one task over a bounded
+sample of labelled rows.  To score, the table is multiplied by the layer
 once, so that a feature costs one look-up.
 
 Cases: null and empty texts have no features and get the layer's bias; very
 long texts are read whole; rows and repeats stay; other columns are ignored;
-without labelled rows every score is 0.5; an empty table gives an empty
+without rows of both labels every score is 0.5; an empty table gives an empty
 result.
 """
 
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.common import SpanHash, byte_view, slices, word_spans
-from tributary.llm.labelled import fold, sample
+from tributary.llm.labelled import fit_in_task, fold, sample
 
 BITS, DIM = 18, 8
 NGRAMS = (3, 4)
@@ -105,8 +105,8 @@ def text_scores(column: pa.Array, weights: np.ndarray, bias: float) -> np.ndarra
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2) -> tuple[np.ndarray, float]:
-    rows = sample(docs, labels, "quality", fold(folds) != held_out, PER_CLASS, MAX_BYTES)
-    return train(rows) if rows else (np.zeros(1 << BITS, np.float32), 0.0)
+    model = fit_in_task(sample(docs, labels, "quality", fold(folds) != held_out, PER_CLASS, MAX_BYTES), train)
+    return model or (np.zeros(1 << BITS, np.float32), 0.0)
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], threshold: float = 0.7, folds: int = 4, held_out: int = 2) -> DataFrame:

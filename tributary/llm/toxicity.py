@@ -7,7 +7,7 @@ flush with the end, and every window is scored; the text's score is its
 highest window's.  Forward and backward recurrences run over a window,
 attention weighs their states, and one logistic unit reads the pooled state.
 
-Training is numpy back-propagation on the driver over a bounded sample of
+Training is numpy back-propagation in one task over a bounded sample of
 labelled rows.  Only whole texts are labelled, so each round trains on the
 windows that the model itself scores highest in each text (and a random one of
 clean texts); vectors start from the sample's log-odds.  The bias is then set
@@ -33,15 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.common import SpanHash, byte_view, lower_ascii, mix, slices, word_spans
-from tributary.llm.labelled import fold, sample
+from tributary.llm.labelled import fit_in_task, fold, sample
 
 WINDOW, STRIDE = 32, 16
 WORD_BITS, GRAM_BITS, DIM, HIDDEN, ATTEND = 16, 16, 12, 8, 8
 NGRAMS = (3, 4, 5)
 # Bounds of the training sample: rows of each class, bytes of a text.
-PER_CLASS = {0: 3000, 1: 1500}
+PER_CLASS = {0: 4000, 1: 1500}
 MAX_BYTES = 20_000
-ROUNDS, EPOCHS, BATCH, RATE = 3, 2, 128, 0.01
+ROUNDS, EPOCHS, BATCH, RATE, VECTOR_RATE = 3, 2, 128, 0.01, 0.5
 
 IS_WORD = np.array([48 <= b <= 57 or 97 <= b <= 122 or b >= 128 for b in range(256)])
 
@@ -215,25 +215,22 @@ class Network:
         return w.grams[np.repeat(lo, many) + np.arange(len(word)) - np.repeat(np.cumsum(many) - many, many)], word
 
 
-def _log_odds(w: Words, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _log_odds(w: Words, labels: np.ndarray, block: int = 200) -> tuple[np.ndarray, np.ndarray]:
     """Log-odds of label 1 by word row and by n-gram row, from how many texts hold them."""
-    text = np.repeat(np.arange(len(labels)), np.diff(w.first))
-    pairs = np.unique(text * len(w.bucket) + w.ids)
-    text, word = pairs // len(w.bucket), pairs % len(w.bucket)
+    held_words, held_grams = np.zeros((2, 1 << WORD_BITS)), np.zeros((2, 1 << GRAM_BITS))
+    for lo in range(0, len(labels), block):
+        hi = min(lo + block, len(labels))
+        text = np.repeat(np.arange(lo, hi), np.diff(w.first[lo:hi + 1]))
+        pairs = np.unique(text * len(w.bucket) + w.ids[w.first[lo]:w.first[hi]])
+        text, word = pairs // len(w.bucket), pairs % len(w.bucket)
+        np.add.at(held_words, (labels[text], w.bucket[word]), 1)
+        gram, owner = Network.grams_of(w, word)
+        pairs = np.unique(text[owner] << GRAM_BITS | gram)
+        np.add.at(held_grams, (labels[pairs >> GRAM_BITS], pairs & ((1 << GRAM_BITS) - 1)), 1)
     totals = np.bincount(labels, minlength=2)
-
-    def odds(rows, bits):
-        held = [np.bincount(rows[labels[owner] == c], minlength=1 << bits) for c in (0, 1)]
-        return np.log((held[1] + 0.3) / (totals[1] + 1)) - np.log((held[0] + 0.3) / (totals[0] + 1))
-
-    owner = text
-    by_word = odds(w.bucket[word], WORD_BITS)
-    lo, hi = np.searchsorted(w.gram_word, word), np.searchsorted(w.gram_word, word, side="right")
-    many = hi - lo
-    gram = w.grams[np.repeat(lo, many) + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)]
-    pairs = np.unique(np.repeat(text, many) * (1 << GRAM_BITS) + gram)
-    owner = pairs >> GRAM_BITS
-    return by_word, odds(pairs & ((1 << GRAM_BITS) - 1), GRAM_BITS)
+    rate = lambda held, c: 1 + 300 * held[c] / max(1, totals[c])  # noqa: E731  a row that few texts hold says little
+    odds = lambda held: np.log(rate(held, 1) / rate(held, 0))
+    return odds(held_words), odds(held_grams)
 
 
 def train(rows: list[tuple[str, int]], seed: int = 11) -> Network:
@@ -244,8 +241,8 @@ def train(rows: list[tuple[str, int]], seed: int = 11) -> Network:
     normal = lambda *shape: rng.standard_normal(shape).astype(np.float32)
     by_word, by_gram = _log_odds(w, labels)
     net = Network(normal(1 << WORD_BITS, DIM) * 0.05, normal(1 << GRAM_BITS, DIM) * 0.05)
-    net.word[:, 0] = np.clip(by_word / 4, -0.5, 2)
-    net.gram[:, 1] = np.clip(by_gram / 4, -0.5, 2)
+    net.word[:, 0] = np.clip(by_word / 3, -0.5, 2)
+    net.gram[:, 1] = np.clip(by_gram / 3, -0.5, 2)
     net.dense = {"wx": normal(DIM, 6 * HIDDEN) * 0.4, "bx": np.zeros(6 * HIDDEN, np.float32), "u0": normal(HIDDEN, 3 * HIDDEN) * 0.3,
                  "u1": normal(HIDDEN, 3 * HIDDEN) * 0.3, "wa": normal(2 * HIDDEN, ATTEND) * 0.3, "va": normal(ATTEND) * 0.3,
                  "w": normal(2 * HIDDEN) * 0.3, "b": np.zeros(1, np.float32)}
@@ -275,9 +272,9 @@ def train(rows: list[tuple[str, int]], seed: int = 11) -> Network:
                     first_moment[k] += 0.1 * (g[k] - first_moment[k])
                     second_moment[k] += 0.01 * (g[k] ** 2 - second_moment[k])
                     v -= (RATE * (first_moment[k] / (1 - 0.9 ** step)) / (np.sqrt(second_moment[k] / (1 - 0.99 ** step)) + 1e-8)).astype(np.float32)
-                np.subtract.at(net.word, w.bucket[used], 2.0 * dvec)
+                np.subtract.at(net.word, w.bucket[used], VECTOR_RATE * dvec)
                 gram, word = net.grams_of(w, used)
-                np.subtract.at(net.gram, gram, 2.0 * dvec[word] * w.gram_share[used][word][:, None].astype(np.float32))
+                np.subtract.at(net.gram, gram, VECTOR_RATE * dvec[word] * w.gram_share[used][word][:, None].astype(np.float32))
         scores = net.logits(w, begin, n)
     best = np.full(len(labels), -np.inf)
     np.maximum.at(best, text, scores)
@@ -301,8 +298,7 @@ def text_scores(net: Network, column: pa.Array) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -> Network | None:
-    rows = sample(docs, labels, "toxic", fold(folds) != held_out, PER_CLASS, MAX_BYTES)
-    return train(rows) if len({y for _, y in rows}) == 2 else None
+    return fit_in_task(sample(docs, labels, "toxic", fold(folds) != held_out, PER_CLASS, MAX_BYTES), train)
 
 
 def with_score(docs: DataFrame, net: Network | None, out: str = "score") -> DataFrame:
