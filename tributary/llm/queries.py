@@ -41,9 +41,9 @@ b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 win AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS s
         FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0),
 sizes AS (SELECT DISTINCT n FROM win),
-at AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+spots AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
        FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS t(i)),
-hits AS (SELECT a.* FROM at a SEMI JOIN win USING (n, s)),
+hits AS (SELECT a.* FROM spots a SEMI JOIN win USING (n, s)),
 pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + n)) AS t(p) GROUP BY doc_id),
 found AS (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits JOIN win USING (n, s)),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM found GROUP BY doc_id)
