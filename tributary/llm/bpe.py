@@ -32,6 +32,10 @@ from tributary.llm.common import slices
 from tributary.llm.pretokens import Memory
 
 
+# Matches in each of the two generations that a worker remembers.
+GENERATION = 120_000
+
+
 def read_ranks(path: str) -> list[bytes]:
     """Byte strings by rank, of a file with a base64 token and its rank a line."""
     with open(path, "rb") as lines:
@@ -94,7 +98,7 @@ class Codec:
         back = {c: b for b, c in enumerate(chars)}
         self.token = [bytes(back[c] for c in self.processor.id_to_piece(i)) for i in range(self.processor.get_piece_size() - 1)]
         self.rank = {t: i for i, t in enumerate(self.token)}
-        self.memory = Memory(self._ids, pattern)
+        self.memory = Memory(self._ids, pattern, GENERATION)
 
     def _ids(self, matches: list[str]) -> list[list[int]]:
         raw = [m.encode() for m in matches]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tributary.session import cut_lineage
 
 # Text held by one numpy pass; a single longer text is a pass of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -81,7 +81,7 @@ def _powers(base: np.uint64, n: int, kept: dict = {}) -> np.ndarray:  # noqa: B0
         table = np.full(size, base, np.uint64)
         table[0] = 1
         np.multiply.accumulate(table, out=table)
-        if size <= 4 * SLICE_BYTES:
+        if size <= SLICE_BYTES + 1:
             kept[int(base)] = table
     return table
 

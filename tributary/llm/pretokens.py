@@ -9,9 +9,6 @@ from itertools import chain
 
 import regex
 
-# Matches in each of the two generations that a worker keeps.
-GENERATION = 400_000
-
 # The public byte-level pattern, and the same for characters below
 # U+0250 in the syntax of the faster standard module.  There its classes differ
 # from the pattern's only at the separators 1C-1F and the numbers that aren't
@@ -35,14 +32,14 @@ class Memory:
     """Packed ids of matches.  When a generation is full, it becomes the old
     one and a new one begins; what is met again moves over."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], pattern: str):
-        self.encode, self.find = encode, splitter(pattern)
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], pattern: str, generation: int):
+        self.encode, self.find, self.generation = encode, splitter(pattern), generation
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def many(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.new) > GENERATION:
+        if len(self.new) > self.generation:
             self.new, self.old = {}, self.new
         matches = [*map(self.find, texts)]
         missing = set(chain.from_iterable(matches)) - self.new.keys()

@@ -45,6 +45,8 @@ from tributary.session import checkpoint_dir
 # Magic numbers of the public zstandard seekable format.
 SKIPPABLE, SEEK_FRAME, SEEK_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 
+# Matches in each of the two generations that a worker remembers.
+GENERATION = 400_000
 FILE_TEXT_BYTES = 64 << 20
 MANIFEST = "file string, first_doc long, docs long, tokens long"
 READ_BYTES = 8 << 20
@@ -64,7 +66,7 @@ def text_encoder(definition: str, pattern: str) -> Memory:
     def ids(matches: list[str]) -> list[list[int]]:
         return [[t.id for t in model.tokenize(m.encode().decode("latin-1").translate(chars))] for m in matches]
 
-    return Memory(ids, pattern)
+    return Memory(ids, pattern, GENERATION)
 
 
 _ENCODERS: dict[int, Memory] = {}

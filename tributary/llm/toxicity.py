@@ -55,6 +55,7 @@ class Words:
     grams: np.ndarray        # n-gram rows of the different words, in order
     gram_word: np.ndarray    # the word that an n-gram is of
     gram_share: np.ndarray   # one over the number of n-grams, by word
+    hash: np.ndarray         # of each different word
 
 
 def words_of(column: pa.Array) -> Words:
@@ -78,7 +79,22 @@ def words_of(column: pa.Array) -> Words:
     order = np.argsort(owner, kind="stable")
     gram, owner = gram[order], owner[order]
     count = np.bincount(owner, minlength=len(different))
-    return Words(ids.astype(np.int64).ravel(), first, (different >> np.uint64(64 - WORD_BITS)).astype(np.int64), gram, owner, 1 / np.maximum(count, 1))
+    return Words(ids.astype(np.int64).ravel(), first, (different >> np.uint64(64 - WORD_BITS)).astype(np.int64), gram, owner, 1 / np.maximum(count, 1), different)
+
+
+def merged(parts: list[Words]) -> Words:
+    """One run of texts out of several, with common ids."""
+    base = np.cumsum([0] + [len(p.hash) for p in parts])
+    different, where, back = np.unique(np.concatenate([p.hash for p in parts]), return_index=True, return_inverse=True)
+    back = back.ravel()
+    word = np.concatenate([p.gram_word + b for p, b in zip(parts, base, strict=False)])
+    mine = where[back[word]] == word
+    gram, owner = np.concatenate([p.grams for p in parts])[mine], back[word[mine]]
+    order = np.argsort(owner, kind="stable")
+    first = np.concatenate([[0], *(np.diff(p.first) for p in parts)]).cumsum()
+    return Words(np.concatenate([back[p.ids + b] for p, b in zip(parts, base, strict=False)]), first,
+                 np.concatenate([p.bucket for p in parts])[where], gram[order], owner[order],
+                 np.concatenate([p.gram_share for p in parts])[where], different)
 
 
 def windows_of(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -235,7 +251,8 @@ def _log_odds(w: Words, labels: np.ndarray, block: int = 200) -> tuple[np.ndarra
 
 def train(rows: list[tuple[str, int]], seed: int = 11) -> Network:
     rng = np.random.default_rng(seed)
-    w = words_of(pa.array([t for t, _ in rows], pa.string()))
+    texts = pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows], pa.string())], names=["text"])
+    w = merged([words_of(b.column("text")) for b in slices(iter([texts]), "text")])
     labels = np.array([y for _, y in rows])
     text, begin, n = windows_of(w.first)
     normal = lambda *shape: rng.standard_normal(shape).astype(np.float32)
