@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import struct
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from tributary.llm.pretokens import Memory
 
 
 # Matches in each of the two generations that a worker remembers.
-GENERATION = 120_000
+GENERATION = 150_000
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -149,9 +150,23 @@ def decode(df: DataFrame, model, pattern: str, ids: str = "token_ids", out: str
     return df.withColumn(out, raw(F.col(ids)))
 
 
+def round_trip(df: DataFrame, model, pattern: str) -> DataFrame:
+    """doc_id, token_ids and decoded of each text, by one worker a task that
+    forgets its matches at the task's end."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(model, pattern)
+        for part in slices(batches, "text"):
+            ids = codec.memory.many(part.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary()), pa.array(map(codec.decode, ids), pa.binary())],
+                                             names=["doc_id", "token_ids", "decoded"])
+        codec.memory.forget()
+
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")) \
+        .mapInArrow(run, "doc_id long, token_ids binary, decoded binary")
+
+
 def digests(df: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every text."""
-    model = load(df.sparkSession, path)
-    coded = decode(encode(df.select("doc_id", "text"), model, pattern), model, pattern)
+    coded = round_trip(df, load(df.sparkSession, path), pattern)
     return coded.select("doc_id", (F.length("token_ids") / 4).cast("long").alias("n_tokens"),
                         F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -3,6 +3,7 @@ views of text columns, vectorised span hashes, and shared-folder staging."""
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Iterator
 
@@ -16,6 +17,7 @@ from tributary.session import cut_lineage
 # Text held by one numpy pass; a single longer text is a pass of its own.
 SLICE_BYTES = 1 << 20
 
+_LIBC = ctypes.CDLL(None)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -72,6 +74,13 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             end = min(max(end, at + 1), batch.num_rows)
             yield batch.slice(at, end - at)
             at = end
+    release()
+
+
+def release() -> None:
+    """Give freed memory back to the system, which a reused worker keeps otherwise."""
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
 
 
 def _powers(base: np.uint64, n: int, kept: dict = {}) -> np.ndarray:  # noqa: B006 - one table per worker

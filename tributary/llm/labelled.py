@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.common import release
+
 
 def fold(folds: int) -> Column:
     """crc32 of doc_id as text, modulo ``folds`` (a null id counts as an empty text)."""
@@ -39,6 +41,8 @@ def fit_in_task(rows: DataFrame, train: Callable[[list[tuple[str, int]]], object
         held = sorted({r for b in batches for r in zip(b.column("text").to_pylist(), b.column("label").to_pylist(), strict=True)})
         model = train(held) if len({y for _, y in held}) > 1 else None
         yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(model)]})
+        del held, model
+        release()
 
     made = rows.repartition(1).mapInArrow(run, "model binary").collect()
     return pickle.loads(made[0].model) if made else None

@@ -49,3 +49,6 @@ class Memory:
             self.new.update(zip(rest, (array("I", ids).tobytes() for ids in self.encode(rest)), strict=True))
         get = self.new.__getitem__
         return [b"".join(map(get, found)) for found in matches]
+
+    def forget(self) -> None:
+        self.new, self.old = {}, {}

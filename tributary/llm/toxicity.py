@@ -40,7 +40,7 @@ WORD_BITS, GRAM_BITS, DIM, HIDDEN, ATTEND = 16, 16, 12, 8, 8
 NGRAMS = (3, 4, 5)
 # Bounds of the training sample: rows of each class, bytes of a text.
 PER_CLASS = {0: 4000, 1: 1500}
-MAX_BYTES = 20_000
+MAX_BYTES = 10_000
 ROUNDS, EPOCHS, BATCH, RATE, VECTOR_RATE = 3, 2, 128, 0.01, 0.5
 
 IS_WORD = np.array([48 <= b <= 57 or 97 <= b <= 122 or b >= 128 for b in range(256)])
@@ -65,7 +65,7 @@ def words_of(column: pa.Array) -> Words:
     spans = SpanHash(buf)
     hashes = spans(starts, ends) if len(starts) else np.zeros(0, np.uint64)
     different, where, ids = np.unique(hashes, return_index=True, return_inverse=True)
-    grams, owner = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    grams, owner = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
     a, size = starts[where], (ends - starts)[where]
     for n in NGRAMS:
         many = np.maximum(size - n + 1, 0)
@@ -73,8 +73,8 @@ def words_of(column: pa.Array) -> Words:
         inner = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
         at = a[word] + inner
         h = mix(spans(at, at + n) + np.where(inner == 0, np.uint64(n + 100), np.uint64(n)))
-        grams.append((h >> np.uint64(64 - GRAM_BITS)).astype(np.int64))
-        owner.append(word)
+        grams.append((h >> np.uint64(64 - GRAM_BITS)).astype(np.int32))
+        owner.append(word.astype(np.int32))
     gram, owner = np.concatenate(grams), np.concatenate(owner)
     order = np.argsort(owner, kind="stable")
     gram, owner = gram[order], owner[order]
@@ -87,9 +87,12 @@ def merged(parts: list[Words]) -> Words:
     base = np.cumsum([0] + [len(p.hash) for p in parts])
     different, where, back = np.unique(np.concatenate([p.hash for p in parts]), return_index=True, return_inverse=True)
     back = back.ravel()
-    word = np.concatenate([p.gram_word + b for p, b in zip(parts, base, strict=False)])
-    mine = where[back[word]] == word
-    gram, owner = np.concatenate([p.grams for p in parts])[mine], back[word[mine]]
+    grams, owners = [], []
+    for p, b in zip(parts, base, strict=False):
+        mine = where[back[p.gram_word + b]] == p.gram_word + b  # a word's n-grams come from its first run
+        grams.append(p.grams[mine])
+        owners.append(back[p.gram_word[mine] + b].astype(np.int32))
+    gram, owner = np.concatenate(grams), np.concatenate(owners)
     order = np.argsort(owner, kind="stable")
     first = np.concatenate([[0], *(np.diff(p.first) for p in parts)]).cumsum()
     return Words(np.concatenate([back[p.ids + b] for p, b in zip(parts, base, strict=False)]), first,
@@ -113,13 +116,10 @@ class Network:
     gram: np.ndarray
     dense: dict[str, np.ndarray] = field(default_factory=dict)
 
-    def inputs(self, w: Words) -> np.ndarray:
-        """The input vector of each different word."""
-        chars = np.zeros((len(w.bucket), DIM), np.float32)
-        if len(w.grams):
-            has = np.flatnonzero(np.diff(w.gram_word, prepend=-1))
-            chars[w.gram_word[has]] = np.add.reduceat(self.gram[w.grams], has, axis=0)
-        return self.word[w.bucket] + chars * w.gram_share[:, None].astype(np.float32)
+    def inputs(self, w: Words, block: int = 8192) -> Iterator[tuple[int, np.ndarray]]:
+        """The input vectors of the different words, in blocks (first word, vectors)."""
+        for lo in range(0, len(w.bucket), block):
+            yield lo, self.some_inputs(w, np.arange(lo, min(lo + block, len(w.bucket))))
 
     def states(self, x: np.ndarray, n: np.ndarray, keep: bool = False):
         """Hidden states (T, N, 2H) of projected inputs (T, N, 6H): the first
@@ -158,8 +158,9 @@ class Network:
 
     def logits(self, w: Words, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
         """The logit of each window."""
-        projected = self.inputs(w) @ self.dense["wx"] + self.dense["bx"]
-        projected = np.concatenate([projected, np.zeros((1, 6 * HIDDEN), np.float32)]).astype(np.float32)
+        projected = np.zeros((len(w.bucket) + 1, 6 * HIDDEN), np.float32)  # the last row stands behind a text's end
+        for lo, vectors in self.inputs(w):
+            projected[lo:lo + len(vectors)] = vectors @ self.dense["wx"] + self.dense["bx"]
         ids = np.concatenate([w.ids, np.full(WINDOW, len(projected) - 1)])
         out = np.zeros(len(begin), np.float32)
         order = np.argsort(n, kind="stable")
@@ -218,9 +219,12 @@ class Network:
         return g, used, dvec
 
     def some_inputs(self, w: Words, used: np.ndarray) -> np.ndarray:
-        out = self.word[w.bucket[used]].copy()
+        out = self.word[w.bucket[used]]
         gram, word = self.grams_of(w, used)
-        np.add.at(out, word, self.gram[gram] * w.gram_share[used][word][:, None].astype(np.float32))
+        if len(gram):
+            has = np.flatnonzero(np.diff(word, prepend=-1))
+            share = w.gram_share[used[word[has]]].astype(np.float32)
+            out[word[has]] += np.add.reduceat(self.gram[gram], has, axis=0) * share[:, None]
         return out
 
     @staticmethod
@@ -266,10 +270,11 @@ def train(rows: list[tuple[str, int]], seed: int = 11) -> Network:
     first_moment = {k: np.zeros_like(v) for k, v in net.dense.items()}
     second_moment = {k: np.zeros_like(v) for k, v in net.dense.items()}
     step = 0
-    value = net.inputs(w)[:, :2].sum(1)
-    padded = np.concatenate([value[w.ids], np.full(WINDOW, -9.0)])
-    inside = np.where(np.arange(WINDOW)[:, None] < n, padded[begin + np.arange(WINDOW)[:, None]], -9.0)
-    scores = inside.max(0)
+    value = np.concatenate([v[:, :2].sum(1) for _, v in net.inputs(w)])
+    padded = np.concatenate([value[w.ids], np.full(WINDOW, -9, np.float32)])
+    scores = np.full(len(begin), -9, np.float32)
+    for k in range(WINDOW):
+        np.maximum(scores, np.where(k < n, padded[begin + k], np.float32(-9)), out=scores)
     for _ in range(ROUNDS):
         order = np.lexsort((-scores, text))
         top = order[np.flatnonzero(np.diff(text[order], prepend=-1))]
