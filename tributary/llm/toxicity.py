@@ -41,7 +41,7 @@ NGRAMS = (3, 4, 5)
 # Bounds of the training sample: rows of each class, bytes of a text.
 PER_CLASS = {0: 4000, 1: 1500}
 MAX_BYTES = 10_000
-ROUNDS, EPOCHS, BATCH, RATE, VECTOR_RATE = 3, 2, 128, 0.01, 0.5
+ROUNDS, EPOCHS, BATCH, RATE, VECTOR_RATE, STEPS = 3, 2, 128, 0.01, 0.5, 100
 
 IS_WORD = np.array([48 <= b <= 57 or 97 <= b <= 122 or b >= 128 for b in range(256)])
 
@@ -281,7 +281,7 @@ def train(rows: list[tuple[str, int]], seed: int = 11) -> Network:
         more = rng.permutation(len(text))
         more = more[np.unique(text[more], return_index=True)[1]]
         chosen = np.concatenate([top, more[labels[text[more]] == 0]])
-        for _ in range(EPOCHS):
+        for _ in range(max(EPOCHS, -(-STEPS * BATCH // len(chosen)))):  # small samples take more turns
             rng.shuffle(chosen)
             for lo in range(0, len(chosen), BATCH):
                 part = chosen[lo:lo + BATCH]
