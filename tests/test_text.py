@@ -49,18 +49,6 @@ def test_metadata_rule_uses_own_paragraph_text():
     assert extract_container(h, None, None, "article", True) == "<p>kept one</p><p>kept two</p>"
 
 
-def test_first_image_rules():
-    from tributary.operators.html import first_image
-    page = ('<div class="nav"><img src="/logo.png"></div><div class="story-body">'
-            '<img src="/ad-banner.jpg"><img src="/small.jpg" width="50" height="50">'
-            '<img src="/photo.jpg" width="640" height="480"></div>')
-    assert first_image(page) == "/photo.jpg"
-    featured = '<main id="main"><figure class="Hero-Image"><img src="/hero.jpg"></figure><img src="/x.jpg"></main>'
-    assert first_image(featured) == "/hero.jpg"
-    assert first_image('<article><img src="/a.jpg" width="wide" height="9"></article>') is None
-    assert first_image("<p>no images</p>") is None
-
-
 def test_source_containers(spark):
     from tributary.operators.html import extract_text
     from tributary.plans import news as N

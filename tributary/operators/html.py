@@ -235,66 +235,6 @@ def extract_container(html: str | None, attr: str | None, value: str | None, tag
     return "\n\n".join(p for p in parts if p)
 
 
-# Image pick rules (content-area pattern, featured-image
-# classes in order, excluded source words, minimum side in pixels).
-CONTENT_AREA_PATTERN = r"article|content|main|story"
-FEATURED_IMAGE_CLASSES = ["featured-image", "hero-image", "main-image", "article-image"]
-EXCLUDED_SRC_PATTERN = r"(icon|avatar|logo|banner|ad)"
-MIN_IMAGE_SIDE = 100
-
-
-def _attr_matches(n: _Node, name: str, pattern: str) -> bool:
-    import re
-    v = _attr(n, name)
-    if v is None:
-        return False
-    values = v.split() if name == "class" else [v]
-    return any(re.search(pattern, x, re.IGNORECASE) for x in [*values, v])
-
-
-def _first(n: _Node, pred):
-    return next(_find_all(n, pred, outermost=False), None)
-
-
-def first_image(html: str | None, min_side: int = MIN_IMAGE_SIDE) -> str | None:
-    """The first meaningful image of an article.  Areas in turn: the
-    first element whose class, then id, looks like content, then the whole
-    page.  In an area, a featured-image class wins (the element itself if it
-    is an ``img`` with a source, else its first ``img``); otherwise the first
-    ``img`` whose source names no icon/avatar/logo/banner/ad and that is
-    either larger than ``min_side`` both ways or has no declared size.  A
-    size that is not a number gives no image."""
-    import re
-    if html is None:
-        return None
-    root = _parse(html)
-    try:
-        areas = [_first(root, lambda x: _attr_matches(x, "class", CONTENT_AREA_PATTERN)),
-                 _first(root, lambda x: _attr_matches(x, "id", CONTENT_AREA_PATTERN)), root]
-        for area in areas:
-            if area is None:
-                continue
-            for cls in FEATURED_IMAGE_CLASSES:
-                el = _first(area, lambda x, c=cls: _attr_matches(x, "class", c))
-                if el is not None and el.tag == "img" and _attr(el, "src"):
-                    return _attr(el, "src")
-                if el is not None:
-                    inner = _first(el, lambda x: x.tag == "img")
-                    if inner is not None and _attr(inner, "src"):
-                        return _attr(inner, "src")
-            for img in _find_all(area, lambda x: x.tag == "img", outermost=False):
-                src = _attr(img, "src") or ""
-                if src and not re.search(EXCLUDED_SRC_PATTERN, src, re.IGNORECASE):
-                    w, h = _attr(img, "width"), _attr(img, "height")
-                    if w and h and int(w) > min_side and int(h) > min_side:
-                        return src
-                    if not w or not h:
-                        return src
-        return None
-    except ValueError:
-        return None
-
-
 def clean_pages(pages: DataFrame, html_col: str = "html", out_col: str = "content") -> DataFrame:
     """N2 job: cleaned markup per row (``mapInPandas``), then rows left
     empty are dropped and the queue columns are set (Column expressions)."""
@@ -330,17 +270,3 @@ def extract_text(pages: DataFrame, containers: DataFrame, html_col: str = "html"
             yield out
 
     return j.mapInPandas(run, schema)
-
-
-def first_images(pages: DataFrame, html_col: str = "html", out_col: str = "image_url",
-                 min_side: int = MIN_IMAGE_SIDE) -> DataFrame:
-    schema = T.StructType(pages.schema.fields + [T.StructField(out_col, T.StringType())])
-
-    def run(batches):
-        for pdf in batches:
-            pdf = pdf.copy()
-            pdf[out_col] = [first_image(h, min_side) for h in pdf[html_col]]
-            yield pdf
-
-    return pages.mapInPandas(run, schema)
-

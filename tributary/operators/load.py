@@ -36,15 +36,15 @@ def append_above_watermark(target: DataFrame, new: DataFrame, col: str) -> DataF
 
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str],
            update_cols: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
-    """K2/K3: insert new keys; for existing keys set ``update_cols`` (all
-    non-key columns by default) to the incoming values, keep the others.
+    """K2/K3: insert new keys; for existing keys set ``update_cols`` (by
+    default the non-key columns that ``updates`` has) to the incoming values, keep the others.
 
     ``updates`` is first reduced to one row per key (first in ``order``;
     any one row when no order is given), as the reference's loader does
     before its INSERT ... ON CONFLICT - a key twice in one load would
     otherwise update a row twice."""
     non_keys = [c for c in target.columns if c not in keys]
-    update_cols = non_keys if update_cols is None else list(update_cols)
+    update_cols = [c for c in non_keys if c in updates.columns] if update_cols is None else list(update_cols)
     if order:
         updates = keep_first(updates, keys, order)
     else:

@@ -22,11 +22,16 @@ def one_way_anova(df: DataFrame, group: str, value: str) -> DataFrame:
     """M1: F statistic and p-value of a one-way ANOVA over the groups."""
     d = drop_null_keys(df, [group]).filter(F.col(value).isNotNull())
     v = F.col(value).cast("double")
-    g = d.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.sum(v).alias("s"), F.sum(v * v).alias("ss"))
-    t = g.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("N"), F.sum("s").alias("S"), F.sum("ss").alias("SS"),
-              F.sum(F.col("s") * F.col("s") / F.col("n")).alias("between_raw"))
-    ssb = F.col("between_raw") - F.col("S") * F.col("S") / F.col("N")
-    ssw = F.col("SS") - F.col("between_raw")
+    g = d.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg(v).alias("m"), F.var_pop(v).alias("v"))
+    # Sums of squares about means: plain sums of squares cancel for large values.
+    spread = F.col("n") * F.col("v")
+    t = g.agg(F.count(F.lit(1)).alias("k"), F.sum("n").cast("long").alias("N"), F.sum(spread).alias("within"),
+              F.array_agg(F.struct("n", "m")).alias("means"))
+    grand = F.aggregate("means", F.lit(0.0), lambda a, x: a + (x["m"] - F.col("means")[0]["m"]) * x["n"]) / F.col("N")
+    ssb = F.aggregate("means", F.lit(0.0),
+                      lambda a, x: a + x["n"] * F.pow(x["m"] - F.col("means")[0]["m"] - F.col("grand"), F.lit(2.0)))
+    t = t.withColumn("grand", grand).withColumn("between", ssb)
+    ssb, ssw = F.col("between"), F.col("within")
     d1, d2 = F.col("k") - 1, F.col("N") - F.col("k")
     f = F.try_divide(ssb / d1, ssw / d2)
     p = F.when(F.col("k") == 3, F.pow(F.lit(1.0) + 2.0 * f / d2, -d2 / 2.0))

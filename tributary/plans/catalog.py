@@ -27,31 +27,9 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-# Inputs smaller than this are never spread (dimension tables).
-SPREAD_MIN_BYTES = 1 << 20
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one table.  A large file stored as a single row group scans as
-    one task, which would serialise all work before the first shuffle; when
-    the scan yields fewer splits than half the session's parallelism, the
-    rows are spread round-robin over that parallelism.  On a cluster the
-    inputs are many files and row groups and this never triggers."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    try:
-        par = spark.sparkContext.defaultParallelism
-        jvm = spark._jvm
-        hp = jvm.org.apache.hadoop.fs.Path(path)
-        size = hp.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(hp).getLength()
-        conf = str(spark.conf.get("spark.sql.files.maxPartitionBytes", str(128 << 20)))
-        split = int(conf) if conf.isdigit() else 128 << 20
-    except Exception:  # noqa: BLE001 - size or parallelism unknown: leave the scan as it is
-        return df
-    splits = max(1, -(-size // split))
-    if size >= SPREAD_MIN_BYTES and splits * 2 <= par:
-        df = df.repartition(par)
-    return df
+    """Read one table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def load_all() -> None:

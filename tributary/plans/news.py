@@ -104,9 +104,14 @@ def search(df: DataFrame, q: str, limit: int = 10) -> DataFrame:
              .orderBy(F.col("published_at").desc(), F.col("id").desc()).limit(limit)
 
 
+def _check_size(size: int) -> None:
+    if not 1 <= size <= 100:
+        raise ValueError(f"page size {size} is not in 1..100")
+
+
 def page(df: DataFrame, page_no: int, size: int = 20) -> DataFrame:
     """translated rows, newest first, rows (p-1)*s .. p*s-1 (s <= 100)."""
-    size = min(size, 100)
+    _check_size(size)
     return df.filter(F.col("translation_status") == TRANSLATED) \
              .orderBy(F.col("published_at").desc(), F.col("id").desc()) \
              .offset((page_no - 1) * size).limit(size)
@@ -120,7 +125,7 @@ def page_after(df: DataFrame, after_us: int | None, after_id: int | None, size:
     (published_at as epoch microseconds - zone independent - and id) of
     the previous page's last row, newest first.  A filter on the key plus a
     top-k: the work does not grow with the page number, unlike an offset."""
-    size = min(size, 100)
+    _check_size(size)
     d = df.filter(F.col("translation_status") == TRANSLATED).withColumn("page_key_us", F.expr(PUBLISHED_US))
     if after_us is not None:
         k, i = F.col("page_key_us"), F.lit(after_id)

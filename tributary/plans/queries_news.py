@@ -213,13 +213,6 @@ def image_link(spark, sf):
     return p.select("page_id", F.coalesce(thumb, first_image_link(links)).alias("image_url"))
 
 
-@query("page_images")
-def page_images(spark, sf):
-    """First article image by class/size rules (pages without images
-    give null)."""
-    return H.first_images(table(spark, sf, "pages")).select("page_id", "image_url")
-
-
 @query("related_top5_approx")
 def related_top5_approx(spark, sf):
     """C6 at scale: LSH candidates scored exactly (approximate recall; the

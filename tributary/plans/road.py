@@ -116,12 +116,14 @@ def traffic_objects(stg: DataFrame) -> DataFrame:
     One ``groupBy`` with partial aggregation computes the averages, maxima
     and both end points (``min_by``/``max_by`` over a packed fixed-width
     (time, uuid) key, so it stays a hash aggregate), where the reference
-    ranks twice and joins three relations.  Rows without a zone never
-    reach the mart (the reference's inner join drops them)."""
+    ranks twice and joins three relations.  Rows that lack the date,
+    object, class or zone never reach the mart (the reference's inner joins
+    drop them)."""
     g = _summary(stg, aggs=[F.avg("confidence").alias("confidence"), F.max("speed_kmh").alias("speed_kmh")])
-    # Null-zone groups are dropped after the aggregation: filtering before it
+    # Groups with a null key are dropped after the aggregation: filtering before it
     # would make the optimizer parse the JSON twice per row.
-    g = g.filter(F.col("zone_name").isNotNull())
+    for key in ("date_utc", "object_id", "class", "zone_name"):
+        g = g.filter(F.col(key).isNotNull())
     ang = direction_angle("first_center_x", "first_center_y", "last_center_x", "last_center_y")
     return g.select("date_utc", "time_utc", "object_id", "class",
                     F.bround("confidence", 6).alias("confidence"),

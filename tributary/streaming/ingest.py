@@ -30,7 +30,7 @@ def file_stream(spark: SparkSession, folder: str, name: str, schema: T.StructTyp
     return r.load(pattern)
 
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str, fail_on_data_loss: bool = False) -> DataFrame:
+def kafka_stream(spark: SparkSession, servers: str, topic: str, fail_on_data_loss: bool = True) -> DataFrame:
     """A5 source: subscribe from the earliest offsets (needs the Kafka
     package on the classpath)."""
     return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)

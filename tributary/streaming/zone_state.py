@@ -69,7 +69,8 @@ def _step_fn(gap: float, min_t: float, max_t: float, timeout_ms: int):
             else None
         state.update((float(t[-1]), bool(inside[-1]), None if end_entry is None else float(end_entry),
                       float(speed[-1])))
-        state.setTimeoutTimestamp(int(pdf["ts"].max().timestamp() * 1000) + timeout_ms)
+        # A late batch's own time may lie below the watermark, which a timeout must exceed.
+        state.setTimeoutTimestamp(max(int(pdf["ts"].max().timestamp() * 1000) + timeout_ms, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({"object_id": pdf["object_id"], "zone_name": pdf["zone_name"], "event_id": pdf["event_id"],
                             "ts": pdf["ts"], "new_track": new_track, "entry": entry, "exit": leave,
                             "exit_speed": np.where(leave, exit_speed, np.nan), "speed_kmh": speed})
