@@ -42,10 +42,9 @@ class Memory:
         if len(self.new) > self.generation:
             self.new, self.old = {}, self.new
         matches = [*map(self.find, texts)]
-        missing = set(chain.from_iterable(matches)) - self.new.keys()
-        for m in missing & self.old.keys():
-            self.new[m] = self.old[m]
-        if rest := [*(missing - self.new.keys())]:
+        missing = set(chain.from_iterable(matches)).difference(self.new)  # a dict, not its view: looks up the few
+        self.new.update((m, self.old[m]) for m in missing if m in self.old)
+        if rest := [*missing.difference(self.new)]:
             self.new.update(zip(rest, (array("I", ids).tobytes() for ids in self.encode(rest)), strict=True))
         get = self.new.__getitem__
         return [b"".join(map(get, found)) for found in matches]
