@@ -99,7 +99,7 @@ def approx_related(vectors: DataFrame, id_col: str, vec_col: str, k: int = 5, mi
 
     max_dist = math.sqrt(max(0.0, 2.0 - 2.0 * min_score))
     norm = F.sqrt(F.aggregate(F.col(vec_col), F.lit(0.0), lambda a, x: a + x * x))
-    unit = F.transform(F.col(vec_col), lambda x: F.try_divide(x, norm))
+    unit = F.transform(F.col(vec_col), lambda x: x / F.when(norm > 0, norm).otherwise(F.lit(1.0)))
     u = vectors.filter(norm > 0).select(F.col(id_col).cast("long").alias("id"), array_to_vector(unit).alias("features"))
     model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length,
                                         numHashTables=tables, seed=7).fit(u)
