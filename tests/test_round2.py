@@ -1,12 +1,25 @@
 """Cases that earlier forms got wrong: silent page cap, columns wiped by a
-partial upsert, null mart keys, cancelling sums of squares, zero vectors."""
+partial upsert, null mart keys, cancelling sums of squares, zero vectors,
+swapped CSV columns, cut-off swaps, exact duplicates, late first copies."""
+
+import os
+import uuid
 
 import pytest
+from pyspark.sql import types as T
 
-from tributary.operators.load import upsert
+from tributary.operators.checks import duplicate_rows
+from tributary.operators.load import create_if_missing, materialize, recover_swap, replace_partitions, upsert
 from tributary.operators.similarity import approx_related
 from tributary.operators.stats import one_way_anova
 from tributary.plans import news
+from tributary.session import checkpoint_dir
+from tributary.sources.readers import read_platform_csvs
+from tributary.streaming.ingest import dedup_sink, upsert_sink
+
+
+def _base(spark):
+    return f"{checkpoint_dir(spark).removeprefix('file:')}/r2_{uuid.uuid4().hex}"
 
 
 def test_page_size_over_the_limit_raises(spark):
@@ -36,3 +49,72 @@ def test_zero_vector_is_left_out(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.9, 0.1]), (3, [0.0, 0.0])], "vec_id long, embedding array<double>")
     rows = approx_related(df, "vec_id", "embedding", k=2).collect()
     assert all(3 not in r for r in map(tuple, rows))
+
+
+def test_swap_cut_off_between_renames_is_recovered(spark):
+    path = f"{_base(spark)}/t"
+    materialize(spark, spark.range(5), path)
+    os.rename(path, f"{path}.__old_{uuid.uuid4().hex}")  # stopped here: no table at path
+    assert create_if_missing(spark, path, "id long").count() == 5
+    os.rename(path, f"{path}.__old_{uuid.uuid4().hex}")
+    materialize(spark, spark.range(3), path)
+    assert spark.read.parquet(path).count() == 3
+    assert [n for n in os.listdir(os.path.dirname(path)) if "__old_" in n] == []
+
+
+def test_partition_swap_cut_off_is_recovered(spark):
+    path = f"{_base(spark)}/t"
+    rows = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "b", 1)], "id int, p string, v int")
+    rows.write.partitionBy("p").parquet(path)
+    os.rename(f"{path}/p=b", f"{path}.__old_{uuid.uuid4().hex}_p=b")
+    assert recover_swap(spark, path) == ["p=b"]
+    assert replace_partitions(spark, spark.createDataFrame([(3, "b", 9)], rows.schema), path, ["id"], "p") == ["p=b"]
+    assert sorted((r.id, r.v) for r in spark.read.parquet(path).collect()) == [(1, 1), (2, 2), (3, 9)]
+
+
+def test_exact_duplicates_and_null_order_values(spark):
+    rows = [(1, "a"), (1, "a"), (1, "b"), (2, None), (None, "c"), (None, "c")]
+    df = spark.createDataFrame(rows, "k int, o string")
+    got = sorted(map(tuple, duplicate_rows(df, ["k"], ["o"]).collect()), key=str)
+    assert got == sorted([(1, "a"), (1, "b"), (None, "c")], key=str)
+    assert duplicate_rows(df.limit(0), ["k"], ["o"]).count() == 0
+
+
+def test_csv_columns_are_matched_by_name_in_each_file(spark):
+    base = _base(spark)
+    os.makedirs(f"{base}/x")
+    with open(f"{base}/x/x_fake_data_1.csv", "w") as f:
+        f.write("Day,Ad Group,Clicks\n2024-01-01,one,377.0\n2024-01-02,,\n")
+    with open(f"{base}/x/x_fake_data_2.csv", "w") as f:
+        f.write("\ufeffclicks,ad group,day\n5,two,2024-01-03\n")
+    schema = T.StructType().add("day", T.DateType()).add("ad_group", T.StringType()).add("clicks", T.IntegerType())
+    got = read_platform_csvs(spark, base, "x", schema).orderBy("day").collect()
+    assert [(str(r.day), r.ad_group, r.clicks) for r in got] == [
+        ("2024-01-01", "one", 377), ("2024-01-02", None, None), ("2024-01-03", "two", 5)]
+    with open(f"{base}/x/x_fake_data_3.csv", "w") as f:
+        f.write("day,ad group,clicks\n2024-01-04,three,3.5\n")
+    with pytest.raises(Exception, match="not a int"):
+        read_platform_csvs(spark, base, "x", schema).collect()
+    assert read_platform_csvs(spark, base, "none", schema) is None
+
+
+def test_late_first_copies_stay(spark):
+    base = _base(spark)
+    for i, rows in enumerate([[(3, "2024-03-01", "n")], [(1, "2024-01-01", "old"), (3, "2024-03-01", "n")],
+                              [(2, "2023-01-01", "older"), (2, "2023-01-01", "older"), (None, "2022-01-01", "x")]]):
+        spark.createDataFrame(rows, "id int, ts string, v string").coalesce(1).write.parquet(f"{base}/in/part{i}")
+    def run(ck):
+        df = spark.readStream.schema("id int, ts string, v string").option("maxFilesPerTrigger", 1).parquet(f"{base}/in/part*")
+        dedup_sink(df, f"{base}/out", ["id"], f"{base}/{ck}", order=["ts"]).awaitTermination()
+        return sorted((r.id or 0, r.v) for r in spark.read.parquet(f"{base}/out").collect())
+    assert run("a") == [(0, "x"), (1, "old"), (2, "older"), (3, "n")]
+    assert run("b") == [(0, "x"), (1, "old"), (2, "older"), (3, "n")]  # the same rows loaded again
+
+
+def test_upsert_sink_sends_null_keys_to_rejects(spark):
+    base = _base(spark)
+    spark.createDataFrame([(1, "a"), (None, "b"), (None, "c")], "id int, v string").write.parquet(f"{base}/in")
+    df = spark.readStream.schema("id int, v string").parquet(f"{base}/in")
+    upsert_sink(df, f"{base}/t", ["id"], f"{base}/ck").awaitTermination()
+    assert [tuple(r) for r in spark.read.parquet(f"{base}/t").collect()] == [(1, "a")]
+    assert sorted(r.v for r in spark.read.parquet(f"{base}/t__rejects").collect()) == ["b", "c"]

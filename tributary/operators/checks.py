@@ -10,10 +10,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-__all__ = ["not_null_report", "unique_report", "table_report", "duplicate_rows", "not_empty_report",
-           "column_count_report", "check_report"]
+from tributary.session import cut_lineage
 
-REPORT_SCHEMA = "check string, table_name string, column_name string, failing_rows bigint"
+__all__ = ["not_null_report", "unique_report", "table_report", "duplicate_rows", "not_empty_report",
+           "check_report"]
 
 
 def not_null_report(df: DataFrame, table: str, cols: list[str] | None = None) -> DataFrame:
@@ -41,15 +41,16 @@ def unique_report(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
 
 def duplicate_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The rows pandas ``duplicated`` marks (every repeat after the first
-    in ``order``; ``keys + order`` must identify a row).
+    in ``order``, nulls first; of rows equal in ``keys + order`` one is kept).
 
-    The first row per key is a partial aggregate (``min`` of the order
-    struct); the repeats are the rows left after an anti join on
-    ``keys + order``.  That join hashes on all those columns, so a key
-    repeated in a third of the table is still spread over all tasks."""
-    first = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("__o"))
-    first = first.select(*keys, *[F.col(f"__o.{c}").alias(c) for c in order])
-    return df.join(first, on=[*keys, *order], how="left_anti")
+    Rows get an id in a written copy, so that it stays the same when read
+    twice.  The first row per key is a partial aggregate (``min`` of the
+    order columns and the id); the repeats are the rows left after an anti
+    join on the id alone, which spreads a key repeated in a third of the
+    table over all tasks.  Null keys form a key of their own, as in pandas."""
+    rows = cut_lineage(df.withColumn("__row", F.monotonically_increasing_id()))
+    first = rows.groupBy(*keys).agg(F.min(F.struct(*order, "__row")).alias("__o")).select(F.col("__o.__row").alias("__row"))
+    return rows.join(first, on="__row", how="left_anti").drop("__row")
 
 
 def not_empty_report(df: DataFrame, table: str) -> DataFrame:
@@ -60,12 +61,6 @@ def not_empty_report(df: DataFrame, table: str) -> DataFrame:
                         F.when(F.col("n") == 0, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("failing_rows"))
 
 
-def column_count_report(spark, df: DataFrame, table: str, expected: int) -> DataFrame:
-    """Schema check on metadata (no data read)."""
-    bad = 0 if len(df.columns) == expected else 1
-    return spark.createDataFrame([("column_count", table, str(len(df.columns)), bad)], REPORT_SCHEMA)
-
-
 def table_report(df: DataFrame, table: str, not_null_cols: list[str], unique_keys: list[str]) -> DataFrame:
     """J1 + J6 in one scan (null counts and the row count), J2/J3 in one
     partial aggregation: the checks of one table as report rows."""

@@ -1,30 +1,21 @@
 """Join helpers.
 
-Spark already plans equi, semi and anti joins; the helpers here add what
-the plans need at scale: broadcast only behind a size check, and
-one-row scalar thresholds as subqueries rather than cross joins."""
+Spark already plans equi, semi and anti joins and broadcasts a side that its
+own byte threshold admits, at planning or at run time; no helper hints it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-__all__ = ["sized_broadcast", "map_join", "ratio_join"]
-
-
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` when it has at most ``max_rows`` rows (checked by a
-    bounded probe: at most ``max_rows + 1`` rows are counted); otherwise
-    return it unchanged and let the planner shuffle both sides."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+__all__ = ["map_join", "ratio_join"]
 
 
 def map_join(df: DataFrame, mapping: DataFrame, on: str, value: str, out: str,
-             keep_unknown: bool = True, max_rows: int = 100_000) -> DataFrame:
+             keep_unknown: bool = True) -> DataFrame:
     """Recode ``on`` through a (key, value) table; unknown keys keep
     their own value (``keep_unknown``) or become null."""
-    m = sized_broadcast(mapping.select(F.col(on).alias("__k"), F.col(value).alias("__v")), max_rows)
+    m = mapping.select(F.col(on).alias("__k"), F.col(value).alias("__v"))
     j = df.join(m, df[on] == m["__k"], "left")
     res = F.coalesce(F.col("__v"), F.col(on)) if keep_unknown else F.col("__v")
     return j.withColumn(out, res).drop("__k", "__v")

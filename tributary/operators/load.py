@@ -9,6 +9,7 @@ path).  Every join here is on the table key, unique on each side after
 
 from __future__ import annotations
 
+import re as _re
 import uuid as _uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from tributary.operators.windows import keep_first
 
 __all__ = ["rows_above_watermark", "append_above_watermark", "upsert", "delete_insert",
-           "replace_partitions", "materialize", "create_if_missing", "load_summary"]
+           "replace_partitions", "materialize", "recover_swap", "create_if_missing", "load_summary"]
 
 
 def rows_above_watermark(target: DataFrame, new: DataFrame, col: str) -> DataFrame:
@@ -83,6 +84,7 @@ def replace_partitions(spark: SparkSession, new: DataFrame, path: str, keys: lis
     Untouched partitions are neither read nor rewritten.  Returns the
     replaced partition folder names."""
     jvm = spark._jvm
+    recover_swap(spark, path)
     touched = new.select(partition_col).distinct()
     cur = spark.read.parquet(path)
     old = cur.join(touched, on=partition_col, how="left_semi")
@@ -113,6 +115,30 @@ def _rename(fs, src, dst) -> None:
         raise OSError(f"rename failed: {src} -> {dst}")
 
 
+def recover_swap(spark: SparkSession, path: str) -> list[str]:
+    """Put back what a swap stopped between its two renames had moved aside.
+
+    A swap renames the old table (or one partition folder) to
+    ``{path}.__old_<id>[_<partition>]`` and then the new one into its place.
+    Where that place is empty the old content returns; where it is filled the
+    swap was complete and the leftover is deleted.  One writer per table is
+    assumed.  Returns the restored names ("" for the whole table)."""
+    fs, root = _fs(spark, path)
+    hp = spark._jvm.org.apache.hadoop.fs.Path
+    restored = []
+    for st in fs.globStatus(hp(f"{path.rstrip('/')}.__old_*")) or []:
+        m = _re.search(r"\.__old_[0-9a-f]{32}(?:_(.+))?$", st.getPath().getName())
+        if not m:
+            continue
+        target = hp(root, m.group(1)) if m.group(1) else root
+        if fs.exists(target):
+            fs.delete(st.getPath(), True)
+        else:
+            _rename(fs, st.getPath(), target)
+            restored.append(m.group(1) or "")
+    return restored
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -126,7 +152,10 @@ def materialize(spark: SparkSession, df: DataFrame, path: str, mode: str = "over
     ``overwrite`` writes the full new content to a sibling staging folder,
     then swaps it in by rename, so a reader of ``path`` never sees a half
     table and the job may read ``path`` in ``df``.  ``append`` adds files.
+    A writer that stops between the two renames leaves no table at ``path``;
+    every load here first calls ``recover_swap``, which puts it back.
     """
+    recover_swap(spark, path)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     w = df.write.mode("overwrite" if mode == "overwrite" else "append")
@@ -151,7 +180,8 @@ def materialize(spark: SparkSession, df: DataFrame, path: str, mode: str = "over
 
 def create_if_missing(spark: SparkSession, path: str, schema) -> DataFrame:
     """An empty table of ``schema`` when ``path`` holds no data yet;
-    an existing table is left as it is."""
+    an existing table is left as it is, one whose swap was cut off comes back."""
+    recover_swap(spark, path)
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         spark.createDataFrame([], schema).write.parquet(path)
@@ -168,5 +198,5 @@ def load_summary(spark: SparkSession, jobs: dict, ) -> DataFrame:
             n = fn().count()
             rows.append((name, int(n), None))
         except Exception as e:  # noqa: BLE001 - the failure is the reported value
-            rows.append((name, None, f"{type(e).__name__}: {str(e)[:200]}"))
+            rows.append((name, None, f"{type(e).__name__}: {e}"))
     return spark.createDataFrame(rows, "source string, rows long, error string")

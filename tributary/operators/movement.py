@@ -58,9 +58,9 @@ def zone_table(spark: SparkSession, zones=ROAD_ZONES, location: str | None = Non
 
 def points_in_zones(points: DataFrame, zones: DataFrame, x: str, y: str, location: str = "location") -> DataFrame:
     """Every point against every zone of its location, with the
-    ``inside`` flag.  The zone table is configuration (a handful of rows),
-    so it is broadcast; the join is on the location."""
-    z = F.broadcast(zones.select(location, F.struct(*[c for c in zones.columns if c != location]).alias("z")))
+    ``inside`` flag, joined on the location.  Spark broadcasts the zone table
+    where its byte threshold admits it."""
+    z = zones.select(location, F.struct(*[c for c in zones.columns if c != location]).alias("z"))
     j = points.join(z, on=location)
     return j.select(*points.columns, F.col("z.zone_name").alias("zone_name"), F.col("z.length_m").alias("length_m"),
                     between_lines(F.col(x), F.col(y), "z").alias("inside"))

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from tributary.functions import day_period, day_type, late_hours, month_text, quarter_text
 from tributary.operators.aggregates import drop_null_keys, sums_with_ratios
-from tributary.operators.joins import sized_broadcast
 from tributary.operators.ranking import average_rank, exact_quantiles
 
 # The sentinel the delivery CSV uses for a missing value.
@@ -26,7 +25,7 @@ def player_spend(lineitem: DataFrame, orders: DataFrame, customer: DataFrame, na
     li = lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag")
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     c = customer.select("c_custkey", "c_nationkey")
-    n = sized_broadcast(nation.select("n_nationkey", "n_name"), 10_000)
+    n = nation.select("n_nationkey", "n_name")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey) \
           .join(n, F.col("c_nationkey") == n.n_nationkey)
     return j.select(

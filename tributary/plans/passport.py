@@ -226,7 +226,7 @@ def valid_sheet(orders: DataFrame, nation: DataFrame, customer: DataFrame) -> Da
     """Valid passports per city with a grand-total row, per year."""
     o = orders.select("o_custkey", "o_orderpriority", F.year("o_orderdate").cast("string").alias("year"))
     j = o.join(customer.select("c_custkey", "c_nationkey"), o.o_custkey == F.col("c_custkey"))
-    j = j.join(F.broadcast(nation.select("n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey"))
+    j = j.join(nation.select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
     five = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
     g = j.groupBy("year", F.col("n_name").alias("city")).agg(
         F.lit(None).cast("string").alias("na1"), F.lit(None).cast("string").alias("na2"),

@@ -172,9 +172,17 @@ def checks_report(spark, sf):
 
 
 @query("duplicate_report", sql="""
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem UNION ALL
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem WHERE l_returnflag = 'R' UNION ALL
+  SELECT l_orderkey, NULL, l_partkey, l_suppkey, l_shipdate FROM lineitem WHERE l_returnflag = 'A')
 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_shipdate) > 1""")
 def duplicate_report(spark, sf):
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    """J4 over the lines, a third of them loaded twice and a third with a null key."""
+    t = table(spark, sf, "lineitem")
+    cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+    no_number = t.filter(F.col("l_returnflag") == "A") \
+                 .withColumn("l_linenumber", F.lit(None).cast(t.schema["l_linenumber"].dataType))
+    li = t.select(cols).unionByName(t.filter(F.col("l_returnflag") == "R").select(cols)).unionByName(no_number.select(cols))
     return checks.duplicate_rows(li, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_shipdate"]) \
         .drop("l_shipdate")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.functions import date_text, hour_of_text, n_days_ago, n_months_ago, n_weeks_ago, time_text, yesterday
-from tributary.operators import checks, load
+from tributary.operators import load
 from tributary.operators.windows import keep_first
 from tributary.plans import ads, passport as P
 from tributary.plans.catalog import query, table
@@ -102,26 +102,18 @@ PLATFORM_SCHEMA = T.StructType([
 
 
 def _write_platform_files(spark, sf, base):
-    """Two overlapping CSV files per platform with spreadsheet-style headers."""
+    """Two overlapping CSV exports per platform with spreadsheet-style headers; the second has
+    its columns in another order and its counts as decimals (``377.0``)."""
     rows = ads._ad_rows(table(spark, sf, "orders"))
     for p in ads.PLATFORMS:
         r = rows.filter(F.col("platform") == p)
         for i, (lo, hi) in enumerate([("1990-01-01", "1998-12-31"), ("1997-01-01", "2100-01-01")]):
             part = r.filter(F.col("day").between(lo, hi)).orderBy("src_order").drop("platform", "src_order")
+            if i == 1:
+                part = part.withColumn("impressions", F.concat(F.col("impressions").cast("string"), F.lit(".0")))
+                part = part.select(*reversed(part.columns))
             part = part.toDF(*[c.replace("_", " ").capitalize() for c in part.columns])
-            part.coalesce(1).write.option("header", True).csv(f"{base}/tmp_{p}_{i}")
-            spark.read.text(f"{base}/tmp_{p}_{i}")  # noqa: B018 - files exist
-            _move_single(spark, f"{base}/tmp_{p}_{i}", f"{base}/{p}/{p}_fake_data_{i}.csv")
-
-
-def _move_single(spark, folder, target):
-    jvm = spark._jvm
-    fs = jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    parts = [s.getPath() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(folder))
-             if s.getPath().getName().startswith("part-")]
-    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(target).getParent())
-    fs.rename(parts[0], jvm.org.apache.hadoop.fs.Path(target))
-    fs.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
+            part.write.option("header", True).csv(f"{base}/{p}/{p}_fake_data_{i}.csv")
 
 
 @query("ads_csv_load", sql=f"""WITH {_AD_SQL} SELECT * FROM raw""")
@@ -168,15 +160,6 @@ def column_subset(spark, sf):
                           (F.col("lang") == "en") & (F.col("n_chars") > 1000)).drop("lang")
 
 
-@query("schema_check", sql="""
-SELECT 'column_count' AS "check", 'orders' AS table_name, '6' AS column_name, CAST(0 AS BIGINT) AS failing_rows
-UNION ALL SELECT 'column_count', 'lineitem', '11', CAST(0 AS BIGINT)""")
-def schema_check(spark, sf):
-    """Column count against expectation (metadata only)."""
-    return checks.column_count_report(spark, table(spark, sf, "orders"), "orders", 6).unionByName(
-        checks.column_count_report(spark, table(spark, sf, "lineitem"), "lineitem", 11))
-
-
 @query("relative_dates", sql="""
 WITH d AS (SELECT event_id, CAST(ts AS DATE) AS d FROM events)
 SELECT event_id, d = DATE '2024-01-20' - INTERVAL 1 DAY AS is_yesterday,
@@ -203,14 +186,20 @@ def timestamp_text(spark, sf):
                     hour_of_text(time_text("ts"), "HH:mm:ss.SSS").alias("hour"))
 
 
-@query("upsert_audit")
+@query("upsert_audit", sql="""
+SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 0.0 ELSE c_acctbal END AS c_acctbal,
+       true AS created_kept, c_acctbal < 0 AS touched FROM customer""")
 def upsert_audit(spark, sf):
-    """created_at set on insert only, updated_at on every load."""
+    """created_at set on insert only, updated_at on every load; the
+    stamps themselves depend on the clock, so the result says which changed."""
     c = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
-    now = F.current_timestamp()
-    target = c.withColumn("created_at", now).withColumn("updated_at", now)
-    upd = c.filter(F.col("c_acctbal") < 0).withColumn("c_acctbal", F.lit(0.0)).withColumn("updated_at", now)
-    return load.upsert(target, upd, ["c_custkey"], update_cols=["c_acctbal", "updated_at"])
+    then, now = F.lit("2024-01-01 00:00:00").cast("timestamp"), F.current_timestamp()
+    target = c.withColumn("created_at", then).withColumn("updated_at", then)
+    upd = c.filter(F.col("c_acctbal") < 0).select("c_custkey", F.lit(0.0).alias("c_acctbal"),
+                                                  now.alias("created_at"), now.alias("updated_at"))
+    out = load.upsert(target, upd, ["c_custkey"], update_cols=["c_acctbal", "updated_at"])
+    return out.select("c_custkey", "c_acctbal", (F.col("created_at") == then).alias("created_kept"),
+                      (F.col("updated_at") > F.col("created_at")).alias("touched"))
 
 
 @query("load_partition_replace", sql="""

@@ -72,11 +72,11 @@ def result_text(spark, sf):
 @query("author_clean", sql="""
 WITH d AS (SELECT doc_id, split_part(text, ' ', 1) || upper(substr(split_part(text, ' ', 2), 1, 1))
                          || substr(split_part(text, ' ', 2), 2) || ' Apr 3, 2024' AS raw
-           FROM documents WHERE lang = 'en')
+           FROM documents)
 SELECT doc_id, trim(regexp_replace(regexp_replace(raw, '(Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec).*', ''),
                                    '([a-z])([A-Z])', '\\1, \\2', 'g')) AS author FROM d""")
 def author_clean(spark, sf):
-    d = table(spark, sf, "documents").filter(F.col("lang") == "en")
+    d = table(spark, sf, "documents")
     w2 = F.split_part(F.col("text"), F.lit(" "), F.lit(2))
     raw = F.concat(F.split_part(F.col("text"), F.lit(" "), F.lit(1)), F.upper(F.substring(w2, 1, 1)),
                    F.substring(w2, 2, 1 << 30), F.lit(" Apr 3, 2024"))

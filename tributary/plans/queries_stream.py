@@ -59,14 +59,18 @@ def stream_upsert(spark, sf):
 
 @query("stream_dedup", sql=_EVENTS_SQL)
 def stream_dedup(spark, sf):
-    """Every event arrives twice (two file streams); the watermark
-    dedup keeps one."""
+    """Every event arrives twice (two file streams), newest quarter first,
+    a file a trigger; one copy of each stays, late ones too."""
     base = _scratch(spark)
-    a = S.file_stream(spark, sf, "events")
-    b = S.file_stream(spark, sf, "events")
-    d = S.dedup_within_watermark(a.unionByName(b), ["event_id"], "ts", "2 minutes")
-    S.parquet_sink(d, f"{base}/out", f"{base}/ck").awaitTermination()
-    out = spark.read.parquet(f"{base}/out")
+    e = table(spark, sf, "events")
+    cuts = e.select(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), [0.25, 0.5, 0.75]).alias("q")).first().q
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    bounds = [-(1 << 62), *(cuts or [0, 0, 0]), 1 << 62]
+    for i, (lo, hi) in enumerate(reversed(list(zip(bounds, bounds[1:])))):
+        e.filter((us > lo) & (us <= hi)).write.parquet(f"{base}/in/part{i}")
+    a, b = (spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/part*") for _ in range(2))
+    S.dedup_sink(a.unionByName(b), f"{base}/out", ["event_id"], f"{base}/ck", order=["ts"]).awaitTermination()
+    out = spark.read.schema(e.schema).parquet(f"{base}/out")
     return out.select("event_id", F.date_format("ts", TS_TEXT).alias("ts"), "user_id", "event_type", "value", "props")
 
 
@@ -149,13 +153,13 @@ def road_stream_mart(spark, sf):
 
 @query("road_marts_incremental", sql=_MART_SQL)
 def road_marts_incremental(spark, sf):
-    """K4 in the road lifecycle: staging loaded in two day ranges, the second
-    one twice; the objects mart equals one full build."""
+    """K4 in the road lifecycle: staging loaded in two halves of each day, the
+    second one twice; the objects mart equals one full build."""
     from tributary.plans import road
     base = _scratch(spark)
-    stg = road.staging(road.detections_from_events(table(spark, sf, "events")))
-    cut = F.lit("2024-01-15").cast("date")
-    for part in (stg.filter(F.col("date_utc") < cut), stg.filter(F.col("date_utc") >= cut),
-                 stg.filter(F.col("date_utc") >= cut)):
+    events = table(spark, sf, "events")
+    halves = [road.staging(road.detections_from_events(events.filter(c)))
+              for c in (F.hour("ts") < 12, F.hour("ts") >= 12)]
+    for part in (halves[0], halves[1], halves[1]):
         paths = road.refresh_marts(spark, part, base)
     return spark.read.parquet(paths["objects"])

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions import compass_label, direction_angle, midpoint, split_part_as, time_text
 from tributary.operators.windows import bidirectional_rank, first_last, skew_safe_row_numbers
+from tributary.session import cut_lineage
 
 MART_KEYS = ["date_utc", "object_id", "class", "zone_name"]
 PROPS_SCHEMA = "k INT"
@@ -139,14 +140,22 @@ def traffic_objects_sorted(stg: DataFrame) -> DataFrame:
 
 
 def refresh_marts(spark, stg: DataFrame, base: str) -> dict[str, str]:
-    """K4 for both road marts: the traffic mart keyed by uuid and the
-    objects mart keyed by (day, object, class, zone) take the new rows by
-    delete-and-insert on their keys (staged write and swap), so a repeated
-    load leaves them unchanged."""
+    """K4 for both road marts, each by delete-and-insert on its key (staged
+    write and swap), so a repeated load leaves them unchanged.  The traffic
+    mart (uuid) goes first; then the (day, object, class, zone) groups that
+    the new rows touch are summarised again from all their rows in it, so a
+    group that arrives in several loads keeps its earlier rows.  A new row
+    may also move out of a group, so the groups its old form was in are
+    touched as well."""
     from tributary.operators.load import create_if_missing, delete_insert, materialize
     paths = {"traffic": f"{base.rstrip('/')}/fct_highway_traffic", "objects": f"{base.rstrip('/')}/fct_traffic_objects"}
-    new_objects = traffic_objects(stg)
-    for name, new, keys in (("traffic", stg, ["uuid"]), ("objects", new_objects, MART_KEYS)):
-        cur = create_if_missing(spark, paths[name], new.schema)
-        materialize(spark, delete_insert(cur, new, keys), paths[name])
+    cur = create_if_missing(spark, paths["traffic"], stg.schema)
+    replaced = cur.join(stg.select("uuid").distinct(), on="uuid", how="left_semi")
+    touched = cut_lineage(stg.select(*MART_KEYS).unionByName(replaced.select(*MART_KEYS)).dropna().distinct())
+    materialize(spark, delete_insert(cur, stg, ["uuid"]), paths["traffic"])
+    traffic = spark.read.schema(stg.schema).parquet(paths["traffic"])
+    new = traffic_objects(traffic.join(touched, on=MART_KEYS, how="left_semi").select(*stg.columns))
+    old = create_if_missing(spark, paths["objects"], new.schema)
+    kept = old.join(touched, on=MART_KEYS, how="left_anti").select(*new.columns)
+    materialize(spark, kept.unionByName(new), paths["objects"])
     return paths

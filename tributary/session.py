@@ -53,8 +53,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for reliable checkpoints and staged tables.
 
     Read ``spark.checkpoint.dir`` from the session (the cluster names a
-    shared folder there).  Only when it is unset, as in local tests, a
-    fresh local folder is made and registered.
+    shared folder there).  When it is unset, a local master gets a fresh
+    local folder; on a cluster that is an error, since executors do not
+    share local disks.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,6 +63,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="tributary-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

@@ -6,15 +6,21 @@ source when its package is on the classpath, a file stream in tests.
 
 from __future__ import annotations
 
+import hashlib
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tributary.operators.load import _fs, materialize, upsert
+from tributary.operators.load import _fs, materialize, recover_swap, upsert
+from tributary.operators.windows import keep_first
 
 __all__ = ["file_stream", "kafka_stream", "parse_json_values", "keyed_json", "with_event_watermark",
-           "parquet_sink", "upsert_sink", "kafka_sink", "jdbc_append_sink", "dedup_within_watermark"]
+           "parquet_sink", "upsert_sink", "dedup_sink", "kafka_sink", "jdbc_append_sink", "dedup_within_watermark"]
+
+LOAD_ID = "load_id"
 
 
 def file_stream(spark: SparkSession, folder: str, name: str, schema: T.StructType | None = None,
@@ -79,18 +85,26 @@ def upsert_sink(df: DataFrame, path: str, keys: list[str], checkpoint: str, orde
     """Per micro-batch, skip an empty batch, otherwise upsert the
     batch into the parquet table at ``path`` by ``keys`` (staged write and
     swap).  Replaying a batch gives the same table, so the sink is safe to
-    repeat; a failed write raises (the reference logs and loses it)."""
+    repeat; a failed write raises (the reference logs and loses it).
+
+    Rows with a null key (records that are not JSON) cannot be merged by it;
+    they go to ``{path}__rejects``, in a folder of their own per batch."""
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
         spark = batch.sparkSession
+        no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        rejects = batch.filter(no_key)
+        if not rejects.isEmpty():
+            rejects.write.mode("overwrite").parquet(f"{path.rstrip('/')}__rejects/{LOAD_ID}={_load_id(checkpoint, epoch_id)}")
+        good = batch.filter(~no_key)
+        recover_swap(spark, path)
         fs, p = _fs(spark, path)
         if fs.exists(p):
-            new = upsert(spark.read.schema(batch.schema).parquet(path), batch, keys, order=order)
+            new = upsert(spark.read.schema(batch.schema).parquet(path), good, keys, order=order)
         else:  # first batch: no table yet
-            from tributary.operators.windows import keep_first
-            new = keep_first(batch, keys, order) if order else batch.dropDuplicates(keys)
+            new = keep_first(good, keys, order) if order else good.dropDuplicates(keys)
         materialize(spark, new, path)
 
     w = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -99,6 +113,42 @@ def upsert_sink(df: DataFrame, path: str, keys: list[str], checkpoint: str, orde
     return w.start()
 
 
+def _load_id(checkpoint: str, epoch_id: int) -> str:
+    """Names one micro-batch of one query, the same when it is replayed."""
+    return f"{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}_{epoch_id}"
+
+
+def dedup_sink(df: DataFrame, path: str, keys: list[str], checkpoint: str, order: list[str] | None = None,
+               available_now: bool = True) -> StreamingQuery:
+    """Append each key's first arriving copy and drop the later ones, however late a row is.
+
+    Per micro-batch: one row per key (first in ``order``), less the keys the
+    table holds, written to the batch's own folder ``load_id=...``.  Only the
+    key columns of the table are read and nothing is rewritten; there is no
+    state to outgrow memory and no watermark to drop rows.  A replayed batch
+    ignores and overwrites its own folder, so it is repeat-safe.  Null keys
+    count as a key."""
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        spark = batch.sparkSession
+        load = _load_id(checkpoint, epoch_id)
+        new = keep_first(batch, keys, order) if order else batch.dropDuplicates(keys)
+        fs, p = _fs(spark, path)
+        if fs.exists(p):
+            seen = spark.read.schema(batch.schema).option("basePath", path).parquet(path) \
+                        .filter(F.col("_metadata.file_path").contains(f"/{LOAD_ID}={load}/") == F.lit(False)).select(*keys)
+            cond = [F.col(f"n.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+            new = new.alias("n").join(seen.alias("s"), on=cond, how="left_anti")
+        new.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{LOAD_ID}={load}")
+
+    w = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    return w.start()
+
+
 def kafka_sink(df: DataFrame, servers: str, topic: str, id_col: str, checkpoint: str) -> StreamingQuery:
     """A6 to a broker: keyed JSON records written with the Kafka sink
     (needs the Kafka package on the classpath; not available here)."""
@@ -125,6 +175,7 @@ def jdbc_append_sink(df: DataFrame, url: str, table: str, properties: dict, chec
 
 
 def dedup_within_watermark(df: DataFrame, keys: list[str], ts_col: str, delay: str = "2 minutes") -> DataFrame:
-    """Repeat-safe ingest: drop rows whose key was seen within the
-    watermark delay (state is bounded by the watermark)."""
+    """Drop rows whose key was seen within the watermark delay.  State is
+    bounded by the watermark, at a price: every row older than the watermark
+    is dropped, first copies too.  ``dedup_sink`` keeps those."""
     return with_event_watermark(df, ts_col, delay).dropDuplicatesWithinWatermark(keys)
