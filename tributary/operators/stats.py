@@ -2,20 +2,79 @@
 
 Both reduce to per-group sums computed in one distributed pass (plus the
 distributed rank of ``ranking.value_positions`` for Kruskal-Wallis); the
-final formula works on a handful of numbers per test.  Closed-form
-p-values exist for three groups (F with 2 and N-3 degrees of freedom,
-chi-square with 2); for other group counts the p-value is null.
+final formula works on a handful of numbers per test.  The p-values are
+Column expressions too: closed forms for three groups, continued fractions
+of the incomplete gamma and beta functions for other group counts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.operators.aggregates import drop_null_keys
 from tributary.operators.ranking import value_positions
 
-__all__ = ["one_way_anova", "kruskal_wallis"]
+__all__ = ["one_way_anova", "kruskal_wallis", "chi_square_tail", "f_tail"]
+
+STEPS = 400  # of a fraction or series; they settle long before
+MANY = 1e6  # within-group degrees of freedom from which F equals chi-square / d1 to six digits
+
+
+def _num(x) -> Column:
+    return (x if isinstance(x, Column) else F.lit(x)).cast("double")
+
+
+def _log_gamma(x: Column) -> Column:
+    """ln gamma(x), x > 0: Stirling's series ten above, stepped down."""
+    z = x + 10.0
+    steps = F.aggregate(F.sequence(F.lit(0), F.lit(9)), F.lit(0.0), lambda a, i: a + F.ln(x + i))
+    return (z - 0.5) * F.ln(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z ** 3) + 1 / (1260 * z ** 5) - steps
+
+
+def _fraction(first: Column, a, b) -> Column:
+    """first + a(1) / (b(1) + a(2) / (b(2) + ...)) by ratios of neighbouring convergents."""
+    def step(s, i):
+        i = i.cast("double")
+        den, num = b(i) + a(i) * s["d"], b(i) + a(i) / s["c"]
+        return F.struct((1.0 / den).alias("d"), num.alias("c"), (s["f"] * num / den).alias("f"))
+    start = F.struct(F.lit(0.0).alias("d"), first.alias("c"), first.alias("f"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), start, step, lambda s: s["f"])
+
+
+def chi_square_tail(x, k) -> Column:
+    """P(X >= x) of a chi-square with ``k`` degrees of freedom; null for null or k < 1."""
+    a, z = _num(k) / 2.0, _num(x) / 2.0
+    front = F.exp(-z + a * F.ln(z) - _log_gamma(a))
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)),
+                         F.struct((1.0 / a).alias("t"), (1.0 / a).alias("s")),
+                         lambda s, i: F.struct((s["t"] * z / (a + i)).alias("t"), (s["s"] + s["t"] * z / (a + i)).alias("s")),
+                         lambda s: s["s"])
+    far = front / _fraction(z + 1.0 - a, lambda i: -i * (i - a), lambda i: z + 1.0 - a + 2.0 * i)
+    return F.when((a <= 0) | z.isNull(), F.lit(None).cast("double")).when(z <= 0, F.lit(1.0)) \
+            .when(z < a + 1.0, 1.0 - front * series).otherwise(far)
+
+
+def _beta_part(x: Column, a: Column, b: Column) -> Column:
+    """Regularised incomplete beta I_x(a, b) for x < (a + 1) / (a + b + 2)."""
+    def coefficient(i):
+        m = F.floor(i / 2.0).cast("double")
+        even = m * (b - m) * x / ((a + 2.0 * m - 1.0) * (a + 2.0 * m))
+        odd = -(a + m) * (a + b + m) * x / ((a + 2.0 * m) * (a + 2.0 * m + 1.0))
+        return F.when(i % 2 == 0, even).otherwise(odd)
+    front = F.exp(_log_gamma(a + b) - _log_gamma(a) - _log_gamma(b) + a * F.ln(x) + b * F.ln(1.0 - x)) / a
+    return front / _fraction(F.lit(1.0), coefficient, lambda i: F.lit(1.0))
+
+
+def f_tail(f, d1, d2) -> Column:
+    """P(F >= f) with ``d1`` and ``d2`` degrees of freedom; null for null or a degree < 1."""
+    f, d1, d2 = _num(f), _num(d1), _num(d2)
+    x, a, b = d2 / (d2 + d1 * f), d2 / 2.0, d1 / 2.0
+    exact = F.when(x < (a + 1.0) / (a + b + 2.0), _beta_part(x, a, b)).otherwise(1.0 - _beta_part(1.0 - x, b, a))
+    return F.when((d1 < 1) | (d2 < 1) | f.isNull(), F.lit(None).cast("double")).when(f <= 0, F.lit(1.0)) \
+            .when(d2 > MANY, chi_square_tail(d1 * f, d1)).otherwise(exact)
 
 
 def one_way_anova(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -31,16 +90,17 @@ def one_way_anova(df: DataFrame, group: str, value: str) -> DataFrame:
     ssb = F.aggregate("means", F.lit(0.0),
                       lambda a, x: a + x["n"] * F.pow(x["m"] - F.col("means")[0]["m"] - F.col("grand"), F.lit(2.0)))
     t = t.withColumn("grand", grand).withColumn("between", ssb)
-    ssb, ssw = F.col("between"), F.col("within")
-    d1, d2 = F.col("k") - 1, F.col("N") - F.col("k")
-    f = F.try_divide(ssb / d1, ssw / d2)
-    p = F.when(F.col("k") == 3, F.pow(F.lit(1.0) + 2.0 * f / d2, -d2 / 2.0))
+    t = t.withColumn("d1", F.col("k") - 1).withColumn("d2", F.col("N") - F.col("k"))
+    mean_square = [F.try_divide(F.col(s).cast("double"), F.col(d)) for s, d in (("between", "d1"), ("within", "d2"))]
+    t = t.withColumn("f_statistic", F.try_divide(*mean_square))
+    f, d1, d2 = F.col("f_statistic"), F.col("d1"), F.col("d2")
+    p = F.when((d1 == 2) & (d2 > 0), F.pow(F.lit(1.0) + 2.0 * f / d2, -d2 / 2.0)).otherwise(f_tail(f, d1, d2))
     return t.select(F.col("k").cast("long").alias("groups"), F.col("N").cast("long").alias("n"),
-                    f.alias("f_statistic"), p.alias("p_value"))
+                    "f_statistic", p.alias("p_value"))
 
 
 def kruskal_wallis(df: DataFrame, group: str, value: str) -> DataFrame:
-    """M2: H statistic with tie correction and p-value (three groups).
+    """M2: H statistic with tie correction and its chi-square p-value.
 
     Ranks are averaged over ties across all groups: positions of each
     distinct value come from ``value_positions`` (no global window)."""
@@ -60,6 +120,8 @@ def kruskal_wallis(df: DataFrame, group: str, value: str) -> DataFrame:
               F.sum("ni").cast("double").alias("N"), F.sum("Tg").alias("T"))
     n = F.col("N")
     h_raw = 12.0 / (n * (n + 1)) * F.col("RR") - 3.0 * (n + 1)
-    hc = F.try_divide(h_raw, F.lit(1.0) - F.col("T") / (n * n * n - n))
-    return h.select(F.col("k").cast("long").alias("groups"), n.cast("long").alias("n"),
-                    hc.alias("h_statistic"), F.when(F.col("k") == 3, F.exp(-hc / 2.0)).alias("p_value"))
+    hc = F.try_divide(h_raw, F.lit(1.0) - F.try_divide(F.col("T"), n * n * n - n))
+    h = h.withColumn("h_statistic", hc)
+    p = F.when(F.col("k") == 3, F.exp(-F.col("h_statistic") / 2.0)) \
+         .otherwise(chi_square_tail(F.col("h_statistic"), F.col("k") - 1))
+    return h.select(F.col("k").cast("long").alias("groups"), n.cast("long").alias("n"), "h_statistic", p.alias("p_value"))
