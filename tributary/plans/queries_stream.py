@@ -6,9 +6,13 @@ session's shared checkpoint folder."""
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tributary.schemas import TAXI_TOPICS
 from tributary.session import checkpoint_dir
 from tributary.streaming import ingest as S
 from tributary.streaming.supervisor import supervise
@@ -104,35 +108,48 @@ def stream_zone_speed_q(spark, sf):
     return r.select("object_id", "event_id", "zone_name", "new_track", "entry", "exit", "exit_speed", "speed_kmh")
 
 
+# Stand-in values of a topic's columns, by type, from an event.
+_TOPIC_FIELDS = {t: T.StructType.fromDDL(ddl).fields for t, (ddl, _) in TAXI_TOPICS.items()}
 
 
+def _names(topic, dtype):
+    return [f.name for f in _TOPIC_FIELDS[topic] if isinstance(f.dataType, dtype)]
 
-@query("stream_topics", sql="""
-SELECT CAST(event_id AS VARCHAR) AS gps_id, CAST(user_id AS VARCHAR) AS deviceId, value / 10 AS latitude,
-       CAST(props::JSON->>'k' AS INTEGER) / 10.0 AS longitude, value AS speed,
-       strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS timestamp
-FROM events""")
+
+def _topic_sql(topic):
+    texts = ", ".join(f"event_id || '-{c}'" for c in _names(topic, T.StringType))
+    number = "value" if _names(topic, T.DoubleType) else "CAST(NULL AS DOUBLE)"
+    whole = "CAST(event_id % 1000 AS INTEGER)" if _names(topic, T.IntegerType) else "CAST(NULL AS INTEGER)"
+    return (f"SELECT '{topic}' AS topic, concat_ws('|', {texts}) AS texts, {number} AS low, {number} AS high, "
+            f"{whole} AS whole, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts FROM events")
+
+
+@query("stream_topics", sql="\nUNION ALL ".join(_topic_sql(t) for t in TAXI_TOPICS))
 def stream_topics(spark, sf):
-    """Two topics written as keyed JSON text (the broker stand-in),
-    read as streams, parsed by their declared schemas (watermark only where
-    the topic has ``timestamp``), sunk to parquet under one supervisor."""
+    """All seven topics written as keyed JSON text (the broker
+    stand-in), read as streams, parsed by their declared schemas (watermark
+    only where the topic has ``timestamp``), sunk to parquet under one
+    supervisor; every output is read back."""
     from tributary.streaming.topics import run_topics
     base = _scratch(spark)
     e = table(spark, sf, "events")
-    k = F.from_json("props", "k INT")["k"]
-    gps = e.select(F.col("event_id").cast("string").alias("gps_id"), F.col("user_id").cast("string").alias("deviceId"),
-                   (F.col("value") / 10).alias("latitude"), (k / 10.0).alias("longitude"), F.col("value").alias("speed"),
-                   F.col("ts").cast("timestamp").alias("timestamp"))
-    users = e.groupBy("user_id").agg(F.min("ts").alias("created_at"), F.count(F.lit(1)).cast("int").alias("total_trips")) \
-             .select(F.col("user_id").cast("string").alias("user_id"), "total_trips",
-                     F.col("created_at").cast("timestamp").alias("created_at"))
-    for name, df in (("gps_data", gps), ("user_data", users)):
-        S.keyed_json(df, df.columns[0]).select("value").write.text(f"{base}/topics/{name}")
-    raw = {n: spark.readStream.text(f"{base}/topics/{n}") for n in ("gps_data", "user_data")}
-    run_topics(spark, raw, f"{base}/out", f"{base}/ck")
-    out = spark.read.parquet(f"{base}/out/gps_data")
-    return out.select("gps_id", "deviceId", "latitude", "longitude", "speed",
-                      F.date_format("timestamp", TS_TEXT).alias("timestamp"))
+    ident = F.col("event_id").cast("string")
+    value_of = {T.StringType: lambda c: F.concat(ident, F.lit(f"-{c}")), T.DoubleType: lambda c: F.col("value"),
+                T.IntegerType: lambda c: (F.col("event_id") % 1000).cast("int"),
+                T.TimestampType: lambda c: F.col("ts").cast("timestamp")}
+    for t, fields in _TOPIC_FIELDS.items():
+        df = e.select(*[value_of[type(f.dataType)](f.name).alias(f.name) for f in fields])
+        S.keyed_json(df, TAXI_TOPICS[t][1]).select("value").write.text(f"{base}/topics/{t}")
+    run_topics(spark, {t: spark.readStream.text(f"{base}/topics/{t}") for t in TAXI_TOPICS}, f"{base}/out", f"{base}/ck")
+    parts = []
+    for t in TAXI_TOPICS:
+        numbers = F.array(*_names(t, T.DoubleType)).cast("array<double>")
+        whole = F.array(*_names(t, T.IntegerType)).cast("array<int>")
+        parts.append(spark.read.parquet(f"{base}/out/{t}").select(
+            F.lit(t).alias("topic"), F.concat_ws("|", *_names(t, T.StringType)).alias("texts"),
+            F.array_min(numbers).alias("low"), F.array_max(numbers).alias("high"), F.array_max(whole).alias("whole"),
+            F.date_format(_names(t, T.TimestampType)[0], TS_TEXT).alias("ts")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("road_stream_mart", sql=_MART_SQL)

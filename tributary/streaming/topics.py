@@ -29,8 +29,15 @@ def topic_frames(raw: dict[str, DataFrame], schemas: dict = TAXI_TOPICS) -> dict
 def run_topics(spark: SparkSession, raw: dict[str, DataFrame], out_base: str, ck_base: str,
                available_now: bool = True) -> list[StreamingQuery]:
     """Start one parquet sink per topic (own checkpoint) and supervise them:
-    when one fails, the others are stopped and the error is raised."""
-    qs = [parquet_sink(df, f"{out_base}/{t}", f"{ck_base}/{t}", available_now, query_name=None)
-          for t, df in topic_frames(raw).items()]
+    when one fails, to start or later, the others are stopped and the error
+    is raised."""
+    qs: list[StreamingQuery] = []
+    try:
+        for t, df in topic_frames(raw).items():
+            qs.append(parquet_sink(df, f"{out_base}/{t}", f"{ck_base}/{t}", available_now, query_name=None))
+    except Exception:
+        for q in qs:
+            q.stop()
+        raise
     supervise(spark, qs)
     return qs
