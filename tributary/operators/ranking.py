@@ -33,11 +33,12 @@ ROWS_PER_BUCKET = 50_000
 
 
 def default_buckets(df: DataFrame) -> int:
+    """Most buckets a value axis is cut into: four for each shuffle partition."""
     try:
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # noqa: BLE001
         n = 200
-    return max(16, min(4 * n, 4096))
+    return max(MIN_BUCKETS, 4 * n)
 
 
 def _bucketed(d: DataFrame, value: str, buckets: int) -> DataFrame:
