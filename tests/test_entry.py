@@ -1,6 +1,7 @@
 """Driver contract: entry runs, every query has a callable, oracle keys
 are a subset of the query keys."""
 
+import os
 import __spark_entry__ as E
 
 
@@ -34,3 +35,12 @@ typed_csv""".split()
 def test_catalogue_is_registered():
     q = E.queries()
     assert [n for n in CATALOGUE if n not in q] == []
+
+
+def test_catalogue_loads_before_any_session():
+    import subprocess
+    import sys
+    code = "import __spark_entry__ as E; print(len(E.queries()) > 100 and len(E.oracle_sql()) > 100)"
+    out = subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                         capture_output=True, text=True, timeout=120)
+    assert out.stdout.strip().endswith("True"), out.stderr
