@@ -1,6 +1,7 @@
 """Byte-level BPE and token files against the public libraries."""
 
 import base64
+import json
 import random
 import sys
 import zlib
@@ -13,7 +14,7 @@ import regex
 import tiktoken
 from tokenizers import Tokenizer
 
-from tributary.llm import bpe, pretokens, token_files
+from tributary.llm import bpe, pretokens, queries, token_files
 
 TEXTS = ["Hello world's  end\n\n it'll 've\tdo", "", None, "naïve café — ½ ² Ⅷ ١٢ 漢字 🙂 x\x1cy", "''s  'station _a_b __ 12a", " " * 300 + "x",
          "word " * 3000, "<|endoftext|> is text", "x" * 5000, "a b\u0085c"]
@@ -82,6 +83,33 @@ def test_token_files(spark, tmp_path):
     assert token_files.digests(df.limit(0), P.path("byte_bpe_50k.json"), P.PATTERN).count() == 0
 
 
+def test_added_tokens_get_their_ids(spark, tmp_path):
+    tk = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    assert tk.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    end = "<|endoftext|>"
+    texts = [*TEXTS, f"a {end} b", end, f"{end}{end}", f"  {end}\n\n{end} é漢 <|endoftext|", f"<|{end}x{end}", "none"]
+    want = [tk.encode(t or "", add_special_tokens=False).ids + [0] for t in texts]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    start = 0
+    got = sorted(queries.QUERIES["op9_token_files"](spark, str(tmp_path)).collect(), key=lambda r: r.doc_id)
+    assert len(got) == len(texts)
+    for r, ids in zip(got, want, strict=True):
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
+def test_added_tokens_with_flags_are_the_librarys():
+    definition = json.load(open(P.path("byte_bpe_50k.json"), encoding="utf-8"))
+    strip = {**definition["added_tokens"][0], "content": "<s>", "id": 50257, "lstrip": True, "rstrip": True}
+    longer = {**definition["added_tokens"][0], "content": "<|endoftext|>s", "id": 50258}  # the library numbers it 50257
+    texts = ["a <s> b", "a<s>", "<|endoftext|>s <|endoftext|> t", "plain", ""]
+    for tokens in ([strip], [longer]):
+        text = json.dumps({**definition, "added_tokens": definition["added_tokens"] + tokens})
+        tk = Tokenizer.from_str(text)
+        got = [np.frombuffer(b, "<u4").tolist() for b in token_files.TextEncoder(text, P.PATTERN, True).many(texts)]
+        assert got == [tk.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_damaged_frame_is_found(tmp_path):
     fs, path = pafs.LocalFileSystem(), str(tmp_path / "one.zst")
     with fs.open_output_stream(path, compression=None) as out:

@@ -132,7 +132,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_token_files")
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN)
+    return token_files.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN,
+                               added=True)
 
 
 @query("op10_graph_search")

@@ -16,12 +16,14 @@ counted, so that lost executors and repeated tasks leave no trace but unused
 files.
 
 Cases: null and empty texts hold the end id alone; a null doc_id sorts first;
-repeated doc_ids are kept, in order of their texts' hash; an empty table gives
+repeated doc_ids are kept, in order of their texts' hash; an added token's
+string in a text (as ``<|endoftext|>``) gives its id with ``added``; an empty table gives
 no file and no rows; other columns are not stored.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
@@ -57,26 +59,56 @@ def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
-def text_encoder(definition: str, pattern: str) -> Memory:
+class TextEncoder:
     """Ids of whole texts by the tokenizers library.  The tokenizer's own
     pattern cuts a text into matches that its model encodes independently of
-    each other, so each different match is encoded once and remembered."""
-    model, chars = Tokenizer.from_str(definition).model, dict(enumerate(byte_characters()))
-
-    def ids(matches: list[str]) -> list[list[int]]:
-        return [[t.id for t in model.tokenize(m.encode().decode("latin-1").translate(chars))] for m in matches]
-
-    return Memory(ids, pattern, GENERATION)
-
-
-_ENCODERS: dict[int, Memory] = {}
-
-
-def _encoder(shared, pattern: str) -> Memory:
-    key = hash((shared.value, pattern))
+    each other, so each different match is encoded once and remembered.
+
+    With ``added``, the definition's added tokens are found first, as the
+    library's ``encode(text, add_special_tokens=False)`` does: each gives its
+    own id, and the pieces between them are cut by the pattern.  Without, they
+    are plain text (the library's ``encode_special_tokens``)."""
+
+    def __init__(self, definition: str, pattern: str, added: bool):
+        self.tokenizer, chars = Tokenizer.from_str(definition), dict(enumerate(byte_characters()))
+        model = self.tokenizer.model
+
+        def ids(matches: list[str]) -> list[list[int]]:
+            return [[t.id for t in model.tokenize(m.encode().decode("latin-1").translate(chars))] for m in matches]
+
+        self.memory = Memory(ids, pattern, GENERATION)
+        tokens = [t for t in json.loads(definition).get("added_tokens") or () if t["content"]] if added else []
+        self.ids = {t["content"]: struct.pack("<I", self.tokenizer.token_to_id(t["content"])) for t in tokens}
+        # The longest of those that begin at one place, as in the library.
+        self.added = re.compile("(" + "|".join(map(re.escape, sorted(self.ids, key=len, reverse=True))) + ")") if tokens else None
+        # Tokens that look at or take in their neighbours are left to the library.
+        self.plain = not any(t.get(k) for t in tokens for k in ("single_word", "lstrip", "rstrip"))
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        held = [k for k, t in enumerate(texts) if self.added.search(t)] if self.added else []
+        if not held:
+            return self.memory.many(texts)
+        if not self.plain:
+            own = {k: np.array(self.tokenizer.encode(texts[k], add_special_tokens=False).ids, "<u4").tobytes() for k in held}
+            coded = self.memory.many(["" if k in own else t for k, t in enumerate(texts)])
+            return [own.get(k, c) for k, c in enumerate(coded)]
+        cut = {k: self.added.split(texts[k]) for k in held}  # piece, token, piece, ...
+        coded = self.memory.many([*("" if k in cut else t for k, t in enumerate(texts)), *(p for k in held for p in cut[k][::2])])
+        out, rest = coded[:len(texts)], iter(coded[len(texts):])
+        for k in held:
+            out[k] = b"".join(self.ids[p] if i % 2 else next(rest) for i, p in enumerate(cut[k]))
+        return out
+
+
+_ENCODERS: dict[int, TextEncoder] = {}
+
+
+def _encoder(shared, pattern: str, added: bool) -> TextEncoder:
+    key = hash((shared.value, pattern, added))
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = text_encoder(shared.value, pattern)
+        _ENCODERS[key] = TextEncoder(shared.value, pattern, added)
     return _ENCODERS[key]
 
 
@@ -129,17 +161,18 @@ class FrameReader:
         return raw
 
 
-def write(df: DataFrame, folder: str, tokenizer_path: str, pattern: str, end_id: int = 0) -> DataFrame:
+def write(df: DataFrame, folder: str, tokenizer_path: str, pattern: str, end_id: int = 0, added: bool = False) -> DataFrame:
     """Encode ``text`` of every row and write the files below ``folder``;
     returns the manifest: file, first_doc (documents before it are in earlier
-    files), docs, tokens.  File names sort in document order."""
+    files), docs, tokens.  File names sort in document order.  ``added``: the
+    tokenizer's added tokens in a text get their own ids."""
     spark = df.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
         shared = spark.sparkContext.broadcast(f.read())  # bounded by the vocabulary
     end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, writer, stream, first = _encoder(shared, pattern), None, None, None
+        encode, writer, stream, first = _encoder(shared, pattern, added), None, None, None
         for batch in slices(batches, "text"):
             coded = encode.many([t or "" for t in batch.column("text").to_pylist()])
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), coded, strict=True):
@@ -203,10 +236,10 @@ def read(spark: SparkSession, folder: str, doc_ids: list[int] | None = None) ->
     return listed.repartition(max(1, len(files)), "file").mapInArrow(run, schema)
 
 
-def digests(df: DataFrame, tokenizer_path: str, pattern: str) -> DataFrame:
+def digests(df: DataFrame, tokenizer_path: str, pattern: str, added: bool = False) -> DataFrame:
     """Write every text, read the files back: doc_id, start, n_tokens and the
     crc32 of the ids."""
     spark = df.sparkSession
     folder = f"{checkpoint_dir(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"
-    write(df, folder, tokenizer_path, pattern)
+    write(df, folder, tokenizer_path, pattern, added=added)
     return read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
