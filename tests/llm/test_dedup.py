@@ -107,6 +107,29 @@ def test_suffix_dedup_matches_brute_force(spark, hot):
     assert got == brute_spans(rows)
 
 
+def test_suffix_shards_do_not_grow_with_one_gram(spark):
+    rule = "-" * 100
+    rng = random.Random(8)
+    text = lambda: "".join(rng.choices("abcdefghij ", k=150))
+    alone = "=" * 3000  # hot, but in one text only
+    rows = [(i, f"{text()}\n{rule}\n{text()}", "en", "x") for i in range(300)] + [(900 + i, alone, "en", "x") for i in range(3)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = {}
+    for hot in (50, suffix_dedup.HOT):
+        spans = suffix_dedup.cut_spans(docs, hot=hot)
+        got[hot] = sorted((r.doc_id is None, r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in spans.collect())
+        assert got[hot] == brute_spans(rows)
+    base = suffix_dedup._keyed(docs).selectExpr("doc_id", "_key key", "_text text").repartition(4)
+    sent = suffix_dedup.sent_hashes(base, 64, suffix_dedup.LENGTH, suffix_dedup.GRAM, 50)
+    places = {}
+    for r in sent.collect():
+        places[r.shard] = places.get(r.shard, 0) + len(r["hash"]) // 8
+    every = sum(places.values())
+    assert every > 300 * 50 and max(places.values()) < 3 * every / 64
+    table, shared = suffix_dedup.hot_hashes(base, 300 * 402 + 9000, 50, suffix_dedup.LENGTH, suffix_dedup.GRAM)
+    assert len(table) >= 2 and shared.any() and not shared.all()
+
+
 def test_suffix_dedup_cuts_whole_characters_and_recounts(spark):
     shared = "é" * 40
     rows = [(1, shared + "ab", 42), (2, "ü" + shared, 41), (3, "short", 5), (4, None, None)]
