@@ -128,6 +128,22 @@ def test_url_verdicts(spark):
     assert url_filter.judge(df.limit(0), RULES).count() == 0
 
 
+def test_url_targets_are_decoded_and_resolved(spark):
+    canonical, refresh = '<link rel="canonical" href="{}">', '<meta http-equiv="refresh" content="0; url={}">'
+    bad = "http://b.com/de/x"
+    rows = [(1, "http://h.net/p?page=2&ref=x", canonical.format(bad)), (2, "http://h.net/amp", canonical.format("http://h.net/p?page=2&amp;ref=x")),
+            (3, "http://h.net/num", refresh.format("http://h.net/p?page=2&#38;ref&#x3D;x")),
+            (4, "http://h.net/d/e/rel", canonical.format("../../p?page=2&amp;ref=x")), (5, "http://h.net/p", refresh.format("?page=2&amp;ref=x")),
+            (6, "http://h.net/d/sib", canonical.format("e/rel")), (7, "http://q.net/x", '<base href="http://h.net/d/">' + canonical.format("sib")),
+            (8, "http://q.net/d/y", '<base target="_top" href="../"><link rel="canonical" href="x">'),
+            (9, "HTTP://WWW.Q.net/Case", canonical.format("//Q.NET/x")), (10, "http://www.q.net/Case", ""), (11, "http://www.q.net/case", ""),
+            (12, "http://c.net/?a=1&copy=2", canonical.format(bad)), (13, "http://c.net/z", canonical.format("/?a=1&copy=2")),
+            (14, "http://n.net/a", canonical.format("mailto:x")), (15, "http://n.net/b", canonical.format("b2")), (16, "http://n.net/b2", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in url_filter.judge(df, RULES).collect()}
+    assert got == {**dict.fromkeys([*range(1, 11), 12, 13], "block"), **dict.fromkeys([11, 14, 15, 16], "allow")}
+
+
 def test_graph_search_recall_and_ties(spark):
     rng = np.random.default_rng(3)
     v = rng.standard_normal((1500, 16)).astype(np.float32)
