@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tributary.llm import graph_search, html_text, quality, toxicity, url_filter
+from tributary.llm.labelled import sample as labelled_sample
 from tributary.llm.queries import RULES
 
 DOCS = "doc_id long, text string, score string"
@@ -109,6 +110,13 @@ def test_tree_agrees_with_its_table():
     assert np.mean([says(tree, r[:-1]) == r[-1] for r in table]) > 0.95
 
 
+def test_sample_has_one_row_of_a_repeated_id(spark):
+    docs = spark.createDataFrame([(1, f"text {i:03d}") for i in range(200)] + [(2, "two"), (3, "three"), (2, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (1, 1)], "doc_id long, toxic int")
+    rows = labelled_sample(docs, labels, "toxic", F.lit(True), {0: 5, 1: 5}, 100)
+    assert sorted(map(tuple, rows.collect())) == [("text 000", 1), ("three", 0), ("two", 0)]
+
+
 def test_url_verdicts(spark):
     canonical = '<link href="{}" rel="canonical">'
     rows = [(1, "https://a.example.org/es/1", None), (2, "http://EXAMPLE.org/en/12?x", ""), (3, "https://x.org", ""), (4, "https://x.org/a#f", ""),

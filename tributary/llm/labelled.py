@@ -21,7 +21,8 @@ def fold(folds: int) -> Column:
 def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: dict[int, int], max_bytes: int) -> DataFrame:
     """(text, label) of labelled documents: of each class at most so many
     rows as ``per_class`` says, the first by a hash of doc_id, among rows where
-    ``learn`` holds and whose text has at most ``max_bytes`` bytes.  Texts that
+    ``learn`` holds and whose text has at most ``max_bytes`` bytes; of a repeated
+    doc_id the least text.  Texts that
     nobody labelled, null labels and null texts are left out."""
     short = docs.where(F.octet_length("text") <= max_bytes).where(learn)
     known = labels.where(learn).select("doc_id", F.col(label).cast("int").alias("label")).distinct().join(short, "doc_id", "left_semi")
@@ -29,8 +30,9 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_cl
     for value, most in sorted(per_class.items()):
         part = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         chosen = part if chosen is None else chosen.union(part)
-    # At most sum(per_class) ids.
-    return short.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
+    # At most sum(per_class) ids, and of each one text, so that rows of a repeated id don't add up.
+    rows = short.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("text", "label")
 
 
 def fit_in_task(rows: DataFrame, train: Callable[[list[tuple[str, int]]], object]):
