@@ -7,9 +7,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tributary.llm import (bpe, decontamination, graph_search, html_text, quality, simhash, suffix_dedup, token_files, toxicity,
-                           url_filter)
+from tributary.llm import (bpe, decontamination, graph_search, hard_negatives, html_text, quality, simhash, suffix_dedup, token_files,
+                           toxicity, url_filter)
 from tributary.llm.common import read_table
 from tributary.llm.url_filter import Rule
 
@@ -139,3 +140,23 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_graph_search")
 def op10_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_search.nearest(read_table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
+@query("op12_hard_negatives", """
+WITH e AS (SELECT vec_id, label, embedding AS v FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+r AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(v, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM e),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same,
+             list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i]))::BIGINT AS score
+      FROM r a, r b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+""")
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"), label)
