@@ -5,9 +5,10 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tributary.llm import hard_negatives
+from tributary.llm import hard_negatives, line_rules
 
 
 def mined(rows, every, n_pos, n_neg, low=30, high=90):
@@ -71,3 +72,79 @@ def test_scores_are_the_products():
         assert np.array_equal(hard_negatives.scores(hard_negatives.bit_planes(c), a), c @ a.T)
     zero = np.zeros((2, 3), np.int64)
     assert not hard_negatives.scores(hard_negatives.bit_planes(zero), zero).any()
+
+
+TEXTS = ["", None, " \t\n ", "one", "a b\na b\n\na b \n", "The same eight words come again in here now. " * 6, "été " * 25, "x" * 5000 + " y",
+         "| a | b |\n" * 30, "\n".join(f"Line {i} tells of day {i} when {i} men came, and it ends with {i}." for i in range(900)),
+         "人们常说这条河有两个源头，但是地图上只有一个。\n" * 3, "a\x00b \x85 c\u2028d &*#$%<>|" * 9, "The river rises in the spring, and the farmers who live "
+         "there move their cattle to the hills until the water falls again.\nHome | About | Contact"]
+
+
+def base_counts(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = defaultdict(list)
+    for i in range(len(words) - 7):
+        windows[tuple(words[i:i + 8])].append(i)
+    hit = {j for at in windows.values() if len(at) > 1 for i in at for j in range(i, i + 8)}
+    failed = len(words) < 20 or 100 * len(hit) > 30 * len(words)
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), sum(x in lines[:i] for i, x in enumerate(lines)), len(hit), failed)
+
+
+def test_line_rules_counts_match_brute_force(spark):
+    rows = [(i, t, "x", 1) for i, t in enumerate(TEXTS)] + [(None, TEXTS[5], "x", 1), (5, TEXTS[5], "x", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept string, n_words int")
+    got = line_rules.rules(df).collect()
+    key = lambda r: (r[0] is None, *r)
+    want = [(i, *base_counts(t)) for i, t, *_ in rows]
+    assert sorted(((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in got), key=key) == sorted(want, key=key)
+    by = {r.doc_id: r for r in got}
+    assert not by[5].kept and not by[8].kept and by[9].kept and by[12].kept and not any(r.kept and r.base_failed for r in got)
+    assert 0.7 < by[12].content_share < 1
+    assert line_rules.rules(df.limit(0)).count() == 0
+
+
+def test_viterbi_matches_every_sequence():
+    rng = np.random.default_rng(4)
+    lengths = [1, 2, 3, 7, 1, 9, 5]
+    doc = np.repeat(np.arange(len(lengths)) * 2, lengths)
+    emit, link = rng.standard_normal((len(doc), 2)), rng.standard_normal((2, 2))
+    for cut in (0, 4, 100):                                     # one by one, both ways, side by side
+        got = line_rules.decode(emit, doc, link, cut)
+        for d in np.unique(doc):
+            e = emit[doc == d]
+            value = lambda s, e=e: sum(e[i, y] for i, y in enumerate(s)) + sum(link[a, b] for a, b in itertools.pairwise(s))
+            assert max(itertools.product((0, 1), repeat=len(e)), key=value) == tuple(got[doc == d])
+    assert not len(line_rules.decode(emit[:0], doc[:0], link))
+    assert not line_rules.decode(np.zeros((4, 2)), np.array([1, 1, 2, 2]), np.zeros((2, 2))).any()  # ties: content
+
+
+def test_field_learns_its_table_and_maximises_its_likelihood():
+    weights, link = line_rules.train()
+    texts, states = line_rules.labelled()
+    x = line_rules.lines_of(texts)
+    hashes = line_rules.SpanHash(x["raw"])
+    values = line_rules.features(x, hashes, line_rules.equal_earlier(x, hashes))
+    assert values.shape[1] == len(line_rules.FEATURES)
+    assert np.mean(line_rules.decode(values @ weights.T, x["doc"], link) == np.concatenate(states)) > 0.95
+
+    def loss(weights, link):
+        """Penalised, by summing over every sequence of the shorter documents."""
+        total = 0.0
+        for d, y in enumerate(states):
+            e = values[x["doc"] == d] @ weights.T
+            all_of = [sum(e[i, s] for i, s in enumerate(p)) + sum(link[a, b] for a, b in itertools.pairwise(p)) for p in itertools.product((0, 1), repeat=len(y))]
+            total += sum(e[i, s] for i, s in enumerate(y)) + sum(link[a, b] for a, b in itertools.pairwise(y)) - np.logaddexp.reduce(all_of)
+        return -total / len(x["doc"]) * 4 + line_rules.PENALTY / 20 * ((weights ** 2).sum() + (link ** 2).sum())
+    rng = np.random.default_rng(0)
+    for _ in range(3):
+        step = rng.standard_normal(weights.shape) * 0.2, rng.standard_normal((2, 2)) * 0.2
+        assert loss(weights, link) < loss(weights + step[0], link + step[1])
+
+
+def test_line_rules_agree_with_quality_labels(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    got = line_rules.rules(docs).join(labels.where("quality is not null").dropDuplicates(["doc_id"]), "doc_id").where("not base_failed").collect()
+    assert np.mean([r.kept for r in got if r.quality == 1]) > 0.97
+    assert np.mean([not r.kept for r in got if r.quality == 0]) > 0.9

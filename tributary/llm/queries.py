@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import (bpe, decontamination, graph_search, hard_negatives, html_text, quality, simhash, suffix_dedup, token_files,
-                           toxicity, url_filter)
+from tributary.llm import (bpe, decontamination, graph_search, hard_negatives, html_text, line_rules, quality, simhash, suffix_dedup,
+                           token_files, toxicity, url_filter)
 from tributary.llm.common import read_table
 from tributary.llm.url_filter import Rule
 
@@ -160,3 +160,9 @@ QUALIFY rank <= 10
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"), label)
+
+
+@query("op13_line_rules")
+def op13_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.rules(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
