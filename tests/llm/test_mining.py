@@ -5,10 +5,10 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
-import pyarrow as pa
+
 from pyspark.sql import functions as F
 
-from tributary.llm import hard_negatives, line_rules
+from tributary.llm import collocations, hard_negatives, line_rules
 
 
 def mined(rows, every, n_pos, n_neg, low=30, high=90):
@@ -148,3 +148,68 @@ def test_line_rules_agree_with_quality_labels(spark):
     got = line_rules.rules(docs).join(labels.where("quality is not null").dropDuplicates(["doc_id"]), "doc_id").where("not base_failed").collect()
     assert np.mean([r.kept for r in got if r.quality == 1]) > 0.97
     assert np.mean([not r.kept for r in got if r.quality == 0]) > 0.9
+
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def best_phrases(rows, longest, least, inside, most):
+    counts, totals = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(w)
+            for m in range(1, longest + 1):
+                counts[lang].update(tuple(w[i:i + m]) for i in range(len(w) - m + 1))
+    out = []
+    for lang, f in counts.items():
+        cands = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        hidden = {p[i:i + m] for p, a in cands.items() for m in range(2, len(p)) for i in range(len(p) - m + 1) if 100 * a >= inside * cands[p[i:i + m]]}
+        kept = []
+        for p, a in cands.items():
+            if p not in hidden:
+                score, _, left, right = min((1000000 * a * a // (f[p[:k]] * f[p[k:]]), k, f[p[:k]], f[p[k:]]) for k in range(1, len(p)))
+                kept.append((-score, -a, " ".join(p).encode(), left, right))
+        out += [(lang, r, p.decode(), -a, x, y, totals[lang], -s) for r, (s, a, p, x, y) in enumerate(sorted(kept)[:most], 1)]
+    return sorted(out)
+
+
+def phrase_rows():
+    rng = np.random.default_rng(8)
+    words = ["the", "New", "york", "a", "of", "été", "x\x85y", "日本", "Zoë's", "city", "w" * 120, "(is)", "\x00"]
+    rows = []
+    for i in range(150):
+        w = [words[min(int(x), len(words) - 1)] for x in rng.exponential(3, rng.integers(0, 60))]
+        sep = rng.choice([" ", "  ", "\t", ", ", ". ", " \n", "\r\n", " ; "], len(w), p=[.6, .1, .1, .05, .05, .04, .03, .03])
+        rows.append((["en", "de", None, "a\nb", ""][i % 5 if i % 2 else 0], "".join(x + y for x, y in zip(w, sep, strict=True))))
+    return rows + [("en", "new york city " * 40), ("en", None), ("en", ""), (None, " ,, \t"), ("xx", "once only")] + [("en", "A common line, again and again.")] * 60
+
+
+def test_collocations_match_brute_force(spark):
+    rows = phrase_rows()
+    df = spark.createDataFrame([(a, b, "x", 1) for a, b in rows], "lang string, text string, phrase string, rank int")
+    for longest, least, inside, most, wave in ((3, 10, 50, 2000, 500_000), (4, 3, 60, 7, 40)):
+        got = collocations.mine(df, longest, least, inside, most, wave_size=wave)
+        assert sorted(map(tuple, got.collect())) == best_phrases(rows, longest, least, inside, most)
+    assert collocations.mine(df.limit(0)).count() == 0
+    assert collocations.mine(df.where("lang = 'xx'")).count() == 0
+
+
+def test_collocations_take_the_best_of_large_groups(spark):
+    df = spark.range(5000).selectExpr("if(id % 3 = 0, 'a', 'b') g", "cast(id as string) phrase", "id % 50 s")
+    order = [F.col("s").desc(), F.col("phrase")]
+    want = collocations.top_of_each(df, "g", order, 20).collect()
+    assert len(want) == 40 and sorted(collocations.top_of_each(df, "g", order, 20, at_once=100).collect()) == sorted(want)
+
+
+def test_double_array_accepts_its_keys_only():
+    rng = np.random.default_rng(2)
+    keys = sorted({bytes(rng.integers(0, 256 if i % 3 else 3, rng.integers(1, 9)).astype(np.uint8)) for i in range(3000)} | {b"a" * 300, b"a" * 299})
+    cells, accepting = collocations.double_array(keys)
+    tried = keys + [k + b"x" for k in keys] + [k[:-1] for k in keys if len(k) > 1] + [bytes(rng.integers(0, 256, 4).astype(np.uint8)) for _ in range(500)]
+    text, size = np.frombuffer(b"".join(tried), np.uint8), np.array([len(k) for k in tried])
+    ends = np.cumsum(size)
+    got = collocations.accepted(cells, accepting, text, ends - size, ends, np.zeros(len(tried), np.int64))
+    place = {k: i for i, k in enumerate(keys)}
+    assert sorted(got) == sorted(place[k] for k in tried if k in place)

@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import (bpe, decontamination, graph_search, hard_negatives, html_text, line_rules, quality, simhash, suffix_dedup,
-                           token_files, toxicity, url_filter)
+from tributary.llm import (bpe, collocations, decontamination, graph_search, hard_negatives, html_text, line_rules, quality, simhash,
+                           suffix_dedup, token_files, toxicity, url_filter)
 from tributary.llm.common import read_table
 from tributary.llm.url_filter import Rule
 
@@ -142,6 +142,27 @@ def op10_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph_search.nearest(read_table(spark, sf_dir, "embeddings"), k=5, every=50)
 
 
+@query("op11_collocations", r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS s FROM documents),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(s, '[^\x20\x09]+') AS w FROM p),
+f AS MATERIALIZED (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f
+                   FROM w, (VALUES (1), (2), (3)) AS s(m), unnest(range(1, len(w) - m + 2)) AS t(i) GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 10),
+cuts AS (SELECT c.lang, c.phrase, c.m, a, k, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+         FROM c, unnest(range(1, c.m)) AS t(k), f x, f y
+         WHERE x.lang = c.lang AND y.lang = c.lang AND x.phrase = array_to_string(c.w[:k], ' ') AND y.phrase = array_to_string(c.w[k + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+hidden AS (SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS longer FROM c, unnest(range(1, m)) AS t(i) WHERE m = 3 GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM best LEFT JOIN hidden USING (lang, phrase) JOIN n USING (lang) WHERE longer IS NULL OR 100 * longer < 50 * a
+QUALIFY rank <= 2000
+""")
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read_table(spark, sf_dir, "documents"))
+
+
 @query("op12_hard_negatives", """
 WITH e AS (SELECT vec_id, label, embedding AS v FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
