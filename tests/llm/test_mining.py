@@ -5,7 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
-
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tributary.llm import collocations, hard_negatives, line_rules
@@ -206,7 +206,7 @@ def test_collocations_take_the_best_of_large_groups(spark):
 def test_double_array_accepts_its_keys_only():
     rng = np.random.default_rng(2)
     keys = sorted({bytes(rng.integers(0, 256 if i % 3 else 3, rng.integers(1, 9)).astype(np.uint8)) for i in range(3000)} | {b"a" * 300, b"a" * 299})
-    cells, accepting = collocations.double_array(keys)
+    cells, accepting = collocations.double_array(pa.array(keys, pa.binary()))
     tried = keys + [k + b"x" for k in keys] + [k[:-1] for k in keys if len(k) > 1] + [bytes(rng.integers(0, 256, 4).astype(np.uint8)) for _ in range(500)]
     text, size = np.frombuffer(b"".join(tried), np.uint8), np.array([len(k) for k in tried])
     ends = np.cumsum(size)

@@ -26,11 +26,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, batch_bytes: int | None = None) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back, then let
     Spark drop the shuffle files of the finished job (it does so when the
-    plan objects behind them are collected)."""
-    out = cut_lineage(df)
+    plan objects behind them are collected).  ``batch_bytes`` bounds the Arrow
+    batches that its Python workers are sent meanwhile."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(key)
+    if batch_bytes:
+        conf.set(key, batch_bytes)
+    try:
+        out = cut_lineage(df)
+    finally:
+        conf.set(key, before)
     gc.collect()
     df.sparkSession._jvm.System.gc()
     return out
@@ -79,6 +87,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
 
 def release() -> None:
     """Give freed memory back to the system, which a reused worker keeps otherwise."""
+    pa.default_memory_pool().release_unused()
     if hasattr(_LIBC, "malloc_trim"):
         _LIBC.malloc_trim(0)
 
