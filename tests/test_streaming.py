@@ -71,10 +71,91 @@ def test_zone_state_across_micro_batches(spark):
     files = spark.read.parquet(f"{base}/in/part*")
     stream = spark.readStream.schema(files.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/part*")
     z = points_in_zones(MV.sightings(stream), zone_table(spark, location=MV.ROAD), "x", "y")
-    out = stream_zone_speed(with_event_watermark(z, "ts", "10 hours"), timeout_ms=int(10.0 / MV.TIME_SCALE * 1000))
+    out = stream_zone_speed(with_event_watermark(z, "ts", "10 hours"), keep_seconds=60.0)
     parquet_sink(out, f"{base}/out", f"{base}/ck").awaitTermination()
     got = {(r.event_id, r.zone_name): (r.speed_kmh, r.entry, r.exit, r.new_track)
            for r in spark.read.parquet(f"{base}/out").collect()}
     exp = {(r.event_id, r.zone_name): (r.speed_kmh, r.entry, r.exit, r.new_track)
            for r in MV.speeds(spark, ev).collect()}
     assert got == exp
+
+
+def _zoned(spark, base, bounds, order):
+    """Events in files by event id, read one a trigger in the given order."""
+    import os
+    from tributary.operators.movement import points_in_zones, zone_table
+    from tributary.plans import movement as MV
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    for turn, i in enumerate(order):
+        part = ev.filter((F.col("event_id") > bounds[i]) & (F.col("event_id") <= bounds[i + 1]))
+        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+        for f in os.listdir(f"{base}/in".removeprefix("file:")):   # read in order of their times
+            if f.endswith(".parquet") and not f.startswith("seen"):
+                os.rename(f"{base}/in/{f}".removeprefix("file:"), f"{base}/in/seen{turn}.parquet".removeprefix("file:"))
+                os.utime(f"{base}/in/seen{turn}.parquet".removeprefix("file:"), (1_600_000_000 + turn * 100,) * 2)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    return ev, points_in_zones(MV.sightings(stream), zone_table(spark, location=MV.ROAD), "x", "y").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _speeds(rows):
+    return {(r.event_id, r.zone_name): (r.new_track, r.entry, r.exit, r.exit_speed, r.speed_kmh) for r in rows}
+
+
+def test_zone_state_newest_files_first_equals_batch(spark):
+    """Files newest first, one a trigger, one delivered twice: every row, with
+    the batch's results, once in the latest revisions."""
+    from tributary.plans import movement as MV
+    from tributary.streaming.ingest import parquet_sink
+    from tributary.streaming.zone_state import expired, latest, stream_zone_speed
+    base = f"{checkpoint_dir(spark)}/zd_{uuid.uuid4().hex}"
+    q = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(F.percentile_approx("event_id", [0.25, 0.5, 0.75]).alias("q")).first().q
+    ev, z = _zoned(spark, base, [-1, *q, 1 << 62], [3, 2, 1, 2, 0])
+    parquet_sink(stream_zone_speed(z, keep_seconds=1e9), f"{base}/out", f"{base}/ck", output_mode="update").awaitTermination()
+    sent = spark.read.parquet(f"{base}/out")
+    got = latest(sent).collect()
+    want = MV.speeds(spark, ev).collect()
+    assert len(got) == len(want) and _speeds(got) == _speeds(want)
+    assert expired(sent).count() == 0 and sent.select(F.max("revision")).first()[0] > 1
+
+
+def test_zone_state_late_rows_go_to_the_side_output(spark):
+    """What is older than the buffer is sent as expired, and no row is lost."""
+    from tributary.plans import movement as MV
+    from tributary.streaming.ingest import parquet_sink
+    from tributary.streaming.zone_state import expired, latest, stream_zone_speed
+    base = f"{checkpoint_dir(spark)}/ze_{uuid.uuid4().hex}"
+    q = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(F.percentile_approx("event_id", [0.5]).alias("q")).first().q
+    ev, z = _zoned(spark, base, [-1, *q, 1 << 62], [1, 0])
+    parquet_sink(stream_zone_speed(z, keep_seconds=60.0), f"{base}/out", f"{base}/ck", output_mode="update").awaitTermination()
+    sent = spark.read.parquet(f"{base}/out")
+    late, kept = expired(sent).count(), latest(sent).count()
+    assert late > 0 and late + kept == MV.speeds(spark, ev).count()
+
+
+def _feed(spark, base, rows, name):
+    schema = "object_id long, zone_name string, event_id long, ts timestamp, t double, inside boolean, length_m double"
+    spark.createDataFrame([(1 if i < 9 else 2, "z", i, None, t, a, 10.0) for i, t, a in rows], schema) \
+        .withColumn("ts", F.timestamp_millis((F.col("t") * 1000).cast("long"))).coalesce(1).write.parquet(f"{base}/in/{name}")
+    return spark.readStream.schema(schema).parquet(f"{base}/in/*")
+
+
+def test_zone_state_after_an_idle_timer(spark):
+    """A timer empties an idle key; later rows go on from its carry, earlier ones are expired."""
+    import time
+    from tributary.streaming.ingest import parquet_sink
+    from tributary.streaming.zone_state import stream_zone_speed
+    base = f"{checkpoint_dir(spark)}/zi_{uuid.uuid4().hex}"
+
+    def run():
+        parquet_sink(stream_zone_speed(stream, idle_ms=1), f"{base}/out", f"{base}/ck", output_mode="update").awaitTermination()
+    stream = _feed(spark, base, [(1, 100.0, True), (2, 101.0, True)], "a")
+    run()
+    time.sleep(0.1)
+    _feed(spark, base, [(9, 50.0, True)], "b")            # another key's batch, in which the timer is due
+    run()
+    time.sleep(0.1)
+    _feed(spark, base, [(3, 102.0, False), (8, 60.0, False)], "c")
+    run()
+    got = {r.event_id: r for r in spark.read.parquet(f"{base}/out").collect()}
+    assert [k for k, r in got.items() if r.expired] == [8] and len(got) == 5
+    assert got[3].exit and got[3].exit_speed == 18.0      # 10 m in 2 s: the entry came before the timer

@@ -70,14 +70,30 @@ def with_event_watermark(df: DataFrame, ts_col: str, delay: str = "2 minutes") -
 
 
 def parquet_sink(df: DataFrame, path: str, checkpoint: str, available_now: bool = True,
-                 query_name: str | None = None) -> StreamingQuery:
-    """Append parquet files with a checkpoint folder."""
-    w = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+                 query_name: str | None = None, output_mode: str = "append") -> StreamingQuery:
+    """Append parquet files with a checkpoint folder.  ``update`` is for
+    streams that send a row again when its result changes: each micro-batch has
+    a folder of its own, written anew if the batch is replayed."""
+    if output_mode == "update":
+        def write(batch: DataFrame, epoch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{LOAD_ID}={_load_id(checkpoint, epoch_id)}")
+        w = df.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", checkpoint)
+    else:
+        w = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
-    if available_now:
+    if not available_now:
+        return w.start() if output_mode == "update" else w.start(path)
+    # With processing-time timers a batch without data would follow another for ever.
+    conf, key = df.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(key)
+    if output_mode == "update":
+        conf.set(key, "false")
+    try:
         w = w.trigger(availableNow=True)
-    return w.start(path)
+        return w.start() if output_mode == "update" else w.start(path)
+    finally:
+        conf.set(key, before)
 
 
 def upsert_sink(df: DataFrame, path: str, keys: list[str], checkpoint: str, order: list[str] | None = None,

@@ -1,23 +1,39 @@
-"""I4: per-(object, zone) visit state in a stream (``applyInPandasWithState``).
+"""I4: per-(object, zone) visit state in a stream, whatever order rows arrive in.
 
-The same state machine as ``operators.movement.zone_speed``: rows of one
-key are taken in time order; the state keeps the last sighting, whether
-the object was inside, the entry time of the open visit and the held
-speed.  An event-time timeout drops the state of an object unseen for
-longer than the forget gap, so state stays bounded by live objects.
+The same state machine as ``operators.movement.zone_speed``.  Each key keeps its
+rows of the last ``keep_seconds`` of event time in an ordered buffer, cut into
+time buckets (a map state: one entry a bucket, with the machine's carry at the
+bucket's end).  New rows are merged into their buckets; from the first touched
+bucket on the machine runs again, bucket by bucket, until a bucket ends with the
+carry it had before, and every row whose result is new or has changed is sent
+with a higher ``revision``.  Rows in time order are sent once each.
+
+Nothing is dropped: a row that comes after its part of the buffer has expired
+(older than ``keep_seconds`` against the key's newest row, or after the key was
+idle for ``idle_ms``) is sent with ``expired`` set and no result, for a sink of
+its own.  A row delivered again changes nothing.  State is bounded by the rows
+of ``keep_seconds`` a live key; an idle key keeps a few numbers.
 """
 
 from __future__ import annotations
 
-import math
+import sys
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
-OUT_SCHEMA = ("object_id long, zone_name string, event_id long, ts timestamp, new_track boolean, "
-              "entry boolean, exit boolean, exit_speed double, speed_kmh double")
-STATE_SCHEMA = "last_t double, in_zone boolean, entry_t double, speed double"
+OUT_SCHEMA = ("object_id long, zone_name string, event_id long, ts timestamp, new_track boolean, entry boolean, exit boolean, "
+              "exit_speed double, speed_kmh double, revision long, expired boolean")
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# What a buffered row holds, then the result that was sent for it.
+ROW = np.dtype([("t", "f8"), ("event_id", "i8"), ("ts", "i8"), ("inside", "?"), ("length", "f8"),
+                ("new_track", "?"), ("entry", "?"), ("exit", "?"), ("exit_speed", "f8"), ("speed", "f8"), ("sent", "?")])
+START = (None, False, None, 0.0)
 
 
 def _py_round(x: float, nd: int) -> float:
@@ -26,62 +42,169 @@ def _py_round(x: float, nd: int) -> float:
     return float(Decimal(repr(float(x))).quantize(Decimal(1).scaleb(-nd), rounding=ROUND_HALF_EVEN))
 
 
-def _step_fn(gap: float, min_t: float, max_t: float, timeout_ms: int):
-    """Vectorised per group: the first row's "previous row" comes from the
-    state; running maxima give the track start and the last entry; the held
-    speed is the speed of the last leave unless a new track began since."""
-    import numpy as np
-
-    def fn(key, batches, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        s_last_t, s_in, s_entry, s_speed = (state.get if state.exists else (None, False, None, 0.0))
-        frames = list(batches)
-        if not frames:
-            return
-        pdf = pd.concat(frames).sort_values(["t", "event_id"], kind="mergesort").reset_index(drop=True)
-        t = pdf["t"].to_numpy(dtype="float64")
-        inside = pdf["inside"].to_numpy(dtype=bool)
-        length = pdf["length_m"].to_numpy(dtype="float64")
-        n = len(t)
-        prev_t = np.concatenate([[np.nan if s_last_t is None else s_last_t], t[:-1]])
-        prev_in = np.concatenate([[bool(s_in)], inside[:-1]])
-        new_track = np.isnan(prev_t) | ((t - prev_t) > gap)
-        pit = ~new_track & prev_in
-        entry = inside & ~pit
-        leave = ~inside & pit
-        seed = -np.inf if s_entry is None else s_entry
-        last_entry = np.maximum.accumulate(np.where(entry, t, -np.inf))
-        last_entry = np.maximum(last_entry, np.where(np.maximum.accumulate(new_track), -np.inf, seed))
-        dt = t - last_entry
-        ok = leave & (dt > min_t) & (dt < max_t)
-        exit_speed = np.where(leave, 0.0, np.nan)
-        for i in np.flatnonzero(ok):  # rounding on the decimal text, leave rows only
-            exit_speed[i] = _py_round(length[i] / dt[i] * 3.6, 1)
-        idx = np.arange(n)
-        ex_pos = np.maximum.accumulate(np.where(leave, idx, -1))
-        nt_pos = np.maximum.accumulate(np.where(new_track, idx, -1))
-        held = np.where(ex_pos > nt_pos, exit_speed[np.maximum(ex_pos, 0)],
-                        np.where((ex_pos < 0) & (nt_pos < 0), s_speed, 0.0))
-        speed = np.where(inside, 0.0, held)
-        end_entry = last_entry[-1] if inside[-1] and np.isfinite(last_entry[-1]) and t[-1] - last_entry[-1] <= max_t \
-            else None
-        state.update((float(t[-1]), bool(inside[-1]), None if end_entry is None else float(end_entry),
-                      float(speed[-1])))
-        # A late batch's own time may lie below the watermark, which a timeout must exceed.
-        state.setTimeoutTimestamp(max(int(pdf["ts"].max().timestamp() * 1000) + timeout_ms, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"object_id": pdf["object_id"], "zone_name": pdf["zone_name"], "event_id": pdf["event_id"],
-                            "ts": pdf["ts"], "new_track": new_track, "entry": entry, "exit": leave,
-                            "exit_speed": np.where(leave, exit_speed, np.nan), "speed_kmh": speed})
-    return fn
-
-
-def stream_zone_speed(zoned: DataFrame, gap: float = 10.0, min_t: float = 0.1, max_t: float = 10.0,
-                      timeout_ms: int = 10_000) -> DataFrame:
-    """``zoned`` is a watermarked stream of (object_id, zone_name, event_id,
-    ts, t, inside, length_m)."""
+def advance(carry: tuple, t: np.ndarray, inside: np.ndarray, length: np.ndarray, gap: float, min_t: float,
+            max_t: float) -> tuple[dict[str, np.ndarray], tuple]:
+    """Results of rows in time order, and the carry after them.
+
+    A carry is (time of the last row, was it inside, entry time of the open
+    visit, held speed).  Running maxima give the last entry; the held speed is
+    that of the last leave unless a new track began since."""
+    last_t, was_in, entered, held_speed = carry
+    n = len(t)
+    prev_t = np.concatenate([[np.nan if last_t is None else last_t], t[:-1]])
+    prev_in = np.concatenate([[bool(was_in)], inside[:-1]])
+    new_track = np.isnan(prev_t) | ((t - prev_t) > gap)
+    pit = ~new_track & prev_in
+    entry = inside & ~pit
+    leave = ~inside & pit
+    seed = -np.inf if entered is None else entered
+    last_entry = np.maximum.accumulate(np.where(entry, t, -np.inf))
+    last_entry = np.maximum(last_entry, np.where(np.maximum.accumulate(new_track), -np.inf, seed))
+    dt = t - last_entry
+    ok = leave & (dt > min_t) & (dt < max_t)
+    exit_speed = np.where(leave, 0.0, np.nan)
+    for i in np.flatnonzero(ok):  # rounding on the decimal text, leave rows only
+        exit_speed[i] = _py_round(length[i] / dt[i] * 3.6, 1)
+    idx = np.arange(n)
+    ex_pos = np.maximum.accumulate(np.where(leave, idx, -1))
+    nt_pos = np.maximum.accumulate(np.where(new_track, idx, -1))
+    held = np.where(ex_pos > nt_pos, exit_speed[np.maximum(ex_pos, 0)],
+                    np.where((ex_pos < 0) & (nt_pos < 0), held_speed, 0.0))
+    speed = np.where(inside, 0.0, held)
+    open_entry = float(last_entry[-1]) if inside[-1] and np.isfinite(last_entry[-1]) else None
+    return ({"new_track": new_track, "entry": entry, "exit": leave, "exit_speed": exit_speed, "speed": speed},
+            (float(t[-1]), bool(inside[-1]), open_entry, float(speed[-1])))
+
+
+# The driver starts a worker of its own for the stream, which gets this module by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+class ZoneProcessor(StatefulProcessor):
+    """One key's buffer and machine (see the module's text)."""
+
+    def __init__(self, gap: float, min_t: float, max_t: float, keep_seconds: float, idle_ms: int | None, bucket_seconds: float):
+        self.limits, self.keep, self.idle_ms, self.width = (gap, min_t, max_t), keep_seconds, idle_ms, bucket_seconds
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        carry = "last_t double, was_in boolean, entered double, held double"
+        self.buckets = handle.getMapState("buckets", "bucket long", f"rows binary, {carry}")
+        # Newest time, time up to which the buffer is gone with the carry there, revision, buckets in order.
+        self.head = handle.getValueState("head", f"newest double, horizon double, revision long, ids binary, {carry}")
+
+    def close(self) -> None:
+        pass
+
+    def _bucket(self, b: int) -> tuple[np.ndarray, tuple]:
+        got = self.buckets.getValue((int(b),))
+        return (np.frombuffer(got[0], ROW).copy(), tuple(got[1:])) if got else (np.zeros(0, ROW), START)
+
+    def _put(self, b: int, rows: np.ndarray, carry: tuple) -> None:
+        self.buckets.updateValue((int(b),), (rows.tobytes(), *carry))
+
+    def _merge(self, pdf: pd.DataFrame, ids: np.ndarray) -> np.ndarray:
+        """Put a frame's rows into their buckets; the buckets that got any."""
+        new = np.zeros(len(pdf), ROW)
+        for name in ("t", "event_id", "inside"):
+            new[name] = pdf[name].to_numpy()
+        new["length"] = pdf["length_m"].to_numpy()
+        new["ts"] = pdf["ts"].astype("datetime64[ns]").astype("int64").to_numpy()
+        bucket = np.floor(new["t"] / self.width).astype(np.int64)
+        touched = []
+        for b in np.unique(bucket):
+            rows, carry = self._bucket(b)
+            both = np.concatenate([rows, new[bucket == b]])      # the first copy of a row stays
+            at = np.lexsort((np.arange(len(both)), both["event_id"], both["t"]))
+            both = both[at]
+            fresh = np.concatenate([[True], (both["event_id"][1:] != both["event_id"][:-1]) | (both["t"][1:] != both["t"][:-1])])
+            if fresh.sum() > len(rows):
+                self._put(b, both[fresh], carry)
+                touched.append(b)
+        return np.array(touched, np.int64)
+
+    def _frame(self, key: tuple, rows: np.ndarray, revision: int, expired: bool) -> pd.DataFrame:
+        flag = lambda name: pd.array([pd.NA] * len(rows), "boolean") if expired else rows[name]
+        value = lambda name: np.full(len(rows), np.nan) if expired else rows[name]
+        return pd.DataFrame({"object_id": key[0], "zone_name": key[1], "event_id": rows["event_id"], "ts": pd.to_datetime(rows["ts"]),
+                             "new_track": flag("new_track"), "entry": flag("entry"), "exit": flag("exit"), "exit_speed": value("exit_speed"),
+                             "speed_kmh": value("speed"), "revision": revision, "expired": expired})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        known = self.head.get()
+        newest, horizon, revision, ids, *base = known if known else (-np.inf, -np.inf, 0, b"", *START)
+        ids, revision, touched = np.frombuffer(ids, np.int64), revision + 1, np.zeros(0, np.int64)
+        for pdf in rows:                                          # a frame at a time: a key's batch may be large
+            gone = pdf["t"].to_numpy() < horizon
+            if gone.any():
+                late = np.zeros(int(gone.sum()), ROW)
+                late["event_id"] = pdf["event_id"].to_numpy()[gone]
+                late["ts"] = pdf["ts"].astype("datetime64[ns]").astype("int64").to_numpy()[gone]
+                yield self._frame(key, late, revision, True)
+            if not gone.all():
+                newest = max(newest, float(pdf["t"].to_numpy()[~gone].max()))
+                touched = np.union1d(touched, self._merge(pdf[~gone], ids))
+        ids = np.union1d(ids, touched)
+        again = False
+        for i in np.flatnonzero(ids >= touched.min()) if len(touched) else []:
+            if not again and ids[i] not in touched:
+                continue
+            held, before = self._bucket(ids[i])
+            carry = self._bucket(ids[i - 1])[1] if i else tuple(base)
+            result, after = advance(carry, held["t"], held["inside"], held["length"], *self.limits)
+            changed = ~held["sent"]
+            for name, value in result.items():
+                changed |= ~((held[name] == value) | ((held[name] != held[name]) & (value != value)))
+                held[name] = value
+            held["sent"] = True
+            self._put(ids[i], held, after)
+            again = after != before
+            if changed.any():
+                yield self._frame(key, held[changed], revision, False)
+        old = ids[(ids + 1) * self.width <= newest - self.keep]
+        if len(old):
+            base = self._bucket(old[-1])[1]
+            horizon = float((old[-1] + 1) * self.width)
+            for b in old:
+                self.buckets.removeKey((int(b),))
+            ids = ids[len(old):]
+        self.head.update((float(newest), float(horizon), int(revision), ids.tobytes(), *base))
+        if self.idle_ms is not None:
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t[0] if isinstance(t, tuple) else t)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        known = self.head.get()
+        if known:
+            newest, _, revision, ids, *base = known
+            ids = np.frombuffer(ids, np.int64)
+            base = self._bucket(ids[-1])[1] if len(ids) else tuple(base)
+            for b in ids:
+                self.buckets.removeKey((int(b),))
+            self.head.update((newest, float(np.nextafter(newest, np.inf)), revision, b"", *base))
+        yield from ()
+
+
+def stream_zone_speed(zoned: DataFrame, gap: float = 10.0, min_t: float = 0.1, max_t: float = 10.0, keep_seconds: float = 86_400.0,
+                      idle_ms: int | None = None, bucket_seconds: float = 300.0) -> DataFrame:
+    """``zoned`` is a stream of (object_id, zone_name, event_id, ts, t, inside,
+    length_m); without a watermark Spark drops none of it.  ``keep_seconds`` is on
+    the scale of ``t``, ``idle_ms`` is wall time."""
+    spark = zoned.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)  # what map states and timers need
     cols = ["object_id", "zone_name", "event_id", "ts", "t", "inside", "length_m"]
-    return zoned.select(*cols).groupBy("object_id", "zone_name").applyInPandasWithState(
-        _step_fn(gap, min_t, max_t, timeout_ms), OUT_SCHEMA, STATE_SCHEMA, "append",
-        GroupStateTimeout.EventTimeTimeout)
+    return zoned.select(*cols).groupBy("object_id", "zone_name").transformWithStateInPandas(
+        ZoneProcessor(gap, min_t, max_t, keep_seconds, idle_ms, bucket_seconds), OUT_SCHEMA, "Update", "None" if idle_ms is None else "ProcessingTime")
+
+
+def latest(sent: DataFrame) -> DataFrame:
+    """Each row's last revision, without the expired rows."""
+    kept = sent.filter(~F.col("expired"))
+    w = Window.partitionBy("object_id", "zone_name", "event_id", "ts").orderBy(F.col("revision").desc())
+    return kept.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n", "expired")
+
+
+def expired(sent: DataFrame) -> DataFrame:
+    """The side output: rows that came after their part of the state was gone."""
+    return sent.filter("expired").select("object_id", "zone_name", "event_id", "ts").distinct()
