@@ -44,3 +44,21 @@ def test_catalogue_loads_before_any_session():
     out = subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
                          capture_output=True, text=True, timeout=120)
     assert out.stdout.strip().endswith("True"), out.stderr
+
+
+def test_queries_run_from_another_folder(tmp_path):
+    """Workers that can't import the package get it sent."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys; sys.path.insert(0, {root!r})
+from tributary import build_session, ship_package
+import __spark_entry__ as E
+spark = build_session("local[2]", 2)
+q = E.queries()
+print(ship_package(spark), q["clean_pages"](spark, "/root/testdata/sf0.001").count() > 0, q["stream_zone_speed"](spark, "/root/testdata/sf0.001").count() > 0)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "True True True" in out.stdout, out.stderr[-3000:]

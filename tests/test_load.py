@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from tributary.operators.load import append_above_watermark, delete_insert, materialize, upsert
+from tributary.operators.keyed_table import KeyedTable
+from tributary.operators.load import Source, append_above_watermark, delete_insert, load_sources, materialize, upsert
 
 S = "k long, a string, v double"
 
@@ -74,6 +75,24 @@ def test_road_marts_repeat_safe(spark, tmp_path):
     stg = road.staging(road.detections_from_events(ev))
     for _ in range(2):
         paths = road.refresh_marts(spark, stg, str(tmp_path / "marts"))
-    traffic = spark.read.parquet(paths["traffic"])
+    traffic = KeyedTable(spark, paths["traffic"]).read()
     assert traffic.count() == stg.count() == traffic.select("uuid").distinct().count()
-    assert spark.read.parquet(paths["objects"]).count() == road.traffic_objects(stg).count()
+    assert KeyedTable(spark, paths["objects"]).read().count() == road.traffic_objects(stg).count()
+
+
+def test_sources_load_on_their_own(spark, tmp_path):
+    """A failing source is reported and stops none; its table stays; a repeat
+    changes nothing, the next load does."""
+    base, state = str(tmp_path / "tables"), {"broken": False}
+
+    def read(n):
+        if state["broken"]:
+            raise OSError("no file")
+        return spark.createDataFrame([(i % 3, f"r{i}", float(i)) for i in range(n)], S)
+    sources = {"a": Source(lambda: read(5), ["k"], ["v"]), "b": Source(lambda: spark.createDataFrame([(1, "x", 1.0)], S), ["k"])}
+    run = lambda number: {r.source: (r.rows, r.version, r.error) for r in load_sources(spark, sources, base, number).collect()}
+    assert run(1) == {"a": (3, 1, None), "b": (1, 1, None)} == run(1)
+    state["broken"] = True
+    rep = run(2)
+    assert rep["a"] == (None, 1, "OSError: no file") and rep["b"] == (1, 2, None)
+    assert sorted(r.a for r in KeyedTable(spark, f"{base}/a").read().collect()) == ["r0", "r1", "r2"]   # first in order

@@ -55,3 +55,15 @@ def test_query_matches_oracle(spark, duck, name):
                 assert y is not None and x == pytest.approx(float(y), rel=1e-9, abs=2e-6)
             else:
                 assert norm(x) == norm(y)
+
+
+def test_every_oracle_has_its_query_s_columns(spark, duck):
+    import __spark_entry__ as E
+    queries, wrong = E.queries(), {}
+    for name, sql in E.oracle_sql().items():
+        if name.startswith("op") and name[2].isdigit():   # those have tests of their own
+            continue
+        want = sorted(d[0] for d in duck.execute(f"SELECT * FROM ({sql}) AS q LIMIT 0").description)
+        if (got := sorted(queries[name](spark, SF).columns)) != want:
+            wrong[name] = (got, want)
+    assert not wrong

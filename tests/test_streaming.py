@@ -6,6 +6,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from tributary.operators.keyed_table import KeyedTable
 from tributary.schemas import DETECTIONS
 from tributary.session import checkpoint_dir
 from tributary.streaming.ingest import parse_json_values, upsert_sink
@@ -39,7 +40,7 @@ def test_upsert_sink_keeps_one_row_per_uuid(spark):
     upsert_sink(stream, f"{base}/raw", ["uuid"], f"{base}/ck").awaitTermination()
     upsert_sink(parse_json_values(spark.readStream.text(f"{base}/topic"), DETECTIONS),
                 f"{base}/raw", ["uuid"], f"{base}/ck2").awaitTermination()
-    got = spark.read.parquet(f"{base}/raw")
+    got = KeyedTable(spark, f"{base}/raw").read()
     assert got.count() == 2 and got.filter(F.col("uuid") == "a").count() == 1
 
 

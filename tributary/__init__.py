@@ -5,6 +5,6 @@ scalar helpers in ``tributary.functions``).  Nothing is collected to the
 driver except one-row aggregates and metadata.
 """
 
-from tributary.session import build_session, checkpoint_dir  # noqa: F401
+from tributary.session import build_session, checkpoint_dir, ship_package  # noqa: F401
 
 __version__ = "0.1.0"

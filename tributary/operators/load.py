@@ -11,14 +11,18 @@ from __future__ import annotations
 
 import re as _re
 import uuid as _uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.operators.keyed_table import KeyedTable
 from tributary.operators.windows import keep_first
 
 __all__ = ["rows_above_watermark", "append_above_watermark", "upsert", "delete_insert",
-           "replace_partitions", "materialize", "recover_swap", "create_if_missing", "load_summary"]
+           "replace_partitions", "materialize", "recover_swap", "create_if_missing", "Source", "load_sources"]
 
 
 def rows_above_watermark(target: DataFrame, new: DataFrame, col: str) -> DataFrame:
@@ -188,15 +192,31 @@ def create_if_missing(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def load_summary(spark: SparkSession, jobs: dict, ) -> DataFrame:
-    """K6: run each named load (a callable returning a DataFrame to count)
-    and report (source, rows, error); one failing source does not stop
-    the others."""
-    rows = []
-    for name, fn in jobs.items():
+@dataclass
+class Source:
+    """K6: how to read a source, the keys of its table, and which of one
+    key's rows counts."""
+    read: Callable[[], DataFrame]
+    keys: list[str]
+    order: list[str] | None = None
+
+
+def load_sources(spark: SparkSession, sources: dict[str, Source], base: str, number: int, at_once: int = 8) -> DataFrame:
+    """K6: load every source into the keyed table ``base/<name>``, created when
+    missing; rows of a repeated key are reduced first.  Loads run at the same
+    time and each is committed by its own manifest, so a source that fails
+    leaves its table and the others as they are.  A load that has been committed
+    under ``number`` is not applied again.  Returns (source, rows, version,
+    error): rows of each table as its manifest names them."""
+    def one(name: str) -> tuple[str, int | None, int, str | None]:
+        s = sources[name]
+        t = KeyedTable(spark, f"{base.rstrip('/')}/{name}", s.keys)
         try:
-            n = fn().count()
-            rows.append((name, int(n), None))
+            t.upsert(s.read(), order=s.order, load=("load", number))
+            return name, t.read().count(), t.version(), None
         except Exception as e:  # noqa: BLE001 - the failure is the reported value
-            rows.append((name, None, f"{type(e).__name__}: {e}"))
-    return spark.createDataFrame(rows, "source string, rows long, error string")
+            return name, None, t.version(), f"{type(e).__name__}: {e}"
+
+    with ThreadPoolExecutor(at_once) as pool:
+        rows = list(pool.map(one, sorted(sources)))
+    return spark.createDataFrame(rows, "source string, rows long, version long, error string")

@@ -34,7 +34,7 @@ def _platform_of(priority: Column) -> Column:
     return c
 
 
-def _ad_rows(orders: DataFrame) -> DataFrame:
+def ad_rows(orders: DataFrame) -> DataFrame:
     return orders.select(
         _platform_of(F.col("o_orderpriority")).alias("platform"),
         F.to_date("o_orderdate").alias("day"),
@@ -50,7 +50,7 @@ def _ad_rows(orders: DataFrame) -> DataFrame:
 def platform_raw(orders: DataFrame) -> DataFrame:
     """Raw platform tables, stacked (A1 stand-in) and de-duplicated on the
     key within each platform (E4): first row by source order wins."""
-    return keep_first(_ad_rows(orders), ["platform", *PLATFORM_KEY], ["src_order"]).drop("src_order")
+    return keep_first(ad_rows(orders), ["platform", *PLATFORM_KEY], ["src_order"]).drop("src_order")
 
 
 def platform_staging(raw: DataFrame, platform: str) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tributary.operators import checks, load
+from tributary.operators.keyed_table import KeyedTable
 from tributary.plans import ads
-from tributary.plans.catalog import query, table
+from tributary.plans.catalog import ORACLE, query, table
+from tributary.session import checkpoint_dir
 
 _AD_SQL = """
 ad AS (
@@ -118,13 +122,30 @@ SELECT coalesce(t.c_custkey, u.c_custkey) AS c_custkey,
        CASE WHEN t.c_custkey IS NOT NULL THEN t.c_mktsegment ELSE u.c_mktsegment END AS c_mktsegment
 FROM customer t FULL JOIN upd u ON t.c_custkey = u.c_custkey""")
 def load_upsert(spark, sf):
+    c, upd = _customer_update(spark, sf)
+    return load.upsert(c, upd, ["c_custkey"], update_cols=["c_acctbal"])
+
+
+def _customer_update(spark, sf):
     c = table(spark, sf, "customer")
     s = table(spark, sf, "supplier")
     upd = c.filter(F.col("c_mktsegment") == "BUILDING").withColumn("c_acctbal", F.col("c_acctbal") + 100) \
         .unionByName(s.select((F.col("s_suppkey") + 1000000000).alias("c_custkey"), F.col("s_name").alias("c_name"),
                               F.col("s_nationkey").alias("c_nationkey"), F.col("s_acctbal").alias("c_acctbal"),
                               F.lit("SUPPLIER").alias("c_mktsegment")))
-    return load.upsert(c, upd, ["c_custkey"], update_cols=["c_acctbal"])
+    return c, upd
+
+
+@query("keyed_table_upsert", sql=ORACLE["load_upsert"])
+def keyed_table_upsert(spark, sf):
+    """K2/K3 on a keyed table: the load is a delta, committed twice under one
+    number (the second does nothing), merged when read."""
+    c, upd = _customer_update(spark, sf)
+    t = KeyedTable(spark, f"{checkpoint_dir(spark).rstrip('/')}/loads/{uuid.uuid4().hex}", ["c_custkey"])
+    t.replace(c)
+    for _ in range(2):
+        t.upsert(upd, update_cols=["c_acctbal"], load=("customer", 1))
+    return t.read()
 
 
 @query("load_delete_insert", sql="""

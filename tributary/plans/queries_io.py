@@ -11,10 +11,11 @@ from pyspark.sql import types as T
 
 from tributary.functions import date_text, hour_of_text, n_days_ago, n_months_ago, n_weeks_ago, time_text, yesterday
 from tributary.operators import load
+from tributary.operators.keyed_table import KeyedTable
 from tributary.operators.windows import keep_first
 from tributary.plans import ads, passport as P
 from tributary.plans.catalog import query, table
-from tributary.plans.queries_ads import _AD_SQL
+from tributary.plans.queries_ads import _AD_SQL, _GA_SQL
 from tributary.session import checkpoint_dir
 from tributary.sources import readers as R
 from tributary.sources import sinks as W
@@ -87,12 +88,13 @@ def create_missing(spark, sf):
 
 @query("full_refresh", sql="SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
 def full_refresh(spark, sf):
-    """K5: a full rebuild written twice equals one (staged write, swap)."""
-    base = _scratch(spark)
+    """K5: a full rebuild committed twice equals one; the second names the
+    version it replaces, and a reader of the first is not disturbed."""
+    t = KeyedTable(spark, _scratch(spark))
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    load.materialize(spark, o, base)
-    load.materialize(spark, spark.read.parquet(base), base)
-    return spark.read.parquet(base)
+    first = t.replace(o)
+    t.replace(t.read(), expected=first)
+    return t.read()
 
 
 PLATFORM_SCHEMA = T.StructType([
@@ -104,7 +106,7 @@ PLATFORM_SCHEMA = T.StructType([
 def _write_platform_files(spark, sf, base):
     """Two overlapping CSV exports per platform with spreadsheet-style headers; the second has
     its columns in another order and its counts as decimals (``377.0``)."""
-    rows = ads._ad_rows(table(spark, sf, "orders"))
+    rows = ads.ad_rows(table(spark, sf, "orders"))
     for p in ads.PLATFORMS:
         r = rows.filter(F.col("platform") == p)
         for i, (lo, hi) in enumerate([("1990-01-01", "1998-12-31"), ("1997-01-01", "2100-01-01")]):
@@ -135,16 +137,21 @@ def ads_csv_load(spark, sf):
     return out.select("platform", *ads.PLATFORM_KEY, "impressions", "clicks", "cost")
 
 
-@query("load_summary", sql=f"""WITH {_AD_SQL}
-SELECT platform AS source, CAST(count(*) AS BIGINT) AS rows, false AS failed FROM raw GROUP BY 1
-UNION ALL SELECT 'tiktok', NULL, true""")
+@query("load_summary", sql=f"""WITH {_AD_SQL}, {_GA_SQL}
+SELECT platform AS source, CAST(count(*) AS BIGINT) AS rows, CAST(1 AS BIGINT) AS version, false AS failed FROM raw GROUP BY 1
+UNION ALL SELECT 'ga', CAST(count(*) AS BIGINT), 1, false FROM ga
+UNION ALL SELECT 'tiktok', NULL, 0, true""")
 def load_summary(spark, sf):
-    """K6: each platform loaded on its own; a failing one is reported."""
-    raw = ads.platform_raw(table(spark, sf, "orders"))
-    jobs = {p: (lambda p=p: ads.platform_staging(raw, p)) for p in ads.PLATFORMS}
-    jobs["tiktok"] = lambda: spark.read.parquet(f"{_scratch(spark)}/missing")
-    rep = load.load_summary(spark, jobs)
-    return rep.select("source", "rows", F.col("error").isNotNull().alias("failed"))
+    """K6: every source loaded at the same time into its own keyed table, twice
+    (the second load is a repeat); one broken source is reported and stops none."""
+    base = _scratch(spark)
+    rows = ads.ad_rows(table(spark, sf, "orders"))
+    sources = {p: load.Source(lambda p=p: rows.filter(F.col("platform") == p).drop("platform"), ads.PLATFORM_KEY, ["src_order"]) for p in ads.PLATFORMS}
+    sources["ga"] = load.Source(lambda: ads.ga_raw(table(spark, sf, "lineitem"), table(spark, sf, "orders")), ads.GA_KEY)
+    sources["tiktok"] = load.Source(lambda: spark.read.parquet(f"{base}/missing"), ["day"])
+    for _ in range(2):
+        rep = load.load_sources(spark, sources, f"{base}/tables", number=1)
+    return rep.select("source", "rows", "version", F.col("error").isNotNull().alias("failed"))
 
 
 @query("key_value_json")

@@ -17,6 +17,7 @@ from tributary.streaming import ingest as S
 from tributary.streaming.supervisor import supervise
 from tributary.streaming.zone_state import latest, stream_zone_speed
 from tributary.plans import movement as MV
+from tributary.operators.keyed_table import KeyedTable
 from tributary.operators.movement import points_in_zones, zone_table
 from tributary.plans.catalog import query, table
 from tributary.plans.queries_movement import _VISITS_SQL
@@ -50,13 +51,14 @@ def stream_parquet(spark, sf):
 
 @query("stream_upsert", sql=_EVENTS_SQL)
 def stream_upsert(spark, sf):
-    """Micro-batch upsert by key; the same stream loaded twice
-    (two checkpoints) leaves the table as one load does."""
+    """Micro-batch upsert by key into a keyed table (deltas, merged
+    when read); the same stream loaded twice (two checkpoints) leaves the table
+    as one load does."""
     base = _scratch(spark)
     for i in range(2):
         ev = S.file_stream(spark, sf, "events", max_files_per_trigger=1)
         S.upsert_sink(ev, f"{base}/table", ["event_id"], f"{base}/ck{i}").awaitTermination()
-    out = spark.read.parquet(f"{base}/table")
+    out = KeyedTable(spark, f"{base}/table").read()
     return out.select("event_id", F.date_format("ts", TS_TEXT).alias("ts"), "user_id", "event_type", "value", "props")
 
 
@@ -168,7 +170,7 @@ def road_stream_mart(spark, sf):
     S.keyed_json(det, "uuid").select("value").write.text(f"{base}/topic")
     parsed = S.parse_json_values(spark.readStream.text(f"{base}/topic"), DETECTIONS)
     S.upsert_sink(parsed, f"{base}/raw", ["uuid"], f"{base}/ck").awaitTermination()
-    raw = spark.read.parquet(f"{base}/raw").withColumn("uuid", F.col("uuid").try_cast("long"))
+    raw = KeyedTable(spark, f"{base}/raw").read().withColumn("uuid", F.col("uuid").try_cast("long"))
     return road.traffic_objects(road.staging(raw))
 
 
@@ -183,4 +185,4 @@ def road_marts_incremental(spark, sf):
               for c in (F.hour("ts") < 12, F.hour("ts") >= 12)]
     for part in (halves[0], halves[1], halves[1]):
         paths = road.refresh_marts(spark, part, base)
-    return spark.read.parquet(paths["objects"])
+    return KeyedTable(spark, paths["objects"]).read()

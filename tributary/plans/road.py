@@ -140,22 +140,22 @@ def traffic_objects_sorted(stg: DataFrame) -> DataFrame:
 
 
 def refresh_marts(spark, stg: DataFrame, base: str) -> dict[str, str]:
-    """K4 for both road marts, each by delete-and-insert on its key (staged
-    write and swap), so a repeated load leaves them unchanged.  The traffic
-    mart (uuid) goes first; then the (day, object, class, zone) groups that
-    the new rows touch are summarised again from all their rows in it, so a
-    group that arrives in several loads keeps its earlier rows.  A new row
-    may also move out of a group, so the groups its old form was in are
-    touched as well."""
-    from tributary.operators.load import create_if_missing, delete_insert, materialize
+    """K4 for both road marts, keyed tables, so a repeated load leaves them
+    unchanged and a load writes what it touches only.  The traffic mart (uuid)
+    goes first; then the (day, object, class, zone) groups that the new rows
+    touch are summarised again from all their rows in it, so a group that
+    arrives in several loads keeps its earlier rows.  A new row may also move
+    out of a group, so the groups its old form was in are touched as well, and
+    a group without rows goes."""
+    from tributary.operators.keyed_table import KeyedTable
     paths = {"traffic": f"{base.rstrip('/')}/fct_highway_traffic", "objects": f"{base.rstrip('/')}/fct_traffic_objects"}
-    cur = create_if_missing(spark, paths["traffic"], stg.schema)
-    replaced = cur.join(stg.select("uuid").distinct(), on="uuid", how="left_semi")
-    touched = cut_lineage(stg.select(*MART_KEYS).unionByName(replaced.select(*MART_KEYS)).dropna().distinct())
-    materialize(spark, delete_insert(cur, stg, ["uuid"]), paths["traffic"])
-    traffic = spark.read.schema(stg.schema).parquet(paths["traffic"])
-    new = traffic_objects(traffic.join(touched, on=MART_KEYS, how="left_semi").select(*stg.columns))
-    old = create_if_missing(spark, paths["objects"], new.schema)
-    kept = old.join(touched, on=MART_KEYS, how="left_anti").select(*new.columns)
-    materialize(spark, kept.unionByName(new), paths["objects"])
+    traffic, objects = KeyedTable(spark, paths["traffic"], ["uuid"]), KeyedTable(spark, paths["objects"], MART_KEYS)
+    touched = stg.select(*MART_KEYS)
+    if traffic.version():
+        replaced = traffic.read().join(stg.select("uuid").distinct(), on="uuid", how="left_semi")
+        touched = touched.unionByName(replaced.select(*MART_KEYS))
+    touched = cut_lineage(touched.dropna().distinct())
+    traffic.upsert(stg)
+    new = traffic_objects(traffic.read().join(touched, on=MART_KEYS, how="left_semi").select(*stg.columns))
+    objects.upsert(new, deleted=touched)
     return paths

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -70,17 +73,43 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+def ship_package(spark: SparkSession) -> bool:
+    """Make sure that the workers can import this package: where they can't (the
+    program started from another folder, the package isn't installed) it is sent
+    to them, through the shared folder.  Asked once a session; returns whether
+    it was sent."""
+    sc, name = spark.sparkContext, __package__
+    if getattr(sc, "_tributary_ready", None) is not None:
+        return sc._tributary_ready
+    known = sc.parallelize([name], 1).map(lambda n: __import__("importlib.util").util.find_spec(n) is not None).first()
+    if not known:
+        root, made = os.path.dirname(os.path.abspath(__file__)), io.BytesIO()
+        with zipfile.ZipFile(made, "w") as z:
+            for folder, _, files in sorted(os.walk(root)):
+                for f in sorted(files):
+                    if f.endswith(".py"):
+                        full = os.path.join(folder, f)
+                        z.write(full, os.path.join(name, os.path.relpath(full, root)))
+        path = f"{checkpoint_dir(spark).rstrip('/')}/code/{uuid.uuid4().hex}/{name}.zip"
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+        out.write(bytearray(made.getvalue()))
+        out.close()
+        sc.addPyFile(path)
+    sc._tributary_ready = not known
+    return not known
+
+
 def cut_lineage(df, how: str = "table"):
     """Materialise ``df`` in the shared checkpoint folder and return a frame
     reading it back.  ``table`` writes parquet (columnar, fast; the read
     back has no partitioning), ``checkpoint`` uses a reliable RDD checkpoint
     (keeps the partitioning, so a following join on the same keys does not
     shuffle again)."""
-    import uuid as _uuid
     spark = df.sparkSession
     base = checkpoint_dir(spark)
     if how == "checkpoint":
         return df.checkpoint(eager=True)
-    path = f"{base.rstrip('/')}/tables/{_uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tributary.operators.load import _fs, materialize, recover_swap, upsert
+from tributary.operators.keyed_table import Conflict, KeyedTable
+from tributary.operators.load import _fs
 from tributary.operators.windows import keep_first
 
 __all__ = ["file_stream", "kafka_stream", "parse_json_values", "keyed_json", "with_event_watermark",
@@ -97,31 +98,32 @@ def parquet_sink(df: DataFrame, path: str, checkpoint: str, available_now: bool
 
 
 def upsert_sink(df: DataFrame, path: str, keys: list[str], checkpoint: str, order: list[str] | None = None,
-                available_now: bool = True) -> StreamingQuery:
+                available_now: bool = True, buckets: int = 16, compact_every: int = 16) -> StreamingQuery:
     """Per micro-batch, skip an empty batch, otherwise upsert the
-    batch into the parquet table at ``path`` by ``keys`` (staged write and
-    swap).  Replaying a batch gives the same table, so the sink is safe to
-    repeat; a failed write raises (the reference logs and loses it).
+    batch into the keyed table at ``path`` (``KeyedTable.read`` reads it).  A
+    batch writes its own rows only; after ``compact_every`` batches the touched
+    buckets are written anew.  A batch committed already is not applied again,
+    and a failed write raises (the reference logs and loses it).
 
+    Of one key's rows in a batch the first in ``order`` counts, by default in
+    the order of the other columns, so that a repeated batch picks the same.
     Rows with a null key (records that are not JSON) cannot be merged by it;
     they go to ``{path}__rejects``, in a folder of their own per batch."""
+    order = order or [f.name for f in df.schema.fields if f.name not in keys and not isinstance(f.dataType, (T.MapType, T.VariantType))]
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        spark = batch.sparkSession
         no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
         rejects = batch.filter(no_key)
         if not rejects.isEmpty():
             rejects.write.mode("overwrite").parquet(f"{path.rstrip('/')}__rejects/{LOAD_ID}={_load_id(checkpoint, epoch_id)}")
-        good = batch.filter(~no_key)
-        recover_swap(spark, path)
-        fs, p = _fs(spark, path)
-        if fs.exists(p):
-            new = upsert(spark.read.schema(batch.schema).parquet(path), good, keys, order=order)
-        else:  # first batch: no table yet
-            new = keep_first(good, keys, order) if order else good.dropDuplicates(keys)
-        materialize(spark, new, path)
+        t = KeyedTable(batch.sparkSession, path, keys, buckets)
+        t.upsert(batch.filter(~no_key), order=order, load=(_writer(checkpoint), epoch_id))
+        try:
+            t.compact(compact_every)
+        except Conflict:        # another writer was faster; the next batch tries again
+            pass
 
     w = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
@@ -129,9 +131,14 @@ def upsert_sink(df: DataFrame, path: str, keys: list[str], checkpoint: str, orde
     return w.start()
 
 
+def _writer(checkpoint: str) -> str:
+    """Names one query."""
+    return hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+
 def _load_id(checkpoint: str, epoch_id: int) -> str:
     """Names one micro-batch of one query, the same when it is replayed."""
-    return f"{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}_{epoch_id}"
+    return f"{_writer(checkpoint)}_{epoch_id}"
 
 
 def dedup_sink(df: DataFrame, path: str, keys: list[str], checkpoint: str, order: list[str] | None = None,
