@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.operators.ranking import exact_quantiles, quantiles_from_positions, value_positions
+from tributary.operators import narrowing
+from tributary.session import cut_lineage
 
 __all__ = ["drop_null_keys", "table_shape", "mean_std", "value_counts", "null_counts", "profile_numeric",
-           "profile_text", "box_stats", "correlation_matrix", "sums_with_ratios", "pivot_mean"]
+           "profile_text", "schema_profile", "box_stats", "correlation_matrix", "sums_with_ratios", "pivot_mean"]
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -61,66 +62,53 @@ def table_shape(df: DataFrame, name: str) -> DataFrame:
 
 def profile_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Pandas ``describe`` for numbers, one row per column:
-    count, mean, std, min, 25%, 50%, 75%, max.  Counts, moments and
-    extremes of all columns come from one aggregation pass; the exact
-    quartiles from one distinct-value position table per column."""
+    count, mean, std, min, 25%, 50%, 75%, max.  All columns are read together:
+    moments, extremes and quartile brackets in a first pass, the exact quartiles
+    in a second."""
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = cols or [c for c in df.columns if isinstance(types[c], NUMERIC)]
-    stats = ["count", "mean", "std", "min", "max"]
-    base = df.agg(*[x for c in cols for x in (
-        F.count(c).cast("long").alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"),
-        F.stddev_samp(c).alias(f"{c}__std"), F.min(c).cast("double").alias(f"{c}__min"),
-        F.max(c).cast("double").alias(f"{c}__max"))])
-    base = base.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{k}").alias(k) for k in stats]) for c in cols]))
-        .alias("r")).select("r.*")
-    qs = None
-    for c in cols:
-        q = exact_quantiles(df.select(c), c, {"q25": 0.25, "q50": 0.5, "q75": 0.75}) \
-            .withColumn("column_name", F.lit(c))
-        qs = q if qs is None else qs.unionByName(q)
-    # A column that is all null has no quantile row: keep its counts.
-    return base.join(qs, "column_name", "left").select("column_name", "count", "mean", "std", "min",
-                                                       "q25", "q50", "q75", "max")
+    probs = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    v = F.col(narrowing.VALUE)
+    rows = narrowing.long_form(df, cols, [])
+    moments = [F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max")]
+    base = cut_lineage(narrowing.group_brackets(rows, [], list(probs.values()), extra=moments))
+    q = narrowing.quantiles_of(narrowing.cells(rows, [], base), [], probs)
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], f"{narrowing.NAME} string")  # a column without numbers keeps its row
+    p = names.join(base.drop("brackets"), narrowing.NAME, "left").join(q, narrowing.NAME, "left")
+    return p.select(F.col(narrowing.NAME).alias("column_name"), F.coalesce("n", F.lit(0)).cast("long").alias("count"),
+                    "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def profile_text(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Count, unique, top, freq for text columns (pandas ``describe``
-    of objects).  ``top`` ties break to the smallest value."""
+    of objects), all columns read together.  ``top`` ties break to the smallest
+    value.  Rows become (column, value) and are counted once; the counts are
+    partial before the shuffle, so a frequent value is not a hot key."""
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = cols or [c for c in df.columns if isinstance(types[c], T.StringType)]
-    out = None
-    for c in cols:
-        vc = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-        row = vc.agg(F.sum("n").cast("long").alias("count"), F.count(F.lit(1)).cast("long").alias("unique"),
-                     F.max("n").cast("long").alias("freq"),
-                     F.min_by(F.col(c), F.struct((-F.col("n")).alias("negn"), F.col(c).alias("v"))).alias("top"))
-        row = row.select(F.lit(c).alias("column_name"), "count", "unique", "top", "freq")
-        out = row if out is None else out.unionByName(row)
-    return out
+    one = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("v")) for c in cols])).alias("x")
+    counts = df.select(one).select("x.*").filter(F.col("v").isNotNull()).groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min_by(F.col("v"), F.struct((-F.col("n")).alias("less"), F.col("v").alias("v")))
+    got = counts.groupBy("column_name").agg(F.sum("n").cast("long").alias("count"), F.count(F.lit(1)).cast("long").alias("unique"),
+                                            first.alias("top"), F.max("n").cast("long").alias("freq"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+    return names.join(got, "column_name", "left").select("column_name", F.coalesce("count", F.lit(0).cast("long")).alias("count"),
+                                                         F.coalesce("unique", F.lit(0).cast("long")).alias("unique"), "top", "freq")
+
+
+def schema_profile(df: DataFrame) -> DataFrame:
+    """The schema part of a profile (``info``): position, column, type and
+    number of values that aren't null, one counting pass."""
+    counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
+    return counts.select(F.explode(F.array(*[F.struct(
+        F.lit(i).alias("position"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("type"),
+        F.col(f.name).cast("long").alias("not_null")) for i, f in enumerate(df.schema.fields)])).alias("r")).select("r.*")
 
 
 def box_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Quartiles, whiskers (furthest values within 1.5 IQR of the box)
-    and outlier count per group.  One distinct-value position table serves
-    both the exact quartiles and, joined with the one-row-per-group
-    quartiles, the whiskers and outliers."""
-    keys = list(keys)
-    pos = value_positions(drop_null_keys(df, keys), value, keys)
-    q = quantiles_from_positions(pos, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, keys)
-    q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    lo, hi = F.col("q1") - 1.5 * F.col("iqr"), F.col("q3") + 1.5 * F.col("iqr")
-    v = F.col(value).cast("double")
-    d = pos.select(*keys, value, F.col("cnt").alias("__c"))
-    if not keys:  # one group: join on a constant key to the one-row table
-        d, q = d.withColumn("__all", F.lit(0)), q.withColumn("__all", F.lit(0))
-    j = d.join(q, on=keys or ["__all"])
-    return j.groupBy(*keys).agg(
-        F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
-        F.first("iqr").alias("iqr"),
-        F.min(F.when(v >= lo, v)).alias("whisker_low"),
-        F.max(F.when(v <= hi, v)).alias("whisker_high"),
-        F.sum(F.when((v < lo) | (v > hi), F.col("__c")).otherwise(0)).cast("long").alias("outliers"))
+    and outlier count per group."""
+    return narrowing.box(drop_null_keys(df, list(keys)), list(keys), value)
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions import day_period, day_type, late_hours, month_text, quarter_text
+from tributary.operators import narrowing
 from tributary.operators.aggregates import drop_null_keys, sums_with_ratios
-from tributary.operators.ranking import average_rank, exact_quantiles
+from tributary.session import cut_lineage
 
 # The sentinel the delivery CSV uses for a missing value.
 SENTINEL = "NaN "
@@ -47,25 +48,26 @@ def account_roi(spend: DataFrame) -> DataFrame:
 
 def lucky_accounts(roi: DataFrame, exclude: list[str], roi_q: float = 0.75, spend_q: float = 0.25) -> DataFrame:
     """Accounts whose spend is at most the lower quartile and
-    ROI at least the upper quartile, after removing the named outliers.
-    The two thresholds are exact quantiles, used as scalar subqueries."""
-    r = roi.filter(~F.col("account").isin(exclude)) if exclude else roi
-    q = exact_quantiles(r, "roi", {"t": roi_q}).select("t").scalar()
-    s = exact_quantiles(r, "amount_spent", {"t": spend_q}).select("t").scalar()
-    return r.filter((F.col("amount_spent") <= s) & (F.col("roi") >= q))
+    ROI at least the upper quartile, after removing the named outliers.  The
+    accounts are summed once and written out; both thresholds come from the same
+    two passes over them and are used as scalar subqueries."""
+    r = cut_lineage(roi.filter(~F.col("account").isin(exclude)) if exclude else roi)
+    q = cut_lineage(narrowing.quantiles(r, ["roi", "amount_spent"], {"low": spend_q, "high": roi_q}))
+    most = q.filter("column_name = 'amount_spent'").select("low").scalar()
+    least = q.filter("column_name = 'roi'").select("high").scalar()
+    return r.filter((F.col("amount_spent") <= most) & (F.col("roi") >= least))
 
 
 def quarter_currency(spend: DataFrame) -> DataFrame:
-    """Per (quarter, currency): account rows, sum/median/mean."""
-    s = drop_null_keys(spend.withColumn("quarter", quarter_text("date")), ["quarter", "currency"])
-    keys = ["quarter", "currency"]
-    base = s.groupBy(*keys).agg(
-        F.count("account").cast("long").alias("account"),
-        F.sum("amount_spent").alias("amount_spent_sum"), F.avg("amount_spent").alias("amount_spent_mean"),
-        F.sum("gacha_attempts").alias("gacha_attempts_sum"), F.avg("gacha_attempts").alias("gacha_attempts_mean"))
-    m1 = exact_quantiles(s, "amount_spent", {"amount_spent_median": 0.5}, keys)
-    m2 = exact_quantiles(s, "gacha_attempts", {"gacha_attempts_median": 0.5}, keys)
-    return base.join(m1, keys, "left").join(m2, keys, "left")
+    """Per (quarter, currency): account rows, sum/median/mean.  The
+    joined rows are written out once; both medians come from the same passes."""
+    keys, cols = ["quarter", "currency"], ["amount_spent", "gacha_attempts"]
+    s = cut_lineage(drop_null_keys(spend.withColumn("quarter", quarter_text("date")), keys).select(*keys, "account", *cols))
+    base = s.groupBy(*keys).agg(F.count("account").cast("long").alias("account"),
+                                *[f(c).alias(f"{c}_{n}") for c in cols for n, f in (("sum", F.sum), ("mean", F.avg))])
+    m = narrowing.quantiles(s, cols, {"m": 0.5}, keys)
+    medians = m.groupBy(*keys).agg(*[F.max(F.when(F.col("column_name") == c, F.col("m"))).alias(f"{c}_median") for c in cols])
+    return base.join(medians, keys, "left")
 
 
 def month_rates(spend: DataFrame) -> DataFrame:
@@ -79,9 +81,9 @@ def month_rates(spend: DataFrame) -> DataFrame:
 
 def top_share_by(df: DataFrame, value: str, label: str, threshold: float = 0.8) -> DataFrame:
     """Composition (shares by ``label``) of the rows whose average
-    percentile rank of ``value`` is at least ``threshold``."""
-    r = average_rank(df, value).filter(F.col("pct_rank") >= threshold).select(value)
-    top = df.join(r, on=value, how="left_semi")
+    percentile rank of ``value`` is at least ``threshold``: the least such value
+    is found by narrowing and used as a scalar."""
+    top = df.filter(F.col(value) >= narrowing.value_at_share(df, value, threshold))
     g = top.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     from tributary.operators.windows import share_of_total
     return share_of_total(g, "n", "proportion").select(label, "proportion")

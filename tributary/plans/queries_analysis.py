@@ -155,30 +155,38 @@ def dropna(spark, sf):
     return s.dropna(subset=["event_type", "value"])
 
 
-@query("profile", sql="""
-SELECT 'o_totalprice' AS column_name, CAST(count(o_totalprice) AS BIGINT) AS count,
-       round_even(avg(o_totalprice), 6) AS mean, round_even(stddev_samp(o_totalprice), 6) AS std,
-       round_even(min(o_totalprice), 6) AS min, round_even(quantile_cont(o_totalprice, 0.25), 6) AS q25,
-       round_even(quantile_cont(o_totalprice, 0.5), 6) AS q50, round_even(quantile_cont(o_totalprice, 0.75), 6) AS q75,
-       round_even(max(o_totalprice), 6) AS max
-FROM orders
-UNION ALL
-SELECT 'o_custkey', CAST(count(o_custkey) AS BIGINT), round_even(avg(o_custkey), 6), round_even(stddev_samp(o_custkey), 6),
-       round_even(min(o_custkey), 6), round_even(quantile_cont(o_custkey, 0.25), 6),
-       round_even(quantile_cont(o_custkey, 0.5), 6), round_even(quantile_cont(o_custkey, 0.75), 6),
-       round_even(max(o_custkey), 6)
-FROM orders""")
+_ORDER_NUMBERS, _ORDER_TEXTS = ["o_orderkey", "o_custkey", "o_totalprice"], ["o_orderstatus", "o_orderpriority"]
+
+
+@query("profile", sql="\nUNION ALL ".join(f"""
+SELECT '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS count, round_even(avg({c}), 6) AS mean, round_even(stddev_samp({c}), 6) AS std,
+       round_even(CAST(min({c}) AS DOUBLE), 6) AS min, round_even(quantile_cont({c}, 0.25), 6) AS q25, round_even(quantile_cont({c}, 0.5), 6) AS q50,
+       round_even(quantile_cont({c}, 0.75), 6) AS q75, round_even(CAST(max({c}) AS DOUBLE), 6) AS max
+FROM orders""" for c in _ORDER_NUMBERS))
 def profile(spark, sf):
-    p = A.profile_numeric(table(spark, sf, "orders"), ["o_totalprice", "o_custkey"])
-    return _r(p, {"mean", "std", "min", "q25", "q50", "q75", "max"})
+    """Every numeric column of a table."""
+    return _r(A.profile_numeric(table(spark, sf, "orders")), {"mean", "std", "min", "q25", "q50", "q75", "max"})
 
 
-@query("profile_text", sql="""
-WITH v AS (SELECT o_orderpriority AS v, count(*) AS n FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1)
-SELECT 'o_orderpriority' AS column_name, CAST(sum(n) AS BIGINT) AS count, CAST(count(*) AS BIGINT) AS "unique",
-       arg_min(v, (-n, v)) AS top, CAST(max(n) AS BIGINT) AS freq FROM v""")
+@query("profile_text", sql="\nUNION ALL ".join(f"""
+SELECT '{c}' AS column_name, coalesce(CAST(sum(n) AS BIGINT), 0) AS count, CAST(count(*) AS BIGINT) AS "unique",
+       arg_min(v, (-n, v)) AS top, CAST(max(n) AS BIGINT) AS freq
+FROM (SELECT {c} AS v, count(*) AS n FROM orders WHERE {c} IS NOT NULL GROUP BY 1)""" for c in _ORDER_TEXTS))
 def profile_text(spark, sf):
-    return A.profile_text(table(spark, sf, "orders"), ["o_orderpriority"])
+    """Every text column of a table."""
+    return A.profile_text(table(spark, sf, "orders"))
+
+
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+@query("profile_schema", sql="\nUNION ALL ".join(f"""
+SELECT {i} AS position, '{c}' AS column_name,
+       CASE any_value(typeof({c})) WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'INTEGER' THEN 'int'
+            ELSE lower(any_value(typeof({c}))) END AS type, CAST(count({c}) AS BIGINT) AS not_null FROM orders""" for i, c in enumerate(_ORDER_COLUMNS)))
+def profile_schema(spark, sf):
+    """Position, type and values of every column of a table."""
+    return A.schema_profile(table(spark, sf, "orders"))
 
 
 @query("profile_filtered", sql="""
