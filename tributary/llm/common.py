@@ -44,6 +44,21 @@ def stage(df: DataFrame, batch_bytes: int | None = None) -> DataFrame:
     return out
 
 
+def with_row(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and the whole row as the struct ``row``: columns that a
+    step adds can't clash with the row's own.  ``row_again`` undoes it."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(_quoted(c)) for c in docs.columns]).alias("row"))
+
+
+def row_again(df: DataFrame, columns: list[str], changed: dict | None = None) -> DataFrame:
+    """The rows' own ``columns``, with ``changed`` (name to Column) in their places."""
+    return df.select(*[((changed or {}).get(c, F.col(f"row.{_quoted(c)}"))).alias(c) for c in columns])
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def text_partitions(df: DataFrame, columns: list[str], bytes_each: int, factor: float = 1.0) -> int:
     """How many partitions hold ``factor`` times the bytes of ``columns`` at
     ``bytes_each`` bytes a partition; at least the session's parallelism."""

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import SpanHash, byte_view, lower_ascii, mix, slices, stage, word_spans
+from tributary.llm.common import byte_view, lower_ascii, mix, row_again, slices, SpanHash, stage, with_row, word_spans
 
 BITMAP_BITS = 1 << 24
 
@@ -223,5 +223,6 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, shingle:
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 5) -> DataFrame:
     """The documents that hold no window of any item, with all columns."""
-    bad = contamination(docs, items, window, shingle).where("contaminated").select(F.col("row_key").alias("_bad")).distinct()
-    return docs.join(bad, row_key() == F.col("_bad"), "left_anti")
+    found = contamination(docs.select("doc_id", "text"), items, window, shingle)
+    bad = found.where("contaminated").select(F.col("row_key").alias("bad_key")).distinct()
+    return row_again(with_row(docs).join(bad, row_key() == F.col("bad_key"), "left_anti"), docs.columns)

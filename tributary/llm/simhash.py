@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import byte_view, lower_ascii, mix, slices, stage, word_spans
+from tributary.llm.common import byte_view, lower_ascii, mix, row_again, slices, stage, with_row, word_spans
 from tributary.llm.components import connected_components
 
 # Fingerprints that the tree is grown from, at most; a leaf keeps LEAF_SAMPLE.
@@ -266,12 +266,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> Dat
 def drop_near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     """One document of each component, that of the smallest doc_id, with all
     its columns; of repeated rows with this id and text, one."""
-    rows, named = groups(docs, shingle, distance)
+    rows, named = groups(docs.select("doc_id", "text"), shingle, distance)
     order = Window.partitionBy("label").orderBy(F.col("doc_id").asc_nulls_last(), "text_key")
     keyed = rows.groupBy("doc_id", "text_key", "fp").agg(F.count("*").alias("copies")).join(named, "fp")
     kept = stage(keyed.withColumn("place", F.row_number().over(order)).where("place = 1")
                  .select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key"), "copies"))
     is_kept = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")) & (text_key() == F.col("_kept_key"))
-    once = docs.join(kept.where("copies = 1"), is_kept, "left_semi")
-    many = docs.join(kept.where("copies > 1"), is_kept)
-    return once.union(many.dropDuplicates(["_kept_id", "_kept_key"]).select(*once.columns))
+    whole = with_row(docs)
+    once = whole.join(kept.where("copies = 1"), is_kept, "left_semi")
+    many = whole.join(kept.where("copies > 1"), is_kept).dropDuplicates(["_kept_id", "_kept_key"])
+    return row_again(once.select("row").unionAll(many.select("row")), docs.columns)

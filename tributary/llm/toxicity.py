@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import SpanHash, byte_view, lower_ascii, mix, slices, word_spans
+from tributary.llm.common import byte_view, lower_ascii, mix, row_again, slices, SpanHash, with_row, word_spans
 from tributary.llm.labelled import fit_in_task, fold, sample
 
 WINDOW, STRIDE = 32, 16
@@ -346,5 +346,5 @@ def score(docs: DataFrame, net: Network | None, threshold: float = 0.5, folds: i
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The documents that the model, fitted on ``labels``, doesn't reject, with all columns."""
-    scored = with_score(docs, fit(docs, labels), "_toxicity")
-    return scored.where(F.col("_toxicity") < threshold).select(*docs.columns)
+    scored = with_score(with_row(docs), fit(docs.select("doc_id", "text"), labels))
+    return row_again(scored.where(F.col("score") < threshold), docs.columns)
