@@ -177,3 +177,39 @@ def test_graph_search_recall_and_ties(spark):
     assert hit >= 0.9 * 5 * len(got)
     assert graph_search.nearest(df.limit(0)).count() == 0
     assert graph_search.nearest(df.where("vec_id < 3")).count() == 2
+
+
+LONG = "The river rises in the spring and the farmers who live there move their cattle to the hills until the water falls again. " * 3
+LONG = LONG.strip()
+SHAPES = [
+    (f"<nav>Home About</nav><article><p>{LONG}</p></article>", LONG),
+    (f"<article><p>{LONG}</p><div class='ad'>Buy our offer</div><p>{LONG}</p><aside>Side box</aside><p>{LONG}</p></article>", f"{LONG}\n{LONG}\n{LONG}"),
+    (f"<article><p>{LONG}</p></article><div id='comments'><p>I agree.</p><p>{LONG}</p></div>", LONG),
+    ("<article><p class='notice'>Ad<p>real text<p>and more</article>", "real text\nand more"),
+    ("<article><ul><li class='share'>Tell others<li>One<li>Two</ul><p id='related-work'>Work of others.</p><p class='share-price'>It fell.</p></article>",
+     "One\nTwo\nWork of others.\nIt fell."),
+    ("<div id='content'><h1>Title</h1><p>Short.</p><p>A paragraph of fourteen words that says no more than it has to say here.</p></div><div class='footer'>Me</div>",
+     "Title\nShort.\nA paragraph of fourteen words that says no more than it has to say here."),
+    (f"<div class='main-content'><h2>A</h2><ul><li>x<li>y</ul></div><div class='sidebar'>{LONG}</div>", "A\nx\ny"),
+    ("<div id='main'><div id='sidebar'>Links</div><p>Kept.</p></div>", "Kept."),
+    ("<div id='content'>Outside <article><p>In.</p></article> after</div>", "In."),
+    ("<main><table><tr><td class='ad'>Buy<td>Cell one<tr><td>Cell two</table></main>", "Cell one\nCell two"),
+    ("<main><dl><dt>Term<dd class='promo'>Offer<dt>Next<dd>Meaning</dl></main>", "Term\nNext\nMeaning"),
+    (f"<header>Site</header><div class='entry-content'><p>One.</p><div class='related-posts'>More</div><p>{LONG}</p></div>", f"One.\n{LONG}"),
+    ("<article><section class='comment-list'><p>Nice!</p></section><p>Text.</p><div class='share-buttons'>F T</div></article>", "Text."),
+    ("<article><p>One<div class='widget'><p>Box</div><p>Two</article>", "One\nTwo"),
+    ("<article><form><p>Mail<p>Name</form><p>Text</p></article>", "Text"),
+    (f"<p>{LONG}</p><p>{LONG}</p>", f"{LONG}\n{LONG}"),
+    ("<article><p>A<table><tr><td><p>B<p>C</table><p>D</article>", "A\nB\nC\nD"),
+    ("<article><blockquote><p>Said.</blockquote><p>Told.</article>", "Said.\nTold."),
+    (f"<nav><ul><li><a href='/'>A</a><li><a href='/b'>B</a></ul></nav><article><h1>T</h1><p>{LONG}<footer>Tags: x</footer></article>", f"T\n{LONG}"),
+    (f"<div class='cookie-notice'><p>{LONG}</p></div><article><p>Only this.</p></article>", "Only this."),
+]
+
+
+def test_main_text_of_other_shapes(spark):
+    pages = [html if whole else f"<html><head><title>T</title></head><body>{html}</body></html>" for html, _ in SHAPES for whole in (True, False)]
+    df = spark.createDataFrame([(i, "u", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(df).collect()}
+    wrong = {i: (pages[i], got[i]) for i in got if got[i] != SHAPES[i // 2][1]}
+    assert not wrong

@@ -10,8 +10,8 @@ says which blocks are main text.
 Only the cut into blocks is per-row Python; neighbours, tree and joining are
 DataFrame expressions on the page's array of blocks, so nothing is shuffled.
 
-Cases: null or empty html gives an empty text; unclosed or unbalanced tags end
-with the container that encloses them; very long pages are read whole; rows
+Cases: null or empty html gives an empty text; unclosed tags end where HTML
+implies it (p, li, dt, dd, td, th, tr) or with the container that encloses them; very long pages are read whole; rows
 and repeats stay; other columns are ignored; an empty table gives an empty
 result.
 """
@@ -40,23 +40,72 @@ FURNITURE = frozenset("nav header footer aside form dialog menu address figure".
 MARKS = re.compile(r"(?i)(?:^|[\s_-])(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|cookies?|disqus|footer|header|masthead|menu|"
                    r"modal|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo|related|replies|reply|share|sharing|sidebar|"
                    r"social|sponsor|sponsored|subscribe|toolbar|widget)(?:$|[\s_-])")
+MARK_WORDS = re.compile(r"(?i)[\s_-]+")
+# In an article a mark counts only beside words that say no more of its subject:
+# "share-buttons" is furniture there, "share-price" is not.
+PLAIN_WORDS = frozenset("area article articles bar block bottom box btn button buttons container content count footer form global group holder icon "
+                        "icons inline inner item items left link links list main meta module outer page panel post posts right row section site slot "
+                        "text thread title top unit wrap wrapper".split())
+CONTENT_MARKS = re.compile(r"(?i)(?:^|\s)(?:page|site|main|post|body)?[_-]?(?:content|main|body)(?:[_-](?:content|text|body|main|area|inner|wrapper))?(?:$|\s)")
 MAIN_MARKS = re.compile(r"(?i)(?:^|[\s_-])(?:article|post|entry|story)(?:[_-](?:body|content|text))?(?:$|\s)")
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 NAMES = re.compile(r"""(?is)\b(class|id|role|hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 
-OUTSIDE, IN_ARTICLE, IN_FURNITURE = 0, 1, 2
+# Start tags that end an open element, and the elements they don't reach beyond.
+ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
+                   "hgroup hr main menu nav ol p pre search section table ul".split())
+IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
+           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr"}, {"table"}),
+           "thead": ({"thead", "tbody", "tr"}, {"table"}), "tbody": ({"thead", "tbody", "tr"}, {"table"}), "tfoot": ({"thead", "tbody", "tr"}, {"table"})}
+P_STAYS = frozenset("td th caption object template body button".split())
+
+# IN_CONTENT: in a container that is only named content, main or body.  It counts
+# as the article where the page has none.
+OUTSIDE, IN_ARTICLE, IN_FURNITURE, IN_CONTENT = 0, 1, 2, 3
+
+
+def is_furniture(marks: list[str], in_article: bool) -> bool:
+    found = [m for m in marks if MARKS.search(m)]
+    if not in_article:
+        return bool(found)
+    return any(all(MARKS.search(w) or w.lower() in PLAIN_WORDS or w.isdigit() for w in MARK_WORDS.split(token) if w)
+               for m in found for token in m.split() if MARKS.search(token))
 
 
 def place_of(name: str, attributes: str, inside: int) -> int:
     """Where the text of an element stands, given where the element stands."""
     marks = [next(filter(None, m.groups()[1:]), "") for m in NAMES.finditer(attributes)] if "=" in attributes else []
-    if name in FURNITURE or any(MARKS.search(m) for m in marks):
+    if inside == IN_FURNITURE or name in FURNITURE or is_furniture(marks, inside == IN_ARTICLE):
         return IN_FURNITURE
-    if inside != IN_FURNITURE and (name in MAIN or any(MAIN_MARKS.search(m) for m in marks)):
+    if name in MAIN or any(MAIN_MARKS.search(m) for m in marks):
         return IN_ARTICLE
+    if inside == OUTSIDE and name != "body" and any(CONTENT_MARKS.search(m) for m in marks):
+        return IN_CONTENT
     return inside
 
 
+def implied_end(name: str, stack: list[tuple[str, int]]) -> int | None:
+    """How much of the stack stays when a start tag ends what is open."""
+    keep = None
+    if name in ENDS_P:
+        for k in range(len(stack) - 1, -1, -1):
+            if stack[k][0] == "p":
+                keep = k
+                break
+            if stack[k][0] in P_STAYS:
+                break
+    if name in IMPLIED:
+        ended, beyond = IMPLIED[name]
+        for k in range((len(stack) if keep is None else keep) - 1, -1, -1):
+            if stack[k][0] in beyond:
+                break
+            if stack[k][0] in ended:
+                keep = k
+                if name not in ("tr", "thead", "tbody", "tfoot"):
+                    break
+    return keep
+
+
 def flat_blocks(page: str) -> list[tuple[str, int, int, int]]:
     """(text, words, words inside links, place) of each block of a page."""
     out, runs, linked = [], [], []
@@ -106,13 +155,19 @@ def flat_blocks(page: str) -> list[tuple[str, int, int, int]]:
                 continue
             if name == "body":
                 stack.clear()
-                unseen = 0
+                unseen, place = 0, OUTSIDE
+            kept = implied_end(name, stack)
+            if kept is not None:
+                place = stack[kept][1]
+                del stack[kept:]
+                unseen = sum(n in UNSEEN for n, _ in stack)
             stack.append((name, place))
             unseen += name in UNSEEN
             place = place_of(name, m[3], place)
     say(page[at:])
     close()
-    return out
+    content = OUTSIDE if any(b[3] == IN_ARTICLE for b in out) else IN_ARTICLE
+    return [(*b[:3], content if b[3] == IN_CONTENT else b[3]) for b in out]
 
 
 # Labelled blocks: words, link density, words and density of the block before,
@@ -122,6 +177,11 @@ LABELLED = [
     (1, 1.0, 0, 0.0, 1, 1.0, 2, 0), (2, 1.0, 1, 1.0, 1, 1.0, 2, 0), (1, 1.0, 2, 1.0, 9, 0.0, 2, 0), (9, 0.0, 1, 1.0, 10, 0.0, 2, 0),
     (8, 0.0, 1, 1.0, 12, 0.0, 2, 0), (40, 0.0, 1, 1.0, 12, 0.0, 2, 0), (15, 0.1, 60, 0.0, 0, 0.0, 2, 0), (60, 0.0, 80, 0.0, 30, 0.0, 2, 0),
     (120, 0.0, 90, 0.0, 0, 0.0, 2, 0), (5, 0.6, 100, 0.0, 0, 0.0, 2, 0), (3, 0.0, 0, 0.0, 1, 1.0, 2, 0), (25, 0.0, 2, 0.0, 20, 0.0, 2, 0),
+    (2, 1.0, 0, 0.0, 50, 0.0, 2, 0), (2, 0.0, 0, 0.0, 60, 0.0, 2, 0), (3, 0.0, 80, 0.0, 70, 0.0, 2, 0), (4, 0.0, 45, 0.0, 120, 0.0, 2, 0),
+    (2, 0.0, 100, 0.0, 40, 0.0, 2, 0), (30, 0.0, 60, 0.0, 90, 0.0, 2, 0), (70, 0.0, 2, 0.0, 65, 0.0, 2, 0), (12, 0.5, 50, 0.0, 45, 0.0, 2, 0),
+    (1, 1.0, 38, 0.0, 200, 0.0, 2, 0), (18, 0.0, 0, 0.0, 42, 0.1, 2, 0), (5, 0.0, 70, 0.1, 55, 0.0, 2, 0), (50, 0.1, 4, 0.0, 41, 0.0, 2, 0),
+    (2, 0.0, 1, 1.0, 60, 0.0, 1, 1), (8, 0.0, 2, 1.0, 100, 0.0, 1, 1), (50, 0.0, 3, 1.0, 40, 0.0, 1, 1), (20, 0.1, 1, 1.0, 90, 0.0, 1, 1),
+    (1, 0.0, 4, 0.8, 30, 0.0, 1, 1), (6, 0.0, 12, 0.6, 15, 0.0, 1, 1), (3, 1.0, 2, 1.0, 70, 0.0, 1, 1), (100, 0.0, 1, 1.0, 120, 0.0, 1, 1),
     (10, 0.0, 9, 0.0, 60, 0.0, 1, 1), (60, 0.0, 10, 0.0, 80, 0.0, 1, 1), (1, 0.0, 80, 0.0, 15, 0.0, 1, 1), (2, 0.0, 60, 0.0, 0, 0.0, 1, 1),
     (3, 0.0, 9, 0.0, 40, 0.0, 1, 1), (200, 0.02, 60, 0.0, 50, 0.0, 1, 1), (35, 0.1, 4, 0.0, 70, 0.0, 1, 1), (1, 0.0, 1, 0.0, 1, 0.0, 1, 1),
     (5, 1.0, 60, 0.0, 40, 0.0, 1, 1), (12, 0.5, 70, 0.0, 90, 0.0, 1, 1), (1, 1.0, 30, 0.0, 12, 0.0, 1, 1), (8, 0.0, 1, 1.0, 3, 0.0, 1, 1),
