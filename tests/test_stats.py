@@ -58,3 +58,38 @@ def test_five_groups_and_one(spark):
     one = df.filter("g = 'a'")
     assert one_way_anova(one, "g", "v").first().p_value is None
     assert kruskal_wallis(one, "g", "v").first().p_value is None
+
+
+def _gamma_tail(a, z):
+    """Q(a, z) for a whole a: e^-z times the sum of z^k / k!, with 60 digits."""
+    from decimal import Decimal, getcontext
+    getcontext().prec = 60
+    term = total = Decimal(1)
+    for k in range(1, a):
+        term = term * Decimal(z) / k
+        total += term
+    return float(total * (-Decimal(z)).exp())
+
+
+def test_tails_at_any_size(spark):
+    """Relative error under 1e-9 from 1 to 1e9 degrees of freedom."""
+    import math
+    import pytest
+    from pyspark.sql import functions as F
+    from tributary.operators.stats import chi_square_tail, f_tail
+    cases = [(2 * a, 2 * z) for a, z in ((1, .5), (1, 30.), (4, 4.), (50, 30.), (50, 50.), (50, 90.), (5000, 4900.), (5000, 5000.), (5000, 5300.), (50000, 49950.), (50000, 50000.), (50000, 51000.))]
+    rows = spark.createDataFrame([(float(x), k) for k, x in cases], "x double, k long").select("x", "k", chi_square_tail(F.col("x"), F.col("k")).alias("p")).collect()
+    for r in rows:
+        assert r.p == pytest.approx(_gamma_tail(int(r.k) // 2, r.x / 2), rel=1e-9), r
+    one = spark.range(1).select(chi_square_tail(1.0, 1).alias("a"), chi_square_tail(1e9, 10 ** 9).alias("b"), chi_square_tail(9.0, 1).alias("c")).first()
+    assert one.a == pytest.approx(math.erfc(math.sqrt(.5)), rel=1e-12) and one.c == pytest.approx(math.erfc(math.sqrt(4.5)), rel=1e-11)
+    big = 5e8                                                    # the series of Q(a, a)
+    assert one.b == pytest.approx(.5 - (1 / 3 + 1 / (540 * big)) / math.sqrt(2 * math.pi * big), rel=1e-9)
+
+    def exact(f, d1, d2):                                        # closed forms for 2 and 4 degrees above
+        a, y = d2 / 2, d1 * f / (d2 + d1 * f)
+        first = math.exp(a * math.log1p(-y))
+        return first if d1 == 2 else first * (1 + a * y)
+    cases = [(f, d1, d2) for d1 in (2, 4) for d2 in (1, 3, 50, 999_999, 1_000_001, 10 ** 9) for f in (.01, .9, 2., 10., 50.)]
+    for r in spark.createDataFrame(cases, "f double, d1 long, d2 long").select("*", f_tail(F.col("f"), F.col("d1"), F.col("d2")).alias("p")).collect():
+        assert r.p == pytest.approx(exact(r.f, r.d1, r.d2), rel=1e-9), r
