@@ -6,6 +6,7 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -26,19 +27,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: int | None) -> Iterator[None]:
+    """Jobs started inside send their Python workers Arrow batches of at most
+    about ``size`` bytes."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    if size:
+        spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stage(df: DataFrame, batch_bytes: int | None = None) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back, then let
     Spark drop the shuffle files of the finished job (it does so when the
     plan objects behind them are collected).  ``batch_bytes`` bounds the Arrow
     batches that its Python workers are sent meanwhile."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = conf.get(key)
-    if batch_bytes:
-        conf.set(key, batch_bytes)
-    try:
+    with batches_of(df.sparkSession, batch_bytes):
         out = cut_lineage(df)
-    finally:
-        conf.set(key, before)
     gc.collect()
     df.sparkSession._jvm.System.gc()
     return out

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tributary.llm.bpe import byte_characters
-from tributary.llm.common import slices, text_partitions
+from tributary.llm.common import batches_of, slices, text_partitions
 from tributary.llm.pretokens import Memory
 from tributary.session import checkpoint_dir
 
@@ -48,7 +48,9 @@ from tributary.session import checkpoint_dir
 SKIPPABLE, SEEK_FRAME, SEEK_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 
 # Matches in each of the two generations that a worker remembers.
-GENERATION = 400_000
+GENERATION = 700_000
+# Size of the Arrow batches that the encoding tasks read.
+BATCH_BYTES = 4 << 20
 FILE_TEXT_BYTES = 64 << 20
 MANIFEST = "file string, first_doc long, docs long, tokens long"
 READ_BYTES = 8 << 20
@@ -193,7 +195,8 @@ def write(df: DataFrame, folder: str, tokenizer_path: str, pattern: str, end_id:
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     runs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(n, *order).sortWithinPartitions(*order)
     path = f"{folder.rstrip('/')}/manifest"
-    runs.mapInArrow(run, MANIFEST).write.parquet(path)
+    with batches_of(spark, BATCH_BYTES):
+        runs.mapInArrow(run, MANIFEST).write.parquet(path)
     return spark.read.parquet(path)
 
 
