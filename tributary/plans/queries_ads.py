@@ -76,7 +76,7 @@ UNION ALL SELECT day, campaign, adgroup, impressions, clicks, cost, 'facebook' F
 UNION ALL SELECT day, campaign, adgroup, impressions, clicks, cost, 'google' FROM raw WHERE platform = 'google'
 UNION ALL SELECT day, campaign, adgroup, impressions, clicks, cost, 'yahoo' FROM raw WHERE platform = 'yahoo'""")
 def ads_union(spark, sf):
-    return ads.all_platforms(_raw(spark, sf), stacked=False)
+    return ads.all_platforms(_raw(spark, sf))  # one scan of the stacked table
 
 
 @query("ads_ga_staging", sql=f"WITH {_GA_SQL} SELECT * FROM ga_stg")

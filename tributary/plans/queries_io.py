@@ -19,7 +19,7 @@ from tributary.plans.queries_ads import _AD_SQL, _GA_SQL
 from tributary.session import checkpoint_dir
 from tributary.sources import readers as R
 from tributary.sources import sinks as W
-from tributary.streaming.ingest import keyed_json
+from tributary.streaming.ingest import JSON_OPTIONS, keyed_json
 
 
 def _scratch(spark) -> str:
@@ -160,6 +160,17 @@ def key_value_json(spark, sf):
     return keyed_json(table(spark, sf, "events"), "event_id")
 
 
+@query("key_value_fields", sql="""
+SELECT CAST(event_id AS VARCHAR) AS key, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props FROM events""")
+def key_value_fields(spark, sf):
+    """The records' JSON parsed back: key and every field as in the table."""
+    e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    records = keyed_json(e, "event_id")
+    fields = F.from_json("value", e.schema, JSON_OPTIONS)
+    return records.select("key", fields.alias("r")).select("key", "r.event_id", F.date_format("r.ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+                                                           "r.user_id", "r.event_type", "r.value", "r.props")
+
+
 @query("column_subset", sql="""
 SELECT doc_id, n_chars FROM documents WHERE lang = 'en' AND n_chars > 1000""")
 def column_subset(spark, sf):
