@@ -87,3 +87,22 @@ def test_skew_safe_row_numbers(spark):
     exp = {(r.g, r.u): (r.a, r.d) for r in df.select("g", "u", F.row_number().over(wa).alias("a"),
                                                         F.row_number().over(wd).alias("d")).collect()}
     assert got == exp
+
+
+def test_ellipsoid_distance(spark):
+    """Published lengths in metres, near-antipodal and degenerate pairs."""
+    from tributary.functions import ellipsoid_km
+    q, m = 10001965.7293, 20003931.4586
+    cases = [(-(37 + 57 / 60 + 3.72030 / 3600), 144 + 25 / 60 + 29.52440 / 3600,
+              -(37 + 39 / 60 + 10.15610 / 3600), 143 + 55 / 60 + 35.38390 / 3600, 54972.271),
+             (0.0, 0.0, 0.5, 179.5, 19936288.579), (0.0, 0.0, 0.5, 179.7, 19944127.421),
+             (-90.0, 0.0, 90.0, 0.0, m), (0.0, 0.0, 90.0, 50.0, q), (0.0, 0.0, 0.0, 180.0, m),
+             (30.0, 0.0, -30.0, 180.0, m), (0.0, 179.5, 0.0, -179.5, 111319.491), (12.0, 5.0, 12.0, 5.0, 0.0),
+             (12.0, 5.0, 12.0, 365.0, 0.0), (None, 0.0, 1.0, 1.0, None), (91.0, 0.0, 1.0, 1.0, None),
+             (float("nan"), 0.0, 1.0, 1.0, None)]
+    df = spark.createDataFrame([(i, *c[:4]) for i, c in enumerate(cases)], "i int, a double, b double, c double, d double")
+    got = {r.i: (r.km, r.back) for r in df.select("i", ellipsoid_km("a", "b", "c", "d").alias("km"),
+                                                  ellipsoid_km("c", "d", "a", "b").alias("back")).collect()}
+    for i, c in enumerate(cases):
+        for km in got[i]:
+            assert (km is None) if c[4] is None else km * 1000 == pytest.approx(c[4], abs=2e-3), (c, km)

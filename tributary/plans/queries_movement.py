@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tributary.functions import arrived, haversine_km, midpoint, plane_km, trip_fare_parts
+from tributary.functions import arrived, ellipsoid_km, haversine_km, midpoint, plane_km, trip_fare_parts
 from tributary.plans import movement as MV
 from tributary.operators.windows import bucketed_lag, first_last
 from tributary.plans.catalog import query, table
@@ -87,6 +87,38 @@ def sphere_distance(spark, sf):
             .agg(F.bround(F.avg("km"), 6).alias("avg_km"))
 
 
+@query("ellipsoid_distance", sql=f"""WITH RECURSIVE {_GEO_SQL},
+k AS (SELECT 6378.137::DOUBLE AS a, (1 / 298.257223563)::DOUBLE AS f),
+r AS (SELECT c_custkey, atan2((1 - f) * sin(radians(lat1)), cos(radians(lat1))) AS u1,
+             atan2((1 - f) * sin(radians(lat2)), cos(radians(lat2))) AS u2, radians(lon2 - lon1) AS l FROM g, k),
+it AS (SELECT c_custkey, u1, u2, l, l AS lam, 0 AS n FROM r
+       UNION ALL
+       SELECT c_custkey, u1, u2, l,
+              l + (1 - c) * f * sa * (s + c * ss * (cm + c * cs * (2 * cm * cm - 1))), n + 1
+       FROM (SELECT *, f / 16 * ca2 * (4 + f * (4 - 3 * ca2)) AS c FROM
+             (SELECT *, CASE WHEN ca2 < 1e-15 THEN 0 ELSE cs - 2 * sin(u1) * sin(u2) / ca2 END AS cm FROM
+              (SELECT *, 1 - sa * sa AS ca2, atan2(ss, cs) AS s FROM
+               (SELECT *, CASE WHEN ss = 0 THEN 0 ELSE cos(u1) * cos(u2) * sin(lam) / ss END AS sa FROM
+                (SELECT it.*, f, sqrt(pow(cos(u2) * sin(lam), 2) + pow(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) AS ss,
+                        sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS cs FROM it, k WHERE n < 12))))))
+SELECT c_custkey, round_even(a * (1 - f) * ba * (s - bb * ss * (cm + bb / 4 * (cs * (2 * cm * cm - 1)
+         - bb / 6 * cm * (4 * ss * ss - 3) * (4 * cm * cm - 3)))), 6) AS km
+FROM (SELECT *, (1 + kk * kk / 4) / (1 - kk) AS ba, kk * (1 - 3 * kk * kk / 8) AS bb FROM
+      (SELECT *, (sqrt(1 + w) - 1) / (sqrt(1 + w) + 1) AS kk FROM
+       (SELECT *, ca2 * (1 / ((1 - f) * (1 - f)) - 1) AS w,
+               CASE WHEN ca2 < 1e-15 THEN 0 ELSE cs - 2 * sin(u1) * sin(u2) / ca2 END AS cm FROM
+        (SELECT *, 1 - sa * sa AS ca2, atan2(ss, cs) AS s FROM
+         (SELECT *, CASE WHEN ss = 0 THEN 0 ELSE cos(u1) * cos(u2) * sin(lam) / ss END AS sa FROM
+          (SELECT it.*, a, f, sqrt(pow(cos(u2) * sin(lam), 2) + pow(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) AS ss,
+                  sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS cs FROM it, k WHERE n = 12))))))""")
+def ellipsoid_distance(spark, sf):
+    c = table(spark, sf, "customer")
+    lat1 = F.col("c_nationkey") * 3.0 - 30
+    lon1 = F.col("c_acctbal") / 100
+    return c.select("c_custkey", F.bround(ellipsoid_km(lat1, lon1, lat1 + F.col("c_acctbal") / 10000, lon1 + 0.05), 6)
+                    .alias("km"))
+
+
 @query("plane_distance", sql=f"""WITH {_GEO_SQL}
 SELECT c_custkey, round_even(sqrt(pow((lat2 - lat1) * 111, 2) + pow((lon2 - lon1) * 111, 2)), 6) AS km FROM g""")
 def plane_distance(spark, sf):
