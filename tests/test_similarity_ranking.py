@@ -25,6 +25,62 @@ def test_related_against_brute_force(spark):
     assert (4, 5) in {(a, b) for a, b, _ in exp}
 
 
+def _brute(v, ids, k=5, least=0.2):
+    u = v / np.linalg.norm(v, axis=1)[:, None]
+    s = u @ u.T
+    return sorted((i, j, round(-n, 4)) for i in ids for n, j in sorted((-s[i, j], j) for j in range(len(v)) if j != i and s[i, j] >= least)[:k])
+
+
+def _grouped(n=600, groups=12, d=32):
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(groups, d))
+    v = (centres[rng.integers(0, groups, n)] + 0.15 * rng.normal(size=(n, d))).astype("float32")
+    v[: n // 3] = v[0]  # a third of the rows equal
+    return v
+
+
+def test_related_by_bounds_is_exact_and_skips_pairs(spark):
+    from tributary.operators.similarity import related_pairs
+    v = _grouped()
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, e array<float>")
+    got = sorted(map(tuple, related_top_k(df, "id", "e", block_size=40).collect()))
+    exp = _brute(v.astype("float64"), range(len(v)))
+    # equal vectors: scores differ in the last bits only, so which of them come is open
+    assert [(a, round(s, 3)) for a, _, s in got] == [(a, pytest.approx(s, abs=1e-3)) for a, _, s in exp]
+    u = v.astype("float64") / np.linalg.norm(v.astype("float64"), axis=1)[:, None]
+    assert all(s == pytest.approx(u[a] @ u[b], abs=1e-4) and a != b for a, b, s in got)
+    told = related_pairs(df, "id", "e", block_size=40).first()
+    assert told.pairs == len(v) ** 2 and told.scored < told.pairs / 2
+
+
+def test_related_without_direction_and_few_queries(spark):
+    v = np.random.default_rng(2).normal(size=(50, 6)).astype("float32")
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    odd = [(100, None), (101, [0.0] * 6), (102, [None, 1.0, 0.0, 0.0, 0.0, 0.0]), (103, [float("nan")] * 6), (None, [1.0] * 6)]
+    df = spark.createDataFrame(rows + odd, "id long, e array<float>")
+    q = spark.createDataFrame([(3,), (7,), (101,)], "id long")
+    for size in (7, 8192):
+        got = sorted(map(tuple, related_top_k(df, "id", "e", q, block_size=size).collect()))
+        assert got == [(a, b, pytest.approx(c, abs=1e-4)) for a, b, c in _brute(v.astype("float64"), [3, 7])]
+        assert related_top_k(df.limit(0), "id", "e", block_size=size).count() == 0
+
+
+def test_related_rows_of_new_ids_only(spark):
+    import uuid
+
+    from tributary.operators.similarity import append_related
+    from tributary.session import checkpoint_dir
+    v = np.random.default_rng(4).normal(size=(40, 5)).astype("float32")
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, e array<float>")
+    path = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    append_related(df.where("id < 25"), "id", "e", path)
+    t = append_related(df, "id", "e", path)
+    vv = v.astype("float64")
+    first, both = _brute(vv[:25], range(25)), _brute(vv, range(40))
+    new = [r for r in both if r[0] not in {a for a, _, _ in first}]
+    assert sorted(map(tuple, t.read().collect())) == [(a, b, pytest.approx(c, abs=1e-4)) for a, b, c in sorted(first + new)]
+
+
 def test_score_exactly_threshold_kept(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.2, (1 - 0.04) ** 0.5])], "id long, e array<double>")
     got = related_top_k(df, "id", "e", k=5, min_score=0.2).collect()

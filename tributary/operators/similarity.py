@@ -1,20 +1,23 @@
-"""All-pairs cosine similarity, top k per row.
-
-Exact form.  Vectors are hashed into ``B`` blocks of about
-``block_size`` rows (``B`` from a count); a larger block means fewer
-replicas (less shuffle) and more work per group, whose scores are
-computed in query chunks so memory stays chunk x block.  Every (query block, candidate
-block) pair is one group of ``applyInPandas``: the query block's rows are
-replicated to each candidate block and vice versa, so a group holds at
-most about ``2 x block_size`` vectors whatever the data size or skew.
-Inside a group one matrix product scores all pairs in numpy and only the
-best ``k`` candidates per query row leave the task; a last window keeps
-the best ``k`` of the ``k x B`` partial results per query row.  Pairs are
-never materialised as rows.
-
-Work is quadratic by nature (as in the reference).  ``approx_related``
-is the large-scale alternative: random-projection LSH candidates scored
-exactly; it may miss pairs and is therefore not the default.
+"""Top-k cosine similarity per row.
+
+Exact form.  Cosines come from blocks of about ``block_size`` vectors: a group of
+``applyInPandas`` is a pair of blocks, one matrix product scores it in query
+chunks, and only the best ``k`` of each query row leave the task.  Pairs are never
+rows, and a group's size is fixed whatever the data or its skew.
+
+Blocks are not compared blindly.  A bounded sample gives pivots (spherical
+k-means); a vector belongs to the cell of its nearest pivot, and a cell of many
+vectors is cut into blocks.  Of every cell the least and largest angle to each
+pivot are known, so that the triangle inequality bounds a query's best cosine
+there.  A query first meets its own block; its k-th score there, or ``min_score``,
+then rules out all cells whose bound is lower.  ``related_pairs`` reports how
+many pairs are left.  Vectors that form groups leave few; for vectors without
+any structure angles concentrate, no bound excludes anything, and the work stays
+quadratic (as in the reference).
+
+``append_related`` keeps a table of results and adds those of new ids only.
+``approx_related`` has random-projection LSH candidates, scored exactly; it may
+miss pairs and is therefore not the default.
 """
 
 from __future__ import annotations
@@ -26,9 +29,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-__all__ = ["related_top_k", "approx_related"]
+from tributary.operators.keyed_table import KeyedTable
+from tributary.session import cut_lineage
+
+__all__ = ["related_top_k", "related_pairs", "append_related", "approx_related"]
 
 OUT_SCHEMA = "news_id long, related_news_id long, score double"
+# Sampled vectors that pivots are chosen from, and pivots, at most.
+PIVOT_SAMPLE, PIVOTS = 4096, 64
+# Angles are compared with this slack (arccos loses digits near 1).
+SLACK = 1e-6
 
 
 def _block_topk(k: int, min_score: float, chunk: int = 1024):
@@ -70,23 +80,192 @@ def _block_topk(k: int, min_score: float, chunk: int = 1024):
     return fn
 
 
+def _unit(vectors: pd.Series) -> np.ndarray:
+    v = np.vstack(vectors.to_numpy()).astype(np.float64)
+    return v / np.linalg.norm(v, axis=1)[:, None]
+
+
+def _angles(vectors: pd.Series, pivots: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(_unit(vectors) @ pivots.T, -1.0, 1.0))
+
+
+def _choose_pivots(sample: np.ndarray, n: int) -> np.ndarray:
+    """``n`` unit vectors at most: farthest-first points of the sample, then moved
+    to the middles of their cells."""
+    chosen = [0]
+    near = sample @ sample[0]
+    for _ in range(1, min(n, len(sample))):
+        chosen.append(int(np.argmin(near)))
+        near = np.maximum(near, sample @ sample[chosen[-1]])
+    pivots = sample[chosen]
+    for _ in range(5):
+        cell = np.argmax(sample @ pivots.T, axis=1)
+        sums = np.zeros_like(pivots)
+        np.add.at(sums, cell, sample)
+        size = np.linalg.norm(sums, axis=1)
+        pivots = np.where(size[:, None] > 0, sums / np.where(size > 0, size, 1.0)[:, None], pivots)
+    return pivots
+
+
+class _Layout:
+    """Cells and blocks of a table of vectors (columns __id, __vec).  What the driver holds is
+    bounded by PIVOT_SAMPLE vectors and PIVOTS squared angles."""
+
+    def __init__(self, v: DataFrame, block_size: int):
+        self.n = v.count()
+        b = max(1, math.ceil(self.n / block_size))
+        self.blocks = 1
+        if b == 1:
+            return
+        rows = v.orderBy(F.xxhash64("__id"), "__id").select("__vec").limit(PIVOT_SAMPLE).collect()
+        self.pivots = pivots = _choose_pivots(_unit(pd.Series([r[0] for r in rows])), min(PIVOTS, b))
+        p = len(pivots)
+
+        def ranges(batches):
+            for pdf in batches:
+                a = _angles(pdf["__vec"], pivots)
+                cell = np.argmin(a, axis=1)
+                for c in np.unique(cell):
+                    mine = a[cell == c]
+                    yield pd.DataFrame({"cell": int(c), "pivot": np.arange(p), "n": len(mine),
+                                        "lo": mine.min(axis=0), "hi": mine.max(axis=0)})
+
+        found = v.select("__vec").mapInPandas(ranges, "cell int, pivot int, n long, lo double, hi double") \
+            .groupBy("cell", "pivot").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()
+        self.lo, self.hi, size = np.full((p, p), np.inf), np.full((p, p), -np.inf), np.zeros(p, np.int64)
+        for r in found:
+            self.lo[r.cell, r.pivot], self.hi[r.cell, r.pivot], size[r.cell] = r.lo, r.hi, r.n
+        self.parts = -(-size // block_size)
+        self.first = np.cumsum(self.parts) - self.parts
+        self.blocks = int(self.parts.sum())
+
+    def place(self, v: DataFrame) -> DataFrame:
+        """__id, __vec and the block of every vector."""
+        if self.blocks == 1:
+            return v.select("__id", "__vec", F.lit(0).alias("__block"))
+        pivots, parts, first = self.pivots, np.maximum(self.parts, 1), self.first
+
+        def run(batches):
+            for pdf in batches:
+                cell = np.argmin(_angles(pdf["__vec"], pivots), axis=1)
+                at = first[cell] + pdf["__h"].to_numpy() % parts[cell]
+                yield pd.DataFrame({"__id": pdf["__id"], "__vec": pdf["__vec"], "__block": at.astype("int32")})
+
+        return v.select("__id", "__vec", F.xxhash64("__id").alias("__h")) \
+            .mapInPandas(run, "__id long, __vec array<double>, __block int")
+
+    def visits(self, own: DataFrame, k: int, min_score: float) -> DataFrame:
+        """Of every query row the other blocks (__cb) that may hold a better one
+        than its k-th so far."""
+        pivots, lo, hi, parts, first = self.pivots, self.lo, self.hi, self.parts, self.first
+
+        def run(batches):
+            for pdf in batches:
+                a = _angles(pdf["__vec"], pivots)
+                worst = np.array([max(min_score, min(s)) if len(s) >= k else min_score for s in pdf["scores"]])
+                least = np.zeros((len(pdf), len(parts)))  # angle to a cell's nearest vector, at least
+                for c in range(len(parts)):
+                    least[:, c] = np.maximum(0.0, np.maximum(lo[c] - a, a - hi[c]).max(axis=1))
+                reach = (least <= np.arccos(np.clip(worst, -1.0, 1.0))[:, None] + SLACK) & (parts > 0)
+                rows, cells = np.nonzero(reach)
+                times = parts[cells]
+                rows = np.repeat(rows, times)
+                block = np.repeat(first[cells], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                other = block != pdf["__block"].to_numpy()[rows]
+                for at in range(0, len(rows), 8192):
+                    r, to = rows[at:at + 8192], block[at:at + 8192]
+                    r, to = r[other[at:at + 8192]], to[other[at:at + 8192]]
+                    yield pd.DataFrame({"__id": pdf["__id"].to_numpy()[r], "__vec": pdf["__vec"].to_numpy()[r],
+                                        "__qb": pdf["__block"].to_numpy()[r], "__cb": to.astype("int32")})
+
+        return own.select("__id", "__vec", "__block", "scores").mapInPandas(run, "__id long, __vec array<double>, __qb int, __cb int")
+
+
+def _vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """__id and __vec of the rows that have a direction: no null or not finite
+    component, not all zero."""
+    vec = F.col(vec_col).cast("array<double>")
+    square = F.aggregate(vec, F.lit(0.0), lambda a, x: a + x * x)
+    return df.select(F.col(id_col).cast("long").alias("__id"), vec.alias("__vec")) \
+        .filter(F.col("__id").isNotNull() & (square > 0) & (square < F.lit(float("inf"))))
+
+
+def _own_block(k: int, min_score: float):
+    """Per block: every query row with its best ``k`` candidates there."""
+    best = _block_topk(k, min_score)
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = pdf.loc[pdf["__role"] == 0, ["__id", "__vec", "__block"]]
+        found = {i: (g["related_news_id"].tolist(), g["score"].tolist()) for i, g in best(pdf).groupby("news_id", sort=False)}
+        tops = [found.get(i, ([], [])) for i in out["__id"]]
+        return out.assign(ids=pd.Series([t[0] for t in tops], out.index, object),
+                          scores=pd.Series([t[1] for t in tops], out.index, object))
+    return fn
+
+
+def _own(layout: _Layout, v: DataFrame, q: DataFrame, k: int, min_score: float) -> DataFrame:
+    both = layout.place(q).withColumn("__role", F.lit(0)).unionByName(layout.place(v).withColumn("__role", F.lit(1)))
+    return both.groupBy("__block").applyInPandas(_own_block(k, min_score),
+                                                 "__id long, __vec array<double>, __block int, ids array<long>, scores array<double>")
+
+
+def _queries(v: DataFrame, queries: DataFrame | None, id_col: str) -> DataFrame:
+    return v if queries is None else v.join(queries.select(F.col(id_col).cast("long").alias("__id")), "__id", "left_semi")
+
+
 def related_top_k(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFrame | None = None,
                   k: int = 5, min_score: float = 0.2, digits: int = 4, block_size: int = 8192) -> DataFrame:
     """For each query row (all rows by default, or the ids in ``queries``,
     e.g. the unprocessed ones from an anti join), the ``k`` most similar
-    other rows with cosine >= ``min_score``; score rounded to ``digits``."""
-    v = vectors.select(F.col(id_col).cast("long").alias("__id"), F.col(vec_col).alias("__vec"))
-    q = v if queries is None else v.join(queries.select(F.col(id_col).cast("long").alias("__id")), "__id", "left_semi")
-    n = v.count()
-    b = max(1, math.ceil(n / block_size))
-    blk = F.pmod(F.xxhash64("__id"), F.lit(b))
-    others = F.sequence(F.lit(0), F.lit(b - 1))
-    qs = q.select("__id", "__vec", blk.alias("__qb"), F.explode(others).alias("__cb"), F.lit(0).alias("__role"))
-    cs = v.select("__id", "__vec", F.explode(others).alias("__qb"), blk.alias("__cb"), F.lit(1).alias("__role"))
-    part = qs.unionByName(cs).groupBy("__qb", "__cb").applyInPandas(_block_topk(k, min_score), OUT_SCHEMA)
-    w = Window.partitionBy("news_id").orderBy(F.col("score").desc(), F.col("related_news_id"))
-    best = part.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k).drop("__rn")
-    return best.withColumn("score", F.bround("score", digits))
+    other rows with cosine >= ``min_score``; score rounded to ``digits``.
+    Vectors that are null, zero or not finite have no score and no part."""
+    v = _vectors(vectors, id_col, vec_col)
+    q, layout = _queries(v, queries, id_col), _Layout(v, block_size)
+    own = _own(layout, v, q, k, min_score)
+    if layout.blocks > 1:
+        own = cut_lineage(own)
+    part = own.select(F.col("__id").alias("news_id"), F.inline(F.arrays_zip("ids", "scores"))) \
+        .toDF("news_id", "related_news_id", "score")
+    if layout.blocks > 1:
+        visits = layout.visits(own, k, min_score)
+        live = visits.select("__qb", "__cb").distinct()
+        cs = layout.place(v).join(live, F.col("__block") == F.col("__cb")).select("__id", "__vec", "__qb", "__cb", F.lit(1).alias("__role"))
+        both = visits.withColumn("__role", F.lit(0)).unionByName(cs)
+        part = part.unionByName(both.groupBy("__qb", "__cb").applyInPandas(_block_topk(k, min_score), OUT_SCHEMA))
+        w = Window.partitionBy("news_id").orderBy(F.col("score").desc(), F.col("related_news_id"))
+        part = part.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k).drop("__rn")
+    return part.withColumn("score", F.bround("score", digits))
+
+
+def related_pairs(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFrame | None = None,
+                  k: int = 5, min_score: float = 0.2, block_size: int = 8192) -> DataFrame:
+    """One row: scored, the pairs (query, candidate) that ``related_top_k`` scores,
+    and pairs, all there are."""
+    v = _vectors(vectors, id_col, vec_col)
+    q, layout = _queries(v, queries, id_col), _Layout(v, block_size)
+    placed = layout.place(v)
+    sizes = placed.groupBy("__block").agg(F.count(F.lit(1)).alias("n"))
+    met = layout.place(q).select("__block")
+    if layout.blocks > 1:
+        own = cut_lineage(_own(layout, v, q, k, min_score))
+        met = met.unionAll(layout.visits(own, k, min_score).select(F.col("__cb").alias("__block")))
+    times = met.groupBy("__block").agg(F.count(F.lit(1)).alias("q"))
+    scored = times.join(sizes, "__block").agg(F.coalesce(F.sum(F.col("q") * F.col("n")), F.lit(0)).alias("scored"))
+    return scored.withColumn("pairs", F.lit(layout.n) * F.lit(q.count()))
+
+
+def append_related(vectors: DataFrame, id_col: str, vec_col: str, path: str, k: int = 5, min_score: float = 0.2,
+                   digits: int = 4, block_size: int = 8192) -> KeyedTable:
+    """The related rows of the ids that the keyed table at ``path`` has none of
+    yet, found among all vectors and added; rows of earlier ids stay as they are.
+    An id without any related row is looked up again in the next run."""
+    t = KeyedTable(vectors.sparkSession, path, ["news_id", "related_news_id"])
+    new = vectors.select(id_col)
+    if t.version():
+        done = t.read().select(F.col("news_id").alias(id_col)).distinct()
+        new = new.join(done, id_col, "left_anti")
+    t.upsert(related_top_k(vectors, id_col, vec_col, new, k, min_score, digits, block_size), order=["score"])
+    return t
 
 
 def approx_related(vectors: DataFrame, id_col: str, vec_col: str, k: int = 5, min_score: float = 0.2,

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tributary.functions import (clean_author, concat_blank, first_image_link, first_present, strip_tags_preview,
                                  summary_cut, text_after_marker, tolerant_date)
 from tributary.operators import html as H
-from tributary.operators.similarity import approx_related, related_top_k
+from tributary.operators.similarity import append_related, approx_related, related_top_k
 from tributary.plans import news as N
 from tributary.plans.catalog import query, table
+from tributary.session import checkpoint_dir
 
 _ART = """
 arts AS (SELECT doc_id AS id, split_part(text, chr(10), 1) AS title, text AS content, source, lang,
@@ -175,6 +178,27 @@ def related_top5(spark, sf):
     return related_top_k(table(spark, sf, "embeddings"), "vec_id", "embedding")
 
 
+@query("related_incremental", sql="""
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+s AS (SELECT a.vec_id AS news_id, b.vec_id AS related_news_id, list_cosine_similarity(a.v, b.v) AS score,
+             a.label < 5 AND b.label < 5 AS early FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+r1 AS (SELECT news_id, related_news_id, round_even(score, 4) AS score FROM s WHERE early AND score >= 0.2
+       QUALIFY row_number() OVER (PARTITION BY news_id ORDER BY s.score DESC, related_news_id) <= 5),
+r2 AS (SELECT news_id, related_news_id, round_even(score, 4) AS score FROM s
+       WHERE score >= 0.2 AND news_id NOT IN (SELECT news_id FROM r1)
+       QUALIFY row_number() OVER (PARTITION BY news_id ORDER BY s.score DESC, related_news_id) <= 5)
+SELECT * FROM r1 UNION ALL SELECT * FROM r2""")
+def related_incremental(spark, sf):
+    """C6/N6 as the news job runs: a first load of some articles (half of the
+    labels), then all, where only ids without related rows are looked up; a third
+    run changes nothing."""
+    e = table(spark, sf, "embeddings")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/related/{uuid.uuid4().hex}"
+    for vectors in (e.filter(F.col("label") < 5), e, e):
+        t = append_related(vectors, "vec_id", "embedding", path)
+    return t.read()
+
+
 @query("detail_related", sql=f"""WITH {_REL_SQL}, {_ART}
 SELECT news_id, related_news_id, title, published_at FROM rel JOIN arts ON arts.id = rel.related_news_id
 QUALIFY row_number() OVER (PARTITION BY news_id ORDER BY published_at DESC, related_news_id DESC) <= 6""")
