@@ -16,7 +16,7 @@ from tributary.operators.stats import one_way_anova
 from tributary.plans import news
 from tributary.session import checkpoint_dir
 from tributary.sources.readers import read_platform_csvs
-from tributary.streaming.ingest import dedup_sink, upsert_sink
+from tributary.streaming.ingest import dedup_sink, loads_that_may_hold, upsert_sink, write_key_index
 
 
 def _base(spark):
@@ -112,6 +112,38 @@ def test_late_first_copies_stay(spark):
     assert run("b") == [(0, "x"), (1, "old"), (2, "older"), (3, "n")]  # the same rows loaded again
 
 
+def test_key_index_names_the_loads_that_hold_a_key(spark):
+    base = f"{_base(spark)}/t"
+    loads = {"a": range(0, 9000), "b": range(9000, 9100), "c": range(20000, 26000)}
+    for name, ids in loads.items():
+        rows = spark.createDataFrame([(i, str(i) if i % 2 else None) for i in ids], "id long, k string")
+        rows.write.parquet(f"{base}/load_id={name}")
+        write_key_index(rows, ["id", "k"], base, name)
+    ask = lambda ids: loads_that_may_hold(spark.createDataFrame(
+        [(i, str(i) if i % 2 else None) for i in ids], "id long, k string"), ["id", "k"], base)
+    for name, ids in loads.items():
+        assert all(name in ask([i]) for i in (ids[0], ids[len(ids) // 2], ids[-1]))
+        assert ask(ids[:40]) == [name] or len(ask(ids[:40])) < 3
+    # about one key in 400 seems to be in a load that lacks it
+    wrong = [bool(ask([i])) for i in range(10**6, 10**6 + 12)]
+    assert sum(wrong) <= 2
+    assert ask([]) == [] and loads_that_may_hold(spark.createDataFrame([(1, "1")], "id long, k string"), ["id", "k"], f"{base}x") == []
+
+
+def test_dedup_sink_reads_only_loads_that_may_hold_its_keys(spark, monkeypatch):
+    from tributary.streaming import ingest
+    base = _base(spark)
+    asked = []
+    inner = ingest.loads_that_may_hold
+    monkeypatch.setattr(ingest, "loads_that_may_hold", lambda *a: asked.append(inner(*a)) or asked[-1])
+    for i, ids in enumerate([range(0, 300), range(1000, 1300), range(1290, 1310)]):
+        spark.createDataFrame([(x,) for x in ids], "id long").coalesce(1).write.parquet(f"{base}/in/part{i}")
+        df = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(f"{base}/in/part*")
+        dedup_sink(df, f"{base}/out", ["id"], f"{base}/ck").awaitTermination()
+    assert [len(a) for a in asked[:1]] == [0] and len(asked) == 3
+    assert len(asked[2]) <= 2 and spark.read.parquet(f"{base}/out").count() == 610
+
+
 def test_upsert_sink_sends_null_keys_to_rejects(spark):
     base = _base(spark)
     spark.createDataFrame([(1, "a"), (None, "b"), (None, "c")], "id int, v string").write.parquet(f"{base}/in")

@@ -69,3 +69,21 @@ def test_clean_pages_on_driver_pages(spark):
     for r in rows:
         assert "<script" not in r.content and "<a " not in r.content and "</a>" not in r.content
         assert r.translation_status == "pending"
+
+
+def test_numbered_pages(spark):
+    """Any page from the written table equals the offset form; ties, last page, no rows."""
+    import uuid
+
+    from tributary.plans import news
+    from tributary.session import checkpoint_dir
+    rows = spark.range(95).selectExpr("id", "CAST(NULL AS STRING) AS title",
+                                      "TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(0, CAST(id DIV 7 AS INT)) AS published_at",
+                                      "CASE WHEN id % 10 = 0 THEN 'title failed' ELSE 'translated' END AS translation_status")
+    path = news.write_pages(rows, f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}", 20)
+    for p in (1, 3, 5, 6):
+        assert news.read_page(spark, path, p).collect() == news.page(rows, p, 20).collect()
+    plan = news.read_page(spark, path, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(page_no,3)" in plan
+    none = news.write_pages(rows.limit(0), f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}", 20)
+    assert news.read_page(spark, none, 1).count() == 0

@@ -9,10 +9,11 @@ the article vectors.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tributary.functions import contains_ci
+from tributary.session import cut_lineage
 
 # Article container per news source (tag, attribute, value,
 # metadata-paragraph removal), as configured for the crawler; the
@@ -133,6 +134,33 @@ def page_after(df: DataFrame, after_us: int | None, after_id: int | None, size:
     return d.orderBy(F.col("published_at").desc(), F.col("id").desc()).limit(size)
 
 
+def write_pages(df: DataFrame, path: str, size: int = 20) -> str:
+    """The translated rows, newest first, as a table with their page numbers
+    (``page_no``, from 1), from which ``read_page`` takes any page in one pruned read.
+
+    Rows are range-sorted once and written; each range's row count gives the place
+    of its first row (prefix sums over one row a range), and places inside a range
+    come from a window over it.  No task sees more than a range."""
+    _check_size(size)
+    newest = [F.col("published_at").desc(), F.col("id").desc()]
+    d = df.filter(F.col("translation_status") == TRANSLATED)
+    ranges = cut_lineage(d.repartitionByRange(*newest).withColumn("__range", F.spark_partition_id()))
+    counts = ranges.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("__range", F.coalesce(before, F.lit(0)).alias("__start"))
+    place = F.row_number().over(Window.partitionBy("__range").orderBy(*newest)) - 1 + F.col("__start")
+    numbered = ranges.join(starts, "__range").withColumn("page_no", F.floor(place / size) + 1).drop("__range", "__start")
+    numbered.repartitionByRange("page_no").sortWithinPartitions("page_no", *newest).write.parquet(path)
+    return path
+
+
+def read_page(spark: SparkSession, path: str, page_no: int) -> DataFrame:
+    """One page of a table of ``write_pages``: the filter reaches the scan, which
+    skips the row groups of other pages."""
+    d = spark.read.parquet(path).filter(F.col("page_no") == F.lit(page_no).cast("long"))
+    return d.drop("page_no").orderBy(F.col("published_at").desc(), F.col("id").desc())
+
+
 def page_count(df: DataFrame, size: int = 20) -> DataFrame:
     """Total rows (all rows, as the reference counts) and pages."""
     return df.agg(F.count(F.lit(1)).alias("total_count")) \

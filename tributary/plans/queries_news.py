@@ -258,12 +258,17 @@ def edit_queue(spark, sf):
 SELECT id, title, published_at FROM st WHERE translation_status = 'translated'
 ORDER BY published_at DESC, id DESC LIMIT 20 OFFSET 40""")
 def page_seek(spark, sf):
-    """F3 by key: page 3 reached from page 2's last key (a one-row lookup),
-    equal to the offset form."""
-    s = _st(spark, sf)
-    key = None
-    for _ in range(2):
-        rows = N.page_after(s, key[0] if key else None, key[1] if key else None, 20) \
-            .select("page_key_us", "id").tail(1)
-        key = (rows[0]["page_key_us"], rows[0]["id"])
-    return N.page_after(s, key[0], key[1], 20).select("id", "title", "published_at")
+    """Page 3 from the table of numbered pages, equal to the offset form."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pages/{uuid.uuid4().hex}"
+    N.write_pages(_st(spark, sf).select("id", "title", "published_at", "translation_status"), path, 20)
+    return N.read_page(spark, path, 3).select("id", "title", "published_at")
+
+
+@query("page_listing", sql=f"""WITH {_ART}
+SELECT id, CAST((row_number() OVER (ORDER BY published_at DESC, id DESC) - 1) // 20 + 1 AS BIGINT) AS page_no
+FROM st WHERE translation_status = 'translated'""")
+def page_listing(spark, sf):
+    """Every translated row with its page."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pages/{uuid.uuid4().hex}"
+    N.write_pages(_st(spark, sf).select("id", "published_at", "translation_status"), path, 20)
+    return spark.read.parquet(path).select("id", "page_no")

@@ -19,7 +19,7 @@ from tributary.operators.load import _fs
 from tributary.operators.windows import keep_first
 
 __all__ = ["file_stream", "kafka_stream", "parse_json_values", "keyed_json", "with_event_watermark",
-           "parquet_sink", "upsert_sink", "dedup_sink", "kafka_sink", "jdbc_append_sink", "dedup_within_watermark"]
+           "parquet_sink", "upsert_sink", "dedup_sink", "write_key_index", "loads_that_may_hold", "kafka_sink", "jdbc_append_sink", "dedup_within_watermark"]
 
 LOAD_ID = "load_id"
 
@@ -141,16 +141,77 @@ def _load_id(checkpoint: str, epoch_id: int) -> str:
     return f"{_writer(checkpoint)}_{epoch_id}"
 
 
+# Keys that a block of a load's membership index holds on average, and bits
+# set for a key: about one key in 400 seems to be in a load that lacks it.
+INDEX_KEYS, INDEX_HASHES, INDEX_BITS = 2600, 4, 32768
+
+
+def _index_places(rows: DataFrame, keys: list[str], blocks) -> DataFrame:
+    """(blocks, block, pos): the bits of each key in an index of ``blocks``
+    (a Column) blocks; the bits of one key lie in one block."""
+    h = F.xxhash64(*keys)
+    spots = F.array(*[F.pmod(F.xxhash64(F.lit(i), *keys), F.lit(INDEX_BITS)) for i in range(INDEX_HASHES)])
+    return rows.select(blocks.alias("blocks"), F.pmod(h, blocks).alias("block"), spots.alias("spots"))
+
+
+def write_key_index(rows: DataFrame, keys: list[str], path: str, load: str) -> str:
+    """A blocked Bloom filter of the keys of one load as a table (blocks,
+    block, bits) in the folder ``{path}__index/load_id=...``: about 13 bits a key.
+    Built by Spark a block a group; no filter goes through the driver."""
+    n = rows.count()
+    blocks = 1
+    while blocks * INDEX_KEYS < n:
+        blocks *= 2
+    places = _index_places(rows, keys, F.lit(blocks)).select("blocks", "block", F.explode("spots").alias("pos")).distinct()
+    bits = places.groupBy("blocks", "block").agg(F.bitmap_construct_agg("pos").alias("bits"))
+    folder = f"{path.rstrip('/')}__index/{LOAD_ID}={load}"
+    bits.write.mode("overwrite").parquet(folder)
+    return folder
+
+
+def loads_that_may_hold(rows: DataFrame, keys: list[str], path: str) -> list[str]:
+    """The loads of the table at ``path`` that may hold a key of ``rows`` (all that do,
+    seldom another one): the driver gets their names.  Keys and index blocks meet
+    in a join on the block, keys of one block as a set of bit places."""
+    spark, index = rows.sparkSession, f"{path.rstrip('/')}__index"
+    fs, p = _fs(spark, index)
+    if not fs.exists(p):
+        return []
+    table = spark.read.schema("blocks long, block long, bits binary").option("basePath", index).parquet(index) \
+        .withColumn(LOAD_ID, F.regexp_extract(F.col("_metadata.file_path"), f"/{LOAD_ID}=([^/]+)/", 1))
+    sizes = [r.blocks for r in table.select("blocks").distinct().collect()]  # powers of two: few
+    each = rows.select(*keys).withColumn("__blocks", F.explode(F.array(*[F.lit(s).cast("long") for s in sizes])))
+    asked = _index_places(each, keys, F.col("__blocks")).distinct()
+    byte = lambda pos: F.conv(F.hex(F.substring(F.col("bits"), (pos / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.forall("spots", lambda pos: (byte(pos).bitwiseAND(F.pow(F.lit(2), pos % 8).cast("int"))) != 0)
+    hit = table.join(asked, ["blocks", "block"]).filter(held).select(LOAD_ID).distinct()
+    return sorted(r[0] for r in hit.collect())
+
+
+def _indexed(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """Loads of the table, and those of them that have no complete index."""
+    def below(folder: str, complete: bool) -> list[str]:
+        fs, p = _fs(spark, folder)
+        found = [st.getPath() for st in fs.listStatus(p)] if fs.exists(p) else []
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+        return [q.getName()[len(LOAD_ID) + 1:] for q in found if q.getName().startswith(f"{LOAD_ID}=")
+                and (not complete or fs.exists(jvm_path(q, "_SUCCESS")))]
+    loads, known = below(path, False), set(below(f"{path.rstrip('/')}__index", True))
+    return loads, [x for x in loads if x not in known]
+
+
 def dedup_sink(df: DataFrame, path: str, keys: list[str], checkpoint: str, order: list[str] | None = None,
                available_now: bool = True) -> StreamingQuery:
     """Append each key's first arriving copy and drop the later ones, however late a row is.
 
     Per micro-batch: one row per key (first in ``order``), less the keys the
-    table holds, written to the batch's own folder ``load_id=...``.  Only the
-    key columns of the table are read and nothing is rewritten; there is no
-    state to outgrow memory and no watermark to drop rows.  A replayed batch
-    ignores and overwrites its own folder, so it is repeat-safe.  Null keys
-    count as a key."""
+    table holds, written to the batch's own folder ``load_id=...``.  Each load has
+    a membership index beside the table (``write_key_index``); a batch reads the
+    key columns of those loads only that may hold one of its keys, and of loads
+    without an index (a writer that stopped in between).  Nothing is rewritten,
+    no state outgrows memory and no watermark drops rows.  A replayed batch
+    ignores and overwrites its own folder, so it is repeat-safe.  Null keys count
+    as a key."""
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
@@ -158,13 +219,16 @@ def dedup_sink(df: DataFrame, path: str, keys: list[str], checkpoint: str, order
         spark = batch.sparkSession
         load = _load_id(checkpoint, epoch_id)
         new = keep_first(batch, keys, order) if order else batch.dropDuplicates(keys)
-        fs, p = _fs(spark, path)
-        if fs.exists(p):
-            seen = spark.read.schema(batch.schema).option("basePath", path).parquet(path) \
-                        .filter(F.col("_metadata.file_path").contains(f"/{LOAD_ID}={load}/") == F.lit(False)).select(*keys)
+        loads, unknown = _indexed(spark, path)
+        may = set(loads_that_may_hold(new, keys, path)) | set(unknown)
+        ask = [x for x in loads if x in may and x != load]
+        if ask:
+            seen = spark.read.schema(batch.schema).parquet(*[f"{path.rstrip('/')}/{LOAD_ID}={x}" for x in ask]).select(*keys)
             cond = [F.col(f"n.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
             new = new.alias("n").join(seen.alias("s"), on=cond, how="left_anti")
-        new.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{LOAD_ID}={load}")
+        target = f"{path.rstrip('/')}/{LOAD_ID}={load}"
+        new.write.mode("overwrite").parquet(target)
+        write_key_index(spark.read.schema(batch.schema).parquet(target), keys, path, load)
 
     w = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
