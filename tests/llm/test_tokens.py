@@ -83,6 +83,23 @@ def test_token_files(spark, tmp_path):
     assert token_files.digests(df.limit(0), P.path("byte_bpe_50k.json"), P.PATTERN).count() == 0
 
 
+def test_equal_rows_fill_several_files(spark, tmp_path, monkeypatch):
+    """A third of the rows equal in id and text: spread over files, positions right."""
+    monkeypatch.setattr(token_files, "FILE_TEXT_BYTES", 2000)
+    monkeypatch.setattr(token_files, "FILE_GROUP", 3)
+    rows = [(5, "the same row " * 8)] * 100 + [(i, f"row {i} " * (i % 9)) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    folder = str(tmp_path / "files")
+    manifest = token_files.write(df, folder, P.path("byte_bpe_50k.json"), P.PATTERN)
+    assert manifest.where("first_doc = 5").count() > 2
+    got = sorted(token_files.read(spark, folder).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted(r[0] for r in rows)
+    assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
+    lone = token_files.TextEncoder(open(P.path("byte_bpe_50k.json"), encoding="utf-8").read(), P.PATTERN, False)
+    texts = sorted((lone.many([t])[0] + bytes(4) for _, t in rows))
+    assert sorted(bytes(r.token_ids) for r in got) == texts
+
+
 def test_added_tokens_get_their_ids(spark, tmp_path):
     tk = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     assert tk.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]

@@ -16,7 +16,8 @@ counted, so that lost executors and repeated tasks leave no trace but unused
 files.
 
 Cases: null and empty texts hold the end id alone; a null doc_id sorts first;
-repeated doc_ids are kept, in order of their texts' hash; an added token's
+repeated doc_ids are kept, in order of their texts' hash, and equal rows in that of
+their places in the input (so that many of them are several files); an added token's
 string in a text (as ``<|endoftext|>``) gives its id with ``added``; an empty table gives
 no file and no rows; other columns are not stored.
 """
@@ -27,6 +28,7 @@ import json
 import re
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,13 +37,13 @@ import pyarrow.fs as pafs
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tributary.llm.bpe import byte_characters
 from tributary.llm.common import batches_of, slices, text_partitions
-from tributary.llm.pretokens import Memory
+from tributary.llm.pretokens import splitter
 from tributary.session import checkpoint_dir
 
 # Magic numbers of the public zstandard seekable format.
@@ -49,10 +51,14 @@ SKIPPABLE, SEEK_FRAME, SEEK_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 
 # Matches in each of the two generations that a worker remembers.
 GENERATION = 700_000
+# Longer matches (characters) are encoded anew each time.
+REMEMBERED = 64
 # Size of the Arrow batches that the encoding tasks read.
 BATCH_BYTES = 4 << 20
 FILE_TEXT_BYTES = 64 << 20
-MANIFEST = "file string, first_doc long, docs long, tokens long"
+# Files whose first positions one task adds up.
+FILE_GROUP = 1000
+MANIFEST = "file string, part int, first_doc long, docs long, tokens long"
 READ_BYTES = 8 << 20
 
 
@@ -61,6 +67,23 @@ def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
+class _Ids(dict):
+    """Packed ids by match: looked up in C, encoded when met first.  What the
+    last generation held moves over."""
+
+    def __init__(self, encode, old: dict):
+        super().__init__()
+        self.encode, self.old = encode, old
+
+    def __missing__(self, match: str) -> bytes:
+        ids = self.old.get(match)
+        if ids is None:
+            ids = self.encode(match)
+        if len(match) <= REMEMBERED:
+            self[match] = ids
+        return ids
+
+
 class TextEncoder:
     """Ids of whole texts by the tokenizers library.  The tokenizer's own
     pattern cuts a text into matches that its model encodes independently of
@@ -75,10 +98,10 @@ class TextEncoder:
         self.tokenizer, chars = Tokenizer.from_str(definition), dict(enumerate(byte_characters()))
         model = self.tokenizer.model
 
-        def ids(matches: list[str]) -> list[list[int]]:
-            return [[t.id for t in model.tokenize(m.encode().decode("latin-1").translate(chars))] for m in matches]
+        def ids(match: str) -> bytes:
+            return array("I", [t.id for t in model.tokenize(match.encode().decode("latin-1").translate(chars))]).tobytes()
 
-        self.memory = Memory(ids, pattern, GENERATION)
+        self.find, self.memory = splitter(pattern), _Ids(ids, {})
         tokens = [t for t in json.loads(definition).get("added_tokens") or () if t["content"]] if added else []
         self.ids = {t["content"]: struct.pack("<I", self.tokenizer.token_to_id(t["content"])) for t in tokens}
         # The longest of those that begin at one place, as in the library.
@@ -86,17 +109,25 @@ class TextEncoder:
         # Tokens that look at or take in their neighbours are left to the library.
         self.plain = not any(t.get(k) for t in tokens for k in ("single_word", "lstrip", "rstrip"))
 
+    def _pieces(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts without added tokens; text by text, so that a text's
+        matches are still in the cache when they are looked up."""
+        if len(self.memory) > GENERATION:
+            self.memory = _Ids(self.memory.encode, dict(self.memory))
+        get, find = self.memory.__getitem__, self.find
+        return [b"".join(map(get, find(t))) for t in texts]
+
     def many(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         held = [k for k, t in enumerate(texts) if self.added.search(t)] if self.added else []
         if not held:
-            return self.memory.many(texts)
+            return self._pieces(texts)
         if not self.plain:
             own = {k: np.array(self.tokenizer.encode(texts[k], add_special_tokens=False).ids, "<u4").tobytes() for k in held}
-            coded = self.memory.many(["" if k in own else t for k, t in enumerate(texts)])
+            coded = self._pieces(["" if k in own else t for k, t in enumerate(texts)])
             return [own.get(k, c) for k, c in enumerate(coded)]
         cut = {k: self.added.split(texts[k]) for k in held}  # piece, token, piece, ...
-        coded = self.memory.many([*("" if k in cut else t for k, t in enumerate(texts)), *(p for k in held for p in cut[k][::2])])
+        coded = self._pieces([*("" if k in cut else t for k, t in enumerate(texts)), *(p for k in held for p in cut[k][::2])])
         out, rest = coded[:len(texts)], iter(coded[len(texts):])
         for k in held:
             out[k] = b"".join(self.ids[p] if i % 2 else next(rest) for i, p in enumerate(cut[k]))
@@ -165,8 +196,8 @@ class FrameReader:
 
 def write(df: DataFrame, folder: str, tokenizer_path: str, pattern: str, end_id: int = 0, added: bool = False) -> DataFrame:
     """Encode ``text`` of every row and write the files below ``folder``;
-    returns the manifest: file, first_doc (documents before it are in earlier
-    files), docs, tokens.  File names sort in document order.  ``added``: the
+    returns the manifest: file, part (files in document order), first_doc
+    (documents before it are in earlier files), docs, tokens.  ``added``: the
     tokenizer's added tokens in a text get their own ids."""
     spark = df.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
@@ -188,12 +219,13 @@ def write(df: DataFrame, folder: str, tokenizer_path: str, pattern: str, end_id:
         if writer is not None:
             writer.finish()
             stream.close()
-            yield pa.RecordBatch.from_pydict({"file": [name], "first_doc": pa.array([first], pa.int64()),
+            yield pa.RecordBatch.from_pydict({"file": [name], "part": pa.array([TaskContext.get().partitionId()], pa.int32()), "first_doc": pa.array([first], pa.int64()),
                                               "docs": [len(writer.ids)], "tokens": [writer.tokens]})
 
     n = text_partitions(df, ["text"], FILE_TEXT_BYTES)
-    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    runs = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(n, *order).sortWithinPartitions(*order)
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("place")]
+    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("place"))
+    runs = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "text")
     path = f"{folder.rstrip('/')}/manifest"
     with batches_of(spark, BATCH_BYTES):
         runs.mapInArrow(run, MANIFEST).write.parquet(path)
@@ -203,12 +235,17 @@ def write(df: DataFrame, folder: str, tokenizer_path: str, pattern: str, end_id:
 def read(spark: SparkSession, folder: str, doc_ids: list[int] | None = None) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and token_ids
     (binary) of all documents, or of ``doc_ids`` alone: then only their frames
-    are decompressed.  The manifest has one row a file; the first position of
-    each file is worked out from it."""
-    files, start = [], 0
-    for row in spark.read.parquet(f"{folder.rstrip('/')}/manifest").orderBy("file").select("file", "tokens").collect():
-        files.append((row.file, start))
-        start += row.tokens
+    are decompressed.  The first position of each file comes from the manifest (a
+    row a file) by prefix sums in two levels: over groups of FILE_GROUP files, and
+    inside each."""
+    manifest = spark.read.parquet(f"{folder.rstrip('/')}/manifest") \
+        .select("file", "part", "tokens", F.floor(F.col("part") / FILE_GROUP).alias("group"))
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    groups = manifest.groupBy("group").agg(F.sum("tokens").alias("n")) \
+        .select("group", F.coalesce(F.sum("n").over(earlier.orderBy("group")), F.lit(0)).alias("base"))
+    inside = F.coalesce(F.sum("tokens").over(earlier.partitionBy("group").orderBy("part")), F.lit(0))
+    listed = manifest.withColumn("inside", inside).join(groups, "group") \
+        .select("file", "part", (F.col("base") + F.col("inside")).cast("long").alias("start"))
     wanted = None if doc_ids is None else frozenset(doc_ids)
     schema = "doc_id long, start long, n_tokens long, token_ids binary"
 
@@ -235,8 +272,7 @@ def read(spark: SparkSession, folder: str, doc_ids: list[int] | None = None) ->
                     if rows:
                         yield batch_of(rows)
 
-    listed = spark.createDataFrame(files, "file string, start long")
-    return listed.repartition(max(1, len(files)), "file").mapInArrow(run, schema)
+    return listed.repartitionByRange(max(1, manifest.count()), "part").select("file", "start").mapInArrow(run, schema)
 
 
 def digests(df: DataFrame, tokenizer_path: str, pattern: str, added: bool = False) -> DataFrame:
