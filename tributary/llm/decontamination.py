@@ -7,8 +7,9 @@ words each, with their positions).  It is wholly contained in a document only
 if each of its shingles is, so one shingle is a sufficient prefix: the window's
 rarest by its count over all documents.
 
-1. Shingles of the benchmark, as 64-bit hashes, set the bits of a bitmap of
-   fixed size (2 MB at most, whatever the benchmark's size).
+1. Shingles of the benchmark, as 64-bit hashes, set the bits of a bitmap of at
+   least 16 bits a shingle, from 2 MB up to 64 MB (beyond four million shingles a
+   hash has to pass a fuller bitmap: more is shuffled, nothing is lost).
 2. A pass over all documents counts the shingles that the bitmap lets
    through, summed inside each task before the shuffle: the rarity order.
 3. A second pass emits the occurrences of prefix shingles (again behind a
@@ -39,7 +40,8 @@ from pyspark.sql import functions as F
 
 from tributary.llm.common import byte_view, lower_ascii, mix, row_again, slices, SpanHash, stage, with_row, word_spans
 
-BITMAP_BITS = 1 << 24
+# Bits of the bitmap: least, most, and for each different hash.
+BITMAP_LEAST, BITMAP_MOST, BITS_EACH = 1 << 24, 1 << 29, 16
 
 # Word bytes of [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ after lower-casing.
 IS_WORD = np.array([48 <= b <= 57 or 97 <= b <= 122 or b >= 128 for b in range(256)])
@@ -94,18 +96,21 @@ def windows(items: DataFrame, window: int, shingle: int) -> DataFrame:
 
 def bitmap_of(hashes: DataFrame):
     """(bitmap, shingle lengths) of the column ``hash``: bounded by
-    BITMAP_BITS, built by Spark in blocks of 32,768 bits."""
-    bit = F.pmod("hash", F.lit(BITMAP_BITS)) + 1  # blocks count from 1
+    BITMAP_MOST bits, built by Spark in blocks of 32,768 bits."""
+    wanted, size = BITS_EACH * hashes.agg(F.approx_count_distinct("hash")).first()[0], BITMAP_LEAST
+    while size < min(wanted, BITMAP_MOST):
+        size *= 2
+    bit = F.pmod("hash", F.lit(size)) + 1  # blocks count from 1
     blocks = (hashes.groupBy(F.bitmap_bucket_number(bit).alias("block"))
               .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))).collect()
-    out = np.zeros(BITMAP_BITS // 8, np.uint8)
+    out = np.zeros(size // 8, np.uint8)
     for row in blocks:
         out[(row.block - 1) * 4096:row.block * 4096] = np.frombuffer(row.bits, np.uint8)
     return out, sorted(r[0] for r in hashes.select("length").distinct().collect())  # at most ``shingle`` lengths
 
 
 def _in_bitmap(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
-    bit = h & np.uint64(BITMAP_BITS - 1)
+    bit = h & np.uint64(8 * len(bitmap) - 1)
     return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
@@ -206,10 +211,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, shingle:
     new = F.greatest(F.lit(0), F.col("end") - F.greatest(F.col("start"), F.coalesce(F.max("end").over(w), F.lit(0))))
     n_hit = hits.select("row_key", new.alias("new")).groupBy("row_key").agg(F.sum("new").cast("long").alias("n_hit"))
 
-    owners = parts.where("item_id is not null").select("words", "item_id").distinct().groupBy("words") \
-        .agg(F.collect_set("item_id").alias("owners"))
-    listed = hits.select("row_key", "words").distinct().join(owners, "words") \
-        .groupBy("row_key").agg(F.array_distinct(F.flatten(F.collect_set("owners"))).alias("items"))
+    # Pairs of document and item, each once, before any list is made of them.
+    owners = parts.where("item_id is not null").select("words", "item_id").distinct()
+    listed = hits.select("row_key", "words").distinct().join(owners, "words").select("row_key", "item_id").distinct() \
+        .groupBy("row_key").agg(F.collect_list("item_id").alias("items"))
     per_doc = n_hit.join(listed, "row_key", "left")
 
     none = F.array().cast("array<bigint>")
