@@ -49,6 +49,26 @@ def test_simhash_matches_brute_force(spark):
     assert got == want
 
 
+def test_simhash_links_through_many_leaves_and_cells(spark, monkeypatch):
+    """The tree, cut cells and the sample by hash, end to end against brute force."""
+    for name, size in {"HOMES": 40, "VISITORS": 150, "LEAST_SAMPLE": 64, "LEAF_SAMPLE": 2}.items():
+        monkeypatch.setattr(simhash, name, size)
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 62, 300, dtype=np.uint64)
+    steps = [base]
+    for _ in range(4):
+        steps.append(steps[-1] ^ (np.uint64(1) << rng.integers(0, 62, 300, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 62, 300, dtype=np.uint64)))
+    dense = np.uint64(99) ^ (np.uint64(1) << rng.integers(0, 62, 400, dtype=np.uint64))
+    fps = np.unique(np.concatenate([*steps, dense]))
+    edges = simhash.links(spark.createDataFrame([(int(x),) for x in fps], "fp long"), 4)
+    labels = {r.node: r.component for r in simhash.connected_components(edges).collect()}
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4
+    want = np.arange(len(fps))
+    while not np.array_equal(want, new := np.array([want[near[i]].min() for i in range(len(fps))])):
+        want = new
+    assert [labels.get(int(x), int(x)) for x in fps] == [int(fps[k]) for k in want]
+
+
 def test_simhash_keeps_one_of_each_group(spark):
     rows, _ = corpus()
     docs = spark.createDataFrame(rows, DOCS)
@@ -80,6 +100,17 @@ def test_dense_cells_give_a_forest():
     assert len(a) == len(fps) - 1 and set(b.tolist()) == {int(fps.min())}
 
 
+def test_bitmap_grows_with_the_benchmark(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "BITMAP_LEAST", 1 << 15)
+    hashes = spark.range(20000).selectExpr("xxhash64(id) AS hash", "5 AS length")
+    bits, lengths = decontamination.bitmap_of(hashes)
+    assert lengths == [5] and 16 * 20000 <= 8 * len(bits) * 1.1 and len(bits) * 8 <= 1 << 20
+    held = np.array([r.hash for r in hashes.collect()], np.int64).view(np.uint64)
+    assert decontamination._in_bitmap(bits, held).all()
+    assert decontamination._in_bitmap(bits, np.random.default_rng(1).integers(0, 1 << 63, 20000, dtype=np.uint64)).mean() < 0.1
+    assert decontamination.bitmap_of(hashes.limit(0))[1] == []
+
+
 def brute_spans(rows, length=50):
     first: dict = {}
     raws = [(t or "").encode() for _, t, *_ in rows]

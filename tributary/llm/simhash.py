@@ -1,8 +1,9 @@
 """SimHash near-duplicates: fingerprints of word shingles, linked within a
 Hamming distance by a vantage-point tree.
 
-The tree is grown on the driver from a bounded sample of different
-fingerprints: an inner node is a vantage point and the median distance to it;
+The tree is grown on the driver from a sample of different fingerprints,
+LEAF_SAMPLE for each leaf wanted (one leaf for 4,096 fingerprints) and a million,
+8 MB, at most: an inner node is a vantage point and the median distance to it;
 a leaf is a shard.  Each fingerprint has one home shard, and visits every
 later shard that the triangle bound leaves open (its ball of radius
 ``distance`` reaches over the boundary), so that each pair within the distance
@@ -34,8 +35,8 @@ from pyspark.sql import functions as F
 from tributary.llm.common import byte_view, lower_ascii, mix, row_again, slices, stage, with_row, word_spans
 from tributary.llm.components import connected_components
 
-# Fingerprints that the tree is grown from, at most; a leaf keeps LEAF_SAMPLE.
-TREE_SAMPLE, LEAF_SAMPLE = 1 << 14, 8
+# Fingerprints that the tree is grown from, at least and at most; a leaf keeps LEAF_SAMPLE.
+LEAST_SAMPLE, TREE_SAMPLE, LEAF_SAMPLE = 1 << 14, 1 << 20, 8
 # Homes of a cell and visitors of a cell, in the mean at most.
 HOMES, VISITORS = 4096, 1 << 17
 SEED = 42  # of the shingle hash
@@ -114,7 +115,7 @@ class VantageTree:
             self.leaves += 1
             return self.leaves - 1
         low = self._grow(points[inside], depth - 1)
-        return points[best], int(middle[best]), low, self._grow(points[~inside], depth - 1)
+        return tried[best], int(middle[best]), low, self._grow(points[~inside], depth - 1)
 
     def homes(self, fps: np.ndarray) -> np.ndarray:
         out = np.zeros(len(fps), np.int32)
@@ -186,8 +187,13 @@ def links(fps: DataFrame, distance: int) -> DataFrame:
     different) that chains of steps of at most ``distance`` bits connect."""
     spark = fps.sparkSession
     n = fps.count()
-    sample = [r.fp for r in fps.orderBy(F.xxhash64("fp"), "fp").limit(TREE_SAMPLE).collect()]
-    tree = VantageTree(np.array(sample, np.int64).view(np.uint64), -(-n // HOMES), distance)
+    leaves = -(-n // HOMES)
+    size = min(max(LEAST_SAMPLE, 2 * LEAF_SAMPLE * leaves), TREE_SAMPLE)
+    # A random share by hash (somewhat too large, then cut to size): no sort of all.
+    share = F.lit(min(1.0, 1.2 * size / max(n, 1)) * 2.0**62)
+    part = fps.where(F.shiftrightunsigned(F.xxhash64("fp"), 2) <= share)
+    sample = [r.fp for r in part.orderBy(F.xxhash64("fp"), "fp").limit(size).collect()]
+    tree = VantageTree(np.array(sample, np.int64).view(np.uint64), leaves, distance)
     shared = spark.sparkContext.broadcast(tree)
 
     def batch_fps(batch):
@@ -201,7 +207,8 @@ def links(fps: DataFrame, distance: int) -> DataFrame:
             home += np.bincount(homes, minlength=len(home))
             for leaf, idx in shared.value.visits(fp, homes):
                 visit[leaf] += len(idx)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(home), dtype=np.int32)), pa.array(home), pa.array(visit)],
+        used = np.flatnonzero(home + visit)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(home[used]), pa.array(visit[used])],
                                          names=["leaf", "homes", "visits"])
 
     # One row a leaf: at most TREE_SAMPLE / LEAF_SAMPLE.
@@ -217,14 +224,15 @@ def links(fps: DataFrame, distance: int) -> DataFrame:
                 continue
             chunk_hash, block_hash = mix(fp) >> np.uint64(1), mix(fp ^ np.uint64(SEED)) >> np.uint64(1)
             order = np.argsort(homes, kind="stable")
-            parts = np.split(order, np.searchsorted(homes[order], np.arange(1, shared.value.leaves)))
+            found, at = np.unique(homes[order], return_index=True)
+            parts = [*zip(found.tolist(), np.split(order, at[1:]), strict=True)]
             cells: dict = defaultdict(lambda: ([], []))
-            for leaf, idx in enumerate(parts):
+            for leaf, idx in parts:
                 for c in range(chunks[leaf]):
                     mine = fp[idx[chunk_hash[idx] % np.uint64(chunks[leaf]) == c]]
                     for j in range(blocks[leaf]) if len(mine) else ():
                         cells[leaf, c, j][0].append(mine)
-            for leaf, idx in [*enumerate(parts), *shared.value.visits(fp, homes)]:
+            for leaf, idx in [*parts, *shared.value.visits(fp, homes)]:
                 for j in range(blocks[leaf]):
                     some = fp[idx[block_hash[idx] % np.uint64(blocks[leaf]) == j]]
                     for c in range(chunks[leaf]) if len(some) else ():
