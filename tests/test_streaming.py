@@ -160,3 +160,108 @@ def test_zone_state_after_an_idle_timer(spark):
     got = {r.event_id: r for r in spark.read.parquet(f"{base}/out").collect()}
     assert [k for k, r in got.items() if r.expired] == [8] and len(got) == 5
     assert got[3].exit and got[3].exit_speed == 18.0      # 10 m in 2 s: the entry came before the timer
+
+
+class _State(dict):
+    """A processor's handle and states, in memory; counts what a state server would answer."""
+
+    def __init__(self):
+        super().__init__()
+        self.calls = 0
+
+    def getMapState(self, name, *_):
+        return self.setdefault(name, _State())
+
+    getValueState = getMapState
+
+    def getValue(self, key):
+        self.calls += 1
+        return super().get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        self.pop(key, None)
+
+    def get(self):
+        self.calls += 1
+        return super().get("value")
+
+    def update(self, value):
+        self.calls += 1
+        self["value"] = value
+
+
+def _machine(rows):
+    """One key's rows in time order, row by row."""
+    out, last, was, entered, held = {}, None, False, None, 0.0
+    for t, i, inside, length in rows:
+        new = last is None or t - last > 10.0
+        pit = was and not new
+        entry, leave = inside and not pit, not inside and pit
+        if new:
+            entered, held = None, 0.0
+        if entry:
+            entered = t
+        if leave:
+            held = round(length / (t - entered) * 3.6, 1) if 0.1 < t - entered < 10.0 else 0.0
+        out[i] = (new, entry, leave, held if leave else None, 0.0 if inside else held)
+        last, was = t, inside
+    return out
+
+
+def test_zone_state_takes_many_keys_a_call(spark):
+    """A call holds hundreds of keys (null ones too), in any order and twice; what it asks
+    of the state follows the time buckets, not the keys."""
+    import numpy as np
+    import pandas as pd
+    from tributary.streaming import zone_state as Z
+    rng = np.random.default_rng(5)
+    keys = [(o, z) for o in [None, *range(1 << 60, (1 << 60) + 150)] for z in (None, "a", "b")]
+    rows = pd.DataFrame([(*keys[rng.integers(len(keys))], i, float(rng.integers(0, 3200)) / 4, bool(rng.random() < 0.5), 20.0) for i in range(9000)],
+                        columns=["object_id", "zone_name", "event_id", "t", "inside", "length_m"])
+    rows["no_object"] = rows["object_id"].isna()
+    rows["object_id"] = [0 if n else int(o) for o, n in zip(rows["object_id"], rows["no_object"])]
+    rows["ts"] = pd.to_datetime((rows["t"] * 1e9).astype("int64"))
+    for frames in (1, 4):
+        state, got = _State(), {}
+        p = Z.ZoneProcessor(10.0, 0.1, 10.0, 1e9, None, 300.0)
+        p.init(state)
+        for part in (rows[rows.t > 400], rows[rows.t < 500], rows[rows.t > 700]):
+            Z.PENDING, before = (1_000_000 if frames == 1 else 1000), Z.PENDING
+            chunks = [part.iloc[i::frames] for i in range(frames)]
+            for f in p.handleInputRows((0,), iter(chunks), None):
+                for r in f.itertuples():
+                    got[r.event_id] = (bool(r.new_track), bool(r.entry), bool(r.exit), None if r.exit_speed != r.exit_speed else r.exit_speed, r.speed_kmh)
+                    o, z = rows.loc[r.event_id, ["object_id", "zone_name"]]
+                    assert (pd.isna(r.object_id) and rows.no_object[r.event_id]) or int(r.object_id) == o
+                    assert r.zone_name == z or (z is None and r.zone_name is None)
+            Z.PENDING = before
+        want = {}
+        for _, g in rows.assign(z=rows.zone_name.fillna("?")).sort_values(["t", "event_id"]).groupby(["object_id", "no_object", "z"]):
+            want |= _machine(list(g[["t", "event_id", "inside", "length_m"]].itertuples(index=False, name=None)))
+        assert got == want
+        assert state["buckets"].calls + state["head"].calls < (40 if frames == 1 else 120)
+
+
+def test_zone_state_of_a_slot_expires_key_by_key(spark):
+    """Each key's buffer ends by its own newest row; rows of other keys in the same bucket stay."""
+    import pandas as pd
+    from tributary.streaming import zone_state as Z
+    state = _State()
+    p = Z.ZoneProcessor(10.0, 0.1, 10.0, 60.0, None, 30.0)
+    p.init(state)
+
+    def feed(*rows):
+        f = pd.DataFrame([(o, False, "z", i, t, a, 10.0) for o, i, t, a in rows],
+                         columns=["object_id", "no_object", "zone_name", "event_id", "t", "inside", "length_m"])
+        f["ts"] = pd.to_datetime((f["t"] * 1e9).astype("int64"))
+        return [(r.event_id, r.expired, r.entry, r.exit_speed) for out in p.handleInputRows((0,), iter([f]), None) for r in out.itertuples()]
+    feed((1, 10, 0.0, True), (1, 11, 28.0, True), (2, 20, 1.0, True))
+    feed((1, 12, 100.0, False))                           # key 1 forgets the bucket 0-30
+    assert [r[:2] for r in feed((1, 13, 5.0, True))] == [(13, True)]
+    late = feed((2, 21, 3.0, False))                      # key 2 does not
+    assert [(r[0], r[1], r[3]) for r in late] == [(21, False, 18.0)]

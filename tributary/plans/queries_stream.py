@@ -103,7 +103,7 @@ def stream_zone_speed_q(spark, sf):
     cuts = e.select(F.percentile_approx(us, [0.25, 0.5, 0.75]).alias("q")).first().q
     bounds = [-(1 << 62), *(cuts or [0, 0, 0]), 1 << 62]
     for lo, hi in reversed(list(zip(bounds, bounds[1:]))):  # the file source reads by the files' times
-        e.filter((us > lo) & (us <= hi)).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        e.filter((us > lo) & (us <= hi)).repartition(1).write.mode("append").parquet(f"{base}/in")
     ev = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
     zoned = points_in_zones(MV.sightings(ev), zone_table(spark, location=MV.ROAD), "x", "y") \
         .withColumn("ts", F.col("ts").cast("timestamp"))
