@@ -121,3 +121,39 @@ def test_lsh_is_subset_of_exact(spark):
     assert all(r.score >= 0.2 and r.news_id != r.related_news_id for r in approx)
     got = {(r.news_id, r.related_news_id) for r in approx}
     assert len(got & exact) >= 0.5 * len(got)
+
+
+@pytest.mark.parametrize("block_size", [40, 8192])
+def test_lsh_in_blocks_keeps_the_pairs_of_the_bucket_join(spark, block_size):
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.linalg import Vectors
+    from tributary.operators.similarity import approx_related
+    v = np.random.default_rng(8).normal(size=(150, 8))
+    unit = v / np.linalg.norm(v, axis=1)[:, None]
+    u = spark.createDataFrame([(i, Vectors.dense(x)) for i, x in enumerate(unit)], ["id", "f"])
+    model = BucketedRandomProjectionLSH(inputCol="f", outputCol="h", bucketLength=0.4, numHashTables=2, seed=7).fit(u)
+    h = {r.id: [x[0] for x in r.h] for r in model.transform(u).collect()}
+    s = unit @ unit.T
+    near = {i: [j for j in range(150) if j != i and s[i, j] >= 0.2 and any(a == b for a, b in zip(h[i], h[j]))] for i in h}
+    exp = [(i, j, round(-n, 4)) for i in near for n, j in sorted((-s[i, j], j) for j in near[i])[:5]]
+    assert len(exp) < len(_brute(v, range(150))) or exp != _brute(v, range(150))   # buckets do leave pairs out
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, e array<double>")
+    got = approx_related(df, "id", "e", bucket_length=0.4, tables=2, block_size=block_size)
+    assert sorted(map(tuple, got.collect())) == sorted((a, b, pytest.approx(c, abs=1e-4)) for a, b, c in exp)
+
+
+def test_scores_of_a_block_pair_are_held_in_chunks():
+    import tracemalloc
+    from tributary.operators.similarity import _block_topk
+    n = 4096
+    v = np.random.default_rng(1).normal(size=(2 * n, 16))
+    pdf = pd.DataFrame({"__id": np.arange(2 * n), "__vec": list(v), "__role": np.repeat([0, 1], n)})
+    tracemalloc.start()
+    got = _block_topk(5, 0.2)(pdf)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    u = v / np.linalg.norm(v, axis=1)[:, None]
+    s = u[:50] @ u[n:].T
+    first = got[got.news_id < 50].groupby("news_id").related_news_id.apply(list)
+    assert all(first[i] == (n + np.argsort(-s[i])[:5]).tolist() for i in range(50)) and len(got) == 5 * n
+    assert peak < 100e6

@@ -15,9 +15,13 @@ many pairs are left.  Vectors that form groups leave few; for vectors without
 any structure angles concentrate, no bound excludes anything, and the work stays
 quadratic (as in the reference).
 
+What a task holds does not grow with the table: of a chunk of scores only those
+that reach the query's threshold are sorted, and visits are made in slices.
+
 ``append_related`` keeps a table of results and adds those of new ids only.
-``approx_related`` has random-projection LSH candidates, scored exactly; it may
-miss pairs and is therefore not the default.
+``approx_related`` has random-projection LSH candidates, scored exactly in the same
+blocks (a pair that shares no bucket is passed over there); it may miss pairs and
+is therefore not the default.
 """
 
 from __future__ import annotations
@@ -37,13 +41,76 @@ __all__ = ["related_top_k", "related_pairs", "append_related", "approx_related"]
 OUT_SCHEMA = "news_id long, related_news_id long, score double"
 # Sampled vectors that pivots are chosen from, and pivots, at most.
 PIVOT_SAMPLE, PIVOTS = 4096, 64
-# Angles are compared with this slack (arccos loses digits near 1).
-SLACK = 1e-6
-
-
-def _block_topk(k: int, min_score: float, chunk: int = 1024):
-    """Per (query block, candidate block) group: scores in query chunks of
-    ``chunk`` rows, so memory is chunk x candidates, never block x block."""
+# Angles are compared with this slack (arccos loses digits near 1), thresholds of scores
+# with this one (a product's last bits depend on the block's shape).
+SLACK, SCORE_SLACK = 1e-6, 1e-9
+# Scores, or visits, that a task holds at once.
+CELLS = 1 << 21
+
+
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    return np.vstack(vectors.to_numpy()).astype(np.float64)
+
+
+def _best_of(q: pd.DataFrame, c: pd.DataFrame, k: int, min_score: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of ``q``, row of ``c``, score) of each query's best ``k``: score descending, candidate
+    id ascending.  Scores come in chunks of about CELLS; those under the query's threshold
+    (its ``__least``, or ``min_score``) go before anything is sorted.  Where rows have
+    buckets (``__hash``), a candidate shares one at least."""
+    cv, cid = _matrix(c["__vec"]), c["__id"].to_numpy()
+    cn = np.linalg.norm(cv, axis=1)
+    hashes = _matrix(c["__hash"]) if "__hash" in c else None
+    need = k + int(np.unique(cid, return_counts=True)[1].max())  # the best k, and the row's own copies
+    need *= 1 if hashes is None else 4
+    rows, cols, scores = [], [], []
+    chunk = max(1, CELLS // len(c))
+    for lo in range(0, len(q), chunk):
+        qq = q.iloc[lo:lo + chunk]
+        qv = _matrix(qq["__vec"])
+        least = np.maximum(min_score, qq["__least"].to_numpy() - SCORE_SLACK) if "__least" in qq else np.full(len(qq), min_score)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            s = qv @ cv.T
+            s /= np.outer(np.linalg.norm(qv, axis=1), cn)
+        known = np.isfinite(s)
+
+        def reach(at, bar):  # (row, candidate) of the rows ``at`` that reach their bar, and share a bucket
+            r, j = np.nonzero((s[at] >= bar[:, None]) & known[at])
+            r = at[r]
+            ok = qid[r] != cid[j]  # drop self by id
+            if hashes is not None:
+                for lo_pair in range(0, len(r), CELLS // hashes.shape[1]):
+                    part = slice(lo_pair, lo_pair + CELLS // hashes.shape[1])
+                    ok[part] &= (own[r[part]] == hashes[j[part]]).any(axis=1)
+            return r[ok], j[ok]
+
+        qid, own = qq["__id"].to_numpy(), None if hashes is None else _matrix(qq["__hash"])
+        every = np.arange(len(qq))
+        if "__least" not in qq and len(c) > 4 * need:  # first those over the best ``need``; rows with too few of them again
+            bar = least.copy()
+            for at in range(0, len(qq), 64):
+                part = np.partition(np.where(known[at:at + 64], s[at:at + 64], -np.inf), len(c) - need, axis=1)[:, len(c) - need]
+                bar[at:at + 64] = np.maximum(bar[at:at + 64], part)
+            r, j = reach(every, bar)
+            few = np.flatnonzero((np.bincount(r, minlength=len(qq)) < k) & (bar > least))
+            if len(few):
+                kept = ~np.isin(r, few)
+                more = reach(few, least[few])
+                r, j = np.concatenate([r[kept], more[0]]), np.concatenate([j[kept], more[1]])
+        else:
+            r, j = reach(every, least)
+        v = s[r, j]
+        order = np.lexsort((cid[j], -v, r))
+        r, j, v = r[order], j[order], v[order]
+        place = np.arange(len(r)) - np.searchsorted(r, r)
+        best = place < k
+        rows.append(r[best] + lo)
+        cols.append(j[best])
+        scores.append(v[best])
+    return np.concatenate(rows), np.concatenate(cols), np.concatenate(scores)
+
+
+def _block_topk(k: int, min_score: float):
+    """Per (query block, candidate block) group: each query's best ``k`` there."""
     empty = pd.DataFrame({"news_id": pd.Series([], dtype="int64"),
                           "related_news_id": pd.Series([], dtype="int64"),
                           "score": pd.Series([], dtype="float64")})
@@ -53,30 +120,9 @@ def _block_topk(k: int, min_score: float, chunk: int = 1024):
         c = pdf[pdf["__role"] == 1]
         if q.empty or c.empty:
             return empty
-        cv = np.vstack(c["__vec"].to_numpy()).astype(np.float64)
-        cn = np.linalg.norm(cv, axis=1)
-        cid = c["__id"].to_numpy()
-        kk = min(k, len(cid))
-        parts = []
-        for lo in range(0, len(q), chunk):
-            qq = q.iloc[lo:lo + chunk]
-            qv = np.vstack(qq["__vec"].to_numpy()).astype(np.float64)
-            qn = np.linalg.norm(qv, axis=1)
-            with np.errstate(invalid="ignore", divide="ignore"):
-                s = (qv @ cv.T) / np.outer(qn, cn)
-            qid = qq["__id"].to_numpy()
-            s[qid[:, None] == cid[None, :]] = -np.inf  # drop self by id
-            s[~(s >= min_score)] = -np.inf  # below the threshold, or undefined
-            # Best kk per row: score descending, candidate id ascending.
-            order = np.lexsort((np.broadcast_to(cid, s.shape), -s), axis=1)[:, :kk]
-            rows = np.repeat(np.arange(s.shape[0]), kk)
-            cols = order.reshape(-1)
-            sc = s[rows, cols]
-            keep = np.isfinite(sc)
-            parts.append(pd.DataFrame({"news_id": qid[rows][keep].astype("int64"),
-                                       "related_news_id": cid[cols][keep].astype("int64"),
-                                       "score": sc[keep]}))
-        return pd.concat(parts, ignore_index=True) if parts else empty
+        r, j, v = _best_of(q, c, k, min_score)
+        return pd.DataFrame({"news_id": q["__id"].to_numpy()[r].astype("int64"),
+                             "related_news_id": c["__id"].to_numpy()[j].astype("int64"), "score": v})
     return fn
 
 
@@ -140,27 +186,34 @@ class _Layout:
         self.blocks = int(self.parts.sum())
 
     def place(self, v: DataFrame) -> DataFrame:
-        """__id, __vec and the block of every vector."""
+        """__id, __vec (and __hash, where there) and the block of every vector."""
         if self.blocks == 1:
-            return v.select("__id", "__vec", F.lit(0).alias("__block"))
+            return v.select(*v.columns, F.lit(0).alias("__block"))
+        kept, types = v.columns, ", ".join(f"{n} {t}" for n, t in v.dtypes)
         pivots, parts, first = self.pivots, np.maximum(self.parts, 1), self.first
 
         def run(batches):
             for pdf in batches:
                 cell = np.argmin(_angles(pdf["__vec"], pivots), axis=1)
                 at = first[cell] + pdf["__h"].to_numpy() % parts[cell]
-                yield pd.DataFrame({"__id": pdf["__id"], "__vec": pdf["__vec"], "__block": at.astype("int32")})
+                yield pdf[kept].assign(__block=at.astype("int32"))
 
-        return v.select("__id", "__vec", F.xxhash64("__id").alias("__h")) \
-            .mapInPandas(run, "__id long, __vec array<double>, __block int")
+        return v.select(*kept, F.xxhash64("__id").alias("__h")).mapInPandas(run, f"{types}, __block int")
 
     def visits(self, own: DataFrame, k: int, min_score: float) -> DataFrame:
         """Of every query row the other blocks (__cb) that may hold a better one
         than its k-th so far."""
         pivots, lo, hi, parts, first = self.pivots, self.lo, self.hi, self.parts, self.first
+        kept = [c for c in own.columns if c in ("__id", "__vec", "__hash")]
+        step = max(1, CELLS // 8 // max(1, int(parts.sum()), len(pivots)))  # rows whose visits are held at once
 
-        def run(batches):
+        def slices(batches):
             for pdf in batches:
+                for lo_row in range(0, len(pdf), step):
+                    yield pdf.iloc[lo_row:lo_row + step]
+
+        def run(batches):
+            for pdf in slices(batches):
                 a = _angles(pdf["__vec"], pivots)
                 worst = np.array([max(min_score, min(s)) if len(s) >= k else min_score for s in pdf["scores"]])
                 least = np.zeros((len(pdf), len(parts)))  # angle to a cell's nearest vector, at least
@@ -175,10 +228,11 @@ class _Layout:
                 for at in range(0, len(rows), 8192):
                     r, to = rows[at:at + 8192], block[at:at + 8192]
                     r, to = r[other[at:at + 8192]], to[other[at:at + 8192]]
-                    yield pd.DataFrame({"__id": pdf["__id"].to_numpy()[r], "__vec": pdf["__vec"].to_numpy()[r],
+                    yield pd.DataFrame({**{c: pdf[c].to_numpy()[r] for c in kept}, "__least": worst[r],
                                         "__qb": pdf["__block"].to_numpy()[r], "__cb": to.astype("int32")})
 
-        return own.select("__id", "__vec", "__block", "scores").mapInPandas(run, "__id long, __vec array<double>, __qb int, __cb int")
+        types = ", ".join(f"{n} {t}" for n, t in own.dtypes if n in kept)
+        return own.select(*kept, "__block", "scores").mapInPandas(run, f"{types}, __least double, __qb int, __cb int")
 
 
 def _vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -190,23 +244,29 @@ def _vectors(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
         .filter(F.col("__id").isNotNull() & (square > 0) & (square < F.lit(float("inf"))))
 
 
-def _own_block(k: int, min_score: float):
-    """Per block: every query row with its best ``k`` candidates there."""
-    best = _block_topk(k, min_score)
+def _own_block(k: int, min_score: float, kept: list[str], by_row: bool):
+    """Per block: every query row with its best ``k`` candidates there; rows of one
+    id share theirs unless ``by_row``."""
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = pdf.loc[pdf["__role"] == 0, ["__id", "__vec", "__block"]]
-        found = {i: (g["related_news_id"].tolist(), g["score"].tolist()) for i, g in best(pdf).groupby("news_id", sort=False)}
-        tops = [found.get(i, ([], [])) for i in out["__id"]]
-        return out.assign(ids=pd.Series([t[0] for t in tops], out.index, object),
-                          scores=pd.Series([t[1] for t in tops], out.index, object))
+        q, c = pdf[pdf["__role"] == 0], pdf[pdf["__role"] == 1]
+        found = {}
+        name = np.arange(len(q)) if by_row else q["__id"].to_numpy()
+        if len(q) and len(c):
+            r, j, v = _best_of(q, c, k, min_score)
+            tops = pd.DataFrame({"q": name[r], "id": c["__id"].to_numpy()[j], "score": v})
+            found = {i: (g["id"].tolist(), g["score"].tolist()) for i, g in tops.groupby("q", sort=False)}
+        tops = [found.get(i, ([], [])) for i in name]
+        return q[kept].assign(ids=pd.Series([t[0] for t in tops], q.index, object),
+                              scores=pd.Series([t[1] for t in tops], q.index, object))
     return fn
 
 
-def _own(layout: _Layout, v: DataFrame, q: DataFrame, k: int, min_score: float) -> DataFrame:
+def _own(layout: _Layout, v: DataFrame, q: DataFrame, k: int, min_score: float, by_row: bool = False) -> DataFrame:
     both = layout.place(q).withColumn("__role", F.lit(0)).unionByName(layout.place(v).withColumn("__role", F.lit(1)))
-    return both.groupBy("__block").applyInPandas(_own_block(k, min_score),
-                                                 "__id long, __vec array<double>, __block int, ids array<long>, scores array<double>")
+    kept = [c for c in both.columns if c != "__role"]
+    types = ", ".join(f"{n} {t}" for n, t in both.dtypes if n != "__role")
+    return both.groupBy("__block").applyInPandas(_own_block(k, min_score, kept, by_row), f"{types}, ids array<long>, scores array<double>")
 
 
 def _queries(v: DataFrame, queries: DataFrame | None, id_col: str) -> DataFrame:
@@ -220,8 +280,12 @@ def related_top_k(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFr
     other rows with cosine >= ``min_score``; score rounded to ``digits``.
     Vectors that are null, zero or not finite have no score and no part."""
     v = _vectors(vectors, id_col, vec_col)
-    q, layout = _queries(v, queries, id_col), _Layout(v, block_size)
-    own = _own(layout, v, q, k, min_score)
+    return _top_k(v, _queries(v, queries, id_col), k, min_score, digits, block_size)
+
+
+def _top_k(v: DataFrame, q: DataFrame, k: int, min_score: float, digits: int, block_size: int, by_row: bool = False) -> DataFrame:
+    layout = _Layout(v, block_size)
+    own = _own(layout, v, q, k, min_score, by_row)
     if layout.blocks > 1:
         own = cut_lineage(own)
     part = own.select(F.col("__id").alias("news_id"), F.inline(F.arrays_zip("ids", "scores"))) \
@@ -229,9 +293,11 @@ def related_top_k(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFr
     if layout.blocks > 1:
         visits = layout.visits(own, k, min_score)
         live = visits.select("__qb", "__cb").distinct()
-        cs = layout.place(v).join(live, F.col("__block") == F.col("__cb")).select("__id", "__vec", "__qb", "__cb", F.lit(1).alias("__role"))
+        cs = layout.place(v).join(live, F.col("__block") == F.col("__cb")).drop("__block") \
+            .withColumn("__least", F.lit(0.0)).withColumn("__role", F.lit(1))
         both = visits.withColumn("__role", F.lit(0)).unionByName(cs)
         part = part.unionByName(both.groupBy("__qb", "__cb").applyInPandas(_block_topk(k, min_score), OUT_SCHEMA))
+    if layout.blocks > 1 or by_row:
         w = Window.partitionBy("news_id").orderBy(F.col("score").desc(), F.col("related_news_id"))
         part = part.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k).drop("__rn")
     return part.withColumn("score", F.bround("score", digits))
@@ -269,23 +335,23 @@ def append_related(vectors: DataFrame, id_col: str, vec_col: str, path: str, k:
 
 
 def approx_related(vectors: DataFrame, id_col: str, vec_col: str, k: int = 5, min_score: float = 0.2,
-                   digits: int = 4, bucket_length: float = 0.5, tables: int = 8) -> DataFrame:
-    """Large-scale form: candidates from ``BucketedRandomProjectionLSH`` on
-    unit vectors (Euclidean distance d maps to cosine 1 - d^2/2), scored
-    exactly; approximate recall."""
+                   digits: int = 4, bucket_length: float = 0.5, tables: int = 8, block_size: int = 8192) -> DataFrame:
+    """Candidates from ``BucketedRandomProjectionLSH`` on unit vectors (Euclidean
+    distance d maps to cosine 1 - d^2/2): rows that share a bucket of one of the
+    ``tables`` at least, scored exactly; approximate recall.
+
+    Buckets are not joined: of wide buckets a join makes nearly all pairs, several
+    times, as rows.  Rows carry their buckets into the blocks of ``related_top_k``,
+    where pairs are scored by matrix product and those without a common bucket fall out."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    max_dist = math.sqrt(max(0.0, 2.0 - 2.0 * min_score))
-    norm = F.sqrt(F.aggregate(F.col(vec_col), F.lit(0.0), lambda a, x: a + x * x))
-    unit = F.transform(F.col(vec_col), lambda x: x / F.when(norm > 0, norm).otherwise(F.lit(1.0)))
-    u = vectors.filter(norm > 0).select(F.col(id_col).cast("long").alias("id"), array_to_vector(unit).alias("features"))
-    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length,
-                                        numHashTables=tables, seed=7).fit(u)
-    pairs = model.approxSimilarityJoin(u, u, max_dist, distCol="d") \
-        .select(F.col("datasetA.id").alias("news_id"), F.col("datasetB.id").alias("related_news_id"),
-                (1.0 - F.col("d") * F.col("d") / 2.0).alias("score")) \
-        .filter((F.col("news_id") != F.col("related_news_id")) & (F.col("score") >= min_score))
-    w = Window.partitionBy("news_id").orderBy(F.col("score").desc(), F.col("related_news_id"))
-    return pairs.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k).drop("__rn") \
-                .withColumn("score", F.bround("score", digits))
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    v = _vectors(vectors, id_col, vec_col)
+    norm = F.sqrt(F.aggregate("__vec", F.lit(0.0), lambda a, x: a + x * x))
+    u = v.withColumn("features", array_to_vector(F.transform("__vec", lambda x: x / norm)))
+    lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length, numHashTables=tables, seed=7)
+    if u.isEmpty():
+        return v.sparkSession.createDataFrame([], OUT_SCHEMA)
+    hashed = lsh.fit(u).transform(u).select("__id", "__vec", F.transform("hashes", lambda h: vector_to_array(h)[0]).alias("__hash"))
+    hashed = hashed.dropDuplicates(["__id", "__vec"])
+    return _top_k(hashed, hashed, k, min_score, digits, block_size, by_row=True)
