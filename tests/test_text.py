@@ -87,3 +87,24 @@ def test_numbered_pages(spark):
     assert "EqualTo(page_no,3)" in plan
     none = news.write_pages(rows.limit(0), f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}", 20)
     assert news.read_page(spark, none, 1).count() == 0
+
+
+def test_trees_are_freed_without_the_collector():
+    """A page's tree goes with its last use; waiting for the collector, a worker held many."""
+    import gc
+    from tributary.operators import html as H
+    gc.collect()
+    gc.disable()
+    try:
+        for _ in range(20):
+            assert H.clean_html("<div><p>a<b>c</b></div><p>d") == "<div><p>a<b>c</b></p></div><p>d</p>"
+        assert sum(isinstance(o, H._Node) for o in gc.get_objects()) == 0
+    finally:
+        gc.enable()
+
+
+def test_pages_reach_a_worker_in_small_batches(spark):
+    from tributary.operators.html import BATCH_BYTES, clean_pages
+    out = clean_pages(spark.createDataFrame([(i, f"<p>{i}</p>") for i in range(300)], "id long, html string"))
+    assert {r.id: r.content for r in out.collect()} == {i: f"<p>{i}</p>" for i in range(300)}
+    assert 0 < int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= BATCH_BYTES
