@@ -265,3 +265,16 @@ def test_zone_state_of_a_slot_expires_key_by_key(spark):
     assert [r[:2] for r in feed((1, 13, 5.0, True))] == [(13, True)]
     late = feed((2, 21, 3.0, False))                      # key 2 does not
     assert [(r[0], r[1], r[3]) for r in late] == [(21, False, 18.0)]
+
+
+def test_topic_files_are_packed_and_read_alike(spark):
+    from tributary.streaming.ingest import keyed_json, write_topic
+    base = f"{checkpoint_dir(spark)}/tp_{uuid.uuid4().hex}"
+    df = spark.range(20000).select("id", F.concat(F.lit("line\n"), F.col("id").cast("string")).alias("text"))
+    recs = keyed_json(df, "id")
+    write_topic(recs, f"{base}/topic")
+    read = spark.read.text(f"{base}/topic")
+    assert read.exceptAll(recs.select("value")).isEmpty() and read.count() == 20000
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/topic")
+    size = fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(fs_path).getLength()
+    assert size < recs.select(F.sum(F.length("value"))).first()[0] / 3

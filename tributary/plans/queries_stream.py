@@ -145,7 +145,7 @@ def stream_topics(spark, sf):
                 "timestamp": lambda c: F.col("ts").cast("timestamp")}
     for t, fields in _TOPIC_FIELDS.items():
         df = e.select(*[value_of[dtype](name).alias(name) for name, dtype in fields])
-        S.keyed_json(df, TAXI_TOPICS[t][1]).select("value").write.text(f"{base}/topics/{t}")
+        S.write_topic(S.keyed_json(df, TAXI_TOPICS[t][1]), f"{base}/topics/{t}")
     run_topics(spark, {t: spark.readStream.text(f"{base}/topics/{t}") for t in TAXI_TOPICS}, f"{base}/out", f"{base}/ck")
     parts = []
     for t in TAXI_TOPICS:
@@ -167,7 +167,7 @@ def road_stream_mart(spark, sf):
     from tributary.schemas import DETECTIONS
     base = _scratch(spark)
     det = road.detections_from_events(table(spark, sf, "events")).withColumn("uuid", F.col("uuid").cast("string"))
-    S.keyed_json(det, "uuid").select("value").write.text(f"{base}/topic")
+    S.write_topic(S.keyed_json(det, "uuid"), f"{base}/topic")
     parsed = S.parse_json_values(spark.readStream.text(f"{base}/topic"), DETECTIONS)
     S.upsert_sink(parsed, f"{base}/raw", ["uuid"], f"{base}/ck").awaitTermination()
     raw = KeyedTable(spark, f"{base}/raw").read().withColumn("uuid", F.col("uuid").try_cast("long"))

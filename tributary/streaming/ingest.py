@@ -18,7 +18,7 @@ from tributary.operators.keyed_table import Conflict, KeyedTable
 from tributary.operators.load import _fs
 from tributary.operators.windows import keep_first
 
-__all__ = ["file_stream", "kafka_stream", "parse_json_values", "keyed_json", "with_event_watermark",
+__all__ = ["file_stream", "kafka_stream", "parse_json_values", "keyed_json", "write_topic", "with_event_watermark",
            "parquet_sink", "upsert_sink", "dedup_sink", "write_key_index", "loads_that_may_hold", "kafka_sink", "jdbc_append_sink", "dedup_within_watermark"]
 
 LOAD_ID = "load_id"
@@ -61,6 +61,16 @@ def keyed_json(df: DataFrame, id_col: str) -> DataFrame:
                      F.to_json(F.struct("*"), JSON_OPTIONS).alias("value"))
 
 
+# Records of a file of a topic: packed text is read by one task a file.
+TOPIC_FILE_RECORDS = 500_000
+
+
+def write_topic(records: DataFrame, path: str) -> None:
+    """A6 to files, a topic's stand-in: the ``value`` texts a line each, packed
+    (JSON repeats its field names in every record); text streams read them as they are."""
+    records.select("value").write.option("compression", "gzip").option("maxRecordsPerFile", TOPIC_FILE_RECORDS).text(path)
+
+
 def with_event_watermark(df: DataFrame, ts_col: str, delay: str = "2 minutes") -> DataFrame:
     """Watermark on an event-time column (a TIMESTAMP_NTZ is cast to
     TIMESTAMP first; the watermark refuses NTZ)."""
