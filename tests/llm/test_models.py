@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tributary.llm import graph_search, html_text, quality, toxicity, url_filter
+from tributary.llm.common import batches_of
 from tributary.llm.labelled import sample as labelled_sample
 from tributary.llm.queries import RULES
 
@@ -179,6 +180,55 @@ def test_graph_search_recall_and_ties(spark):
     assert graph_search.nearest(df.where("vec_id < 3")).count() == 2
 
 
+def test_graph_search_pairs_blocks_without_broadcast(spark, monkeypatch):
+    """What meets every shard is not multiplied into a table for the driver, and
+    the best of several blocks and tasks is the same as of one."""
+    rng = np.random.default_rng(4)
+    v = rng.standard_normal((700, 8))
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(10, v[20].tolist()), (30, [1.0, 2.0]), (31, [2.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index = graph_search.build_index(df, 5, shard=60)
+    plans, stage = [], graph_search.stage
+
+    def seen(frame, *size):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return stage(frame, *size)
+    monkeypatch.setattr(graph_search, "stage", seen)
+    found = {}
+    for block in (9, 2048):
+        out = graph_search.search(index, df.where(F.col("vec_id") % 10 == 0), 5, block=block)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        found[block] = sorted(out.collect())
+    assert found[9] == found[2048] and len(found[9]) == 350
+    met = [p for p in plans if "MapInArrow" in p]
+    assert len(met) == 2 and all("CartesianProduct" in p and "Broadcast" not in p for p in met)
+
+
+def test_best_of_two_sets_counts_an_equal_row_once():
+    none = graph_search.ABSENT
+    ids, scores = graph_search.first_of(np.array([[7, 4, none], [none] * 3]), np.array([[0.9, 0.5, -np.inf], [-np.inf] * 3]),
+                                        np.array([[7, 2, 9], [3, 1, none]]), np.array([[0.9, 0.5, 0.1], [0.2, float("nan"), -np.inf]]))
+    assert ids[0].tolist() == [7, 2, 4] and scores[0].tolist() == [0.9, 0.5, 0.5]
+    assert ids[1, 0] == 3 and scores[1].tolist() == [0.2, -np.inf, -np.inf]
+
+
+def test_batch_size_is_put_back_as_it_was(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(key, None)
+    try:
+        for value in (None, "12345"):
+            spark.conf.unset(key)
+            if value:
+                spark.conf.set(key, value)
+            with batches_of(spark, 777):
+                assert spark.conf.get(key, None) == "777"
+            assert spark.conf.get(key, None) == value
+    finally:
+        spark.conf.unset(key)
+        if held:
+            spark.conf.set(key, held)
+
+
 LONG = "The river rises in the spring and the farmers who live there move their cattle to the hills until the water falls again. " * 3
 LONG = LONG.strip()
 SHAPES = [

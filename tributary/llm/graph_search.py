@@ -8,7 +8,9 @@ edges are added under the same pruning.  The index is a table with one row a
 shard (vectors, ids and graph as binary columns) in the shared folder.  Queries
 go in blocks of bounded size to every shard, where one vectorised beam search
 serves the whole block; the found vectors' cosines are then computed in double
-precision from the original components, and each query keeps its best.
+precision from the original components, and each query keeps its best.  A task
+reads a part of the shards and a part of the query blocks, pairs them, and
+returns the best of its shards for each query.
 
 Equal vectors are one node that lists its ``k + 1`` smallest ids (more can't be
 among the k nearest of a query), so a vector that very many rows share neither
@@ -29,11 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import stage
+from tributary.llm.common import PAIR_BYTES, paired, release, rows_of, stage
 
 SHARD, QUERY_BLOCK = 4096, 2048
 DEGREE, BUILD_BEAM, ALPHA = 32, 64, 1.2
 SEARCH_BEAM = 96
+# Stands for no id; sorts after every id.
+ABSENT = np.iinfo(np.int64).max
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -64,17 +68,19 @@ def beam_search(unit: np.ndarray, graph: np.ndarray, entry: int, queries: np.nda
         done[live, at] = True
         to = graph[node[live, at]]
         to = np.where(to < 0, n, to)
-        new = ~seen[live[:, None], to]
-        seen[live[:, None], to] = True
-        sims = np.einsum("qd,qrd->qr", queries[live], unit[np.minimum(to, n - 1)])
-        sims[~new] = -np.inf
+        cell = to + (live * (n + 1))[:, None]
+        new = ~seen.take(cell)
+        seen.put(cell, True)
+        # Only what wasn't seen before is compared.
+        sims = np.full(to.size, -np.inf, np.float32)
+        here = np.flatnonzero(new)
+        sims[here] = np.einsum("md,md->m", queries.take(live.take(here // to.shape[1]), 0), unit.take(to.take(here), 0))
+        sims = sims.reshape(to.shape)
         all_near = np.concatenate([near[live], sims], axis=1)
-        all_node = np.concatenate([node[live], to], axis=1)
-        all_done = np.concatenate([done[live], ~new], axis=1)
-        top = np.argsort(-all_near, axis=1, kind="stable")[:, :beam]
-        near[live] = np.take_along_axis(all_near, top, 1)
-        node[live] = np.take_along_axis(all_node, top, 1)
-        done[live] = np.take_along_axis(all_done, top, 1)
+        top = np.argsort(-all_near, axis=1, kind="stable")[:, :beam] + (np.arange(len(live)) * all_near.shape[1])[:, None]
+        near[live] = all_near.take(top)
+        node[live] = np.concatenate([node[live], to], axis=1).take(top)
+        done[live] = np.concatenate([done[live], ~new], axis=1).take(top)
         node[near == -np.inf] = -1
 
 
@@ -84,7 +90,6 @@ def robust_prune(unit: np.ndarray, own: np.ndarray, candidates: np.ndarray, degr
     vec = unit[np.maximum(candidates, 0)]
     d = 2 - 2 * np.einsum("bd,bcd->bc", unit[own], vec)
     d[(candidates < 0) | (candidates == own[:, None])] = np.inf
-    between = 2 - 2 * np.einsum("bcd,bed->bce", vec, vec)
     out = np.full((len(own), degree), -1, np.int64)
     rows = np.arange(len(own))
     for k in range(degree):
@@ -94,7 +99,7 @@ def robust_prune(unit: np.ndarray, own: np.ndarray, candidates: np.ndarray, degr
             break
         out[ok, k] = candidates[rows, best][ok]
         # Squared distances: alpha counts squared.  The kept one is at distance 0 of itself.
-        far = alpha * alpha * between[rows, best] <= d
+        far = alpha * alpha * (2 - 2 * np.einsum("bd,bcd->bc", vec[rows, best], vec)) <= d
         far[rows, best] = True
         d[far & ok[:, None]] = np.inf
     return out
@@ -135,6 +140,19 @@ def build_graph(unit: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM,
     return graph, entry
 
 
+def first_of(ids: np.ndarray, scores: np.ndarray, more_ids: np.ndarray, more_scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The best of both sets of each query, as many as the first set has places;
+    an id with the same score counts once."""
+    all_ids, all_scores = np.concatenate([ids, more_ids], axis=1), np.concatenate([scores, more_scores], axis=1)
+    all_scores[~(all_scores > -np.inf)] = -np.inf
+    order = np.lexsort((all_ids, -all_scores))
+    all_ids, all_scores = np.take_along_axis(all_ids, order, 1), np.take_along_axis(all_scores, order, 1)
+    again = (all_ids[:, 1:] == all_ids[:, :-1]) & (all_scores[:, 1:] == all_scores[:, :-1])
+    all_scores[:, 1:][again] = -np.inf
+    order = np.argsort(-all_scores, axis=1, kind="stable")[:, :ids.shape[1]]
+    return np.take_along_axis(all_ids, order, 1), np.take_along_axis(all_scores, order, 1)
+
+
 def usable(rows: DataFrame) -> DataFrame:
     """vec_id and vector (array of doubles) of the rows that take part."""
     v = F.col("embedding").cast("array<double>")
@@ -180,18 +198,16 @@ def search(index: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM
 
     def pack(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         vectors = np.concatenate([c.flatten().to_numpy() for c in group.column("vector").chunks])
-        return pa.table({"dim": pa.array([key[1].as_py()], pa.int32()), "query_ids": [group.column("vec_id").to_numpy().astype("<i8").tobytes()],
-                         "queries": [vectors.astype("<f8").tobytes()]})
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "dim": pa.array([key[1].as_py()], pa.int32()),
+                         "query_ids": [group.column("vec_id").to_numpy().astype("<i8").tobytes()], "queries": [vectors.astype("<f8").tobytes()]})
 
     blocks = stage(asked.withColumn("block", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(n_blocks)).cast("int"))
-                   .groupBy("block", "dim").applyInArrow(pack, "dim int, query_ids binary, queries binary"))
-    # Each block to each shard: a stated set of queries against all rows.
-    shards = index.select("shard").agg(F.max("shard")).first()[0]
-    sent = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards or 0))))
+                   .groupBy("block", "dim").applyInArrow(pack, "block int, dim int, query_ids binary, queries binary"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 dim, n = row["dim"], row["n"]
                 vectors = np.frombuffer(row["vectors"], "<f8").reshape(n, dim)
                 graph = np.frombuffer(row["graph"], "<i4").reshape(n, -1)
@@ -200,22 +216,26 @@ def search(index: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM
                 queries = np.frombuffer(row["queries"], "<f8").reshape(len(query_ids), dim)
                 unit = (vectors / np.sqrt((vectors * vectors).sum(1))[:, None]).astype(np.float32)
                 asked_unit = (queries / np.sqrt((queries * queries).sum(1))[:, None]).astype(np.float32)
+                if (row["block"], dim) not in best:
+                    best[row["block"], dim] = query_ids.copy(), np.full((len(queries), k), ABSENT), np.full((len(queries), k), -np.inf)
+                _, best_id, best_score = best[row["block"], dim]
                 for at in range(0, len(queries), 256):
-                    q = queries[at:at + 256]
-                    node, _ = beam_search(unit, graph, row["entry"], asked_unit[at:at + 256], min(beam, n))
-                    score = np.where(node >= 0, cosines(q[:, None, :], vectors[np.maximum(node, 0)]), -np.inf)
-                    own, cand = query_ids[at:at + 256, None, None], np.where((node >= 0)[:, :, None], ids[np.maximum(node, 0)], -1)
-                    flat = np.where((cand < 0) | (cand == own), np.iinfo(np.int64).max, cand).reshape(len(q), -1)
-                    rank_by = np.where(flat == np.iinfo(np.int64).max, -np.inf, np.repeat(score, ids.shape[1], axis=1))
-                    for i in range(len(q)):
-                        top = np.lexsort((flat[i], -rank_by[i]))[:k]
-                        top = top[rank_by[i][top] > -np.inf]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(top), query_ids[at + i])), pa.array(flat[i][top]), pa.array(rank_by[i][top])],
-                            names=["query_id", "vec_id", "score"])
-
-    found = sent.join(index, ["shard", "dim"]).repartition("shard", "dim", F.xxhash64("query_ids")) \
-        .mapInArrow(run, "query_id long, vec_id long, score double").distinct()
+                    part = slice(at, at + 256)
+                    node, _ = beam_search(unit, graph, row["entry"], asked_unit[part], min(beam, n))
+                    score = np.where(node >= 0, cosines(queries[part, None, :], vectors[np.maximum(node, 0)]), -np.inf)
+                    own, cand = query_ids[part, None, None], np.where((node >= 0)[:, :, None], ids[np.maximum(node, 0)], -1)
+                    flat = np.where((cand < 0) | (cand == own), ABSENT, cand).reshape(len(node), -1)
+                    rank_by = np.where(flat == ABSENT, -np.inf, np.repeat(score, ids.shape[1], axis=1))
+                    top = np.lexsort((flat, -rank_by))[:, :k]
+                    best_id[part], best_score[part] = first_of(best_id[part], best_score[part], np.take_along_axis(flat, top, 1), np.take_along_axis(rank_by, top, 1))
+        for query_ids, best_id, best_score in best.values():
+            found = best_score > -np.inf
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(query_ids, found.sum(1))), pa.array(best_id[found]), pa.array(best_score[found])],
+                                             names=["query_id", "vec_id", "score"])
+        release()
+
+    # A stated set of queries against all rows, a pair of blocks at a time.
+    found = stage(paired(index, blocks, "dim").mapInArrow(run, "query_id long, vec_id long, score double").distinct(), PAIR_BYTES)
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
