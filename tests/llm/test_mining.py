@@ -65,6 +65,37 @@ def test_hard_negatives_with_wide_components(spark):
     assert product.tolist() == [[sum(a * b for a, b in zip(x, y)) for y in ints.tolist()] for x in ints.tolist()]
 
 
+def test_hard_negatives_pair_blocks_without_broadcast(spark, monkeypatch):
+    """Anchors that meet every block are not multiplied into a table for the
+    driver, and a task returns the first rows of all its blocks only."""
+    rows = [(i, v, y) for i, v, y in vectors(seed=6) if i is not None]
+    df = frame(spark, rows).coalesce(1)
+    plans, stage = [], hard_negatives.stage
+
+    def seen(staged, *size):
+        plans.append(staged._jdf.queryExecution().executedPlan().toString())
+        return stage(staged, *size)
+    monkeypatch.setattr(hard_negatives, "stage", seen)
+    out = hard_negatives.mine(df, F.col("label"), every=10, n_positives=3, n_negatives=4, block=20, anchor_block=5)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert sorted(map(tuple, out.collect())) == mined(rows, 10, 3, 4)
+    met = [p for p in plans if p.count("MapInArrow")]
+    assert len(met) == 2 and all("CartesianProduct" in p and "Broadcast" not in p for p in met)
+
+
+def test_best_keeps_the_first_rows_of_each_group():
+    rng = np.random.default_rng(9)
+    best, rows = hard_negatives.Best(3), []
+    for _ in range(40):
+        part = [rng.integers(0, 50, 900), rng.choice([-2 ** 63, -5, 0, 7, 2 ** 63 - 1], 900), rng.integers(-4, 4, 900), rng.integers(0, 2 ** 40, 900)]
+        best.add(*part)
+        assert best.n <= 10_000 + 5 * 150
+        rows += zip(*(c.tolist() for c in part), strict=True)
+    want = [r for g in range(50) for r in sorted((r for r in rows if r[0] == g), key=lambda r: (-r[1], r[2], r[3]))[:3]]
+    assert list(zip(*(c.tolist() for c in best.first()), strict=True)) == want
+    assert [len(c) for c in hard_negatives.Best(3).first()] == [0] * 4
+
+
 def test_scores_are_the_products():
     rng = np.random.default_rng(1)
     for dim, most in ((1, 3), (8, 300), (13, 70000), (64, 200)):

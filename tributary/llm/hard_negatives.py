@@ -19,7 +19,9 @@ every block of rows, a block of anchors at a time:
    anchor, and cuts a run of them for each positive out of the score range that
    the positive allows; the first of all blocks are its negatives.
 
-What a pair of blocks returns is bounded by the anchors, not by the rows.
+A task reads a part of the blocks of rows and a part of the blocks of anchors,
+pairs them, and returns the first of its rows for each anchor (or positive): what
+it holds and returns is bounded by the anchors, not by the rows.
 
 Cases: rows whose vec_id, label or vector is null, or whose vector is empty or
 holds a null or non-finite component take no part; a row repeated in vec_id,
@@ -39,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import release, stage
+from tributary.llm.common import PAIR_BYTES, paired, release, rows_of, stage
 
 SCALE = 256
 BLOCK, ANCHOR_BLOCK = 8192, 512
@@ -144,14 +146,15 @@ def candidate_blocks(rows: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def _meet(candidates: DataFrame, anchors: DataFrame, block: int) -> DataFrame:
     """Each block of anchors (columns uid, vec_id, label, vector, dim and
-    ``given``, an array of doubles or longs) with each block of candidates."""
+    ``given``, an array of structs uid, vec_id, score) with each block of candidates."""
     count = max(1, -(-anchors.count() // block))
 
     def pack(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         given = group.column("given").combine_chunks()
         counts = np.diff(given.offsets.to_numpy()).astype("<i8") if len(given) else np.zeros(0, "<i8")
         pairs = given.flatten()
-        return pa.table({"dim": pa.array([key[1].as_py()], pa.int32()), "a_uids": [_longs(group, "uid").tobytes()],
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "dim": pa.array([key[1].as_py()], pa.int32()),
+                         "a_uids": [_longs(group, "uid").tobytes()],
                          "a_ids": [_longs(group, "vec_id").tobytes()], "a_labels": [_longs(group, "label").tobytes()],
                          "vectors": [_matrix(group, key[1].as_py()).astype("<f8").tobytes()], "counts": [counts.tobytes()],
                          "p_uids": [pairs.field("uid").to_numpy(zero_copy_only=False).astype("<i8").tobytes()],
@@ -159,47 +162,89 @@ def _meet(candidates: DataFrame, anchors: DataFrame, block: int) -> DataFrame:
                          "p_scores": [pairs.field("score").to_numpy(zero_copy_only=False).astype("<i8").tobytes()]})
 
     packed = anchors.withColumn("part", F.pmod(F.xxhash64("uid"), F.lit(count)).cast("int")).groupBy("part", "dim").applyInArrow(
-        pack, "dim int, a_uids binary, a_ids binary, a_labels binary, vectors binary, counts binary, p_uids binary, p_ids binary, p_scores binary")
-    last = candidates.agg(F.max("block")).first()[0]
+        pack, "part int, dim int, a_uids binary, a_ids binary, a_labels binary, vectors binary, counts binary, p_uids binary, p_ids binary, p_scores binary")
     # A stated set of anchors against all rows, a pair of blocks at a time.
-    sent = stage(packed).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(last or 0))))
-    return sent.join(candidates, ["block", "dim"]).repartition("block", "dim", F.xxhash64("a_uids"))
+    return paired(candidates, stage(packed), "dim")
+
+
+OWN = ("a_uids", "a_ids", "a_labels", "counts", "p_uids", "p_ids", "p_scores")
 
 
 def _unpack(row: dict) -> tuple[dict, dict, np.ndarray]:
     """(candidate columns, anchor columns, anchors' integers) of a pair of blocks."""
     dim, n = row["dim"], row["n"]
-    own = {k: np.frombuffer(row[k], "<i8") for k in ("a_uids", "a_ids", "a_labels", "counts", "p_uids", "p_ids", "p_scores")}
+    own = {k: np.frombuffer(row[k], "<i8") for k in OWN}
     other = {k: np.frombuffer(row[k], "<i8") for k in ("uids", "ids", "labels")}
     other["planes"] = np.frombuffer(row["planes"], np.uint8).reshape(-1, -(-dim // 8), n)
     return other, own, integers(np.frombuffer(row["vectors"], "<f8").reshape(-1, dim))
 
 
+class Best:
+    """The first ``k`` rows of each group by falling score, then vec_id and uid."""
+
+    def __init__(self, k: int):
+        self.k, self.parts, self.n, self.kept = k, [], 0, 0
+
+    def add(self, *columns: np.ndarray) -> None:
+        """Group, score, vec_id and uid of more rows."""
+        self.parts.append(columns)
+        self.n += len(columns[0])
+        if self.n > 4 * self.kept + 10_000:
+            self.first()
+
+    def first(self) -> list[np.ndarray]:
+        """Group, score, vec_id and uid of the rows that stay."""
+        if len(self.parts) > 1 or self.n > self.kept:
+            group, score, vec_id, uid = (np.concatenate(c) for c in zip(*self.parts, strict=True))
+            order = np.lexsort((uid, vec_id, ~score, group))  # ~: falls as the score rises, without overflow
+            starts = np.searchsorted(group[order], group[order], side="left")
+            order = order[np.arange(len(order)) - starts < self.k]
+            self.parts = [(group[order], score[order], vec_id[order], uid[order])]
+            self.n = self.kept = len(order)
+        return list(self.parts[0]) if self.parts else [np.zeros(0, np.int64)] * 4
+
+
+def _first_of_pairs(batches: Iterator[pa.RecordBatch], k: int, found) -> Iterator[tuple[dict, list[np.ndarray]]]:
+    """For each block of anchors its columns and the first ``k`` rows of each
+    group; ``found`` yields a pair's rows as (group, scores, places in the block)."""
+    best: dict[tuple[int, int], tuple[dict, Best]] = {}
+    for batch in batches:
+        for row in rows_of(batch):
+            other, own, values = _unpack(row)
+            key = row["part"], row["dim"]
+            if key not in best:
+                best[key] = {name: v.copy() for name, v in own.items()}, Best(k)
+            more = [(np.full(len(at), group), score.astype(np.int64), at) for group, score, at in found(other, own, values)]
+            if more:
+                group, score, at = (np.concatenate(c) for c in zip(*more, strict=True))
+                best[key][1].add(group, score, other["ids"][at], other["uids"][at])
+    for own, b in best.values():
+        yield own, b.first()
+    release()
+
+
 FOUND = "anchor_uid long, anchor_id long, uid long, vec_id long, score long"
 
 
 def positives(candidates: DataFrame, anchors: DataFrame, k: int, block: int = ANCHOR_BLOCK) -> DataFrame:
     """The first ``k`` other rows of each anchor's label."""
+    def of_label(other: dict, own: dict, values: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        for label in np.intersect1d(other["labels"], own["a_labels"]):
+            rows, mine = np.flatnonzero(other["labels"] == label), np.flatnonzero(own["a_labels"] == label)
+            got = np.ascontiguousarray(scores(other["planes"][:, :, rows], values[mine]).T)
+            for column, a in zip(got, mine, strict=True):
+                there = other["uids"][rows] != own["a_uids"][a]
+                column, left = column[there], rows[there]
+                top = np.argsort(-column, kind="stable")[:k]
+                yield a, column[top], left[top]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                other, own, values = _unpack(row)
-                parts = [[] for _ in range(5)]
-                for label in np.intersect1d(other["labels"], own["a_labels"]):
-                    rows, mine = np.flatnonzero(other["labels"] == label), np.flatnonzero(own["a_labels"] == label)
-                    got = scores(other["planes"][:, :, rows], values[mine])
-                    for at, a in enumerate(mine):
-                        there = rows != -1 if own["a_uids"][a] not in other["uids"][rows] else other["uids"][rows] != own["a_uids"][a]
-                        column, left = got[there, at], rows[there]
-                        top = np.argsort(-column, kind="stable")[:k]
-                        for part, v in zip(parts, (np.full(len(top), own["a_uids"][a]), np.full(len(top), own["a_ids"][a]), other["uids"][left[top]],
-                                                   other["ids"][left[top]], column[top]), strict=True):
-                            part.extend(v.tolist())
-                yield pa.RecordBatch.from_arrays([pa.array(p, pa.int64()) for p in parts], names=["anchor_uid", "anchor_id", "uid", "vec_id", "score"])
-        release()
+        for own, (a, score, vec_id, uid) in _first_of_pairs(batches, k, of_label):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (own["a_uids"][a], own["a_ids"][a], uid, vec_id, score)],
+                                             names=["anchor_uid", "anchor_id", "uid", "vec_id", "score"])
 
     nothing = F.array().cast("array<struct<uid:bigint,vec_id:bigint,score:bigint>>")
-    found = _meet(candidates, anchors.withColumn("given", nothing), block).mapInArrow(run, FOUND)
+    found = stage(_meet(candidates, anchors.withColumn("given", nothing), block).mapInArrow(run, FOUND), PAIR_BYTES)
     w = Window.partitionBy("anchor_uid", "anchor_id").orderBy(F.col("score").desc(), "vec_id", "uid")
     return found.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
 
@@ -212,32 +257,31 @@ def negatives(candidates: DataFrame, anchors: DataFrame, chosen: DataFrame, k: i
         .agg(F.collect_list(F.struct("uid", "vec_id", "score")).alias("given"))
     names = ["anchor_uid", "anchor_id", "positive_uid", "positive_id", "uid", "vec_id", "positive_score", "score"]
 
+    def in_range(other: dict, own: dict, values: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        first = np.concatenate([[0], np.cumsum(own["counts"])])
+        got = np.ascontiguousarray(scores(other["planes"], values).T)
+        for a, column in enumerate(got):
+            ranges = [(p, -(-int(own["p_scores"][p]) * low // 100), int(own["p_scores"][p]) * high // 100) for p in range(first[a], first[a + 1])]
+            ranges = [x for x in ranges if x[1] <= x[2]]
+            if not ranges:
+                continue
+            # Only rows that some positive allows are sorted.
+            rows = np.flatnonzero((column >= min(x[1] for x in ranges)) & (column <= max(x[2] for x in ranges)) & (other["labels"] != own["a_labels"][a]))
+            rows = rows[np.argsort(-column[rows], kind="stable")]
+            falling = -column[rows]
+            for p, least, most in ranges:
+                lo = int(np.searchsorted(falling, -most, side="left"))
+                hi = min(lo + k, int(np.searchsorted(falling, -least, side="right")))
+                if hi > lo:
+                    yield p, -falling[lo:hi], rows[lo:hi]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                other, own, values = _unpack(row)
-                first = np.concatenate([[0], np.cumsum(own["counts"])])
-                got = scores(other["planes"], values)
-                parts = [[] for _ in names]
-                for a in range(len(values)):
-                    rows = np.flatnonzero(other["labels"] != own["a_labels"][a])
-                    order = np.argsort(-got[rows, a], kind="stable")
-                    rows, falling = rows[order], -got[rows[order], a]
-                    for p in range(first[a], first[a + 1]):
-                        score = int(own["p_scores"][p])
-                        most, least = score * high // 100, -(-score * low // 100)
-                        lo = int(np.searchsorted(falling, -most, side="left"))
-                        hi = min(lo + k, int(np.searchsorted(falling, -least, side="right")))
-                        if hi > lo:
-                            n = hi - lo
-                            for part, v in zip(parts, ([int(own["a_uids"][a])] * n, [int(own["a_ids"][a])] * n, [int(own["p_uids"][p])] * n,
-                                                       [int(own["p_ids"][p])] * n, other["uids"][rows[lo:hi]].tolist(), other["ids"][rows[lo:hi]].tolist(),
-                                                       [score] * n, [-int(x) for x in falling[lo:hi]]), strict=True):
-                                part.extend(v)
-                yield pa.RecordBatch.from_arrays([pa.array(p, pa.int64()) for p in parts], names=names)
-        release()
-
-    found = _meet(candidates, anchors.join(lists, ["uid", "vec_id"]), block).mapInArrow(run, ", ".join(f"{n} long" for n in names))
+        for own, (p, score, vec_id, uid) in _first_of_pairs(batches, k, in_range):
+            a = np.repeat(np.arange(len(own["counts"])), own["counts"])[p]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (own["a_uids"][a], own["a_ids"][a], own["p_uids"][p], own["p_ids"][p], uid, vec_id,
+                                                                                  own["p_scores"][p], score)], names=names)
+
+    found = stage(_meet(candidates, anchors.join(lists, ["uid", "vec_id"]), block).mapInArrow(run, ", ".join(f"{n} long" for n in names)), PAIR_BYTES)
     w = Window.partitionBy("anchor_uid", "anchor_id", "positive_uid", "positive_id").orderBy(F.col("score").desc(), "vec_id", "uid")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
